@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, licences, mixing
+from . import chat_format, decontamination, exact_dedup, licences, mixing, token_files
 
 QUERIES = {
     "op2_licence_scan": licences.op2_licence_scan,
+    "op3_decontamination": decontamination.op3_decontamination,
     "op4_chat_round_trip": chat_format.op4_chat_round_trip,
     "op7_content_sort_dedup": exact_dedup.op7_content_sort_dedup,
     "op9_water_filling": mixing.op9_water_filling,
+    "op10_token_files": token_files.op10_token_files,
 }
 
 ORACLE_SQL = {
+    "op3_decontamination": decontamination.ORACLE,
     "op4_chat_round_trip": chat_format.ORACLE,
     "op7_content_sort_dedup": exact_dedup.ORACLE,
 }
