@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, exact_dedup, licences, mixing, quality, token_files
+from . import chat_format, decontamination, exact_dedup, licences, mixing, ngram_join, quality, token_files
 
 QUERIES = {
     "op2_licence_scan": licences.op2_licence_scan,
     "op3_decontamination": decontamination.op3_decontamination,
     "op4_chat_round_trip": chat_format.op4_chat_round_trip,
+    "op5_ngram_join": ngram_join.op5_ngram_join,
     "op6_rule_ensemble": quality.op6_rule_ensemble,
     "op7_content_sort_dedup": exact_dedup.op7_content_sort_dedup,
     "op9_water_filling": mixing.op9_water_filling,
