@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, exact_dedup, licences, mixing, ngram_join, quality, token_files
+from . import chat_format, decontamination, exact_dedup, licences, line_dedup, mixing, ngram_join, quality, token_files
 
 QUERIES = {
     "op2_licence_scan": licences.op2_licence_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_ngram_join": ngram_join.op5_ngram_join,
     "op6_rule_ensemble": quality.op6_rule_ensemble,
     "op7_content_sort_dedup": exact_dedup.op7_content_sort_dedup,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_water_filling": mixing.op9_water_filling,
     "op10_token_files": token_files.op10_token_files,
 }
@@ -19,4 +20,5 @@ ORACLE_SQL = {
     "op3_decontamination": decontamination.ORACLE,
     "op4_chat_round_trip": chat_format.ORACLE,
     "op7_content_sort_dedup": exact_dedup.ORACLE,
+    "op8_line_dedup": line_dedup.ORACLE,
 }
