@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, exact_dedup, licences, line_dedup, mixing, ngram_join, quality, token_files
+from . import chat_format, decontamination, exact_dedup, licences, line_dedup, mixing, ngram_join, quality, suffix_tree, token_files
 
 QUERIES = {
+    "op1_suffix_tree": suffix_tree.op1_suffix_tree,
     "op2_licence_scan": licences.op2_licence_scan,
     "op3_decontamination": decontamination.op3_decontamination,
     "op4_chat_round_trip": chat_format.op4_chat_round_trip,
