@@ -4,6 +4,14 @@ from __future__ import annotations
 
 from . import chat_format, decontamination, exact_dedup, licences, line_dedup, mixing, ngram_join, quality, suffix_tree, token_files
 
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_suffix_tree": suffix_tree.op1_suffix_tree,
     "op2_licence_scan": licences.op2_licence_scan,
@@ -15,6 +23,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_water_filling": mixing.op9_water_filling,
     "op10_token_files": token_files.op10_token_files,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL = {

@@ -12,7 +12,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS = [np.ones(1, U64), np.ones(1, U64)]
 #: Bytes of text that are worked on at once; a longer text is a piece of its own.
-PIECE = 4 << 20
+PIECE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
