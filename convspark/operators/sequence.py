@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BEFORE = (Window.unboundedPreceding, -1)
+_BEFORE, _SO_FAR = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0)
 
 
 def glued_text(tokens: Column) -> Column:
@@ -26,10 +26,10 @@ def utterances(tokens: DataFrame, max_pause_ms: int = 1200, max_dur_ms: int = 30
     order = ["start_ms", "end_ms", "speaker_letter", "seq"]
     w = Window.partitionBy("meeting_id").orderBy(*order)
     turn = F.coalesce((F.lag("speaker_letter").over(w) != F.col("speaker_letter")).cast("int"), F.lit(1))
-    t = tokens.withColumn("_t", turn).withColumn("_run", F.sum("_t").over(w))
+    t = tokens.withColumn("_t", turn).withColumn("_run", F.sum("_t").over(w.rowsBetween(*_SO_FAR)))
     r = Window.partitionBy("meeting_id", "_run").orderBy(*order)
     latest = F.max("end_ms").over(r.rowsBetween(*_BEFORE))
-    t = t.withColumn("_b", F.when(latest.isNull() | (F.col("start_ms") - latest > max_pause_ms), 1).otherwise(0)).withColumn("_island", F.sum("_b").over(r))
+    t = t.withColumn("_b", F.when(latest.isNull() | (F.col("start_ms") - latest > max_pause_ms), 1).otherwise(0)).withColumn("_island", F.sum("_b").over(r.rowsBetween(*_SO_FAR)))
     island = t.groupBy("meeting_id", "_run", "_island").agg(
         F.array_sort(F.collect_list(F.struct("start_ms", "end_ms", "speaker_letter", "seq", "text", "is_punc"))).alias("ts"), (F.max("end_ms") - F.min("start_ms")).alias("dur")
     )
@@ -59,7 +59,7 @@ def _islands(segments: DataFrame, keys: list[str], order: list[str], max_gap_ms:
     """Adds _island: a new one where a row starts more than the gap after the latest end before it."""
     w = Window.partitionBy(*keys).orderBy(*order)
     latest = F.max("end_ms").over(w.rowsBetween(*_BEFORE))
-    return segments.withColumn("_b", F.when(latest.isNull() | (F.col("start_ms") - latest > max_gap_ms), 1).otherwise(0)).withColumn("_island", F.sum("_b").over(w)).drop("_b")
+    return segments.withColumn("_b", F.when(latest.isNull() | (F.col("start_ms") - latest > max_gap_ms), 1).otherwise(0)).withColumn("_island", F.sum("_b").over(w.rowsBetween(*_SO_FAR))).drop("_b")
 
 
 def speech_regions(segments: DataFrame, max_gap_ms: int = 50) -> DataFrame:
@@ -72,7 +72,7 @@ def merge_same_speaker(segments: DataFrame, max_gap_ms: int) -> DataFrame:
     """Merges segments that follow each other in (start, end, speaker) order with one speaker and at most the gap."""
     w = Window.partitionBy("meeting_id").orderBy("start_ms", "end_ms", "speaker")
     change = F.coalesce((F.lag("speaker").over(w) != F.col("speaker")).cast("int"), F.lit(1))
-    runs = segments.withColumn("_c", change).withColumn("_run", F.sum("_c").over(w)).drop("_c")
+    runs = segments.withColumn("_c", change).withColumn("_run", F.sum("_c").over(w.rowsBetween(*_SO_FAR))).drop("_c")
     merged = _islands(runs, ["meeting_id", "_run"], ["start_ms", "end_ms"], max_gap_ms)
     return merged.groupBy("meeting_id", "_run", "_island").agg(F.first("speaker").alias("speaker"), F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms")).drop("_run", "_island")
 
@@ -88,7 +88,7 @@ def merge_capped(segments: DataFrame, max_gap_ms: int = 200, max_ms: int = 18_00
     w = Window.partitionBy("meeting_id").orderBy("start_ms", "end_ms", "speaker")
     gap = F.col("start_ms") - F.lag("end_ms").over(w)
     joins = (F.lag("speaker").over(w) == F.col("speaker")) & gap.between(0, max_gap_ms)
-    s = segments.withColumn("_b", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).withColumn("_island", F.sum("_b").over(w))
+    s = segments.withColumn("_b", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).withColumn("_island", F.sum("_b").over(w.rowsBetween(*_SO_FAR)))
     island = s.groupBy("meeting_id", "_island").agg(F.first("speaker").alias("speaker"), F.array_sort(F.collect_list(F.struct("start_ms", "end_ms"))).alias("ts"))
     fold = F.expr(
         f"""IF(size(ts) = 1, ts, aggregate(slice(ts, 2, size(ts)), array(ts[0]),
