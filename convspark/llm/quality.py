@@ -54,10 +54,11 @@ def tree_rules(description: str) -> set[Rule]:
     return found
 
 
-def rule_column(rule: Rule, names: tuple[str, ...] = FEATURES) -> Column:
+def rule_column(rule: Rule, prefix: str = "") -> Column:
     out = F.lit(True)
     for feature, at_most, threshold in rule:
-        out = out & ((F.col(names[feature]) <= threshold) if at_most else (F.col(names[feature]) > threshold))
+        value = F.col(prefix + FEATURES[feature])
+        out = out & ((value <= threshold) if at_most else (value > threshold))
     return out
 
 
@@ -67,11 +68,11 @@ class RuleEnsemble:
     def __init__(self, intercept: float, weights: dict[Rule, float]):
         self.intercept, self.weights = intercept, weights
 
-    def score(self) -> Column:
-        """The probability of label 1 as a column over the statistics."""
+    def score(self, prefix: str = "") -> Column:
+        """The probability of label 1 as a column over the statistics, whose names follow the prefix."""
         total = F.lit(self.intercept)
         for rule, weight in sorted(self.weights.items()):
-            total = total + F.when(rule_column(rule), F.lit(weight)).otherwise(F.lit(0.0))
+            total = total + F.when(rule_column(rule, prefix), F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
@@ -107,13 +108,22 @@ def fit_rules(
     return RuleEnsemble(float(lasso.intercept), {r: float(w) for r, w in zip(rules, lasso.coefficients.toArray(), strict=True) if w})
 
 
+def _with_statistics(docs: DataFrame, text_col: str) -> DataFrame:
+    return docs.withColumn("_quality", F.struct(*[c.alias(n) for n, c in statistics(whole_text(text_col)).items()]))
+
+
 def score_quality(docs: DataFrame, model: RuleEnsemble, least: float = 0.7, text_col: str = "text") -> DataFrame:
-    """Adds ``score`` and ``predicted`` (1 if the score is ``least`` or more) to each row; null texts are empty."""
-    names = docs.columns
-    stats = docs.select("*", *[c.alias(f"_stat_{n}") for n, c in statistics(whole_text(text_col)).items()])
-    renamed = stats.select(F.struct(*names).alias("_row") if names else F.lit(None).alias("_row"), *[F.col(f"_stat_{n}").alias(n) for n in FEATURES])
-    scored = renamed.select("_row", model.score().alias("_score"))
-    return scored.select("_row.*", F.col("_score").alias("score"), F.when(F.col("_score") >= least, 1).otherwise(0).alias("predicted"))
+    """Adds ``score`` and ``predicted`` (1 if the score is ``least`` or more); columns of these names are replaced.
+
+    Null texts are empty, and the empty text has a score like any other. The name ``_quality`` is reserved.
+    """
+    scored = _with_statistics(docs, text_col).withColumn("score", model.score("_quality."))
+    return scored.drop("_quality").withColumn("predicted", F.when(F.col("score") >= least, 1).otherwise(0))
+
+
+def keep_good(docs: DataFrame, model: RuleEnsemble, least: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows whose score is ``least`` or more, with all their columns."""
+    return _with_statistics(docs, text_col).where(model.score("_quality.") >= least).drop("_quality")
 
 
 def op6_rule_ensemble(spark, sf_dir):

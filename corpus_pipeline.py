@@ -14,14 +14,14 @@ from convspark.llm.common import shared_folder, table
 from convspark.llm.decontamination import decontaminate
 from convspark.llm.mixing import mix_sources
 from convspark.llm.ngram_join import keep_one_of_each
-from convspark.llm.quality import fit_rules, score_quality
+from convspark.llm.quality import fit_rules, keep_good
 from convspark.llm.token_files import read_token_files, write_token_files
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from all labels (at most 20,000 rows) and drops the documents that the rules reject."""
     model = fit_rules(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
-    return score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+    return keep_good(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix of sources takes it; one that it doesn't take goes."""
-    mixed = mix_sources(docs).where("_repeats > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats")))).select(*docs.columns)
+    mixed = mix_sources(docs).where("_mix_repeats > 0")
+    return mixed.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_repeats")))).select(*docs.columns)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
