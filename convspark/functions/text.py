@@ -299,13 +299,16 @@ def extraction_score(text: Column, cues: Column) -> Column:
     return phrases + F.least(F.size(F.array_intersect(chunk_terms(text), cues)), F.lit(6)) + F.least(F.floor(F.size(alpha_words(F.coalesce(text, F.lit("")))) / 40), F.lit(2)).cast("int")
 
 
-def point_score(point: Column, chunk_text: Column) -> Column:
-    """Up to 8 for shared terms, and 2 if the point's first own term stands in the chunk."""
-    low = F.lower(F.coalesce(chunk_text, F.lit("")))
-    terms = F.filter(F.regexp_extract_all(F.lower(F.coalesce(point, F.lit(""))), F.lit(_WORD), F.lit(1)), lambda w: ~w.isin(*FIRST_TERM_STOPS))
-    first = F.get(terms, F.lit(0))
-    hit = F.coalesce(F.regexp_like(low, F.concat(F.lit(r"\b"), first, F.lit(r"\b"))), F.lit(False))
-    return F.when(low == "", 0).otherwise(F.least(F.size(F.array_intersect(keywords(point), chunk_terms(chunk_text))), F.lit(8)) + hit.cast("int") * 2)
+def first_term(point: Column) -> Column:
+    """The point's first term that isn't a function word, in lower case; null if there is none."""
+    found = F.regexp_extract_all(F.lower(F.coalesce(point, F.lit(""))), F.lit(_WORD), F.lit(1))
+    return F.get(F.filter(found, lambda w: ~w.isin(*FIRST_TERM_STOPS)), F.lit(0))
+
+
+def term_score(point_keywords: Column, point_first: Column, terms: Column, text: Column) -> Column:
+    """Up to 8 for shared terms, and 2 if the point's first own term stands in the chunk's lower-case text."""
+    hit = F.coalesce(F.regexp_like(text, F.concat(F.lit(r"\b"), point_first, F.lit(r"\b"))), F.lit(False))
+    return F.when(text == "", 0).otherwise(F.least(F.size(F.array_intersect(point_keywords, terms)), F.lit(8)) + hit.cast("int") * 2)
 
 
 def downranked(score: Column, confidence: Column) -> Column:

@@ -90,13 +90,15 @@ def best_evidence(points: DataFrame, chunks: DataFrame, k: int = 2) -> DataFrame
     Scores count shared terms, reduced by a low recognition confidence; chunks without any score are no evidence.
     Points carry their terms once; chunks meet only points that share a term or hold its first one.
     """
-    terms = points.withColumn("_t", F.array_distinct(F.concat(T.keywords(F.col("point")), F.slice(F.filter(T.chunk_terms(F.col("point")), lambda w: ~w.isin(*T.FIRST_TERM_STOPS)), 1, 1))))
-    p = terms.select("meeting_id", "point_id", "point", F.explode("_t").alias("_w"))
-    pieces = F.array_distinct(F.concat(T.chunk_terms(F.col("text")), F.regexp_extract_all(F.lower("text"), F.lit("([a-z][a-z0-9_]{2,})"), F.lit(1))))
-    c = chunks.select("meeting_id", "idx", F.explode(pieces).alias("_w"))
-    near = p.select("meeting_id", "point_id", "_w").join(c, ["meeting_id", "_w"]).select("meeting_id", "point_id", "idx").distinct()
-    pairs = near.join(points, ["meeting_id", "point_id"]).join(chunks, ["meeting_id", "idx"])
-    scored = pairs.withColumn("score", T.downranked(T.point_score(F.col("point"), F.col("text")), F.col("asr_confidence"))).where("score > 0")
+    p = points.withColumn("_keys", T.keywords(F.col("point"))).withColumn("_first", T.first_term(F.col("point")))
+    c = chunks.withColumn("_terms", T.chunk_terms(F.col("text"))).withColumn("_low", F.lower(F.coalesce("text", F.lit(""))))
+    # A first term may also stand inside a longer hyphenated one.
+    pieces = F.array_distinct(F.concat("_terms", F.regexp_extract_all("_low", F.lit("([a-z][a-z0-9_]{2,})"), F.lit(1))))
+    wanted = p.select("meeting_id", "point_id", F.explode(F.array_distinct(F.array_compact(F.array_append("_keys", F.col("_first"))))).alias("_w"))
+    near = wanted.join(c.select("meeting_id", "idx", F.explode(pieces).alias("_w")), ["meeting_id", "_w"]).select("meeting_id", "point_id", "idx").distinct()
+    pairs = near.join(p, ["meeting_id", "point_id"]).join(c, ["meeting_id", "idx"])
+    score = T.term_score(F.col("_keys"), F.col("_first"), F.col("_terms"), F.col("_low"))
+    scored = pairs.withColumn("score", T.downranked(score, F.col("asr_confidence"))).where("score > 0").drop("_keys", "_first", "_terms", "_low")
     rank = F.row_number().over(Window.partitionBy("meeting_id", "point_id").orderBy(F.desc("score"), "idx"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -107,8 +105,11 @@ def rouge(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 def permutations(spark, n: int) -> DataFrame:
     """(n, perm) for sizes 1 to n (8 at most: 46,233 rows)."""
-    rows = [(k, list(p)) for k in range(1, n + 1) for p in itertools.permutations(range(k))]
-    return spark.createDataFrame(rows, "n int, perm array<int>")
+    out = spark.range(1, n + 1).select(F.col("id").cast("int").alias("n"), F.array().cast("array<int>").alias("perm"))
+    for _ in range(n):
+        left = F.array_except(F.sequence(F.lit(0), F.col("n") - 1), F.col("perm"))
+        out = out.select("n", F.explode(F.when(F.size("perm") < F.col("n"), F.transform(left, lambda x: F.array_append(F.col("perm"), x))).otherwise(F.array("perm"))).alias("perm"))
+    return out
 
 
 def cpwer(ref: DataFrame, hyp: DataFrame, max_speakers: int = 8) -> DataFrame:

@@ -559,7 +559,7 @@ ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id,
 
 def evidence_inputs(spark, d):
     c = transcript_chunks(spark, d)
-    c = intervals.chunk_confidence(c, A.hypothesis(spark, d)).select("meeting_id", "idx", "chunk_id", "text", "asr_confidence")
+    c = intervals.chunk_confidence(c, A.hypothesis(spark, d)).select("meeting_id", "idx", "chunk_id", "text", "asr_confidence").persist()  # points and chunks both come from it
     p = c.select("meeting_id", (F.col("idx") + 1).alias("point_id"), T.visible_text(T.first_line(F.col("text"))).alias("point"))
     return p, c
 
