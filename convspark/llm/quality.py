@@ -54,11 +54,12 @@ def tree_rules(description: str) -> set[Rule]:
     return found
 
 
-def rule_column(rule: Rule, prefix: str = "") -> Column:
+def rule_column(rule: Rule, value=F.col) -> Column:
+    """The conjunction, where ``value`` gives the column of a statistic's name."""
     out = F.lit(True)
     for feature, at_most, threshold in rule:
-        value = F.col(prefix + FEATURES[feature])
-        out = out & ((value <= threshold) if at_most else (value > threshold))
+        x = value(FEATURES[feature])
+        out = out & ((x <= threshold) if at_most else (x > threshold))
     return out
 
 
@@ -68,13 +69,19 @@ class RuleEnsemble:
     def __init__(self, intercept: float, weights: dict[Rule, float]):
         self.intercept, self.weights = intercept, weights
 
-    def score(self, prefix: str = "") -> Column:
-        """The probability of label 1 as a column over the statistics, whose names follow the prefix."""
+    def score(self, value=F.col) -> Column:
+        """The probability of label 1 as a column over the statistics."""
         total = F.lit(self.intercept)
         for rule, weight in sorted(self.weights.items()):
-            total = total + F.when(rule_column(rule, prefix), F.lit(weight)).otherwise(F.lit(0.0))
+            total = total + F.when(rule_column(rule, value), F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
+    def score_text(self, text: Column) -> Column:
+        """The probability as a column over a text. Its statistics are bound to a lambda's variable, as the optimiser
+        would otherwise write them out anew for each condition of each rule."""
+        once = F.array(F.struct(*[c.alias(n) for n, c in statistics(text).items()]))
+        return F.transform(once, lambda s: self.score(lambda name: s[name]))[0]
+
 
 def fit_rules(
     docs: DataFrame, labels: DataFrame, usable: Column | None = None, max_rows: int = 20_000, trees: int = 12, depth: int = 3, penalty: float = 0.001, seed: int = 6, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
@@ -108,22 +115,19 @@ def fit_rules(
     return RuleEnsemble(float(lasso.intercept), {r: float(w) for r, w in zip(rules, lasso.coefficients.toArray(), strict=True) if w})
 
 
-def _with_statistics(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.withColumn("_quality", F.struct(*[c.alias(n) for n, c in statistics(whole_text(text_col)).items()]))
-
-
 def score_quality(docs: DataFrame, model: RuleEnsemble, least: float = 0.7, text_col: str = "text") -> DataFrame:
     """Adds ``score`` and ``predicted`` (1 if the score is ``least`` or more); columns of these names are replaced.
 
-    Null texts are empty, and the empty text has a score like any other. The name ``_quality`` is reserved.
+    Null texts are empty, and the empty text has a score like any other.
     """
-    scored = _with_statistics(docs, text_col).withColumn("score", model.score("_quality."))
-    return scored.drop("_quality").withColumn("predicted", F.when(F.col("score") >= least, 1).otherwise(0))
+    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+    scored = docs.select(*kept, F.explode(F.array(model.score_text(whole_text(text_col)))).alias("score"))  # a generator's row is computed once
+    return scored.withColumn("predicted", F.when(F.col("score") >= least, 1).otherwise(0))
 
 
 def keep_good(docs: DataFrame, model: RuleEnsemble, least: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows whose score is ``least`` or more, with all their columns."""
-    return _with_statistics(docs, text_col).where(model.score("_quality.") >= least).drop("_quality")
+    return docs.where(model.score_text(whole_text(text_col)) >= least)
 
 
 def op6_rule_ensemble(spark, sf_dir):
