@@ -818,3 +818,37 @@ def _(spark, d):
 def _(spark, d):
     g = A.transcript(spark, d).groupBy("meeting_id", "speaker").agg(F.array_sort(F.collect_list(F.struct("turn_idx", "text_raw"))).alias("t"), F.count("*").alias("n"))
     return g.select("meeting_id", "speaker", "n", F.sha2(F.array_join(F.transform("t", lambda x: x["text_raw"]), " "), 256).alias("text_sha256"))
+
+
+@query("c31_confidence", """SELECT event_id, round(CASE event_id % 4 WHEN 0 THEN value / 1000 WHEN 1 THEN exp(greatest(-20.0, -value / 10)) WHEN 2 THEN round_even((0.25 + value / 1000) / 2, 6) ELSE 0.0 END, 9) AS confidence FROM events""")
+def _(spark, d):
+    from ..sources.files import confidence
+
+    k, v, none = F.col("event_id") % 4, F.col("value"), F.lit(None).cast("array<double>")
+    item = F.struct(
+        F.when(k == 0, v / 1000).alias("confidence"), F.lit(None).cast("double").alias("score"), F.when(k == 1, -v / 10).alias("avg_logprob"), F.lit(None).cast("double").alias("y_sequence_score"),
+        F.when(k == 2, F.array(F.lit(0.25), v / 1000, F.lit(7.0))).otherwise(none).alias("word_confidence"), none.alias("token_confidence"), F.lit(None).cast("array<array<double>>").alias("frame_confidence"),
+    )
+    return A.read(spark, d, "events").select("event_id", item.alias("x")).select("event_id", F.round(confidence(F.col("x")), 9).alias("confidence"))
+
+
+@query("c32_collar", f"SELECT meeting_id, seq, start_ms + 30000 AS start_ms, end_ms - 30000 AS end_ms FROM {D.TOKENS} z WHERE end_ms - 30000 > start_ms + 30000")
+def _(spark, d):
+    return intervals.collar(A.tokens(spark, d), 30_000).select("meeting_id", "seq", "start_ms", "end_ms")
+
+
+@query("c39_stage_summaries", f"""WITH RECURSIVE {D.chunks(D.TRANSCRIPT_TABLE)} SELECT s.meeting_id, s.segments, s.speakers, s.speech_sec, c.chunks, r.decision_count, r.action_count FROM
+  (SELECT meeting_id, count(*) AS segments, count(DISTINCT speaker) AS speakers, sum(CASE WHEN end_ms >= start_ms THEN end_ms - start_ms ELSE 0 END) / 1000.0 AS speech_sec FROM {D.HYP} z GROUP BY 1) s LEFT JOIN (SELECT meeting_id, count(*) AS chunks FROM chunks GROUP BY 1) c USING (meeting_id)
+  LEFT JOIN (SELECT meeting_id, count_if({D.matches('lower(text)', T.DECISION_PATTERNS)})::BIGINT AS decision_count, count_if({D.matches('lower(text)', T.ACTION_PATTERNS)})::BIGINT AS action_count FROM {D.LINES} z GROUP BY 1) r USING (meeting_id)""")
+def _(spark, d):
+    s = ops.segment_stats(A.hypothesis(spark, d)).drop("names")
+    c = transcript_chunks(spark, d).groupBy("meeting_id").agg(F.count("*").alias("chunks"))
+    return s.join(c, "meeting_id", "left").join(extraction.rule_counts(lines(spark, d)).drop("flags"), "meeting_id", "left")
+
+
+@query("f16_meeting_eval", """SELECT o_orderkey AS meeting_id, coalesce(b.w, o_totalprice / 7) AS wer, r.q AS rouge1 FROM orders LEFT JOIN (SELECT l_orderkey, min(l_extendedprice) AS w FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1) b ON b.l_orderkey = o_orderkey LEFT JOIN (SELECT l_orderkey, max(l_quantity) AS q FROM lineitem GROUP BY 1) r ON r.l_orderkey = o_orderkey""")
+def _(spark, d):
+    li = A.read(spark, d, "lineitem").withColumnRenamed("l_orderkey", "meeting_id")
+    rows = A.read(spark, d, "orders").select(F.col("o_orderkey").alias("meeting_id"), (F.col("o_totalprice") / 7).alias("wer"))
+    own = li.where("l_linestatus = 'F'").groupBy("meeting_id").agg(F.min("l_extendedprice").alias("wer"))
+    return ops.eval_table(ops.upsert(rows, own, ["meeting_id"]).join(rows.select("meeting_id"), "meeting_id", "left_semi"), li.groupBy("meeting_id").agg(F.max("l_quantity").alias("rouge1")))
