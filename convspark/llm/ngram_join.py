@@ -16,7 +16,15 @@ from .shingles import U64, mix, text_shingles
 #: Node ids up to this count are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_NODES = 500_000
 #: Shingles that are held at once while frequent ones are looked for.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
+#: Documents of an Arrow batch that are worked on at once.
+ROWS = 250
+
+
+def _pieces(batches):
+    for batch in batches:
+        for a in range(0, batch.num_rows, ROWS):
+            yield batch.slice(a, ROWS)
 
 
 def _threshold(percent: int):
@@ -40,7 +48,7 @@ def frequent_shingles(docs: DataFrame, words: int, share: float, text_col: str)
             often = n >= max(3, math.ceil(share * n_docs))
             return pa.RecordBatch.from_pydict({"token": pa.array(tokens[often].view(np.int64)), "n": pa.array(n[often].astype(np.int64))})
 
-        for batch in batches:
+        for batch in _pieces(batches):
             for run in text_shingles(batch.column(0), words):
                 own, n_docs = np.unique(run), n_docs + 1
                 key = (len(own), int(own.sum(dtype=U64)))
@@ -68,7 +76,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, words: int, percent: int, id
 
     def sketch(batches):
         hot = shared.value
-        for batch in batches:
+        for batch in _pieces(batches):
             rows = []
             for run in text_shingles(batch.column(2), words):
                 own = np.unique(run)
@@ -121,7 +129,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, p
     texts = keyed.join(needed, F.col("_id").eqNullSafe(F.col("_rep")) & (F.col("_text_key") == F.col("_key"))).select("node", "text")
 
     def whole(batches):
-        for batch in batches:
+        for batch in _pieces(batches):
             sets = [np.unique(r).view(np.int64) for r in text_shingles(batch.column(1), words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "s"])
 
@@ -132,7 +140,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, p
     return both.where(shared >= _threshold(percent)(F.size("s_a"), F.size("s_b"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def ngram_components(docs: DataFrame, percent: int = 75, words: int = 5, hot_share: float = 0.0005, bucket_rows: int = 500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ngram_components(docs: DataFrame, percent: int = 75, words: int = 5, hot_share: float = 0.0005, bucket_rows: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups of documents that links join, each document with the smallest id of its group.
 
     Two documents link when 100 * intersection >= percent * union of their sets of ``words``-word shingles (words end
@@ -164,13 +172,15 @@ def ngram_components(docs: DataFrame, percent: int = 75, words: int = 5, hot_sha
     near = stash(near.where(F.col("c") + F.col("rest") >= _threshold(percent)(F.col("n_a"), F.col("n_b"))).select("a", "b"))
 
     # Frequent shingles of prefixes: each group meets the first group of its own size class and of the one below.
-    hot = leaders.where(F.size("prefix") > F.col("cold")).select(F.col("node").alias("gid"), "n", F.explode(F.slice("prefix", F.col("cold").cast("int") + 1, F.size("prefix"))).alias("token"))
+    hot = leaders.where(F.size("prefix") > F.col("cold")).select(F.col("node").alias("gid"), "n", F.posexplode("prefix").alias("pos", "token"), "cold").where("pos >= cold").drop("cold")
     hot = stash(hot.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")))
-    first = hot.groupBy("token", "band").agg(F.min(F.struct("gid", "n")).alias("f"))
+    first = hot.groupBy("token", "band").agg(F.min(F.struct("gid", "n", "pos")).alias("f"))
     fits = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    # Sets that link share one of the first a - t + 1 and b - t + 1 of their shingles, t being what they have to share.
+    early = lambda a, i, b, j: (i <= a - _threshold(percent)(a, b)) & (j <= b - _threshold(percent)(a, b))
     stars = None
     for down in (0, 1):
-        met = hot.withColumn("band", F.col("band") - down).join(first, ["token", "band"]).where((F.col("gid") != F.col("f.gid")) & fits(F.col("n"), F.col("f.n")))
+        met = hot.withColumn("band", F.col("band") - down).join(first, ["token", "band"]).where((F.col("gid") != F.col("f.gid")) & fits(F.col("n"), F.col("f.n")) & early(F.col("n"), F.col("pos"), F.col("f.n"), F.col("f.pos")))
         met = met.select(F.least("gid", "f.gid").alias("a"), F.greatest("gid", "f.gid").alias("b"))
         stars = met if stars is None else stars.unionByName(met)
 
@@ -189,13 +199,13 @@ def ngram_components(docs: DataFrame, percent: int = 75, words: int = 5, hot_sha
     split = placed.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("gid")
     within = right.join(split, F.col("g_a") == F.col("gid"), "left_semi").join(left, F.col("g_a") == F.col("g_b")).where(apart & (F.col("a") < F.col("b"))).select("a", "b")
 
-    spots = hot.select("gid", "token").join(placed.select("node", "gid", "n", "root"), "gid")
+    spots = hot.select("gid", "token", "pos").join(placed.select("node", "gid", "n", "root"), "gid")
     by_root = spots.groupBy("token", "root").agg(F.count("*").alias("k"))
     main = by_root.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
     mixed = spots.join(main, "token")
-    minor = mixed.where("root <> main").select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("r_a"))
-    other = mixed.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("r_b"))
-    around = minor.join(other, "token").where(apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    minor = mixed.where("root <> main").select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("r_a"), F.col("pos").alias("p_a"))
+    other = mixed.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("r_b"), F.col("pos").alias("p_b"))
+    around = minor.join(other, "token").where(apart & early(F.col("n_a"), F.col("p_a"), F.col("n_b"), F.col("p_b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second_pairs = stash(across.unionByName(within).unionByName(around).distinct().join(first_pairs, ["a", "b"], "left_anti"))
     if second_pairs.limit(1).count():
         more = stash(_verified(second_pairs, docs, nodes, words, percent, id_col, text_col).distinct())
@@ -217,17 +227,17 @@ def ngram_components(docs: DataFrame, percent: int = 75, words: int = 5, hot_sha
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does, with all their columns."""
-    kept = ngram_components(docs, id_col=id_col, text_col=text_col, **options).where("kept").select(F.col(id_col).alias("_id"), F.col("text_key").alias("_key"), F.col("n_shingles").alias("_n"))
+    """The rows of ``docs`` that stay when one document of each component does, with all their columns (``_ngram_*`` are reserved)."""
+    kept = ngram_components(docs, id_col=id_col, text_col=text_col, **options).where("kept").select(F.col(id_col).alias("_ngram_id"), F.col("text_key").alias("_ngram_key"), F.col("n_shingles").alias("_ngram_n"))
     kept = stash(kept)
-    keys = kept.groupBy("_id", "_key").agg(F.count("*").alias("_copies"), F.max("_n").alias("_n"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col)) == F.col("_key"))
+    keys = kept.groupBy("_ngram_id", "_ngram_key").agg(F.count("*").alias("_ngram_copies"), F.max("_ngram_n").alias("_ngram_n"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_ngram_id")) & (F.xxhash64(F.col(text_col)) == F.col("_ngram_key"))
     out = docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_NODES else keys, same)
     names = docs.columns
-    single = out.where("_copies = 1 OR _n = 0").select(*names)
-    repeated = out.where("_copies > 1 AND _n > 0")
-    if keys.where("_copies > 1 AND _n > 0").limit(1).count():
-        single = single.unionByName(repeated.dropDuplicates(["_id", "_key"]).select(*names))
+    single = out.where("_ngram_copies = 1 OR _ngram_n = 0").select(*names)
+    repeated = out.where("_ngram_copies > 1 AND _ngram_n > 0")
+    if keys.where("_ngram_copies > 1 AND _ngram_n > 0").limit(1).count():
+        single = single.unionByName(repeated.dropDuplicates(["_ngram_id", "_ngram_key"]).select(*names))
     return single
 
 
