@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 from .common import SPACES, shared_folder, table, whole_text
 
 
+#: Characters of a text that splitters are made of.
+HEAD = 32
+
+
 def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_share: float = 0.001, salts: int = 16) -> DataFrame:
     """Keeps, of texts that are equal after white space is normalised, the row with the smallest id.
 
-    ``repartitionByRange`` samples splitters and deals out the normalised texts by range; the window's external sort
-    puts equal texts side by side, and its comparison of neighbouring rows (whole texts, no digests) ends a group. A
+    ``repartitionByRange`` samples splitters and deals out the normalised texts by range: by their first ``HEAD``
+    characters, then a hash, so that the samples that Spark brings to the driver are short however long texts are. The
+    window's external sort puts equal texts side by side, and its comparison of neighbouring rows (whole texts, no
+    digests) ends a group. A
     text held by at least ``hot_share`` of all rows (at most 1 / hot_share texts can be) is split over ``salts`` keys;
     the first rows of its parts go through a second content sort, of at most ``salts`` rows a text.
 
@@ -28,8 +34,9 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     is_hot = F.xxhash64("_norm").isin(hot) if hot else F.lit(False)
     salt = F.when(is_hot, F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int") + 1).otherwise(F.lit(0))
-    sorted_rows = norm.withColumn("_salt", salt).repartitionByRange("_norm", "_salt")
-    part = Window.partitionBy("_norm", "_salt")
+    keyed = norm.withColumn("_salt", salt).withColumn("_head", F.substring("_norm", 1, HEAD)).withColumn("_hash", F.xxhash64("_norm"))
+    sorted_rows = keyed.repartitionByRange("_head", "_hash", "_salt")
+    part = Window.partitionBy("_head", "_hash", "_norm", "_salt")
     runs = sorted_rows.select(
         "_id",
         "_salt",
