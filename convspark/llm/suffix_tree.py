@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc_held_out, stash, table
-from .shingles import U64, word_hashes
+from .shingles import U64, mix, word_hashes
 
 END = U64(0x5851F42D4C957F2D)
-#: Tokens that are held at once while runs are counted.
-CHUNK = 2_000_000
+PAIR = U64(0x9E3779B97F4A7C15)
 DISCOUNT = 0.5
 
 
@@ -52,7 +52,7 @@ class Level:
 
 
 class SuffixTree:
-    """Contexts of frequent words: the words (sorted hashes with counts), then a level for each context length."""
+    """The tree in memory, which ``score_texts`` keeps in tables: sorted hashes of words with counts, then a level for each context length."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, n_tokens: int, n_known: int):
         self.words, self.counts, self.n_tokens = words, counts, n_tokens
@@ -135,54 +135,81 @@ class SuffixTree:
         return base, self._log_p(contexts[::-1], word, len(self.levels) - 1, base)
 
 
-def _count_runs(docs: DataFrame, tree: SuffixTree) -> DataFrame:
-    """(key, n) of the runs one word longer than the tree's, of chunks of the documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+def _longer(runs: np.ndarray) -> np.ndarray:
+    """Hashes of the runs one word longer than those that end at each token; the first has none before it."""
+    return mix(np.r_[U64(0), runs[:-1]] * PAIR + runs)
 
-    def count(batches):
-        tree, keys, held = shared.value, [], 0
 
-        def out():
-            found, n = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            return pa.RecordBatch.from_pydict({"key": pa.array(found, pa.int64()), "n": pa.array(n.astype(np.int64))})
+def _count_runs(blocks: DataFrame, depth: int) -> DataFrame:
+    """(h, a, b, n, blocks, length) of the runs of 2 .. depth + 1 words that training rows have twice or more.
+
+    h is the run's hash, a and b those of the runs without its last and without its first word; blocks are all that have
+    the run, in training rows or not.
+    """
 
+    def count(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                tokens, bounds = _tokens(batch.column(0).slice(a, 1000))
-                word, runs = tree.states(tokens, bounds)
-                ends = runs[-1] if runs else word
-                context = np.r_[np.int64(-1), ends[:-1]]
-                context[bounds[:-1]] = -1
-                # The run without its first word has to be frequent as well.
-                fits = (context >= 0) & (ends >= 0)
-                keys.append(context[fits] << 32 | word[fits])
-                held += len(keys[-1])
-                if held >= CHUNK:
-                    yield out()
-                    keys, held = [], 0
-        yield out()
-
-    return docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def score_texts(docs: DataFrame, train: Column, depth: int = 2, edge_share: float = 2e-6, block_rows: int = 4096, id_col: str = "doc_id", text_col: str = "text", pinned: bool = False) -> DataFrame:
+            block = batch.column(2).to_numpy()
+            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else [0]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                ends, bounds = _tokens(batch.column(0).slice(x, y - x))
+                learnt = np.repeat(batch.column(1).slice(x, y - x).to_numpy(zero_copy_only=False), np.diff(bounds))
+                place = np.arange(len(ends)) - np.repeat(bounds[:-1], np.diff(bounds))
+                for length in range(2, depth + 2):
+                    longer, at = _longer(ends), np.flatnonzero(place >= length - 1)
+                    h, first, back = np.unique(longer[at], return_index=True, return_inverse=True)
+                    n = np.bincount(back, learnt[at], len(h)).astype(np.int64)
+                    cols = [h, ends[at - 1][first], ends[at][first]]
+                    yield pa.RecordBatch.from_pydict({k: pa.array(v.view(np.int64)) for k, v in zip("hab", cols, strict=True)} | {"n": pa.array(n), "block": pa.array(np.full(len(h), block[x]), pa.int64()), "length": pa.array(np.full(len(h), length, np.int32))}).select(["a", "b", "n", "block", "length"])
+                    ends = longer
+
+    def repeated(batches):
+        held = pa.Table.from_batches(list(batches), schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("block", pa.int64()), ("length", pa.int32())]))
+        a, b = (held.column(k).to_numpy().view(U64) for k in "ab")
+        h, n, length, block = mix(a * PAIR + b), held.column("n").to_numpy(), held.column("length").to_numpy(), held.column("block").to_numpy()
+        order = np.argsort(h, kind="stable")
+        starts = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]]) if len(h) else np.zeros(0, np.int64)
+        total = np.add.reduceat(n[order], starts) if len(h) else n
+        often = total >= 2
+        sizes = np.diff(np.r_[starts, len(h)])
+        at = order[starts[often]]
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes[often])].astype(np.int32)), pa.array(block[order[np.repeat(often, sizes)]]))
+        for x in range(0, len(at), 100_000):
+            y = at[x : x + 100_000]
+            yield pa.RecordBatch.from_pydict({"h": pa.array(h[y].view(np.int64)), "a": pa.array(a[y].view(np.int64)), "b": pa.array(b[y].view(np.int64)), "n": pa.array(total[often][x : x + 100_000]), "blocks": lists.slice(x, 100_000), "length": pa.array(length[y])})
+
+    found = blocks.select("text", "train", "block").mapInArrow(count, "a long, b long, n long, block long, length int")
+    return stash(found.repartition("a", "b").mapInArrow(repeated, "h long, a long, b long, n long, blocks array<long>, length int"), "length")
+
+
+def _level(runs: DataFrame, shorter: DataFrame, n_tokens: int) -> DataFrame:
+    """Runs with their contexts' back-off weights (``back``, where the context is kept) and the probability v by which
+    they go on to longer runs, from runs (h, a, b, n, blocks) and the level below (h, n, v). See ``SuffixTree.add_level``.
+    """
+    context = Window.partitionBy("a")
+    p, rest = (F.col("n") - DISCOUNT) / F.col("own"), lambda x: F.least(F.lit(1.0), F.greatest(F.lit(1e-12), 1 - F.sum(x).over(context)))
+    x = runs.join(shorter.select(F.col("h").alias("b"), F.col("v").alias("below")), "b").join(shorter.select(F.col("h").alias("a"), F.col("n").alias("own")), "a").withColumn("p", p)
+    x = x.withColumn("rest", rest("p")).withColumn("rest_below", rest("below")).withColumn("cost", F.count("*").over(context) * math.log(max(2, n_tokens)) / 2).withColumn("sum", F.sum(F.col("p") * F.log(F.col("p") / F.col("below"))).over(context))
+    kept = F.col("own") * (F.col("sum") + F.col("rest") * F.log(F.col("rest") / F.col("rest_below"))) > F.col("cost")
+    return stash(x.select("h", "a", "n", F.when(kept, F.col("p")).otherwise(F.col("below")).alias("v"), F.when(kept, F.log10(F.col("rest") / F.col("rest_below"))).alias("back"), "blocks"))
+
+
+def score_texts(docs: DataFrame, train: Column, depth: int = 2, block_rows: int = 4096, id_col: str = "doc_id", text_col: str = "text", pinned: bool = False) -> DataFrame:
     """Scores every whole text by a tree learnt from the rows where ``train`` holds.
 
-    Tokens are words (A-Z in lower case, ended by ASCII white space) and an end a text. All words are counted. Runs of
-    2 .. depth + 1 words are counted where all their words, and both runs that are one word shorter, have at least
-    ``edge_share`` of the training tokens (twice at least); those that reach it themselves, at most 1 / edge_share of
-    each length, are the tree, which is broadcast. A token's probability comes from the longest context before it that
-    was kept, or by back-off from that context's suffixes down to single words with add-one smoothing.
+    Tokens are words (A-Z in lower case, ended by ASCII white space) and an end a text. All words are counted, and all
+    runs of 2 .. depth + 1 words that occur twice or more in training rows; of their contexts, the divergence test alone
+    says which are kept. A token's probability comes from the longest context before it that was kept, or by back-off
+    from that context's suffixes down to single words with add-one smoothing.
 
-    Word counts, which grow with the corpus, never meet in one place: documents are taken in blocks of ``block_rows``,
-    a block's distinct words are joined with the counts, and come back to the block. The input is written to the shared
-    folder first, so that blocks stay what they are; ``pinned`` says that its rows come in the same order each time (a
-    scan of files) and leaves that out.
+    Words, runs and contexts grow with the corpus and never meet in one place: documents are taken in blocks of
+    ``block_rows``, a block's distinct words and runs are joined with the counts and contexts, and come back to the
+    block. The input is written to the shared folder first, so that blocks stay what they are; ``pinned`` says that its
+    rows come in the same order each time (a scan of files) and leaves that out.
 
     Returns a row for each input row: id, n_tokens, n_known, train_tokens, base_score, score. Null texts are empty;
     without training rows every probability is 1. Rows with equal ids are scored each.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
     if not pinned:
         rows = stash(rows)
@@ -202,36 +229,47 @@ def score_texts(docs: DataFrame, train: Column, depth: int = 2, edge_share: floa
     counted = blocks.select("text", "train", "block").mapInArrow(words, "token long, n long, block long")
     counted = stash(counted.groupBy("token").agg(F.sum("n").alias("n"), F.collect_set("block").alias("blocks")).where("n > 0"))
     n_tokens, n_known = (int(x or 0) for x in counted.agg(F.sum("n"), F.count("*")).first())
-
-    least = max(2, math.ceil(edge_share * n_tokens))
-    often = counted.where(F.col("n") >= least).select("token", "n").toArrow()  # 1 / edge_share rows at most
-    order = np.argsort(often.column("token").to_numpy().view(U64))
-    tree = SuffixTree(often.column("token").to_numpy().view(U64)[order], often.column("n").to_numpy()[order], n_tokens, n_known)
-    learnt = rows.where("train")
-    for _ in range(depth):
-        runs = _count_runs(learnt, tree).where(F.col("n") >= least).toArrow()  # 1 / edge_share rows at most
-        order = np.argsort(runs.column("key").to_numpy())
-        tree.add_level(runs.column("key").to_numpy()[order], runs.column("n").to_numpy()[order])
-    shared = spark.sparkContext.broadcast(tree)
+    log_all = math.log10(n_tokens + n_known + 1)
+
+    runs = _count_runs(blocks, depth)
+    level = counted.select(F.col("token").alias("h"), "n", ((F.col("n") + 1) / F.lit(n_tokens + n_known + 1)).alias("v"), F.lit(0.0).alias("back"), "blocks")
+    handed = []
+    for length in range(2, depth + 2):
+        longer = _level(runs.where(F.col("length") == length), level, n_tokens)
+        contexts = longer.where("back IS NOT NULL").groupBy(F.col("a").alias("h")).agg(F.first("back").alias("after"))
+        handed.append(level.join(contexts, "h", "left").where("back IS NOT NULL OR after IS NOT NULL").select("h", "n", "after", F.lit(length - 1).alias("length"), "blocks"))
+        level = longer
+    handed.append(level.where("back IS NOT NULL").select("h", "n", F.lit(None).cast("double").alias("after"), F.lit(depth + 1).alias("length"), "blocks"))
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
-        tree = shared.value
-        keys = known.column("token").to_numpy().view(U64)
-        order = np.argsort(keys)
-        keys, n = keys[order], known.column("n").to_numpy()[order]
+        lengths, tables = known.column("length").to_numpy(), []
+        for length in range(1, depth + 2):
+            own = known.filter(pa.array(lengths == length))
+            keys = own.column("h").to_numpy().view(U64)
+            order = np.argsort(keys)
+            # The last entry is for runs that aren't there: count 0, and no context.
+            tables.append((keys[order], np.r_[own.column("n").to_numpy()[order], 0], np.r_[own.column("after").to_numpy(zero_copy_only=False).astype(float)[order], np.nan]))
         out = []
         column = texts.column("text").combine_chunks()
         column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
         for a in range(0, len(column), 500):
-            tokens, bounds = _tokens(column.slice(a, 500))
-            at = _find(keys, tokens)
-            counts = np.where(at >= 0, n[np.maximum(at, 0)], 0) if len(n) else np.zeros(len(tokens), np.int64)
-            base, own = tree.score(tokens, bounds, counts)
+            ends, bounds = _tokens(column.slice(a, 500))
+            place = np.arange(len(ends)) - np.repeat(bounds[:-1], np.diff(bounds))
+            at = _find(tables[0][0], ends)
+            counts, after = tables[0][1][at], tables[0][2][at]
+            base = np.log10(counts + 1.0) - log_all
+            own, n = base, counts
+            for keys, total, weights in tables[1:]:
+                ends, place = _longer(ends), place - 1
+                at = np.where(place >= 0, _find(keys, ends), -1)
+                before, back = np.r_[0, n[:-1]], np.where(place >= 0, np.r_[np.nan, after[:-1]], np.nan)
+                n, after = total[at], weights[at]
+                own = np.where(np.isnan(back), own, np.where(n > 0, np.log10(np.maximum(n - DISCOUNT, DISCOUNT) / np.maximum(before, 1)), own + back))
             out.append([np.diff(bounds), *(np.add.reduceat(x, bounds[:-1]) for x in ((counts > 0).astype(np.int64), base, own))])
         columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0)] * 4
-        return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(columns[0], pa.int64()), "n_known": pa.array(columns[1], pa.int64()), "train_tokens": pa.array([tree.n_tokens] * texts.num_rows, pa.int64()), "base_score": pa.array(columns[2], pa.float64()), "score": pa.array(columns[3], pa.float64())})
+        return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(columns[0], pa.int64()), "n_known": pa.array(columns[1], pa.int64()), "train_tokens": pa.array([n_tokens] * texts.num_rows, pa.int64()), "base_score": pa.array(columns[2], pa.float64()), "score": pa.array(columns[3], pa.float64())})
 
-    back = counted.select(F.explode("blocks").alias("block"), "token", "n")
+    back = reduce(DataFrame.unionByName, handed).select(F.explode("blocks").alias("block"), "h", "n", "after", "length")
     scored = blocks.select("block", "doc_id", "text").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scored.withColumnRenamed("doc_id", id_col)
 

@@ -137,6 +137,35 @@ def test_suffix_tree_probabilities(spark):
         assert abs(total - 1) < 1e-9, before
 
 
+def test_suffix_tree_keeps_repeated_runs(spark):
+    """Runs that occur twice are learnt however large the corpus is; scores are those of the tree built in memory."""
+    r = random.Random(8)
+    texts = [" ".join(r.choice(["a b c d", "a b e", "c d a", "e f g h i", f"own{r.randint(0, 40)}"]) for _ in range(r.randint(0, 9))) for _ in range(300)]
+    # More than 2 / 2e-6 training tokens, so that a floor by share is above the two times of the rare phrase.
+    filler = [" ".join(["fill"] * 12_000) for _ in range(100)]
+    texts += filler + ["rare phrase here now"] * 2 + ["rare phrase here now held", "phrase here a b"]
+    train = [True] * (len(texts) - 2) + [False] * 2
+    docs = spark.createDataFrame([(k, t, train[k]) for k, t in enumerate(texts)], "doc_id long, text string, train boolean")
+    got = suffix_tree.score_texts(docs, F.col("train"), block_rows=16).toPandas().set_index("doc_id")
+
+    seqs = [[*t.split(), None] for t in texts]
+    learnt = [s for s, x in zip(seqs, train, strict=True) if x]
+    c = Counter(w for s in learnt for w in s)
+    ids = {w: k for k, w in enumerate(c)}
+    tree = suffix_tree.SuffixTree(np.arange(len(ids), dtype=np.uint64), np.array([c[w] for w in ids]), sum(c.values()), len(c))
+    place = {(w,): k for w, k in ids.items()}
+    for n in (2, 3):
+        runs = Counter(tuple(s[i : i + n]) for s in learnt for i in range(len(s) - n + 1))
+        keys = sorted((place[x[:-1]] << 32 | ids[x[-1]], x, m) for x, m in runs.items() if m >= 2)
+        tree.add_level(np.array([k for k, _, _ in keys], np.int64), np.array([m for _, _, m in keys]))
+        place = {x: k for k, (_, x, _) in enumerate(keys)}
+    for k, s in enumerate(seqs):
+        tokens = np.array([ids.get(w, len(ids)) for w in s], np.uint64)
+        _, p = tree.score(tokens, np.array([0, len(s)]), np.array([c[w] for w in s]))
+        assert abs(got.score[k] - p.sum()) < 1e-6 * max(1, len(s)), k
+    assert got.score[len(texts) - 2] > got.base_score[len(texts) - 2] + 6
+
+
 def test_suffix_tree_edges(spark, odd, clashing, empty):
     none = suffix_tree.score_texts(odd, F.lit(False)).toPandas()
     assert (none.score == 0).all() and (none.train_tokens == 0).all() and len(none) == len(odd_rows())
