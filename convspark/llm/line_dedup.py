@@ -37,15 +37,19 @@ def _suffixes(live: DataFrame, depth: int) -> DataFrame:
     return live
 
 
-def repeated_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = 10, whole_runs: bool = False) -> DataFrame:
     """Lines (uid, ln) of later copies of repeated runs, for ``docs`` (uid, id, text).
 
     Only lines that occur twice can be in a repeated run; the suffixes that start at them are sorted by their first
     lines. A run counts from ``min_words`` words, and as a line has one at least, that many lines tell suffixes apart
     for good. Neighbours in the sorted order share a longest common prefix; where it falls below the lines that a run
     needs here, an interval ends. The members of an interval repeat one run: the first by (id, uid, line) is kept, and
-    the run's lines are deleted from all others. As every start inside a longer repeated run has an interval of its
-    own, what is deleted is the whole of each maximal run.
+    the run's lines are deleted from all others. Every start inside a longer repeated run with ``min_words`` words left
+    has an interval of its own; lines behind the last of these windows stay.
+
+    With ``whole_runs`` these go too: from each start in an interval, the longest run that occurs at an earlier place as
+    well is deleted. It is looked for up to ``min_words`` lines only and still found whole: from the last start of a
+    maximal run with ``min_words`` words left, the lines after the first have fewer words, and so are fewer.
     """
     parts = docs.select("uid", "id", F.posexplode(F.filter(_lines(F.col("text")), lambda x: x["line"] != "")).alias("ln", "x"))
     line = F.col("x.line")
@@ -72,20 +76,29 @@ def repeated_lines(docs: DataFrame, min_words: int = 10) -> DataFrame:
         shared = F.when(F.col("need") >= 2**k, F.col(f"r{k}")).otherwise(shared)
     place = F.struct(F.col("id").isNull(), "id", "uid", "ln")
     array = suffixes.groupBy(F.col(f"r{last}").alias("rank")).agg(
-        F.first("need").alias("need"), F.first("seq").alias("seq"), F.first(level).alias("level"), F.first(shared).alias("shared"), F.min(place).alias("place")
+        F.first("need").alias("need"), F.first("seq").alias("seq"), F.first(level).alias("level"), F.first(shared).alias("shared"), F.min(place).alias("place"), *([F.max(place).alias("last")] if whole_runs else [])
     )
     order = Window.partitionBy("level", "shared").orderBy("rank")
     common = F.size(F.filter(F.sequence(F.lit(1), F.col("need")), lambda n: F.slice("seq", 1, n) == F.slice("_before", 1, n)))
     lcp = F.when(F.col("_before").isNull(), 0).otherwise(common)
     array = array.withColumn("_before", F.lag("seq").over(order)).withColumn("ends", F.when(lcp < F.col("need"), 1).otherwise(0))
     array = stash(array.withColumn("interval", F.sum("ends").over(order)).drop("_before", "seq"))
-    firsts = array.groupBy("level", "shared", "interval").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-    kept = array.join(firsts, ["level", "shared", "interval"]).select("rank", "first")
-    copies = suffixes.join(kept, F.col(f"r{last}") == F.col("rank")).where((F.col("uid") != F.col("first.uid")) | (F.col("ln") != F.col("first.ln")))
+    firsts = array.groupBy("level", "shared", "interval").agg(F.min("place").alias("first"), F.max("last").alias("last") if whole_runs else F.count("*").alias("n"))
+    if whole_runs:
+        often = array.drop("last").join(firsts.where("first != last"), ["level", "shared", "interval"]).select("rank")
+        starts = suffixes.join(often, F.col(f"r{last}") == F.col("rank"), "left_semi").select("uid", "id", "ln", "need", "seq")
+        runs = starts.withColumn("m", F.explode(F.sequence("need", F.least(F.size("seq"), F.lit(min_words))))).withColumn("run", F.slice("seq", 1, F.col("m")))
+        runs = runs.select("uid", place.alias("place"), "ln", "m", F.xxhash64("run").alias("h1"), F.xxhash64(F.lit(1), "run").alias("h2"))
+        # The runs' first places are joined, not taken by a window, as a run may occur in any number of places.
+        first = runs.groupBy("m", *_KEY).agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last").drop("last")
+        copies = runs.join(first, ["m", *_KEY]).where("place != first").groupBy("uid", "ln").agg(F.max("m").alias("need"))
+    else:
+        kept = array.join(firsts, ["level", "shared", "interval"]).select("rank", "first")
+        copies = suffixes.join(kept, F.col(f"r{last}") == F.col("rank")).where((F.col("uid") != F.col("first.uid")) | (F.col("ln") != F.col("first.ln")))
     return copies.select("uid", F.explode(F.sequence(F.col("ln"), F.col("ln") + F.col("need") - 1)).alias("ln")).distinct()
 
 
-def drop_repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc_id", text_col: str = "text", whole_runs: bool = False) -> DataFrame:
     """Deletes later copies of repeated line runs of at least ``min_words`` words (see ``repeated_lines``).
 
     Lines are told apart after white space is made single and trimmed (by 128 bits of hash); blank lines count as no
@@ -94,7 +107,7 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc
     documents of their own, in an arbitrary order among themselves, and a null id comes last.
     """
     docs = stash(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), whole_text(text_col).alias("text")))
-    gone = stash(repeated_lines(docs, min_words).groupBy("uid").agg(F.array_sort(F.collect_set("ln")).alias("removed")))
+    gone = stash(repeated_lines(docs, min_words, whole_runs).groupBy("uid").agg(F.array_sort(F.collect_set("ln")).alias("removed")))
     lines = F.split("text", "\n")
     full = F.transform(F.filter(_lines(F.col("text")), lambda x: x["line"] != ""), lambda x: x["raw"])
     # Always by a shuffle: the deletions grow with the corpus, and so does what a broadcast of them would take.
@@ -105,11 +118,19 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc
     return out
 
 
-def op8_line_dedup(spark, sf_dir):
-    out = drop_repeated_lines(table(spark, sf_dir, "documents"))
+def _digests(out: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op8_line_dedup(spark, sf_dir):
+    return _digests(drop_repeated_lines(table(spark, sf_dir, "documents")))
+
+
+def op8_line_dedup_whole_runs(spark, sf_dir):
+    """Deletes whole maximal runs; the DuckDB counterpart of ``op8_line_dedup`` has the shorter windows."""
+    return _digests(drop_repeated_lines(table(spark, sf_dir, "documents"), whole_runs=True))
+
+
 ORACLE = r"""
 WITH d AS (SELECT doc_id, list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))) AS t,
                   string_split(coalesce(text, ''), chr(10)) AS raw FROM documents),

@@ -21,6 +21,7 @@ QUERIES = {
     "op6_rule_ensemble": quality.op6_rule_ensemble,
     "op7_content_sort_dedup": exact_dedup.op7_content_sort_dedup,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op8_line_dedup_whole_runs": line_dedup.op8_line_dedup_whole_runs,
     "op9_water_filling": mixing.op9_water_filling,
     "op10_token_files": token_files.op10_token_files,
     "pipeline": pipeline,

@@ -140,6 +140,32 @@ def test_lines(spark, empty):
     assert drop_repeated_lines(empty).count() == 0
 
 
+def _maximal(rows, least):
+    """Lines of runs of any length that occur at an earlier place as well, by comparing every pair of places."""
+    seqs = [[x for x in (" ".join(x.split()) for x in t.split("\n")) if x] for _, t in rows]
+    places, gone = [(k, i) for k, x in enumerate(seqs) for i in range(len(x))], [set() for _ in rows]
+    for at, (k, i) in enumerate(places):
+        for e, j in places[:at]:
+            m = 0
+            while i + m < len(seqs[k]) and j + m < len(seqs[e]) and seqs[k][i + m] == seqs[e][j + m]:
+                m += 1
+            if sum(len(x.split()) for x in seqs[k][i : i + m]) >= least:
+                gone[k].update(range(i, i + m))
+    return gone
+
+
+def test_lines_whole_runs(spark):
+    twelve, three = "one two three four five six seven eight nine ten eleven twelve", "a b c"
+    r = random.Random(4)
+    pool = [" ".join(f"v{r.randint(0, 20)}" for _ in range(r.randint(1, 4))) for _ in range(9)]
+    rows = [(0, f"{twelve}\n{three}\nx"), (1, f"{twelve}\n{three}\ny"), (2, f"{twelve}\nz z"), (3, f"{twelve}\nz z\nq"), (4, "\n".join([twelve, *"abcdefghi", "end of it"])), (5, "\n".join([twelve, *"abcdefghi", "other"]))]
+    rows += [(k, "\n".join(r.choice(["", *pool, *pool, f"own {k} {r.random()}"]) for _ in range(r.randint(0, 14)))) for k in range(6, 50)]
+    got = {x.doc_id: x.removed for x in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), whole_runs=True).collect()}
+    assert got[1] == [0, 1] and got[3] == [0, 1] and got[5] == list(range(10))
+    gone = _maximal(rows, 10)
+    assert {k: sorted(x) for k, x in enumerate(gone)} == got
+
+
 def test_lines_repeated_rows(spark):
     text = "a line of five words\nand one more of six words"
     docs = spark.createDataFrame([(None, text), (None, text), (1, text), (1, text)], "doc_id long, text string")
