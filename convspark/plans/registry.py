@@ -604,13 +604,18 @@ def _(spark, d):
     return j.select("meeting_id", T.finalize_narrative(F.col("summary"), F.col("decision"), F.col("action")).alias("summary"))
 
 
+def summary_responses(spark, d):
+    """(meeting_id, text) with all turns as key points, all but the first as abstract, and by turns as decisions and actions."""
+    t = A.turns(spark, d).groupBy("meeting_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn_idx", F.col("norm").alias("x")))), lambda x: x["x"]).alias("xs"))
+    every = lambda rest: F.filter("xs", lambda x, i: i % 2 == rest)
+    body = F.to_json(F.struct(F.get("xs", F.lit(0)).alias("summary"), F.col("xs").alias("key_points"), F.slice("xs", F.lit(2), F.size("xs")).alias("abstract"), every(0).alias("decisions"), every(1).alias("actions")))
+    return t.select(F.col("meeting_id").cast("string").alias("meeting_id"), F.concat(F.lit('noise {"summary": 3} '), body, F.lit(" JSON: "), body, F.lit(" tail {")).alias("text"))
+
+
 @query("c35_c36_i13_summaries")
 def _(spark, d):
-    """Stored responses made of each meeting's first turns, twice, parsed; the better one makes the summary."""
-    t = A.turns(spark, d).groupBy("meeting_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn_idx", F.substring("norm", 1, 120).alias("x")))), lambda x: x["x"]).alias("xs"))
-    body = F.to_json(F.struct(F.get("xs", F.lit(0)).alias("summary"), F.slice("xs", 1, 3).alias("key_points"), F.slice("xs", 2, 2).alias("abstract"), F.slice("xs", 1, 1).alias("decisions"), F.slice("xs", 2, 1).alias("actions")))
-    r = t.select(F.col("meeting_id").cast("string").alias("meeting_id"), F.concat(F.lit('noise {"summary": 3} '), body, F.lit(" JSON: "), body, F.lit(" tail {")).alias("text"))
-    p = extraction.parse_summaries(r)
+    """Stored responses made of all of each meeting's turns, twice, parsed; the better one makes the summary."""
+    p = extraction.parse_summaries(summary_responses(spark, d))
     return p.select("meeting_id", T.reference_style_summary(F.col("abstract"), F.col("decisions"), F.col("actions"), F.col("problems"), F.col("summary")).alias("summary"), F.array_join("key_points", "|").alias("key_points"), F.array_join("discussion_points", "|").alias("discussion_points"))
 
 
