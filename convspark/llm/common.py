@@ -26,17 +26,25 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+#: Written tables that nothing has dropped yet, oldest first.
+_written: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one that driver and executors share.
 
-    It is the session's ``spark.checkpoint.dir``; where that is unset (local tests), a temporary folder becomes the
-    session's checkpoint folder.
+    It is the session's ``spark.checkpoint.dir``; where that is unset, a temporary folder becomes the checkpoint folder
+    of a local session, and any other session is refused, as its executors would not see the folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not (spark.conf.get("spark.master", None) or "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="convspark-"))
         base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/convspark-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/convspark-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def stash(df: DataFrame, *partition_by: str) -> DataFrame:
@@ -46,6 +54,22 @@ def stash(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """A mark for ``drop_written``: how many tables there are now."""
+    return len(_written)
+
+
+def drop_written(spark: SparkSession, since: int = 0, keep: tuple[DataFrame, ...] = ()) -> None:
+    """Deletes the tables written since the mark, but for those that ``keep`` reads: what was made of them must have
+    been written itself, as nothing can be computed anew from them."""
+    names = [f for df in keep for f in df.inputFiles()]
+    for path in _written[since:]:
+        if not any(path.rpartition("/")[2] in f for f in names):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _written.remove(path)
+
+
 def crc_held_out(doc_id: Column, mod: int, rest: int) -> Column:
     """Whether crc32 of the id as text leaves ``rest`` modulo ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % mod == rest
