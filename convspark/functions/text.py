@@ -305,10 +305,9 @@ def first_term(point: Column) -> Column:
     return F.get(F.filter(found, lambda w: ~w.isin(*FIRST_TERM_STOPS)), F.lit(0))
 
 
-def term_score(point_keywords: Column, point_first: Column, terms: Column, text: Column) -> Column:
-    """Up to 8 for shared terms, and 2 if the point's first own term stands in the chunk's lower-case text."""
-    hit = F.coalesce(F.regexp_like(text, F.concat(F.lit(r"\b"), point_first, F.lit(r"\b"))), F.lit(False))
-    return F.when(text == "", 0).otherwise(F.least(F.size(F.array_intersect(point_keywords, terms)), F.lit(8)) + hit.cast("int") * 2)
+def stands_in(term: Column, text: Column) -> Column:
+    """Whether the term stands between word boundaries in the lower-case text."""
+    return F.coalesce(F.regexp_like(text, F.concat(F.lit(r"\b"), term, F.lit(r"\b"))), F.lit(False))
 
 
 def downranked(score: Column, confidence: Column) -> Column:

@@ -48,13 +48,19 @@ def wav_frames(files: DataFrame, frame_ms: int = 30) -> DataFrame:
 def quality(frames: DataFrame, share: float = 0.08, floor: int = 5, whole: bool = True) -> DataFrame:
     """rms and the share of frames whose rms is at most max(floor, share * rms), of (meeting_id, frame_no, sum_sq, n).
 
-    With ``whole`` rms values and the threshold are cut to whole numbers, as for integer samples.
+    With ``whole`` rms values and the threshold are cut to whole numbers, as for integer samples. Frames of ``wav_frames``
+    give duration_sec (three decimals), channels, sample_rate and sample_width_bytes as well.
     """
+    form = [c for c in ("rate", "channels", "width") if c in frames.columns]
     cut = (lambda c: F.floor(c).cast("double")) if whole else (lambda c: c)
-    total = frames.groupBy("meeting_id").agg(cut(F.sqrt(F.sum("sum_sq") / F.sum("n"))).alias("rms"), F.sum("n").alias("samples"))
+    total = frames.groupBy("meeting_id").agg(cut(F.sqrt(F.sum("sum_sq") / F.sum("n"))).alias("rms"), F.sum("n").alias("samples"), *[F.first(c).alias(c) for c in form])
     f = frames.select("meeting_id", cut(F.sqrt(F.col("sum_sq") / F.col("n"))).alias("frame_rms")).join(total, "meeting_id")
     quiet = F.col("frame_rms") <= F.greatest(F.lit(float(floor)), cut(F.col("rms") * share))
-    return f.groupBy("meeting_id", "rms", "samples").agg(F.avg(quiet.cast("double")).alias("silence_ratio"))
+    out = f.groupBy("meeting_id", "rms", "samples", *form).agg(F.avg(quiet.cast("double")).alias("silence_ratio"))
+    if not form:
+        return out
+    duration = F.bround(F.col("samples") / F.col("channels") / F.col("rate"), 3)
+    return out.select("meeting_id", "rms", "samples", F.bround("silence_ratio", 4).alias("silence_ratio"), duration.alias("duration_sec"), "channels", F.col("rate").alias("sample_rate"), F.col("width").alias("sample_width_bytes"))
 
 
 def sample_slice(samples: Column, start: Column, end: Column, rate: Column | float) -> Column:
@@ -63,3 +69,22 @@ def sample_slice(samples: Column, start: Column, end: Column, rate: Column | flo
     first = F.floor(F.greatest(F.lit(0.0), start) * rate)
     last = F.floor(F.greatest(F.greatest(F.lit(0.0), start), end) * rate)
     return F.slice(samples, (F.least(first, F.size(samples)) + 1).cast("int"), F.greatest(F.lit(1), last - first).cast("int"))
+
+
+def wav_files(signals: DataFrame, rate: int) -> DataFrame:
+    """(meeting_id, content): 16-bit mono files of whole-number samples (meeting_id, samples)."""
+
+    def write(batches):
+        for pdf in batches:
+            out = []
+            for samples in pdf["samples"]:
+                data = io.BytesIO()
+                with wave.open(data, "wb") as w:
+                    w.setnchannels(1)
+                    w.setsampwidth(2)
+                    w.setframerate(rate)
+                    w.writeframes(np.asarray(samples).astype("<i2").tobytes())
+                out.append(data.getvalue())
+            yield pd.DataFrame({"meeting_id": pdf["meeting_id"], "content": out})
+
+    return signals.select("meeting_id", "samples").mapInPandas(write, "meeting_id string, content binary")

@@ -88,19 +88,26 @@ def best_evidence(points: DataFrame, chunks: DataFrame, k: int = 2) -> DataFrame
     """The k best chunks of each point (meeting_id, point_id, point) among its meeting's (idx, chunk_id, text, asr_confidence).
 
     Scores count shared terms, reduced by a low recognition confidence; chunks without any score are no evidence.
-    Points carry their terms once; chunks meet only points that share a term or hold its first one.
+    Points of the same terms have the same scores and are scored once. Terms meet as postings, whose number in a pair is
+    the score; the first term is looked for in chunks that hold its first part. Texts are joined to the k best only.
     """
-    p = points.withColumn("_keys", T.keywords(F.col("point"))).withColumn("_first", T.first_term(F.col("point")))
-    c = chunks.withColumn("_terms", T.chunk_terms(F.col("text"))).withColumn("_low", F.lower(F.coalesce("text", F.lit(""))))
-    # A first term may also stand inside a longer hyphenated one.
-    pieces = F.array_distinct(F.concat("_terms", F.regexp_extract_all("_low", F.lit("([a-z][a-z0-9_]{2,})"), F.lit(1))))
-    wanted = p.select("meeting_id", "point_id", F.explode(F.array_distinct(F.array_compact(F.array_append("_keys", F.col("_first"))))).alias("_w"))
-    near = wanted.join(c.select("meeting_id", "idx", F.explode(pieces).alias("_w")), ["meeting_id", "_w"]).select("meeting_id", "point_id", "idx").distinct()
-    pairs = near.join(p, ["meeting_id", "point_id"]).join(c, ["meeting_id", "idx"])
-    score = T.term_score(F.col("_keys"), F.col("_first"), F.col("_terms"), F.col("_low"))
-    scored = pairs.withColumn("score", T.downranked(score, F.col("asr_confidence"))).where("score > 0").drop("_keys", "_first", "_terms", "_low")
-    rank = F.row_number().over(Window.partitionBy("meeting_id", "point_id").orderBy(F.desc("score"), "idx"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    first = T.first_term(F.col("point"))
+    asked = F.concat(F.coalesce(F.col("_first"), F.lit("")), F.lit(" "), F.array_join(F.array_sort("_keys"), " "))
+    p = points.withColumn("_keys", T.keywords(F.col("point"))).withColumn("_first", first).withColumn("_asked", asked)
+    a = p.groupBy("meeting_id", "_asked").agg(F.first("_keys").alias("_keys"), F.first("_first").alias("_first"))
+    low = F.lower(F.coalesce("text", F.lit("")))
+    held = chunks.select("meeting_id", "idx", F.explode(T.chunk_terms(F.col("text"))).alias("_w"))
+    shared = a.select("meeting_id", "_asked", F.explode("_keys").alias("_w")).join(held, ["meeting_id", "_w"]).groupBy("meeting_id", "_asked", "idx").agg(F.count("*").alias("_n"))
+    part = F.explode(F.array_distinct(F.regexp_extract_all(low, F.lit("([a-z0-9_]+)"), F.lit(1)))).alias("_part")
+    parts = chunks.select("meeting_id", "idx", low.alias("_low"), part)
+    named = a.where("_first IS NOT NULL").select("meeting_id", "_asked", "_first", F.regexp_extract("_first", "^[a-z0-9_]+", 0).alias("_part"))
+    stands = named.join(parts, ["meeting_id", "_part"]).where(T.stands_in(F.col("_first"), F.col("_low"))).select("meeting_id", "_asked", "idx", F.lit(True).alias("_stands"))
+    both = shared.join(stands, ["meeting_id", "_asked", "idx"], "full").join(chunks.select("meeting_id", "idx", "asr_confidence"), ["meeting_id", "idx"])
+    score = F.least(F.coalesce("_n", F.lit(0)), F.lit(8)).cast("int") + F.when(F.col("_stands"), 2).otherwise(0)
+    scored = both.select("meeting_id", "_asked", "idx", T.downranked(score, F.col("asr_confidence")).alias("score")).where("score > 0")
+    rank = F.row_number().over(Window.partitionBy("meeting_id", "_asked").orderBy(F.desc("score"), "idx"))
+    best = scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    return p.drop("_keys", "_first").join(best, ["meeting_id", "_asked"]).drop("_asked").join(chunks, ["meeting_id", "idx"])
 
 
 def attach_evidence(points: DataFrame, chunks: DataFrame, kind: str) -> DataFrame:
@@ -197,9 +204,55 @@ def parse_extractions(responses: DataFrame) -> DataFrame:
     return parsed.select("meeting_id", "chunk_id", F.coalesce(items("decisions"), none).alias("decisions"), F.coalesce(named, none).alias("action_items"), F.coalesce(items("flags"), none).alias("flags"))
 
 
+def quality_checks(summaries: DataFrame, decisions: DataFrame, actions: DataFrame) -> DataFrame:
+    """A row a summary (meeting_id, summary, key_points): whether it is there, and how many points, decisions and actions."""
+    n = lambda rows, name: rows.groupBy("meeting_id").agg(F.count("*").alias(name))
+    out = summaries.join(n(decisions, "_d"), "meeting_id", "left").join(n(actions, "_a"), "meeting_id", "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return out.select(
+        "meeting_id",
+        (F.coalesce("summary", F.lit("")) != "").alias("summary_nonempty"),
+        count(F.size("key_points")).alias("key_points_count"),
+        F.lit(True).alias("schema_valid"),
+        count(F.col("_d")).alias("extraction_decision_count"),
+        count(F.col("_a")).alias("extraction_action_count"),
+    )
+
+
+#: What chunk and meeting prompts ask for; callers may give other words.
+CHUNK_TASK = "Summarise this part of a meeting as JSON with the keys summary and key_points."
+MEETING_TASK = "Write minutes as JSON with the keys summary, abstract, actions, decisions, problems, discussion_points, follow_up and key_points, from the evidence below."
+
+
+def chunk_prompts(chunks: DataFrame, task: str = CHUNK_TASK) -> DataFrame:
+    """(meeting_id, chunk_id, prompt) of each chunk's text without speaker labels."""
+    said = F.concat_ws("\n", F.lit(task), F.concat(F.lit("Meeting ID: "), F.col("meeting_id").cast("string")), F.concat(F.lit("Chunk ID: "), "chunk_id"), F.lit("Transcript chunk:"), T.visible_text(F.col("text")), F.lit(""), F.lit("JSON:"))
+    return chunks.select("meeting_id", "chunk_id", said.alias("prompt"))
+
+
+def meeting_prompts(chunks: DataFrame, summaries: DataFrame, turns: DataFrame, most_summaries: int = 80, most_excerpts: int = 24, task: str = MEETING_TASK) -> DataFrame:
+    """(meeting_id, prompt): the summaries of the first chunks, and excerpts of chunks that cover the meeting.
+
+    ``chunks`` (meeting_id, idx, chunk_id, text), ``summaries`` (meeting_id, idx, summary), ``turns`` (meeting_id, turns).
+    Both limits are the prompt's own; a prompt is one string.
+    """
+    from .sequence import coverage_chunks
+
+    n = chunks.groupBy("meeting_id").agg(F.count("*").alias("n"))
+    covered = coverage_chunks(chunks.join(n, "meeting_id").select("meeting_id", "idx", T.has_cue(F.col("text")).alias("cue"), "n"), most_excerpts).select("meeting_id", "idx")
+    joined = lambda x: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", x.alias("x")))), lambda y: y["x"]), "\n\n")
+    excerpts = chunks.join(covered, ["meeting_id", "idx"]).groupBy("meeting_id").agg(joined(F.concat(F.lit("["), "chunk_id", F.lit("] "), T.prompt_excerpt(F.col("text")))).alias("excerpts"))
+    rank = F.row_number().over(Window.partitionBy("meeting_id").orderBy("idx"))
+    body = summaries.withColumn("_k", rank).where(F.col("_k") <= most_summaries).groupBy("meeting_id").agg(joined(F.col("summary")).alias("body"))
+    out = n.join(turns, "meeting_id").join(body, "meeting_id", "left").join(excerpts, "meeting_id", "left")
+    line = lambda name, value: F.concat(F.lit(f"{name}: "), value.cast("string"))
+    parts = (F.lit(task), line("Meeting ID", F.col("meeting_id")), line("Turn count", F.col("turns")), line("Chunk count", F.col("n")), F.lit("Evidence summaries:"), F.coalesce("body", F.lit("")), F.lit(""), F.lit("Coverage-oriented raw transcript excerpts:"), F.coalesce("excerpts", F.lit("")), F.lit(""), F.lit("JSON:"))
+    return out.select("meeting_id", F.concat_ws("\n", *parts).alias("prompt"))
+
+
 def extraction_prompts(selected: DataFrame, chunks: DataFrame) -> DataFrame:
-    """A prompt text for each selected chunk: previous, focus and next excerpts."""
-    texts = chunks.select("meeting_id", "chunk_id", T.prompt_excerpt(F.col("text")).alias("x"))
+    """A prompt text for each selected chunk: the texts of the previous, the focus and the next chunk without labels."""
+    texts = chunks.select("meeting_id", "chunk_id", T.visible_text(F.col("text")).alias("x"))
     near = lambda c, name: (selected.select("meeting_id", "chunk_id", F.col(c).alias("_n")).join(texts.select("meeting_id", F.col("chunk_id").alias("_n"), F.col("x").alias(name)), ["meeting_id", "_n"]).drop("_n"))
     out = selected.select("meeting_id", "chunk_id", "idx").join(texts.withColumnRenamed("x", "focus"), ["meeting_id", "chunk_id"]).join(near("prev_chunk_id", "prev"), ["meeting_id", "chunk_id"], "left").join(near("next_chunk_id", "next"), ["meeting_id", "chunk_id"], "left")
     said = F.format_string("Chunk %s\nPrevious: %s\nFocus: %s\nNext: %s", "chunk_id", F.coalesce("prev", F.lit("")), "focus", F.coalesce("next", F.lit("")))

@@ -2,38 +2,36 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.text import bound, eval_words, normalize_eval
 from .intervals import atoms, collar
 
-#: Distinct words that fit in single UTF-16 units below the surrogates.
-_CODES = 35_000
+#: First code point of the words' characters; there is room for over a million distinct words up to the last one.
+_FIRST, _LAST, _SURROGATES = 0x4E00, 0x10FFFF, (0xD800, 0xE000)
 
 
 def word_edit_distance(a: Column, b: Column) -> Column:
     """Edit distance of two word arrays: words become single characters of a common dictionary, for the built-in.
 
-    Null for pairs of more distinct words than there are characters; ``edit_distance_udf`` has no such bound.
+    A pair of more distinct words than there are characters fails rather than get a wrong or missing distance.
     """
     both = F.struct(a.alias("a"), b.alias("b"), F.array_distinct(F.concat(a, b)).alias("v"))
-    coded = lambda words, v: F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.hex(F.lit(19968) + F.array_position(v, w))), "UTF-16BE")), "")
-    return bound(both, lambda x: F.when(F.size(x["v"]) < _CODES, F.levenshtein(coded(x["a"], x["v"]), coded(x["b"], x["v"]))))
-
-
-def _edits(a: np.ndarray, b: np.ndarray) -> int:
-    steps = np.arange(len(b) + 1)
-    row = steps.copy()
-    for i, x in enumerate(a, 1):
-        t = np.empty_like(row)
-        t[0] = i
-        np.minimum(row[1:] + 1, row[:-1] + (b != x), out=t[1:])
-        row = np.minimum.accumulate(t - steps) + steps
-    return int(row[-1])
+
+    def code(w: Column, v: Column) -> Column:
+        at = F.array_position(v, w) + (_FIRST - 1)
+        at = F.when(at < _SURROGATES[0], at).otherwise(at + (_SURROGATES[1] - _SURROGATES[0]))
+        at = F.when(at <= _LAST, at).otherwise(F.raise_error(F.lit("a pair has too many distinct words")).cast("long"))
+        return F.decode(F.unhex(F.lpad(F.hex(at), 8, "0")), "UTF-32")
+
+    coded = lambda words, v: F.array_join(F.transform(words, lambda w: code(w, v)), "")
+    return bound(both, lambda x: F.levenshtein(coded(x["a"], x["v"]), coded(x["b"], x["v"])))
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -50,15 +48,14 @@ def _coded(a, b) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.array([codes.setdefault(w, len(codes)) for w in (x if x is not None else [])], int) for x in (a, b))
 
 
-@F.pandas_udf(IntegerType())
-def edit_distance_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_edits(*_coded(x, y)) for x, y in zip(a, b, strict=True)], dtype="int32")
-
-
-@F.pandas_udf(IntegerType())
-def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Length of the longest common subsequence of two word arrays."""
-    return pd.Series([_common(*_coded(x, y)) for x, y in zip(a, b, strict=True)], dtype="int32")
+@F.pandas_udf(StructType([StructField(n, IntegerType()) for n in ("ones", "twos", "longest")]))
+def overlaps(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """Clipped shared words and word pairs of two word arrays, and their longest common subsequence."""
+    rows = []
+    for x, y in zip(a, b, strict=True):
+        x, y = (list(z) if z is not None else [] for z in (x, y))
+        rows.append((*(sum((Counter(zip(*(x[k:] for k in range(n)))) & Counter(zip(*(y[k:] for k in range(n))))).values()) for n in (1, 2)), _common(*_coded(x, y))))
+    return pd.DataFrame(rows, columns=["ones", "twos", "longest"], dtype="int32")
 
 
 def with_word_errors(pairs: DataFrame, empty_ref: str = "null") -> DataFrame:
@@ -95,27 +92,39 @@ def rouge_n(pairs: DataFrame, keys: list[str], n: int) -> DataFrame:
 
 
 def rouge(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, rouge1, rouge2, rougeL of (ref, hyp); null without reference words."""
-    p = pairs.withColumn("_r", eval_words(F.col("ref"))).withColumn("_h", eval_words(F.col("hyp")))
-    longest = p.select(*keys, F.size("_r").alias("_n"), _f1(lcs_length("_r", "_h"), F.size("_r"), F.size("_h")).alias("_l"))
-    both = rouge_n(pairs, keys, 1).withColumnRenamed("f1", "_1").join(rouge_n(pairs, keys, 2).withColumnRenamed("f1", "_2"), keys).join(longest, keys)
-    real = lambda c: F.when(F.col("_n") > 0, F.col(c))
-    return both.select(*keys, real("_1").alias("rouge1"), real("_2").alias("rouge2"), real("_l").alias("rougeL"))
+    """keys, rouge1, rouge2, rougeL of (ref, hyp); null without reference words. A pair is one row's work."""
+    p = pairs.select(*keys, eval_words(F.col("ref")).alias("_r"), eval_words(F.col("hyp")).alias("_h")).withColumn("_o", overlaps("_r", "_h"))
+    n = lambda c, less: F.greatest(F.size(c) - less, F.lit(0))
+    real = lambda name, less: F.when(F.size("_r") > 0, _f1(F.col(f"_o.{name}"), n("_r", less), n("_h", less)))
+    return p.select(*keys, real("ones", 0).alias("rouge1"), real("twos", 1).alias("rouge2"), real("longest", 0).alias("rougeL"))
+
 
+def best_assignment(costs: Column, n: Column) -> Column:
+    """struct(cost, perm) of the least total cost of giving each of n rows a column of its own; the first permutation of
+    equal ones. ``costs`` has n * n values, row after row.
+
+    Rows are placed one after another; for each set of columns in use (a number by its bits) only the best way is kept,
+    so that there are 2 ** n states instead of n! permutations.
+    """
+    none = F.lit(None).cast("struct<cost: bigint, perm: array<int>>")
+    bit = lambda j: F.call_function("shiftleft", F.lit(1), j)
+    sets, columns = F.sequence(F.lit(0), bit(n) - 1), F.sequence(F.lit(0), n - 1)
+    start = F.transform(sets, lambda m: F.when(m == 0, F.struct(F.lit(0).cast("bigint").alias("cost"), F.array().cast("array<int>").alias("perm"))).otherwise(none))
 
-def permutations(spark, n: int) -> DataFrame:
-    """(n, perm) for sizes 1 to n (8 at most: 46,233 rows)."""
-    out = spark.range(1, n + 1).select(F.col("id").cast("int").alias("n"), F.array().cast("array<int>").alias("perm"))
-    for _ in range(n):
-        left = F.array_except(F.sequence(F.lit(0), F.col("n") - 1), F.col("perm"))
-        out = out.select("n", F.explode(F.when(F.size("perm") < F.col("n"), F.transform(left, lambda x: F.array_append(F.col("perm"), x))).otherwise(F.array("perm"))).alias("perm"))
-    return out
+    def place(state: Column, i: Column) -> Column:
+        def best(m: Column) -> Column:
+            last = F.filter(columns, lambda j: (m.bitwiseAND(bit(j)) != 0) & F.get(state, m - bit(j)).isNotNull())
+            return F.array_min(F.transform(last, lambda j: F.struct((F.get(state, m - bit(j))["cost"] + F.get(costs, i * n + j)).alias("cost"), F.array_append(F.get(state, m - bit(j))["perm"], j).alias("perm"))))
+
+        return F.transform(sets, best)
+
+    return F.get(F.aggregate(columns, start, place), bit(n) - 1)
 
 
 def cpwer(ref: DataFrame, hyp: DataFrame, max_speakers: int = 8) -> DataFrame:
     """Least word errors over all assignments of speakers, for tables (meeting_id, speaker, text).
 
-    Texts are padded with empty ones to equal numbers; of equal costs the first permutation wins. Returns meeting_id,
+    Texts are padded with empty ones to equal numbers (see ``best_assignment``); of equal costs the first permutation wins. Returns meeting_id,
     total_ref_words, total_edits, cpwer and assignment (array of ref_speaker, hyp_speaker); without reference words
     the scores are null; meetings of more than ``max_speakers`` have error ``too_many_speakers``.
     """
@@ -128,10 +137,7 @@ def cpwer(ref: DataFrame, hyp: DataFrame, max_speakers: int = 8) -> DataFrame:
     words = lambda c, k: F.coalesce(eval_words(F.get(F.col(c), F.col(k))["text"]), F.array().cast("array<string>"))
     cell = cell.withColumn("_r", words("r", "i")).withColumn("_h", words("h", "j")).select("meeting_id", "n", "i", "j", word_edit_distance(F.col("_r"), F.col("_h")).alias("cost"))
     costs = cell.groupBy("meeting_id", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "j", "cost"))), lambda x: x["cost"]).alias("costs"))
-    tried = costs.join(F.broadcast(permutations(ref.sparkSession, max_speakers)), "n")
-    total = F.aggregate(F.transform("perm", lambda j, i: F.get(F.col("costs"), i * F.col("n") + j)), F.lit(0), lambda a, b: a + b)
-    best = tried.groupBy("meeting_id").agg(F.min(F.struct(total.alias("cost"), "perm")).alias("best"))
-    out = m.join(best, "meeting_id", "left")
+    out = m.join(costs.select("meeting_id", best_assignment(F.col("costs"), F.col("n")).alias("best")), "meeting_id", "left")
     named = F.filter(F.transform("best.perm", lambda j, i: F.struct(F.get(F.col("r"), i)["speaker"].alias("ref_speaker"), F.get(F.col("h"), j)["speaker"].alias("hyp_speaker"))), lambda x: x["ref_speaker"].isNotNull() & x["hyp_speaker"].isNotNull())
     scored = F.col("total_ref_words") > 0
     return out.select(
@@ -153,10 +159,9 @@ def speaker_mapping(timeline: DataFrame, max_speakers: int = 8) -> DataFrame:
     time = alone.groupBy("meeting_id", "h", "r").agg(F.sum("ms").alias("ms"))
     m = time.groupBy("meeting_id").agg(F.array_sort(F.collect_set("h")).alias("hs"), F.array_sort(F.collect_set("r")).alias("rs"), F.map_from_entries(F.collect_list(F.struct(F.concat("h", F.lit("\u0001"), "r"), "ms"))).alias("w"))
     m = m.withColumn("n", F.greatest(F.size("hs"), F.size("rs")))
-    tried = m.where(F.col("n") <= max_speakers).join(F.broadcast(permutations(timeline.sparkSession, max_speakers)), "n")
-    cell = lambda j, i: F.coalesce(F.element_at(F.col("w"), F.concat(F.get(F.col("hs"), i), F.lit("\u0001"), F.get(F.col("rs"), j))), F.lit(0).cast("long"))
-    score = F.aggregate(F.transform("perm", cell), F.lit(0).cast("long"), lambda a, b: a + b)
-    best = tried.groupBy("meeting_id").agg(F.min(F.struct((-score).alias("s"), "perm")).alias("b"), F.first("hs").alias("hs"), F.first("rs").alias("rs"))
+    cell = lambda i, j: F.coalesce(F.element_at(F.col("w"), F.concat(F.get(F.col("hs"), i), F.lit("\u0001"), F.get(F.col("rs"), j))), F.lit(0).cast("long"))
+    few, places = m.where(F.col("n") <= max_speakers), F.sequence(F.lit(0), F.col("n") - 1)
+    best = few.withColumn("c", F.flatten(F.transform(places, lambda i: F.transform(places, lambda j: -cell(i, j))))).withColumn("b", best_assignment(F.col("c"), F.col("n")))
     exact = best.select("meeting_id", F.explode(F.transform("b.perm", lambda j, i: F.struct(F.get(F.col("hs"), i).alias("h"), F.get(F.col("rs"), j).alias("r")))).alias("x")).select("meeting_id", F.col("x.h").alias("hyp_speaker"), F.col("x.r").alias("ref_speaker"))
     many = time.join(m.where(F.col("n") > max_speakers).select("meeting_id"), "meeting_id", "left_semi")
     greedy = many.groupBy("meeting_id").applyInPandas(_greedy, "meeting_id string, hyp_speaker string, ref_speaker string")
@@ -190,3 +195,32 @@ def der(reference: DataFrame, hypothesis: DataFrame, collar_ms: int = 250, skip_
         add(ignored, F.col("d")).alias("ignored_ms"),
     )
     return t.withColumn("der", F.when(F.col("scored_ms") > 0, (F.col("false_alarm_ms") + F.col("miss_ms") + F.col("confusion_ms")) / F.col("scored_ms")))
+
+
+def evaluation_rows(meetings: DataFrame, texts: DataFrame, ref_views: DataFrame, hyp_views: DataFrame, reference: DataFrame, hypothesis: DataFrame, summaries: DataFrame, collar_ms: int = 250) -> DataFrame:
+    """A row a meeting with all its scores as text of six decimals, blank where one is missing, and error codes.
+
+    ``texts`` and ``summaries`` (meeting_id, ref, hyp), ``ref_views`` and ``hyp_views`` (meeting_id, speaker, text) for
+    cpWER, ``reference`` and ``hypothesis`` segments for DER. A metric that fails or has nothing to score leaves the others
+    as they are; a failed one has a code ``metric:reason``.
+    """
+    blank = lambda c: F.when(c.isNull(), "").otherwise(F.format_string("%.6f", c.cast("double")))
+    sec = lambda c: blank(F.col(c) / 1000.0)
+    words = with_char_errors(with_word_errors(texts, empty_ref="01")).where(F.coalesce("ref", F.lit("")) != "").select("meeting_id", "wer", "cer")
+    cp = cpwer(ref_views, hyp_views).select("meeting_id", "total_ref_words", "total_edits", "cpwer", F.col("error").alias("_error"))
+    line = der(reference, hypothesis, collar_ms)
+    own = rouge(summaries.where(F.coalesce("ref", F.lit("")) != ""), ["meeting_id"])
+    out = meetings.select("meeting_id").distinct()
+    for part in (words, cp, line, own):
+        out = out.join(part, "meeting_id", "left")
+    count = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return out.select(
+        "meeting_id",
+        *[blank(F.col(c)).alias(c) for c in ("wer", "cer", "cpwer", "der")],
+        *[sec(f"{c}_ms").alias(f"der_{n}_sec") for c, n in (("false_alarm", "false_alarm"), ("miss", "miss"), ("confusion", "confusion"), ("scored", "scored_ref_time"), ("ignored", "ignored_ref_overlap_time"))],
+        F.when(F.col("scored_ms").isNotNull(), F.format_string("%.2f", F.lit(collar_ms / 1000.0))).otherwise("").alias("der_collar_sec"),
+        count("total_ref_words").alias("cpwer_total_ref_words"),
+        count("total_edits").alias("cpwer_total_edits"),
+        F.array_join(F.array_compact(F.array(F.when(F.col("_error").isNotNull(), F.concat(F.lit("cpwer:"), "_error")))), ";").alias("speech_metric_errors"),
+        *[blank(F.col(c)).alias(c) for c in ("rouge1", "rouge2", "rougeL")],
+    )

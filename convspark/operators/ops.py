@@ -68,8 +68,11 @@ def without_columns(rows: DataFrame, part: str) -> DataFrame:
 
 
 def missing_artifacts(meetings: DataFrame, required: DataFrame, inventory: DataFrame) -> DataFrame:
-    """(meeting_id, name) of required artifacts that a meeting lacks; ``required`` is a short list of names."""
-    return meetings.select("meeting_id").distinct().crossJoin(F.broadcast(required.select("name"))).join(inventory.select("meeting_id", "name"), ["meeting_id", "name"], "left_anti")
+    """(meeting_id, name) of required artifacts that a meeting lacks; the names of ``required`` go along with each
+    meeting as one array, so there may be some thousands of them."""
+    names = required.agg(F.collect_set("name").alias("_names"))
+    each = meetings.select("meeting_id").distinct().withColumn("_k", F.lit(1)).join(names.withColumn("_k", F.lit(1)), "_k")
+    return each.select("meeting_id", F.explode("_names").alias("name")).join(inventory.select("meeting_id", "name"), ["meeting_id", "name"], "left_anti")
 
 
 def resume_plan(meetings: DataFrame, manifests: DataFrame) -> DataFrame:
@@ -142,6 +145,27 @@ def compare_digests(manifests: DataFrame) -> DataFrame:
     return g.withColumn("artifact_match", F.size("artifact_digests") <= 1).withColumn("config_match", F.size("config_digests") <= 1)
 
 
+def digest_totals(compared: DataFrame) -> DataFrame:
+    """One row: meetings compared, and how many differ in artifacts, in configs, or in either."""
+    bad = lambda *c: F.coalesce(F.count_if(~(F.col(c[0]) & F.col(c[-1]))), F.lit(0))
+    return compared.agg(F.count("*").alias("meetings_checked"), bad("artifact_match", "config_match").alias("mismatched_meetings"), bad("artifact_match").alias("artifact_digest_mismatches"), bad("config_match").alias("config_digest_mismatches"))
+
+
+def config_digests(configs: DataFrame, key: str) -> DataFrame:
+    """(key, config_digest): SHA-256 of each row's other columns as canonical JSON."""
+    from ..sources.sinks import canonical_json
+
+    return configs.select(key, F.sha2(canonical_json(configs.drop(key)), 256).alias("config_digest"))
+
+
+def code_provenance(files: DataFrame, group: str) -> DataFrame:
+    """(group, files, aggregate_sha256) of (group, path, content): a digest over the sorted paths and their digests, each
+    ended by a zero character. A group is one string, of some hundred characters a file."""
+    each = files.select(group, "path", F.sha2(F.col("content").cast("binary"), 256).alias("h"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("path", "h"))), lambda x: F.concat(x["path"], F.lit("\0"), x["h"], F.lit("\0")))
+    return each.groupBy(group).agg(F.count("*").alias("files"), F.sha2(F.array_join(lines, ""), 256).alias("aggregate_sha256"))
+
+
 def content_digests(files: DataFrame, ignored: Iterable[str] = ()) -> DataFrame:
     """A digest a meeting: SHA-256 over its sorted (path, SHA-256 of the content) pairs, so that files are hashed apart."""
     kept = files.where(~F.element_at(F.split("path", "/"), -1).isin(*ignored)) if ignored else files
@@ -191,11 +215,17 @@ def history_status(status: Column, action: Column, error: Column) -> Column:
 
 
 def audit_paths(settings: DataFrame) -> DataFrame:
-    """Violations of each run's settings (run_id, field, kind, value): URLs in paths, URLs or downloaders in commands."""
+    """Violations of each run's settings (run_id, field, kind, value): any URL as a path, with the value; web addresses
+    in commands, and commands that call a downloader (both, if both)."""
     v = F.lower("value")
-    url = v.rlike("https?://|ftp://")
-    bad = F.when((F.col("kind") == "path") & url, F.concat(F.lit("remote_path:"), "field")).when((F.col("kind") == "command") & (url | v.rlike(r"\b(curl|wget)\b")), F.concat(F.lit("remote_command:"), "field"))
-    return settings.groupBy("run_id").agg(F.array_sort(F.collect_set(bad)).alias("violations")).withColumn("ok", F.size("violations") == 0)
+    path, command = F.col("kind") == "path", F.col("kind") == "command"
+    found = (
+        F.when(path & F.contains("value", F.lit("://")), F.concat_ws(":", "field", F.lit("url_not_allowed"), "value")),
+        F.when(command & v.rlike("https?://"), F.concat_ws(":", "field", F.lit("contains_url"))),
+        F.when(command & v.rlike("(wget|curl) "), F.concat_ws(":", "field", F.lit("network_downloader_detected"))),
+    )
+    each = settings.select("run_id", F.explode_outer(F.array_compact(F.array(*found))).alias("bad"))
+    return each.groupBy("run_id").agg(F.array_sort(F.collect_set("bad")).alias("violations")).withColumn("ok", F.size("violations") == 0)
 
 
 def latest(rows: DataFrame, n: int, *order: Column) -> DataFrame:

@@ -214,11 +214,22 @@ def _(spark, d):
     return g.select("meeting_id", F.array_join(T.normalize_flags(flags, F.col("decision_count") > 0, F.col("action_count") > 0), "|").alias("flags"))
 
 
-@query("c33_path_audit", r"""SELECT run_id, coalesce(array_to_string(list_sort(list_distinct(list(v) FILTER (WHERE v IS NOT NULL))), ','), '') AS violations, count(v) = 0 AS ok FROM (SELECT page_id % 500 AS run_id,
-  CASE WHEN page_id % 3 = 0 AND regexp_matches(lower(url), 'https?://|ftp://') THEN 'remote_path:f' || page_id % 7 WHEN page_id % 3 = 1 AND regexp_matches(lower('curl ' || page_id), 'https?://|ftp://|\b(curl|wget)\b') THEN 'remote_command:f' || page_id % 7 END AS v FROM pages) GROUP BY run_id""")
-def _(spark, d):
-    k = F.col("page_id") % 3
-    s = A.read(spark, d, "pages").select((F.col("page_id") % 500).alias("run_id"), F.concat(F.lit("f"), (F.col("page_id") % 7).cast("string")).alias("field"), F.when(k == 0, "path").when(k == 1, "command").otherwise("text").alias("kind"), F.when(k == 1, F.concat(F.lit("curl "), F.col("page_id").cast("string"))).otherwise(F.col("url")).alias("value"))
+# What the settings of the audited runs hold, by the page's number.
+_SETTINGS = r"""(SELECT page_id % 500 AS run_id, 'f' || page_id % 7 AS field, CASE page_id % 3 WHEN 0 THEN 'path' WHEN 1 THEN 'command' ELSE 'text' END AS kind,
+  CASE page_id % 12 WHEN 0 THEN 's3://bucket/' || page_id WHEN 3 THEN '/models/' || page_id WHEN 1 THEN 'Curl -O HTTPS://host/' || page_id WHEN 4 THEN 'wget' || page_id WHEN 7 THEN 'run --out hdfs://x; wget ' || page_id ELSE url END AS value FROM pages)"""
+
+
+@query("c33_path_audit", f"""SELECT run_id, coalesce(array_to_string(list_sort(list_distinct(list(v) FILTER (WHERE v IS NOT NULL))), ','), '') AS violations, count(v) = 0 AS ok FROM (SELECT run_id, unnest([
+  CASE WHEN kind = 'path' AND contains(value, '://') THEN field || ':url_not_allowed:' || value END, CASE WHEN kind = 'command' AND (contains(lower(value), 'http://') OR contains(lower(value), 'https://')) THEN field || ':contains_url' END,
+  CASE WHEN kind = 'command' AND (contains(lower(value), 'wget ') OR contains(lower(value), 'curl ')) THEN field || ':network_downloader_detected' END]) AS v FROM {_SETTINGS} z) GROUP BY run_id""")
+def _(spark, d):
+    page, k = F.col("page_id").cast("string"), F.col("page_id") % 12
+    forms = ((0, F.concat(F.lit("s3://bucket/"), page)), (3, F.concat(F.lit("/models/"), page)), (1, F.concat(F.lit("Curl -O HTTPS://host/"), page)), (4, F.concat(F.lit("wget"), page)), (7, F.concat(F.lit("run --out hdfs://x; wget "), page)))
+    value = F.col("url")
+    for n, form in forms:
+        value = F.when(k == n, form).otherwise(value)
+    kind = F.get(F.array(F.lit("path"), F.lit("command"), F.lit("text")), F.col("page_id") % 3)
+    s = A.read(spark, d, "pages").select((F.col("page_id") % 500).alias("run_id"), F.concat(F.lit("f"), (F.col("page_id") % 7).cast("string")).alias("field"), kind.alias("kind"), value.alias("value"))
     return ops.audit_paths(s).select("run_id", F.array_join("violations", ",").alias("violations"), "ok")
 
 
@@ -542,14 +553,31 @@ def _(spark, d):
     return extraction.extraction_prompts(extraction.select_chunks(src), src)
 
 
-@query("d17_coverage_chunks", f"""SELECT meeting_id, idx FROM (SELECT *, sum(CASE WHEN even AND NOT must THEN 1 ELSE 0 END) OVER (PARTITION BY meeting_id ORDER BY idx) AS added FROM (SELECT *, slots > 0 AND list_contains(list_transform(range(0, CAST(slots AS BIGINT)), lambda i: CAST(round_even(i * (n - 1) / (slots - 1), 0) AS BIGINT)), idx) AS even FROM (
+_COVERED = f"""(SELECT meeting_id, idx FROM (SELECT *, sum(CASE WHEN even AND NOT must THEN 1 ELSE 0 END) OVER (PARTITION BY meeting_id ORDER BY idx) AS added FROM (SELECT *, slots > 0 AND list_contains(list_transform(range(0, CAST(slots AS BIGINT)), lambda i: CAST(round_even(i * (n - 1) / (slots - 1), 0) AS BIGINT)), idx) AS even FROM (
   SELECT *, 24 - sum(CASE WHEN must THEN 1 ELSE 0 END) OVER (PARTITION BY meeting_id) AS slots FROM (SELECT *, cue AND sum(CASE WHEN cue THEN 1 ELSE 0 END) OVER (PARTITION BY meeting_id ORDER BY idx) <= 8 AS must FROM (
-  SELECT meeting_id, idx, count(*) OVER (PARTITION BY meeting_id) AS n, {D.matches('lower(text)', T.CUE_PATTERNS)} AS cue FROM {D.LINES} z))))) WHERE n <= 24 OR must OR (even AND added <= slots)""")
+  SELECT meeting_id, idx, count(*) OVER (PARTITION BY meeting_id) AS n, {D.matches('lower(text)', T.CUE_PATTERNS)} AS cue FROM {D.LINES} z))))) WHERE n <= 24 OR must OR (even AND added <= slots))"""
+
+
+@query("d17_coverage_chunks", f"SELECT * FROM {_COVERED} z")
 def _(spark, d):
     t = lines(spark, d).select("meeting_id", "idx", T.has_cue(F.col("text")).alias("cue"), F.count("*").over(Window.partitionBy("meeting_id")).alias("n"))
     return sequence.coverage_chunks(t, 24).select("meeting_id", "idx")
 
 
+@query("c38_chunk_prompts", f"WITH RECURSIVE {D.chunks(D.TRANSCRIPT_TABLE)} SELECT meeting_id, chunk_id, sha256({D.q(extraction.CHUNK_TASK)} || chr(10) || 'Meeting ID: ' || meeting_id || chr(10) || 'Chunk ID: ' || chunk_id || chr(10) || 'Transcript chunk:' || chr(10) || {D.visible('text')} || chr(10) || chr(10) || 'JSON:') AS prompt_sha256 FROM chunks")
+def _(spark, d):
+    return extraction.chunk_prompts(transcript_chunks(spark, d)).select("meeting_id", "chunk_id", F.sha2("prompt", 256).alias("prompt_sha256"))
+
+
+@query("c38_meeting_prompts", f"""SELECT meeting_id, length(p) AS chars, sha256(p) AS prompt_sha256 FROM (SELECT meeting_id, {D.q(extraction.MEETING_TASK)} || chr(10) || 'Meeting ID: ' || meeting_id || chr(10) || 'Turn count: ' || count(*) || chr(10) || 'Chunk count: ' || count(*) || chr(10) || 'Evidence summaries:' || chr(10) || string_agg({D.first_line('l.text')}, chr(10) || chr(10) ORDER BY l.idx) FILTER (WHERE l.idx < 80) || chr(10) || chr(10)
+  || 'Coverage-oriented raw transcript excerpts:' || chr(10) || string_agg('[' || chunk_id || '] ' || {D.visible('l.text')}, chr(10) || chr(10) ORDER BY l.idx) FILTER (WHERE c.idx IS NOT NULL) || chr(10) || chr(10) || 'JSON:' AS p FROM {D.LINES} l LEFT JOIN {_COVERED} c USING (meeting_id, idx) GROUP BY meeting_id)""")
+def _(spark, d):
+    """Each turn as a chunk, its first line as the chunk's summary."""
+    src = lines(spark, d)
+    p = extraction.meeting_prompts(src, src.select("meeting_id", "idx", T.first_line(F.col("text")).alias("summary")), src.groupBy("meeting_id").agg(F.count("*").alias("turns")))
+    return p.select("meeting_id", F.length("prompt").cast("long").alias("chars"), F.sha2("prompt", 256).alias("prompt_sha256"))
+
+
 _EVIDENCE = f"""{D.chunks(D.TRANSCRIPT_TABLE)}, conf AS (SELECT c.meeting_id, c.chunk_no, round_even(sum((least(c.end_ms, h.end_ms) - greatest(c.start_ms, h.start_ms)) * confidence) / sum(least(c.end_ms, h.end_ms) - greatest(c.start_ms, h.start_ms)), 4) AS conf
   FROM chunks c JOIN {D.HYP} h ON h.meeting_id = c.meeting_id AND h.start_ms < c.end_ms AND c.start_ms < h.end_ms GROUP BY ALL),
 pts AS (SELECT meeting_id, chunk_no AS point_id, {D.visible(D.first_line('text'))} AS point FROM chunks),
@@ -633,7 +661,15 @@ def _(spark, d):
     return _flat(kept.where(~T.is_low_quality(F.col("action"), "action") & ~T.is_speculative_action(F.col("action"))))
 
 
-@query("c40_b6_minutes_html")
+@query("c40_quality_checks", f"""SELECT meeting_id, true AS summary_nonempty, len(list_filter(list_slice(list(trim(text_raw) ORDER BY idx) FILTER (WHERE idx < 6), 1, 5), lambda x: x <> '')) AS key_points_count, true AS schema_valid, count_if({D.matches('lower(text)', T.DECISION_PATTERNS)})::BIGINT AS extraction_decision_count, count_if({D.matches('lower(text)', T.ACTION_PATTERNS)})::BIGINT AS extraction_action_count FROM {D.LINES} z GROUP BY meeting_id""")
+def _(spark, d):
+    src = lines(spark, d)
+    t = A.transcript(spark, d).withColumn("text", F.col("text_raw"))
+    s = extraction.baseline_summaries(t, t.groupBy("meeting_id").agg(F.count("*").alias("chunks")))
+    return extraction.quality_checks(s, extraction.rule_decisions(src), extraction.rule_actions(src))
+
+
+@query("b6_minutes_html")
 def _(spark, d):
     p, c = evidence_inputs(spark, d)
     pts = extraction.filter_points(extraction.attach_evidence(p, c, "discussion"), "discussion")
@@ -730,6 +766,24 @@ def _(spark, d):
     return ops.compare_digests(m).select("meeting_id", "roots", F.array_join("artifact_digests", ",").alias("artifact_digests"), "artifact_match", "config_match")
 
 
+@query("f12_digest_totals", "SELECT count(*) AS meetings_checked, count_if(a OR c)::BIGINT AS mismatched_meetings, count_if(a)::BIGINT AS artifact_digest_mismatches, count_if(c)::BIGINT AS config_digest_mismatches FROM (SELECT o_custkey, count(DISTINCT o_orderstatus) > 1 AS a, count(DISTINCT o_orderpriority) > 1 AS c FROM orders GROUP BY 1)")
+def _(spark, d):
+    m = A.read(spark, d, "orders").select(F.col("o_custkey").alias("meeting_id"), F.col("o_orderstatus").alias("artifact_digest"), F.col("o_orderpriority").alias("config_digest"))
+    return ops.digest_totals(ops.compare_digests(m))
+
+
+@query("f13_config_digests", """SELECT o_orderkey, sha256('{"backend":{"mode":"' || o_orderstatus || '","path":null},"limit":' || o_custkey || ',"name":"r\\u00e9union ' || o_orderpriority || '"}') AS config_digest FROM orders""")
+def _(spark, d):
+    backend = F.struct(F.lit(None).cast("string").alias("path"), F.col("o_orderstatus").alias("mode")).alias("backend")
+    c = A.read(spark, d, "orders").select("o_orderkey", F.concat(F.lit("r\u00e9union "), "o_orderpriority").alias("name"), F.col("o_custkey").alias("limit"), backend)
+    return ops.config_digests(c, "o_orderkey")
+
+
+@query("f13_code_provenance", f"SELECT meeting_id, count(*) AS files, sha256(string_agg(path || chr(0) || sha256(content) || chr(0), '' ORDER BY path)) AS aggregate_sha256 FROM {D.FILES} z GROUP BY meeting_id")
+def _(spark, d):
+    return ops.code_provenance(A.contents(spark, d), "meeting_id")
+
+
 @query("f13_content_digests", f"SELECT meeting_id, count(*) AS files, sha256(string_agg(path || ':' || sha256(content), chr(10) ORDER BY path)) AS digest FROM {D.FILES} z GROUP BY meeting_id")
 def _(spark, d):
     return ops.content_digests(A.contents(spark, d))
@@ -825,16 +879,17 @@ def _(spark, d):
     return g.select("meeting_id", "speaker", "n", F.sha2(F.array_join(F.transform("t", lambda x: x["text_raw"]), " "), 256).alias("text_sha256"))
 
 
-@query("c31_confidence", """SELECT event_id, round(CASE event_id % 4 WHEN 0 THEN value / 1000 WHEN 1 THEN exp(greatest(-20.0, -value / 10)) WHEN 2 THEN round_even((0.25 + value / 1000) / 2, 6) ELSE 0.0 END, 9) AS confidence FROM events""")
+@query("c31_confidence", """SELECT event_id, CASE event_id % 8 WHEN 0 THEN round_even(value / 1000, 6) WHEN 1 THEN round_even(exp(greatest(-20.0, -value / 10)), 6) WHEN 2 THEN round_even((0.25 + value / 1000) / 2, 6) WHEN 3 THEN round_even(value / 1000, 6)
+  WHEN 4 THEN round_even(value / 2001, 6) WHEN 5 THEN round_even(value / 3000, 6) WHEN 6 THEN round_even(value / 4003, 6) ELSE 0.0 END AS confidence FROM events""")
 def _(spark, d):
-    from ..sources.files import confidence
+    from ..sources.files import LIST_FIELDS, confidence
 
-    k, v, none = F.col("event_id") % 4, F.col("value"), F.lit(None).cast("array<double>")
-    item = F.struct(
-        F.when(k == 0, v / 1000).alias("confidence"), F.lit(None).cast("double").alias("score"), F.when(k == 1, -v / 10).alias("avg_logprob"), F.lit(None).cast("double").alias("y_sequence_score"),
-        F.when(k == 2, F.array(F.lit(0.25), v / 1000, F.lit(7.0))).otherwise(none).alias("word_confidence"), none.alias("token_confidence"), F.lit(None).cast("array<array<double>>").alias("frame_confidence"),
-    )
-    return A.read(spark, d, "events").select("event_id", item.alias("x")).select("event_id", F.round(confidence(F.col("x")), 9).alias("confidence"))
+    k, v = F.col("event_id") % 8, F.col("value")
+    single = {"confidence": F.when(k == 0, v / 1000).when(k == 7, 3.5), "score": F.lit(None).cast("double"), "avg_logprob": F.when(k == 1, -v / 10), "y_sequence_score": F.lit(None).cast("double")}
+    lists = {"word_confidence": F.when(k == 2, F.array(F.lit(0.25), v / 1000, F.lit(7.0))), "token_confidences": F.when(k == 3, F.array(v / 1000)), "char_confidence": F.when(k == 4, F.array(v / 2001)), "char_confidences": F.when(k == 5, F.array(v / 3000, F.lit(-1.0))), "frame_confidence": F.when(k == 6, F.array(F.array(v / 4003), F.array(F.lit(2.0))))}
+    none = lambda n: F.lit(None).cast("array<array<double>>" if n == "frame_confidence" else "array<double>")
+    item = F.struct(*[c.alias(n) for n, c in single.items()], *[lists.get(n, none(n)).alias(n) for n in LIST_FIELDS])
+    return A.read(spark, d, "events").select("event_id", item.alias("x")).select("event_id", confidence(F.col("x")).alias("confidence"))
 
 
 @query("c32_collar", f"SELECT meeting_id, seq, start_ms + 30000 AS start_ms, end_ms - 30000 AS end_ms FROM {D.TOKENS} z WHERE end_ms - 30000 > start_ms + 30000")
@@ -857,3 +912,6 @@ def _(spark, d):
     rows = A.read(spark, d, "orders").select(F.col("o_orderkey").alias("meeting_id"), (F.col("o_totalprice") / 7).alias("wer"))
     own = li.where("l_linestatus = 'F'").groupBy("meeting_id").agg(F.min("l_extendedprice").alias("wer"))
     return ops.eval_table(ops.upsert(rows, own, ["meeting_id"]).join(rows.select("meeting_id"), "meeting_id", "left_semi"), li.groupBy("meeting_id").agg(F.max("l_quantity").alias("rouge1")))
+
+
+from . import round_trips  # noqa: E402, F401  (registers its queries)

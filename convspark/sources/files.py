@@ -1,12 +1,17 @@
 """Readers of meeting files; paths are anything Spark can read.
 
-Meeting and speaker come from file names. Small line files are read whole, as last-wins rules need the line order.
+Meeting and speaker come from file names, or from folders named ``meeting_id=...`` and ``speaker_letter=...`` as Spark's
+writers make them. Small line files are read whole, as last-wins rules need the line order.
 """
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..schemas import ASR_SEGMENT, TRACE
 
@@ -15,13 +20,24 @@ def _name() -> Column:
     return F.col("_metadata.file_name")
 
 
+def _named(pattern: str, group: int, name: str) -> Column:
+    """A part of the file's name, else of a folder ``name=...`` above it."""
+    own, folder = F.regexp_extract(_name(), pattern, group), F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), rf"/{name}=([^/]*)/", 1))
+    return F.when(own != "", own).otherwise(folder)
+
+
+@F.pandas_udf(StringType())
+def unescape_html(text: pd.Series) -> pd.Series:
+    """Resolves all named and numeric HTML entities; the built-ins know only a few."""
+    return text.map(html.unescape, na_action="ignore")
+
+
 def word_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Tokens of ``{meeting}.{A-Z}.words.xml``: words with both times and text; entities are resolved once more."""
     raw = spark.read.format("xml").option("rowTag", "w").schema("_starttime double, _endtime double, _punc string, _VALUE string").load(path)
-    text = F.col("_VALUE")
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(a), F.lit(b))
-    parts = raw.select(F.regexp_extract(_name(), r"^(.+)\.([A-Z])\.words\.xml$", 1).alias("meeting_id"), F.regexp_extract(_name(), r"^(.+)\.([A-Z])\.words\.xml$", 2).alias("speaker_letter"), F.col("_starttime").alias("start"), F.col("_endtime").alias("end"), F.trim(text).alias("text"), (F.coalesce("_punc", F.lit("")) == "true").alias("is_punc"), F.monotonically_increasing_id().alias("seq"))
+    text = F.coalesce(unescape_html(F.when(F.contains("_VALUE", F.lit("&")), F.col("_VALUE"))), "_VALUE")
+    pattern = r"^(.+)\.([A-Z])\.words\.xml$"
+    parts = raw.select(_named(pattern, 1, "meeting_id").alias("meeting_id"), _named(pattern, 2, "speaker_letter").alias("speaker_letter"), F.col("_starttime").alias("start"), F.col("_endtime").alias("end"), F.trim(text).alias("text"), (F.coalesce("_punc", F.lit("")) == "true").alias("is_punc"), F.monotonically_increasing_id().alias("seq"))
     return parts.where("meeting_id <> '' AND start IS NOT NULL AND end IS NOT NULL AND text <> ''")
 
 
@@ -30,7 +46,7 @@ def summary_sections(spark: SparkSession, path: str) -> DataFrame:
     names = ("abstract", "actions", "decisions", "problems")
     plain = ", ".join(f"{n} struct<sentence: array<string>>" for n in names)
     raw = spark.read.format("xml").option("rowTag", "root").option("ignoreNamespace", "true").schema(plain).load(path)
-    meeting = F.regexp_extract(_name(), r"^(.+)\.abssumm\.xml$", 1).alias("meeting_id")
+    meeting = _named(r"^(.+)\.abssumm\.xml$", 1, "meeting_id").alias("meeting_id")
     rows = raw.select(meeting, F.explode(F.array(*[F.struct(F.lit(n).alias("section"), F.col(f"{n}.sentence").alias("s")) for n in names])).alias("x"))
     out = rows.select("meeting_id", "x.section", F.posexplode("x.s").alias("pos", "sentence"))
     return out.withColumn("sentence", F.trim(F.regexp_replace("sentence", r"\s+", " "))).where("sentence <> ''")
@@ -52,8 +68,12 @@ def rttm(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _meeting_of_path() -> Column:
-    """The folder that a file lies in."""
-    return F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    """The folder that a file lies in, without ``meeting_id=``."""
+    return _folder(F.col("_metadata.file_path"))
+
+
+def _folder(path: Column) -> Column:
+    return F.regexp_replace(F.url_decode(F.element_at(F.split(path, "/"), -2)), "^meeting_id=", "")
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
@@ -96,7 +116,7 @@ def discover_meetings(spark: SparkSession, audio: str | None = None, artifacts:
     if audio:
         found.append(spark.read.format("binaryFile").load(audio).select(F.regexp_extract("path", r"([^/]+)\.Mix-Headset\.wav$", 1).alias("meeting_id")))
     if artifacts:
-        found.append(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(artifacts).select(F.element_at(F.split("path", "/"), -2).alias("meeting_id")))
+        found.append(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(artifacts).select(_folder(F.col("path")).alias("meeting_id")))
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
@@ -118,26 +138,31 @@ def kind_of(name: Column) -> Column:
 def inventory(spark: SparkSession, path: str) -> DataFrame:
     """meeting_id, name, kind, length and modification time of all files below; contents aren't read."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
-    parts = F.split("path", "/")
-    return f.select(F.element_at(parts, -2).alias("meeting_id"), F.element_at(parts, -1).alias("name"), kind_of(F.col("path")).alias("kind"), "length", F.col("modificationTime").alias("modification_time"))
+    return f.select(_folder(F.col("path")).alias("meeting_id"), F.element_at(F.split("path", "/"), -1).alias("name"), kind_of(F.col("path")).alias("kind"), "length", F.col("modificationTime").alias("modification_time"))
 
 
 def text_preview(spark: SparkSession, path: str, limit: int = 20_000) -> DataFrame:
-    return spark.read.text(path, wholetext=True).select(_name().alias("name"), F.substring("value", 1, limit).alias("text"))
+    return spark.read.text(path, wholetext=True).select(_meeting_of_path().alias("folder"), _name().alias("name"), F.substring("value", 1, limit).alias("text"))
 
 
 def audio_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"([^/]+?)(?:\.Mix-Headset)?\.wav$", 1).alias("meeting_id"), "content")
 
 
+# The fields that may hold a confidence, in the order in which they are asked.
+SINGLE_FIELDS = ("confidence", "score", "avg_logprob", "y_sequence_score")
+LIST_FIELDS = ("word_confidence", "token_confidence", "token_confidences", "frame_confidence", "char_confidence", "char_confidences")
+
+
 def confidence(item: Column) -> Column:
-    """Recognition confidence of a struct (confidence, score, avg_logprob, y_sequence_score doubles; word_confidence,
-    token_confidence, frame_confidence arrays, the last nested): the first in [0, 1], else exp of the first log score,
-    else the mean of the lists' values in [0, 1], else 0."""
-    named = [item[n] for n in ("confidence", "score", "avg_logprob", "y_sequence_score")]
-    inside = [F.when(v.between(0, 1), v) for v in named]
-    logs = F.coalesce(*[F.when(v <= 0, v) for v in named])
-    mean = lambda a: F.bround(F.aggregate(a, F.lit(0.0), lambda s, v: s + v) / F.nullif(F.size(a), F.lit(0)), 6)
+    """Recognition confidence of a struct of doubles (``SINGLE_FIELDS``) and arrays (``LIST_FIELDS``; that of frames is
+    nested): the first in [0, 1], else exp of the first that isn't positive, else the mean of the first list's values in
+    [0, 1], else 0; six decimals."""
+    finite = lambda v: F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
+    named = [finite(item[n]) for n in SINGLE_FIELDS]
+    inside = [F.when(v.between(0, 1), F.bround(v, 6)) for v in named]
+    log = F.coalesce(*[F.when(v <= 0, v) for v in named])
     valid = lambda a: F.filter(a, lambda v: v.between(0, 1))
-    lists = [mean(valid(item["word_confidence"])), mean(valid(item["token_confidence"])), mean(valid(F.flatten(item["frame_confidence"])))]
-    return F.coalesce(*inside, F.when(logs.isNotNull(), F.exp(F.greatest(F.lit(-20.0), logs))), *lists, F.lit(0.0))
+    mean = lambda a: F.bround(F.aggregate(a, F.lit(0.0), lambda s, v: s + v) / F.nullif(F.size(a), F.lit(0)), 6)
+    lists = [mean(valid(F.flatten(item[n]) if n == "frame_confidence" else item[n])) for n in LIST_FIELDS]
+    return F.coalesce(*inside, F.when(log.isNotNull(), F.bround(F.exp(F.greatest(F.lit(-20.0), log)), 6)), *lists, F.lit(0.0))

@@ -1,8 +1,12 @@
 """Corpus pipeline: from documents to token files, one stage after another.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as the next one's docs.
-All but the last return the columns of ``documents``. Nulls, empty and very long texts, repeated rows, empty tables and
-further columns pass through as the operators' docstrings define.
+All but the last return the columns of ``documents``.
+
+Nulls in any column, empty and very long texts, repeated rows, equal ids, empty tables and further columns (of any name)
+are taken by every stage: a null text counts as empty; without labels no document is rejected; texts without words are
+nobody's copies, hold no benchmark item, and are mixed like others, at no cost; of repeated rows one is left after the
+second stage; an empty table gives an empty result. Null ids come first in the token files.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convspark.llm.common import shared_folder, table
+from convspark.llm.common import drop_written, shared_folder, table, written
 from convspark.llm.decontamination import decontaminate
 from convspark.llm.mixing import mix_sources
 from convspark.llm.ngram_join import keep_one_of_each
@@ -56,11 +60,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Once a stage's result is written, what it wrote on the way goes, and so do its input's files."""
     docs = table(spark, sf_dir, "documents")
+    first = written()
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             path = shared_folder(spark)
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
+            drop_written(spark, first, keep=(docs,))
     return docs

@@ -31,11 +31,38 @@ def test_word_and_char_errors(spark):
         assert abs(x.cer - (_edit(ca, cb) / len(ca) if ca else float(bool(cb)))) < 1e-12
 
 
+def test_word_errors_of_long_texts(spark):
+    """Pairs of more distinct words than there are characters below the surrogates."""
+    words = [f"w{k}" for k in range(40_000)]
+    changed = ["x", *words[1:20_000], *words[20_001:]]
+    rows = [(1, " ".join(words), " ".join(words)), (2, " ".join(words), " ".join(changed))]
+    got = {r.id: (r.ref_len, r.edits, r.wer) for r in metrics.with_word_errors(spark.createDataFrame(rows, "id int, ref string, hyp string")).select("id", "ref_len", "edits", "wer").collect()}
+    assert got == {1: (40_000, 0, 0.0), 2: (40_000, 2, 2 / 40_000)}
+
+
+def test_best_assignment(spark):
+    r = random.Random(3)
+    rows = [(k, n, [r.randint(0, 4) for _ in range(n * n)]) for k in range(60) for n in [r.randint(1, 5)]] + [(99, 8, [(i * 5 + j * 3) % 7 for i in range(8) for j in range(8)])]
+    got = {x.k: x.b for x in spark.createDataFrame(rows, "k int, n int, c array<int>").select("k", metrics.best_assignment(F.col("c"), F.col("n")).alias("b")).collect()}
+    for k, n, c in rows:
+        cost, perm = min((sum(c[i * n + j] for i, j in enumerate(p)), list(p)) for p in itertools.permutations(range(n)))
+        assert (got[k].cost, got[k].perm) == (cost, perm)
+
+
+def test_evaluation_rows(spark):
+    many = [("n", f"s{k}", "a") for k in range(9)]
+    views = spark.createDataFrame([("m", "A", "one two"), *many], "meeting_id string, speaker string, text string")
+    segs = spark.createDataFrame([("m", 0, 2000, "A")], "meeting_id string, start_ms long, end_ms long, speaker string")
+    texts = spark.createDataFrame([("m", "one two", "one")], "meeting_id string, ref string, hyp string")
+    got = {r.meeting_id: r for r in metrics.evaluation_rows(views, texts, views, views, segs, segs.selectExpr("meeting_id", "start_ms + 250 AS start_ms", "end_ms - 250 AS end_ms", "speaker"), texts).collect()}
+    assert (got["m"].wer, got["m"].cpwer, got["m"].der, got["m"].rouge1, got["m"].speech_metric_errors) == ("0.500000", "0.000000", "0.000000", "0.666667", "")
+    assert (got["n"].wer, got["n"].cpwer, got["n"].der, got["n"].rouge1, got["n"].speech_metric_errors) == ("", "", "", "", "cpwer:too_many_speakers")
+
+
 def test_kernels():
     r = random.Random(6)
     for _ in range(300):
         a, b = ([r.randint(0, 3) for _ in range(r.randint(0, 8))] for _ in range(2))
-        assert metrics._edits(np.array(a, int), np.array(b, int)) == _edit(a, b)
         lcs = max((len(s) for k in range(len(a) + 1) for s in itertools.combinations(a, k) if _is_sub(s, b)), default=0)
         assert metrics._common(np.array(a, int), np.array(b, int)) == lcs
 
