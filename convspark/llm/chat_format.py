@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from .common import table, whole_text
 
 # Fixed values of the template: ``<s role>text</s>`` for each turn, ``[esc]`` ahead of a conversation whose texts are
-# escaped. Texts of the assistant, and nothing else, are under the loss mask.
+# escaped, once for each time. Texts of the assistant, and nothing else, are under the loss mask.
 OPEN, SHUT, ESCAPED, LOSS_ROLE = "<s ", "</s>", "[esc]", "assistant"
 
 #: What an escaped text must not hold: any start of a control string. A backslash goes after its first character, and
 #: each backslash of the source is doubled, so that dropping one backslash before any character restores the source.
 CONTROL = r"(<)(?=/?s)|(\[)(?=/?INST\]|esc\])"
+#: Escaping once makes any text safe; further levels are there for the check, and end the conversation if they fail.
+LEVELS = 2
 
 
 def escape(text: Column) -> Column:
@@ -25,46 +27,66 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def render(turns: Column, escaped: bool) -> Column:
-    """Turns (role, text) as one text."""
-    form = escape if escaped else lambda c: c
+def _times(form, level: int):
+    def repeated(c: Column) -> Column:
+        for _ in range(level):
+            c = form(c)
+        return c
+
+    return repeated
+
+
+def render(turns: Column, level: int) -> Column:
+    """Turns (role, text) as one text, escaped ``level`` times."""
+    form = _times(escape, level)
     # Role names are quoted by the same rule; a ``>`` would end the tag, so it is written as a code.
     role = lambda c: F.replace(F.replace(form(c), F.lit("&"), F.lit("&amp;")), F.lit(">"), F.lit("&gt;"))
     body = F.array_join(F.transform(turns, lambda t: F.concat(F.lit(OPEN), role(t["role"]), F.lit(">"), form(t["text"]), F.lit(SHUT))), "")
-    return F.concat(F.lit(ESCAPED if escaped else ""), body)
+    return F.concat(F.lit(ESCAPED * level), body)
 
 
 def parse(formatted: Column) -> Column:
     """Reads the turns back: splits at the ends of turns, and each piece at the first ``>`` after its opening."""
-    escaped = F.startswith(formatted, F.lit(ESCAPED))
-    body = F.when(escaped, F.substr(formatted, F.lit(len(ESCAPED) + 1))).otherwise(formatted)
-    form = lambda c: F.when(escaped, unescape(c)).otherwise(c)
-    pieces = F.split(body, r"</s>", -1)
-    tag = lambda p: F.substr(p, F.lit(len(OPEN) + 1), F.locate(">", p) - len(OPEN) - 1)
-    role = lambda p: form(F.replace(F.replace(tag(p), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&")))
-    return F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda p: F.struct(role(p).alias("role"), form(F.substr(p, F.locate(">", p) + 1)).alias("text")))
 
+    def read(level: int) -> Column:
+        form = _times(unescape, level)
+        pieces = F.split(F.substr(formatted, F.lit(len(ESCAPED) * level + 1)), SHUT, -1)
+        tag = lambda p: F.substr(p, F.lit(len(OPEN) + 1), F.locate(">", p) - len(OPEN) - 1)
+        role = lambda p: form(F.replace(F.replace(tag(p), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&")))
+        return F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda p: F.struct(role(p).alias("role"), form(F.substr(p, F.locate(">", p) + 1)).alias("text")))
+
+    out = read(0)
+    for level in range(1, LEVELS + 1):
+        out = F.when(F.startswith(formatted, F.lit(ESCAPED * level)), read(level)).otherwise(out)
+    return out
 
 
 def format_chats(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """Formats each conversation, and escapes its texts only where the plain form isn't read back identically.
+    """Formats each conversation; one that holds the start of any control string has its roles and texts escaped, so
+    that such strings are in the result only where the template puts them.
 
-    A conversation's turns, ordered by turn (ties: by role and text; a null turn first), are rendered plainly, parsed
-    by the template's grammar and compared with the source; where a turn differs, the conversation is rendered with
-    escapes. The result of the last parse is returned beside the text, with ``exact`` (always true; kept as the proof).
-    Null roles and texts count as empty. Conversations without rows don't exist; a null id is a conversation.
+    A conversation's turns, ordered by turn (ties: by role and text; a null turn first), are rendered, parsed by the
+    template's grammar and compared with the source; while a turn differs, everything is escaped once more. The result
+    of the last parse is returned beside the text, with ``exact`` (always true; kept as the proof). Null roles and texts
+    count as empty. Conversations without rows don't exist; a null id is a conversation. A conversation is one row, as
+    it is one text.
 
     Returns: id, formatted, escaped, turns (array of role and text as read back), exact, loss_text (the texts under
     the loss mask as read back).
     """
     turn = F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), whole_text(text_col).alias("text"))
     source = F.transform(F.array_sort(F.collect_list(turn)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    plain = conversations.groupBy(F.col(id_col)).agg(source.alias("_source")).withColumn("_plain", render(F.col("_source"), False))
-    plain = plain.withColumn("escaped", ~F.coalesce(parse(F.col("_plain")) == F.col("_source"), F.lit(False)))
-    out = plain.withColumn("formatted", F.when(F.col("escaped"), render(F.col("_source"), True)).otherwise(F.col("_plain")))
+    out = conversations.groupBy(F.col(id_col)).agg(source.alias("_source"))
+    unsafe = F.exists("_source", lambda t: F.rlike(t["role"], F.lit(CONTROL)) | F.rlike(t["text"], F.lit(CONTROL)))
+    out = out.withColumn("_level", F.when(unsafe, 1).otherwise(0)).withColumn("formatted", F.when(F.col("_level") == 0, render(F.col("_source"), 0)).otherwise(render(F.col("_source"), 1)))
     out = out.withColumn("turns", parse(F.col("formatted")))
+    for level in range(1, LEVELS + 1):
+        again = (F.col("turns") != F.col("_source")) & (F.col("_level") < level)
+        out = out.withColumn("_again", again).withColumn("_level", F.when(F.col("_again"), level).otherwise(F.col("_level")))
+        out = out.withColumn("formatted", F.when(F.col("_again"), render(F.col("_source"), level)).otherwise(F.col("formatted")))
+        out = out.withColumn("turns", F.when(F.col("_again"), parse(F.col("formatted"))).otherwise(F.col("turns")))
     loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == LOSS_ROLE), lambda t: t["text"]), "")
-    return out.select(id_col, "formatted", "escaped", "turns", (F.col("turns") == F.col("_source")).alias("exact"), loss.alias("loss_text"))
+    return out.select(id_col, "formatted", (F.col("_level") > 0).alias("escaped"), "turns", (F.col("turns") == F.col("_source")).alias("exact"), loss.alias("loss_text"))
 
 
 def op4_chat_round_trip(spark, sf_dir):
@@ -82,13 +104,13 @@ def op4_chat_round_trip(spark, sf_dir):
     )
 
 
-# DuckDB: the plain form unless a text holds a turn's end or starts the escape mark, then the escaped form.
+# DuckDB: the plain form unless a text holds the start of a control string, then the escaped form.
 ORACLE = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), e AS (
-  SELECT *, bool_or(contains(text, '</s>')) OVER (PARTITION BY conv_id) AS esc,
+  SELECT *, bool_or(regexp_matches(text || ' ' || role, '</?s|\[/?INST\]|\[esc\]')) OVER (PARTITION BY conv_id) AS esc,
          replace(replace(replace(replace(replace(replace(text, '\', '\\'), '</s', '<\/s'), '<s', '<\s'),
                  '[INST]', '[\INST]'), '[/INST]', '[\/INST]'), '[esc]', '[\esc]') AS safe
   FROM c

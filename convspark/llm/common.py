@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import new_folder
+
 #: ASCII white space and its complement, as Java regular expressions.
 SPACES = r"[\x20\x09-\x0D]+"
 NON_SPACES = r"[^\x20\x09-\x0D]+"
@@ -22,6 +21,12 @@ def lower_az(col: Column) -> Column:
     return F.translate(col, UPPER, UPPER.lower())
 
 
+def word_count(text: Column) -> Column:
+    """Words between ASCII white space: each is cut to its first character, and white space goes."""
+    spaces, others = SPACES[1:-2], NON_SPACES[:-1]
+    return F.length(F.regexp_replace(text, f"[{spaces}]*+({others}){others}*+|[{spaces}]++", "$1"))
+
+
 def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
@@ -31,18 +36,8 @@ _written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share.
-
-    It is the session's ``spark.checkpoint.dir``; where that is unset, a temporary folder becomes the checkpoint folder
-    of a local session, and any other session is refused, as its executors would not see the folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not (spark.conf.get("spark.master", None) or "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="convspark-"))
-        base = spark.sparkContext.getCheckpointDir()
-    path = f"{base.rstrip('/')}/convspark-{uuid.uuid4().hex}"
+    """A new folder that driver and executors share (see ``new_folder``), noted for ``drop_written``."""
+    path = new_folder(spark)
     _written.append(path)
     return path
 

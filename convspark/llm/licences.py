@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORDS, lower_az, table, whole_text
+from .common import ALNUM_WORDS, lower_az, stash, table, whole_text
 
 # The phrases whose places are counted, and their labels.
 BASE_PHRASES = {
@@ -38,94 +38,101 @@ TEMPLATES = (
 )
 
 
-def places(words: Column, phrase: list[str]) -> Column:
-    """Starts, from 0, at which the phrase's words stand consecutively."""
-    starts = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i) == phrase[0])
-    here = lambda i: [F.get(words, i + k) == w for k, w in enumerate(phrase) if k]
+#: All words of the wording and of the base phrases.
+VOCABULARY = sorted({w for _, text, _ in TEMPLATES for w in text.split()} | {w for p in BASE_PHRASES for w in p.split()})
 
-    def all_of(i: Column) -> Column:
-        out = F.lit(True)
-        for x in here(i):
-            out = out & x
-        return F.coalesce(out, F.lit(False))
 
-    return F.filter(starts, all_of)
+def places(hits: Column, phrase: list[str]) -> Column:
+    """Starts at which the phrase's words stand consecutively, from a text's hits (word, at) in order. All words of the
+    phrase are in the vocabulary, so that neighbours in the text are neighbours among the hits."""
 
+    def here(x: Column, j: Column) -> Column:
+        out = x["word"] == phrase[0]
+        for k, w in enumerate(phrase[1:], 1):
+            after = F.get(hits, j + k)
+            out = out & F.coalesce((after["word"] == w) & (after["at"] == x["at"] + k), F.lit(False))
+        return out
 
-def scan_licences(docs: DataFrame, rare_words: int = 6, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return F.transform(F.filter(hits, here), lambda x: x["at"])
+
+
+def rare_index(df: dict[str, int], n_docs: int, rare_words: int, share: float) -> list[tuple]:
+    """Postings (template, label, word, place, weight) of each template's rarest words.
+
+    Words of all templates are ranked by inverse document frequency. A template is looked up by its ``rare_words``
+    rarest of those that at most ``share`` of all documents hold; by its two rarest if fewer are so rare.
+    """
+    idf = {w: math.log((n_docs + 1) / (df.get(w, 0) + 0.5)) for w in VOCABULARY}
+    out = []
+    for t, (label, text, _) in enumerate(TEMPLATES):
+        own = text.split()
+        ranked = sorted(set(own), key=lambda w: (-idf[w], w))
+        rare = [w for w in ranked if df.get(w, 0) <= share * n_docs][:rare_words]
+        rare = rare if len(rare) >= 2 else ranked[:2]
+        weight = sum(idf[w] for w in own if w in rare)
+        out += [(t, label, w, k, idf[w] / weight if weight > 0 else 1 / sum(x in rare for x in own)) for k, w in enumerate(own) if w in rare]
+    return out
+
+
+def scan_licences(docs: DataFrame, rare_words: int = 6, least: float = 0.8, share: float = 0.02, slack: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Finds licence wording: rare words first, then their relative places, then mandatory phrases.
 
-    Document frequencies of the index's words are counted over all documents; each template is looked up by its
-    ``rare_words`` words of the highest inverse document frequency. A document's occurrences of such words meet the
-    postings by word; those that agree on where the template would start (relative place) add their weight, and a
-    template with at least ``least`` of its rare words' weight at one start is a candidate. It is confirmed when all
-    its mandatory phrases stand in the document.
+    Each text is cut into words once, and its words of the vocabulary are written with their places; all else works on
+    these. Document frequencies are counted over all documents, and each template is looked up by its rarest words (see
+    ``rare_index``). A document's occurrences of such words meet the postings by word; those that agree on where the
+    template would start (relative place) add their weight, and a template with at least ``least`` of its rare words'
+    weight at one start is a candidate. It is confirmed when all its mandatory phrases stand where that start puts
+    them, give or take ``slack`` words.
 
     Returns one row per input row: id, n_words, base (places of the base phrases), base_labels, labels (base and
     found ones), score (the best share of weight, 1 where a base phrase stands, 0 without any find). Null texts are
-    empty; rows with an equal id and text get equal results; an empty table gives an empty result.
+    empty; repeated rows are scanned each by themselves; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    vocabulary = sorted({w for _, text, _ in TEMPLATES for w in text.split()})
     words = F.regexp_extract_all(lower_az(whole_text(text_col)), F.lit(f"({ALNUM_WORDS})"), F.lit(1))
-    read = docs.select(F.col(id_col).alias("_id"), F.xxhash64(whole_text(text_col)).alias("_v"), words.alias("_words"))
-
-    seen = read.select(F.explode(F.array_distinct(F.filter("_words", lambda w: w.isin(vocabulary)))).alias("word"))
-    df = seen.groupBy("word").agg(F.count("*").alias("df"))
-    n_docs = docs.count()
-    df = {r[0]: r[1] for r in df.collect()}  # a row for each word of the wording at most
-    idf = {w: math.log((n_docs + 1) / (df.get(w, 0) + 0.5)) for w in vocabulary}
-    chosen = []
-    for t, (label, text, _) in enumerate(TEMPLATES):
-        own = text.split()
-        rare = sorted(set(own), key=lambda w: (-idf[w], w))[:rare_words]
-        weight = sum(idf[w] for w in own if w in rare)
-        chosen += [(t, label, w, k, idf[w] / weight if weight > 0 else 1 / len(own)) for k, w in enumerate(own) if w in rare]
-    index = spark.createDataFrame(chosen, "template int, label string, word string, place int, weight double")
-    rare = sorted({x[2] for x in chosen})
-
-    hits = read.select("_id", "_v", F.explode(F.filter(F.transform("_words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda x: x["word"].isin(rare))).alias("x"))
-    aligned = (
-        hits.select("_id", "_v", "x.word", "x.at")
-        .join(F.broadcast(index), "word")
-        .groupBy("_id", "_v", "template", "label", (F.col("at") - F.col("place")).alias("start"))
-        .agg(F.sum("weight").alias("weight"))
-        .where(F.col("weight") >= least - 1e-9)
-        .groupBy("_id", "_v", "template", "label")
-        .agg(F.max("weight").alias("weight"))
-    )
-    candidates = aligned.groupBy("_id", "_v").agg(F.collect_set(F.struct("template", "label", "weight")).alias("_found"))  # one entry a template at most
-
-    flat = F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" "))
-    base = read.select("_id", "_v", "_words", *[places(F.col("_words"), p.split()).alias(f"_b{k}") for k, p in enumerate(BASE_PHRASES)])
+    cut = docs.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("uid"), F.explode(F.array(words)).alias("_words"))  # a generator's row is computed once
+    at = F.filter(F.transform("_words", lambda w, i: F.when(w.isin(VOCABULARY), i)), lambda i: i.isNotNull())
+    hits = F.transform(at, lambda i: F.struct(F.get("_words", i).alias("word"), i.alias("at")))
+    read = stash(cut.select("_id", "uid", F.size("_words").cast("long").alias("n_words"), hits.alias("hits")))
+
+    seen = read.select(F.explode(F.array_distinct(F.transform("hits", lambda x: x["word"]))).alias("word"))
+    df = {r[0]: r[1] for r in seen.groupBy("word").count().collect()}  # a row for each word of the vocabulary at most
+    postings = rare_index(df, read.count(), rare_words, share)
+    index = spark.createDataFrame(postings, "template int, label string, word string, place int, weight double")
+    rare = sorted({x[2] for x in postings})
+
+    found = read.select("uid", F.explode(F.filter("hits", lambda x: x["word"].isin(rare))).alias("x")).select("uid", "x.*")
+    starts = found.join(F.broadcast(index), "word").groupBy("uid", "template", "label", (F.col("at") - F.col("place")).alias("start")).agg(F.sum("weight").alias("weight"))
+    candidates = starts.where(F.col("weight") >= least - 1e-9)
+    confirmed = candidates.join(read.select("uid", "hits"), "uid").where(_confirmed(slack))
+    kept = confirmed.groupBy("uid").agg(F.collect_set("label").alias("_labels"), F.max("weight").alias("_weight"))  # a label a template at most
+
+    base = read.select("_id", "uid", "n_words", *[places(F.col("hits"), p.split()).alias(f"_b{k}") for k, p in enumerate(BASE_PHRASES)])
     base = base.select(
         "_id",
-        "_v",
-        F.size("_words").cast("long").alias("n_words"),
+        "uid",
+        "n_words",
         F.flatten(F.array(*[F.col(f"_b{k}") for k in range(len(BASE_PHRASES))])).alias("base"),
         F.array_compact(F.array(*[F.when(F.size(f"_b{k}") > 0, F.lit(label)) for k, label in enumerate(BASE_PHRASES.values())])).alias("base_labels"),
-        F.when(F.exists("_words", lambda w: w.isin(rare)), flat).alias("_flat"),
     )
-    keys = [base["_id"].eqNullSafe(candidates["_id"]), base["_v"] == candidates["_v"]]
-    joined = base.join(candidates, keys[0] & keys[1], "left").select(base["_id"], base["_v"], "n_words", "base", "base_labels", "_flat", "_found")
-    checked = joined.withColumn("_kept", F.filter(F.coalesce("_found", F.array()), lambda x: _confirmed(x)))
-    return checked.select(
+    return base.join(kept, "uid", "left").select(
         F.col("_id").alias(id_col),
         "n_words",
         "base",
         F.array_sort(F.array_distinct("base_labels")).alias("base_labels"),
-        F.array_sort(F.array_distinct(F.concat("base_labels", F.transform("_kept", lambda x: x["label"])))).alias("labels"),
-        F.when(F.size("base") > 0, 1.0).otherwise(F.least(F.lit(1.0), F.coalesce(F.array_max(F.transform("_kept", lambda x: x["weight"])), F.lit(0.0)))).alias("score"),
+        F.array_sort(F.array_distinct(F.concat("base_labels", F.coalesce("_labels", F.array().cast("array<string>"))))).alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(F.least(F.lit(1.0), F.coalesce("_weight", F.lit(0.0)))).alias("score"),
     )
 
 
-def _confirmed(x: Column) -> Column:
-    """Whether the mandatory phrases of the candidate's template stand in the text."""
+def _confirmed(slack: int) -> Column:
+    """Whether the mandatory phrases of the candidate's template stand at their places behind ``start``."""
     out = F.lit(False)
-    for t, (_, _, phrases) in enumerate(TEMPLATES):
-        ok = x["template"] == t
+    for t, (_, text, phrases) in enumerate(TEMPLATES):
+        ok = F.col("template") == t
         for p in phrases:
-            ok = ok & F.contains(F.col("_flat"), F.lit(f" {p} "))
+            place = len(f" {text} ".partition(f" {p} ")[0].split())
+            ok = ok & F.exists(places(F.col("hits"), p.split()), lambda at, place=place: F.abs(at - F.col("start") - place) <= slack)
         out = out | ok
     return out
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NON_SPACES, table, whole_text
+from .common import table, whole_text, word_count
 
 #: Tables of at most so many sources are broadcast; larger ones are joined by a shuffle.
 BROADCAST_SOURCES = 20_000
@@ -46,7 +46,7 @@ def mix_sources(
     same id share their fate; sources without words have target 0; an empty table gives an empty result.
     """
     hashed = F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col))
-    sized = docs.withColumn("_mix_size", F.regexp_count(whole_text(text_col), F.lit(NON_SPACES)).cast("long")).withColumn("_mix_h", hashed)
+    sized = docs.withColumn("_mix_size", word_count(whole_text(text_col)).cast("long")).withColumn("_mix_h", hashed)
     bits = buckets.bit_length() - 1
     slim = sized.select(F.col(source_col).alias("source"), "_mix_size", "_mix_h", (F.shiftright("_mix_h", 64 - bits)).alias("_mix_bucket"))
     by_bucket = slim.groupBy("source", "_mix_bucket").agg(F.sum("_mix_size").alias("_mix_size"))

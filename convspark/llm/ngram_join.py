@@ -314,7 +314,7 @@ def ngram_components(docs: DataFrame, percent: int = 75, words: int = 5, hot_sha
         roots = None
     else:
         lists = shared.join(live, "node", "left_semi").groupBy("node").agg(F.collect_set(F.when(~F.col("often"), F.col("token"))).alias("rare"), F.collect_set(F.when(F.col("often"), F.col("token"))).alias("often"))
-        texts = _texts(docs, live.join(lists, "node", "left"), id_col, text_col)
+        texts = _texts(docs, live, id_col, text_col).join(lists.hint("merge"), "node", "left")
         sets = prefixed(texts, frequent, words, percent).where(F.size("spots") > 0)
         if rows.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count():
             sets = sets.dropDuplicates(["node"])

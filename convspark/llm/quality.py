@@ -10,33 +10,58 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACES, crc_held_out, shared_folder, table, whole_text
+from .common import crc_held_out, shared_folder, table, whole_text, word_count
 
 Rule = tuple[tuple[int, bool, float], ...]  # (feature, at most?, threshold) of each condition
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a text that don't depend on its language; all are 0 for the empty text."""
+def counts(text: Column) -> dict[str, Column]:
+    """What the statistics are made of, each taken from the text once.
+
+    Characters of a kind are counted by the length of the text without all others: a list of matches, as
+    ``regexp_count`` makes it, would have an entry for each of them. No pattern looks at a character more than a few times.
+    """
+    kept = lambda others: F.length(F.regexp_replace(text, others, "")).cast("double")
     count = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("double")
+    return {
+        "chars": F.length(text).cast("double"),
+        "words": word_count(text).cast("double"),
+        "letters": kept(r"[^\p{L}]+"),
+        "upper": kept(r"[^\p{Lu}]+"),
+        "digits": kept("[^0-9]+"),
+        "symbols": kept(r"[^#$%&*+/<=>@\\^_`|~{}\[\]!]+"),
+        "bare": count(r"(?<!\S)[^\p{L}\p{N}\s]++(?!\S)"),
+        "marked": count(r"(?<![^\p{L}\p{N}\s])[^\p{L}\p{N}\s]{2,}+(?!\S)"),
+        "echoed": count(r"(?<!\S)(\S++)(?=\s\1(?!\S))"),
+        "ends": count(r"[.!?](?!\S)"),
+        "lines": F.filter(F.split(text, "\n"), lambda x: x != ""),
+    }
+
+
+def shares(c) -> dict[str, Column]:
+    """Statistics of a text that don't depend on its language, where ``c`` gives a count by name; all are 0 for the empty text."""
     share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
-    chars, words = F.length(text).cast("double"), count(NON_SPACES)
-    lines = F.filter(F.split(text, "\n"), lambda x: x != "")
-    letters, upper = count(r"\p{L}"), count(r"\p{Lu}")
     return {
-        "log_words": F.log1p(words),
-        "word_length": share(chars, words),
-        "upper_share": share(upper, letters),
-        "digit_share": share(count("[0-9]"), chars),
-        "symbol_share": share(count(r"[#$%&*+/<=>@\\^_`|~{}\[\]!]"), chars),
-        "letter_share": share(letters, chars),
-        "bare_words": share(count(r"(?<!\S)[^\p{L}\p{N}\s]+(?!\S)"), words),
-        "marked_words": share(count(r"[^\p{L}\p{N}\s]{2,}(?!\S)"), words),
-        "echoed_words": share(count(r"(?<!\S)(\S+)(?=\s\1(?!\S))"), words),
-        "sentence_ends": share(count(r"[.!?](?!\S)"), words),
-        "repeated_lines": share(F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines).cast("double")),
+        "log_words": F.log1p(c("words")),
+        "word_length": share(c("chars"), c("words")),
+        "upper_share": share(c("upper"), c("letters")),
+        "digit_share": share(c("digits"), c("chars")),
+        "symbol_share": share(c("symbols"), c("chars")),
+        "letter_share": share(c("letters"), c("chars")),
+        "bare_words": share(c("bare"), c("words")),
+        "marked_words": share(c("marked"), c("words")),
+        "echoed_words": share(c("echoed"), c("words")),
+        "sentence_ends": share(c("ends"), c("words")),
+        "repeated_lines": share(F.size(c("lines")) - F.size(F.array_distinct(c("lines"))), F.size(c("lines")).cast("double")),
     }
 
 
+def statistics(text: Column) -> Column:
+    """A struct of the statistics. The counts are bound to a lambda's variable, as each use would take them anew."""
+    once = F.array(F.struct(*[c.alias(n) for n, c in counts(text).items()]))
+    return F.transform(once, lambda x: F.struct(*[c.alias(n) for n, c in shares(lambda name: x[name]).items()]))[0]
+
+
 FEATURES = ("log_words", "word_length", "upper_share", "digit_share", "symbol_share", "letter_share", "bare_words", "marked_words", "echoed_words", "sentence_ends", "repeated_lines")
 
 
@@ -79,8 +104,7 @@ class RuleEnsemble:
     def score_text(self, text: Column) -> Column:
         """The probability as a column over a text. Its statistics are bound to a lambda's variable, as the optimiser
         would otherwise write them out anew for each condition of each rule."""
-        once = F.array(F.struct(*[c.alias(n) for n, c in statistics(text).items()]))
-        return F.transform(once, lambda s: self.score(lambda name: s[name]))[0]
+        return F.transform(F.array(statistics(text)), lambda s: self.score(lambda name: s[name]))[0]
 
 
 def fit_rules(
@@ -98,7 +122,7 @@ def fit_rules(
         chosen = chosen.where(usable)
     chosen = chosen.groupBy(id_col).agg(F.max(label_col).cast("double").alias("_y")).orderBy(F.xxhash64(F.lit(seed), F.col(id_col)), id_col).limit(max_rows)
     sample = docs.select(id_col, whole_text(text_col).alias("_text")).join(F.broadcast(chosen), id_col)  # max_rows rows
-    sample = sample.select(id_col, "_y", *[c.alias(n) for n, c in statistics(F.col("_text")).items()])
+    sample = sample.select(id_col, "_y", statistics(F.col("_text")).alias("_s")).select(id_col, "_y", "_s.*")
     path = shared_folder(spark)
     sample.write.parquet(path)
     # max_rows rows of a few numbers, in one partition and one order: reruns grow the same trees.
