@@ -125,6 +125,10 @@ def scan_licences(docs: DataFrame, rare_words: int = 6, least: float = 0.8, shar
     )
 
 
+def _within(place: int, slack: int):
+    return lambda x: F.abs(x - place) <= slack
+
+
 def _confirmed(slack: int) -> Column:
     """Whether the mandatory phrases of the candidate's template stand at their places behind ``start``."""
     out = F.lit(False)
@@ -132,7 +136,7 @@ def _confirmed(slack: int) -> Column:
         ok = F.col("template") == t
         for p in phrases:
             place = len(f" {text} ".partition(f" {p} ")[0].split())
-            ok = ok & F.exists(places(F.col("hits"), p.split()), lambda at, place=place: F.abs(at - F.col("start") - place) <= slack)
+            ok = ok & F.exists(F.transform(places(F.col("hits"), p.split()), lambda at: at - F.col("start")), _within(place, slack))
         out = out | ok
     return out
 
