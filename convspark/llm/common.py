@@ -65,6 +65,12 @@ def drop_written(spark: SparkSession, since: int = 0, keep: tuple[DataFrame, ...
             _written.remove(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets the session hand rows to Python in small Arrow batches: a batch is held whole on both sides, and its texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def crc_held_out(doc_id: Column, mod: int, rest: int) -> Column:
     """Whether crc32 of the id as text leaves ``rest`` modulo ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % mod == rest

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, stash, table, written
+from .common import UPPER, drop_written, small_batches, stash, table, written
 from .components import components
 from .shingles import U64, mix, text_shingles
 
@@ -296,6 +296,7 @@ def ngram_components(docs: DataFrame, percent: int = 75, words: int = 5, hot_sha
     with different texts are different nodes. Shingles are 64-bit hashes, sets are told apart by 128 bits. An empty
     table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     mark = written()
     sketched = stash(signatures(docs, words, hot_share, id_col, text_col))
     rows = sketched.where("times IS NULL").select("doc_id", "text_key", "n", "e", "sig1", "sig2")
@@ -398,3 +399,15 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def op5_ngram_join(spark, sf_dir):
     return ngram_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLE = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+o AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r(d, m) AS (SELECT DISTINCT x, x FROM o UNION SELECT o.y, r.m FROM r JOIN o ON o.x = r.d WHERE r.m < o.y)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, doc_id) AS component_id FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT d AS doc_id, min(m) AS m FROM r GROUP BY d) USING (doc_id)
+"""

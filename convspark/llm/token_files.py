@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, table, whole_text
+from .common import shared_folder, small_batches, table, whole_text
 from .elias_fano import EliasFano
 
 MAGIC = b"TEF1"
@@ -123,8 +123,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     longer document has one of its own), and the counts that readers need. Spark's writer commits whole tasks, so a lost
     executor leaves no part. Null and empty texts are just ``end_id``. No rows make an empty table.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # Rows of one id, or of none, are told apart by how their texts begin, so that they needn't share a part.
+    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.substring("text", 1, 32)).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
 
     def encode(batches):
         enc, part, shard, start = _encoder(tokenizer), TaskContext.get().partitionId(), 0, 0
