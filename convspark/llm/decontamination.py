@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER, table
+from .common import UPPER, small_batches, table
 from .shingles import MARKS, U64, text_shingles
 
 HASHES = 64
 _FACTORS = np.random.default_rng(7).integers(1, 1 << 63, HASHES, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 SMALLEST = 8
+#: Items of fewer distinct shingles are looked up exactly.
+FEW = 16
 
 
 def _minima(v: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -22,15 +24,25 @@ def _minima(v: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """A block of test items: exact sets, and MinHash values by size class."""
+    """A block of test items: exact sets; MinHash values by size class, and single shingles of the items that are too
+    small for them.
+
+    An item of at least ``FEW`` distinct shingles that fill more than half of its size class is searched by MinHash. Of
+    any other, a text that holds ``least`` of its shingles holds one of the first d - ceil(least * d) + 1 of its d, which
+    are looked up as they are.
+    """
 
     def __init__(self, ids: list, runs: list[np.ndarray], least: float):
         self.ids, self.least = ids, least
         self.sets = [np.unique(r) for r in runs]
         classes = np.array([max(SMALLEST, 1 << (len(r) - 1).bit_length()) for r in runs])
+        sizes = np.array([len(s) for s in self.sets])
+        large = (sizes >= FEW) & (2 * sizes > classes)
+        single = [(x, k) for k in np.flatnonzero(~large).tolist() for x in self.sets[k][: sizes[k] - int(np.ceil(least * sizes[k])) + 1].tolist()]
+        self.single = np.array(sorted(single), U64).reshape(-1, 2)
         self.classes = {}
-        for size in np.unique(classes).tolist():
-            own = np.flatnonzero(classes == size)
+        for size in np.unique(classes[large]).tolist():
+            own = np.flatnonzero(large & (classes == size))
             lists = []
             for a in _FACTORS:
                 values = np.array([((self.sets[k] * a) >> U64(32)).min() for k in own])
@@ -38,13 +50,26 @@ class Items:
                 lists.append((values[order], own[order]))
             self.classes[size] = lists
 
+    def looked_up(self, runs: list[np.ndarray]) -> set[tuple[int, int]]:
+        """Pairs (row, item) where the row holds one of the item's single shingles."""
+        lengths = [len(r) for r in runs]
+        if not len(self.single) or not sum(lengths):
+            return set()
+        flat, row = np.concatenate(runs), np.repeat(np.arange(len(runs)), lengths)
+        keys = np.ascontiguousarray(self.single[:, 0])
+        left, right = np.searchsorted(keys, flat, "left"), np.searchsorted(keys, flat, "right")
+        return {(int(row[j]), int(x)) for j in np.flatnonzero(left < right).tolist() for x in self.single[left[j] : right[j], 1]}
+
     def candidates(self, runs: list[np.ndarray]) -> set[tuple[int, int]]:
         """Pairs (row, item) where a window of the row and the item agree in a MinHash value.
 
         A row's shingles are cut into blocks of 8, 16, 32 ... as the size class asks; a window is two neighbouring
         blocks, so that a passage no longer than the class lies in one. With at least 3/4 of the item in a window of
-        twice its class, their Jaccard similarity is 0.176 or more, and 64 values miss it with probability under 5e-6.
+        twice its class, of which the item fills more than a quarter, their Jaccard similarity is 0.176 or more, and 64
+        values miss it with probability under 5e-6.
         """
+        if not self.classes:
+            return set()
         lengths = np.array([len(r) for r in runs])
         rows = np.flatnonzero(lengths)
         if not len(rows):
@@ -78,7 +103,7 @@ class Items:
     def matches(self, runs: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
         """(row, item, shared shingles) of rows that hold at least ``least`` of the item's shingles."""
         last, own = -1, None
-        for row, item in sorted(self.candidates(runs)):
+        for row, item in sorted(self.candidates(runs) | self.looked_up(runs)):
             if row != last:
                 last, own = row, np.unique(runs[row])
             shared = len(np.intersect1d(own, self.sets[item], assume_unique=True))
@@ -106,11 +131,13 @@ def item_blocks(items: DataFrame, least: float, words: int, block_shingles: int,
 def find_items(docs: DataFrame, items: DataFrame, least: float = 0.75, words: int = 5, block_shingles: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Pairs of a document and a test item of which it holds at least ``least`` of the distinct ``words``-word shingles.
 
-    Words are runs of letters and digits with A-Z in lower case. A text of fewer words is one shingle as a whole; texts
-    without words hold and match nothing. Returns, for every row of ``docs`` (also of equal ids): id, item id,
+    Words are runs of letters and digits with A-Z in lower case. A text of fewer words is one shingle as a whole, so that
+    an item of fewer words is found only in documents that consist of it; texts without words hold and match nothing.
+    Ids are integers, or texts of integers. Returns, for every row of ``docs`` (also of equal ids): id, item id,
     item_shingles, shared, containment. No documents or no items: no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, item_id long, item_shingles long, shared long"
     out = None
@@ -138,6 +165,7 @@ def _pieces(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]
 
 def decontaminate(docs: DataFrame, items: DataFrame, least: float = 0.75, words: int = 5, block_shingles: int = 1 << 20, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no item (see ``find_items``), with all their columns."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
     for block in item_blocks(items, least, words, block_shingles, item_id, item_text):
         shared_block = docs.sparkSession.sparkContext.broadcast(block)
