@@ -40,12 +40,13 @@ def _suffixes(live: DataFrame, depth: int) -> DataFrame:
 def repeated_lines(docs: DataFrame, min_words: int = 10, whole_runs: bool = False) -> DataFrame:
     """Lines (uid, ln) of later copies of repeated runs, for ``docs`` (uid, id, text).
 
-    Only lines that occur twice can be in a repeated run; the suffixes that start at them are sorted by their first
-    lines. A run counts from ``min_words`` words, and as a line has one at least, that many lines tell suffixes apart
-    for good. Neighbours in the sorted order share a longest common prefix; where it falls below the lines that a run
-    needs here, an interval ends. The members of an interval repeat one run: the first by (id, uid, line) is kept, and
-    the run's lines are deleted from all others. Every start inside a longer repeated run with ``min_words`` words left
-    has an interval of its own; lines behind the last of these windows stay.
+    Only lines that occur twice can be in a repeated run; the suffixes that start at them are ranked by their first
+    1, 2, 4 ... lines. A run counts from ``min_words`` words, and as a line has one at least, that many lines tell
+    suffixes apart for good. The suffixes whose longest common prefix has the lines that a run needs here are an
+    interval of the suffix array; two ranks name it, so that nothing but an aggregation has to hold it together. The
+    members of an interval repeat one run: the first by (id, uid, line) is kept, and the run's lines are deleted from all
+    others. Every start inside a longer repeated run with ``min_words`` words left has an interval of its own; lines
+    behind the last of these windows stay.
 
     With ``whole_runs`` these go too: from each start in an interval, the longest run that occurs at an earlier place as
     well is deleted. It is looked for up to ``min_words`` lines only and still found whole: from the last start of a
@@ -62,39 +63,31 @@ def repeated_lines(docs: DataFrame, min_words: int = 10, whole_runs: bool = Fals
     while depth < min_words:
         depth *= 2
     at = Window.partitionBy("uid", "segment").orderBy("ln").rowsBetween(0, depth - 1)
-    sized = _suffixes(live, depth).withColumn("seq", F.collect_list("r0").over(at)).withColumn("ws", F.collect_list("words").over(at))
+    last = depth.bit_length() - 1
+    ranks = F.struct(*[f"r{k}" for k in range(last + 1)])
+    sized = _suffixes(live, depth).withColumn("seq", F.collect_list("r0").over(at)).withColumn("ws", F.collect_list("words").over(at)).withColumn("rs", F.collect_list(ranks).over(at))
     sums = F.transform("ws", lambda w, i: F.aggregate(F.slice("ws", 1, i + 1), F.lit(0), lambda a, b: a + b))
     need = F.size(F.filter(sums, lambda s: s < min_words)) + 1
-    last = depth.bit_length() - 1
-    suffixes = stash(sized.withColumn("need", need).where(F.col("need") <= F.size("ws")).drop("ws", "words", "segment"))
+    sized = sized.withColumn("need", need).where(F.col("need") <= F.size("ws"))
 
-    # One row for each distinct suffix; its interval lies among those with the same run of 2 ** k <= need lines.
-    level = F.lit(0)
-    shared = F.col("r0")
+    # The suffixes that share their first ``need`` lines: equal ranks of the run of 2 ** k <= need lines at the start, and
+    # of the one that ends with them.
+    head, tail = F.col("r0"), F.get("rs", F.col("need") - 1)["r0"]
     for k in range(1, last + 1):
-        level = F.when(F.col("need") >= 2**k, k).otherwise(level)
-        shared = F.when(F.col("need") >= 2**k, F.col(f"r{k}")).otherwise(shared)
-    place = F.struct(F.col("id").isNull(), "id", "uid", "ln")
-    array = suffixes.groupBy(F.col(f"r{last}").alias("rank")).agg(
-        F.first("need").alias("need"), F.first("seq").alias("seq"), F.first(level).alias("level"), F.first(shared).alias("shared"), F.min(place).alias("place"), *([F.max(place).alias("last")] if whole_runs else [])
-    )
-    order = Window.partitionBy("level", "shared").orderBy("rank")
-    common = F.size(F.filter(F.sequence(F.lit(1), F.col("need")), lambda n: F.slice("seq", 1, n) == F.slice("_before", 1, n)))
-    lcp = F.when(F.col("_before").isNull(), 0).otherwise(common)
-    array = array.withColumn("_before", F.lag("seq").over(order)).withColumn("ends", F.when(lcp < F.col("need"), 1).otherwise(0))
-    array = stash(array.withColumn("interval", F.sum("ends").over(order)).drop("_before", "seq"))
-    firsts = array.groupBy("level", "shared", "interval").agg(F.min("place").alias("first"), F.max("last").alias("last") if whole_runs else F.count("*").alias("n"))
+        head = F.when(F.col("need") >= 2**k, F.col(f"r{k}")).otherwise(head)
+        tail = F.when(F.col("need") >= 2**k, F.get("rs", F.col("need") - 2**k)[f"r{k}"]).otherwise(tail)
+    suffixes = stash(sized.select("uid", "id", "ln", "need", *(["seq"] if whole_runs else []), head.alias("head"), tail.alias("tail")))
+    place, interval = F.struct(F.col("id").isNull(), "id", "uid", "ln"), ["need", "head", "tail"]
+    firsts = suffixes.groupBy(*interval).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").drop("last")
     if whole_runs:
-        often = array.drop("last").join(firsts.where("first != last"), ["level", "shared", "interval"]).select("rank")
-        starts = suffixes.join(often, F.col(f"r{last}") == F.col("rank"), "left_semi").select("uid", "id", "ln", "need", "seq")
+        starts = suffixes.join(firsts, interval, "left_semi").select("uid", "id", "ln", "need", "seq")
         runs = starts.withColumn("m", F.explode(F.sequence("need", F.least(F.size("seq"), F.lit(min_words))))).withColumn("run", F.slice("seq", 1, F.col("m")))
         runs = runs.select("uid", place.alias("place"), "ln", "m", F.xxhash64("run").alias("h1"), F.xxhash64(F.lit(1), "run").alias("h2"))
         # The runs' first places are joined, not taken by a window, as a run may occur in any number of places.
         first = runs.groupBy("m", *_KEY).agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last").drop("last")
         copies = runs.join(first, ["m", *_KEY]).where("place != first").groupBy("uid", "ln").agg(F.max("m").alias("need"))
     else:
-        kept = array.join(firsts, ["level", "shared", "interval"]).select("rank", "first")
-        copies = suffixes.join(kept, F.col(f"r{last}") == F.col("rank")).where((F.col("uid") != F.col("first.uid")) | (F.col("ln") != F.col("first.ln")))
+        copies = suffixes.join(firsts, interval).where((F.col("uid") != F.col("first.uid")) | (F.col("ln") != F.col("first.ln")))
     return copies.select("uid", F.explode(F.sequence(F.col("ln"), F.col("ln") + F.col("need") - 1)).alias("ln")).distinct()
 
 
@@ -123,26 +116,32 @@ def _digests(out: DataFrame) -> DataFrame:
 
 
 def op8_line_dedup(spark, sf_dir):
-    return _digests(drop_repeated_lines(table(spark, sf_dir, "documents")))
+    return _digests(drop_repeated_lines(table(spark, sf_dir, "documents"), whole_runs=True))
 
 
-def op8_line_dedup_whole_runs(spark, sf_dir):
-    """Deletes whole maximal runs; the DuckDB counterpart of ``op8_line_dedup`` has the shorter windows."""
-    return _digests(drop_repeated_lines(table(spark, sf_dir, "documents"), whole_runs=True))
+def op8_line_dedup_shortest_runs(spark, sf_dir):
+    """Deletes the shortest runs of ten words from each start; lines with fewer words behind the last of them stay."""
+    return _digests(drop_repeated_lines(table(spark, sf_dir, "documents")))
 
 
-ORACLE = r"""
+_ORACLE = r"""
 WITH d AS (SELECT doc_id, list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))) AS t,
                   string_split(coalesce(text, ''), chr(10)) AS raw FROM documents),
 l AS (SELECT doc_id, raw, t, list_filter(t, lambda x: x <> '') AS a FROM d),
 w AS (SELECT *, list_transform(a, lambda x: len(string_split(x, ' '))) AS n FROM l),
 p AS (SELECT doc_id, unnest(range(1, len(a) + 1)) AS i, a, n FROM w),
-q AS (SELECT doc_id, i, a, len(list_filter(range(1, least(10, len(a) - i + 1) + 1), lambda k: list_sum(n[i:i + k - 1]) < 10)) + 1 AS m FROM p),
+q0 AS (SELECT doc_id, i, a, len(list_filter(range(1, least(10, len(a) - i + 1) + 1), lambda k: list_sum(n[i:i + k - 1]) < 10)) + 1 AS need FROM p),
+q AS (SELECT doc_id, i, a, {LENGTHS} AS m FROM q0),
 r AS (SELECT doc_id, i, m, array_to_string(a[i:i + m - 1], chr(10)) AS s FROM q WHERE i + m - 1 <= len(a)),
 f AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS rn FROM r),
-g AS (SELECT doc_id, list_sort(list_distinct(flatten(list(range(i - 1, i + m - 1))))) AS gone FROM f WHERE rn > 1 GROUP BY doc_id),
+c AS (SELECT doc_id, i, max(m) AS m FROM f WHERE rn > 1 GROUP BY ALL),
+g AS (SELECT doc_id, list_sort(list_distinct(flatten(list(range(i - 1, i + m - 1))))) AS gone FROM c GROUP BY doc_id),
 o AS (SELECT w.doc_id, a, raw, t, coalesce(gone, []) AS gone, list_filter(range(1, len(t) + 1), lambda k: t[k] <> '') AS full_at FROM w LEFT JOIN g USING (doc_id))
 SELECT doc_id, len(a) AS n_lines, len(gone) AS n_removed, array_to_string(gone, ',') AS removed,
        sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(raw) + 1), lambda k: NOT list_contains(list_transform(gone, lambda z: full_at[z + 1]), k)), lambda k: raw[k]), chr(10)), '')) AS text_sha256
 FROM o
 """
+
+#: From each start, runs of any length up to ten lines, which reach the end of any maximal run from one start or another.
+ORACLE = _ORACLE.replace("{LENGTHS}", "unnest(range(need, 11))")
+ORACLE_SHORTEST = _ORACLE.replace("{LENGTHS}", "need")

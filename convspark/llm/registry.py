@@ -5,7 +5,6 @@ from __future__ import annotations
 from . import chat_format, decontamination, exact_dedup, licences, line_dedup, mixing, ngram_join, quality, suffix_tree, token_files
 
 
-
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -21,7 +20,7 @@ QUERIES = {
     "op6_rule_ensemble": quality.op6_rule_ensemble,
     "op7_content_sort_dedup": exact_dedup.op7_content_sort_dedup,
     "op8_line_dedup": line_dedup.op8_line_dedup,
-    "op8_line_dedup_whole_runs": line_dedup.op8_line_dedup_whole_runs,
+    "op8_line_dedup_shortest_runs": line_dedup.op8_line_dedup_shortest_runs,
     "op9_water_filling": mixing.op9_water_filling,
     "op10_token_files": token_files.op10_token_files,
     "pipeline": pipeline,
@@ -30,6 +29,8 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_decontamination": decontamination.ORACLE,
     "op4_chat_round_trip": chat_format.ORACLE,
+    "op5_ngram_join": ngram_join.ORACLE,
     "op7_content_sort_dedup": exact_dedup.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
+    "op8_line_dedup_shortest_runs": line_dedup.ORACLE_SHORTEST,
 }
