@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table, whole_text, word_count
+from .common import stash, table, whole_text, word_count
 
 #: Tables of at most so many sources are broadcast; larger ones are joined by a shuffle.
 BROADCAST_SOURCES = 20_000
@@ -48,7 +48,7 @@ def mix_sources(
     hashed = F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col))
     sized = docs.withColumn("_mix_size", word_count(whole_text(text_col)).cast("long")).withColumn("_mix_h", hashed)
     bits = buckets.bit_length() - 1
-    slim = sized.select(F.col(source_col).alias("source"), "_mix_size", "_mix_h", (F.shiftright("_mix_h", 64 - bits)).alias("_mix_bucket"))
+    slim = stash(sized.select(F.col(source_col).alias("source"), "_mix_size", "_mix_h", (F.shiftright("_mix_h", 64 - bits)).alias("_mix_bucket")))  # texts are counted once for it
     by_bucket = slim.groupBy("source", "_mix_bucket").agg(F.sum("_mix_size").alias("_mix_size"))
 
     per_source = by_bucket.groupBy("source").agg(F.sum("_mix_size").cast("double").alias("source_size"))
