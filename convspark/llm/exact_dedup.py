@@ -12,15 +12,15 @@ from .common import SPACES, shared_folder, table, whole_text
 HEAD = 32
 
 
-def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_share: float = 0.001, salts: int = 16) -> DataFrame:
+def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_share: float = 0.001, salts: int = 16, part_rows: int = 100_000) -> DataFrame:
     """Keeps, of texts that are equal after white space is normalised, the row with the smallest id.
 
     ``repartitionByRange`` samples splitters and deals out the normalised texts by range: by their first ``HEAD``
     characters, then a hash, so that the samples that Spark brings to the driver are short however long texts are. The
     window's external sort puts equal texts side by side, and its comparison of neighbouring rows (whole texts, no
     digests) ends a group. A
-    text held by at least ``hot_share`` of all rows (at most 1 / hot_share texts can be) is split over ``salts`` keys;
-    the first rows of its parts go through a second content sort, of at most ``salts`` rows a text.
+    text held by at least ``hot_share`` of all rows (at most 1 / hot_share texts can be) is split over ``salts`` keys, or
+    as many as it has ``part_rows`` rows; the first rows of its parts go through a second content sort.
 
     Returns one row per input row: id, keep_id, group_size, kept, text_sha256. Null texts equal the empty text. A null
     id never beats another id; of rows with the same id one is kept. An empty table gives an empty result. Other
@@ -30,12 +30,13 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     norm = docs.select(F.col(id_col).alias("_id"), F.regexp_replace(whole_text(text_col), SPACES, " ").alias("_norm"))
     digests = norm.select(F.xxhash64("_norm").alias("_h")).groupBy("_h").agg(F.count("*").alias("_n"))
     least = max(salts, int(hot_share * docs.count()))
-    hot = [r[0] for r in digests.where(F.col("_n") >= least).select("_h").collect()]  # 1 / hot_share rows at most
+    hot = digests.where(F.col("_n") >= least).select(F.col("_h").alias("_hash"), F.greatest(F.lit(salts), F.ceil(F.col("_n") / part_rows)).alias("_keys"))
 
-    is_hot = F.xxhash64("_norm").isin(hot) if hot else F.lit(False)
-    salt = F.when(is_hot, F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int") + 1).otherwise(F.lit(0))
-    keyed = norm.withColumn("_salt", salt).withColumn("_head", F.substring("_norm", 1, HEAD)).withColumn("_hash", F.xxhash64("_norm"))
-    sorted_rows = keyed.repartitionByRange("_head", "_hash", "_salt")
+    # Rows without an id are dealt out by where they stand, as they would all have one key.
+    own = F.xxhash64("_id", F.when(F.col("_id").isNull(), F.monotonically_increasing_id()))
+    salt = F.when(F.col("_keys").isNotNull(), F.pmod(own, F.col("_keys")) + 1).otherwise(F.lit(0))
+    keyed = norm.withColumn("_head", F.substring("_norm", 1, HEAD)).withColumn("_hash", F.xxhash64("_norm")).join(F.broadcast(hot), "_hash", "left")  # 1 / hot_share rows at most
+    sorted_rows = keyed.withColumn("_salt", salt).drop("_keys").repartitionByRange("_head", "_hash", "_salt")
     part = Window.partitionBy("_head", "_hash", "_norm", "_salt")
     runs = sorted_rows.select(
         "_id",
@@ -60,7 +61,7 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     split = (
         runs.where("_salt > 0")
         .select("_id", "_salt", "_rn", "_first", "text_sha256")
-        .join(F.broadcast(heads), ["text_sha256", "_salt"])  # salts / hot_share rows at most
+        .join(F.broadcast(heads), ["text_sha256", "_salt"])  # salts / hot_share rows, and one for part_rows of all, at most
         .select("_id", "keep_id", "group_size", "_rn", "_first", "text_sha256")
     )
     return cold.unionByName(split).select(
