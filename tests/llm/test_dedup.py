@@ -79,9 +79,52 @@ def test_near_random_families(spark):
     for share in (0.0005, 0.05, 1.0):
         got = ngram_components(docs, hot_share=share, bucket_rows=50)
         assert rows_of(got.select("doc_id", "n_shingles", "component_id")) == want
+    for often, long_list, block in ((2, 2, 3), (4, 1, 1000), (3, 8, 7)):  # few frequent shingles, long lists, and blocks of them
+        got = ngram_components(docs, hot_share=0.2, often=often, long_list=long_list, bucket_rows=block)
+        assert rows_of(got.select("doc_id", "n_shingles", "component_id")) == want
     assert keep_one_of_each(docs).count() == len({w[2] for w in want})
 
 
+def test_near_bounds():
+    """No link is kept back by positions, sizes or parity maps."""
+    import numpy as np
+
+    from convspark.llm import ngram_join as J
+    from convspark.llm.shingles import U64
+
+    r = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(r.integers(1, 200))
+        a = np.unique(r.integers(0, 1 << 60, n).astype(U64))
+        b = np.unique(np.concatenate([a[r.random(len(a)) < r.choice([0.75, 0.9, 1.0])], r.integers(0, 1 << 60, int(r.integers(0, n // 4 + 1))).astype(U64)]))
+        shared, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        x, y = sorted((J._parity_map(a).view(U64), J._parity_map(b).view(U64)), key=len)
+        if len(y) > len(x):
+            assert len(y) == 2 * len(x) or 4 * len(b) < 3 * len(a) or 4 * len(a) < 3 * len(b)
+            y = y.reshape(-1, len(x))
+            y = np.bitwise_xor.reduce(y, 0)
+        assert np.bitwise_count(x ^ y).sum() <= len(a) + len(b) - 2 * shared
+        if 100 * shared >= 75 * union and shared:
+            assert set(a[: J._prefix(len(a), 75)].tolist()) & set(b[: J._prefix(len(b), 75)].tolist())
+
+
+def test_near_hub(spark):
+    """Copies that link with their original only, not with each other, are one component; unlike ones stay apart."""
+    r = random.Random(12)
+    base = [f"b{k}" for k in range(120)]
+    rows = [(0, " ".join(base), None, None, None)]
+    for k in range(1, 90):
+        own = list(base)
+        for at in r.sample(range(2, 118), 3 if k % 3 else 6):
+            own[at] = f"c{k}x{at}"
+        rows.append((k, " ".join(own), None, None, None))
+    docs = spark.createDataFrame(rows, DOCS)
+    want = _components(rows)
+    assert len({w[2] for w in want}) > 10
+    for options in ({}, {"often": 4, "long_list": 4, "bucket_rows": 16}):
+        assert rows_of(ngram_components(docs, **options).select("doc_id", "n_shingles", "component_id")) == want
+
+
 def test_keep_one(odd, clashing):
     kept = keep_one_of_each(clashing)
     assert kept.columns == clashing.columns

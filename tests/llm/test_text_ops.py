@@ -92,8 +92,8 @@ def test_decontamination(spark, odd, clashing, empty):
     r = random.Random(8)
     word = lambda: f"w{r.randint(0, 3000)}"
     items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([3, 5, 7, 12, 20, 33, 40, 64, 70, 150] * 4)]
-    items += [(100, None), (101, ""), (102, "..."), (103, items[6][1])]
-    docs = [(0, None), (1, ""), (2, items[0][1].upper()), (3, items[4][1].replace(" ", ", ") + "!")]
+    items += [(100, None), (101, ""), (102, "..."), (103, items[6][1]), (104, "over and over " * 30), (105, " ".join(["word"] * 40))]
+    docs = [(0, None), (1, ""), (2, items[0][1].upper()), (3, items[4][1].replace(" ", ", ") + "!"), (4, "x y z " * 300 + "over and over " * 3 + "x y z " * 300), (5, "a b " + " ".join(["word"] * 6))]
     for k in range(200):
         own = [word() for _ in range(r.choice([5, 60, 400, 3000]))]
         for _ in range(r.randint(0, 3)):
