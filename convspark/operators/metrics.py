@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.text import bound, eval_words, normalize_eval
+from ..sources.shared import saved
 from .intervals import atoms, collar
 
 #: First code point of the words' characters; there is room for over a million distinct words up to the last one.
@@ -180,7 +181,7 @@ def _greedy(pairs: pd.DataFrame) -> pd.DataFrame:
 
 def der(reference: DataFrame, hypothesis: DataFrame, collar_ms: int = 250, skip_overlap: bool = True) -> DataFrame:
     """Diarization error of each meeting with a reference: der, and false alarm, miss, confusion, scored and ignored ms."""
-    line = atoms(collar(reference, collar_ms), hypothesis)
+    line = saved(atoms(collar(reference, collar_ms), hypothesis))  # for the mapping and for the scores
     mapping = speaker_mapping(line).groupBy("meeting_id").agg(F.map_from_entries(F.collect_list(F.struct("hyp_speaker", "ref_speaker"))).alias("map"))
     a = line.join(mapping, "meeting_id", "left").withColumn("d", F.col("end_ms") - F.col("start_ms"))
     ignored = F.lit(skip_overlap) & (F.size("ref") > 1)

@@ -141,27 +141,31 @@ def chunks(turns: DataFrame, target_words: int = 220, overlap_words: int = 40) -
     at most ``overlap_words`` are repeated, or right after if that would be the same start. Returns meeting_id,
     chunk_id, chunk_no, turn_indices, start_ms, end_ms, text.
     """
-    m = turns.groupBy("meeting_id").agg(F.array_sort(F.collect_list(F.struct("turn_idx", "speaker", "text", "words", "start_ms", "end_ms"))).alias("t"))
-    m = m.withColumn("p", F.expr("aggregate(t, array(0L), (a, x) -> array_append(a, a[size(a) - 1] + x.words))"))
+    order = Window.partitionBy("meeting_id").orderBy("turn_idx")
+    t = turns.withColumn("_pos", F.row_number().over(order) - 1).withColumn("_p", F.sum("words").over(order.rowsBetween(*_SO_FAR)))
+    m = t.groupBy("meeting_id").agg(F.array_sort(F.collect_list(F.struct("_pos", "_p"))).alias("p"))  # two numbers a turn, no texts
+    m = m.select("meeting_id", F.concat(F.array(F.lit(0).cast("long")), F.transform("p", lambda x: x["_p"].cast("long"))).alias("p"))
     back = f"filter(sequence(a.s, i), k -> p[i] - p[k] <= {overlap_words})[0]"
     ranges = F.expr(
-        f"""aggregate(sequence(0, size(t) - 1), named_struct('s', 0, 'out', cast(array() AS array<struct<s:int,e:int>>)),
+        f"""aggregate(sequence(0, size(p) - 2), named_struct('s', 0, 'out', cast(array() AS array<struct<s:int,e:int>>)),
           (a, i) -> IF(i = a.s OR p[i + 1] - p[a.s] <= {target_words}, a,
             element_at(transform(array({back}), k -> CASE
               WHEN k = a.s OR k = i THEN named_struct('s', i, 'out', array_append(a.out, named_struct('s', a.s, 'e', i)))
               WHEN p[i + 1] - p[k] > {target_words} THEN named_struct('s', i, 'out', array_append(array_append(a.out, named_struct('s', a.s, 'e', i)), named_struct('s', k, 'e', i)))
               ELSE named_struct('s', k, 'out', array_append(a.out, named_struct('s', a.s, 'e', i))) END), 1)),
-          a -> array_append(a.out, named_struct('s', a.s, 'e', size(t))))"""
+          a -> array_append(a.out, named_struct('s', a.s, 'e', size(p) - 1)))"""
     )
-    c = m.select("meeting_id", "t", F.posexplode(ranges).alias("k", "r")).withColumn("u", F.expr("slice(t, r.s + 1, r.e - r.s)"))
-    return c.select(
+    c = m.select("meeting_id", F.posexplode(ranges).alias("k", "r")).select("meeting_id", "k", F.explode(F.sequence(F.col("r.s"), F.col("r.e") - 1)).alias("_pos"))
+    said = t.select("meeting_id", "_pos", "turn_idx", "start_ms", "end_ms", F.concat("speaker", F.lit(": "), "text").alias("line"))
+    g = c.join(said, ["meeting_id", "_pos"]).groupBy("meeting_id", "k").agg(F.array_sort(F.collect_list(F.struct("_pos", "turn_idx", "start_ms", "end_ms", "line"))).alias("u"))
+    return g.select(
         "meeting_id",
         F.format_string("%s_chunk_%04d", F.col("meeting_id").cast("string"), F.col("k") + 1).alias("chunk_id"),
         (F.col("k") + 1).alias("chunk_no"),
         F.transform("u", lambda x: x["turn_idx"]).alias("turn_indices"),
         F.col("u")[0]["start_ms"].alias("start_ms"),
         F.element_at("u", -1)["end_ms"].alias("end_ms"),
-        F.array_join(F.transform("u", lambda x: F.concat(x["speaker"], F.lit(": "), x["text"])), "\n").alias("text"),
+        F.array_join(F.transform("u", lambda x: x["line"]), "\n").alias("text"),
     )
 
 

@@ -135,3 +135,32 @@ TURN_TABLE = f"(SELECT meeting_id, turn_idx, speaker, norm AS text, {word_count(
 TRANSCRIPT_TABLE = f"(SELECT meeting_id, turn_idx, speaker, {normalize_transcript('text_raw')} AS text, {word_count(normalize_transcript('text_raw'))} AS words, start_ms, end_ms FROM {TRANSCRIPT} z)"
 #: Each turn of the transcript as a chunk of its own.
 LINES = f"(SELECT meeting_id, turn_idx AS idx, meeting_id || '_' || turn_idx AS chunk_id, speaker || ': ' || text_raw AS text, text_raw, start_ms, end_ms FROM {TRANSCRIPT} z)"
+
+
+def snippets(src: str, text: str, point: str) -> str:
+    """Rows of src with ``snippet``, the window of the text around the point's first word."""
+    return rf"""(SELECT *, CASE WHEN sn_pos = 0 THEN substring(sn_t, 1, 160) ELSE substring(CASE WHEN sn_s > 0 THEN '...' ELSE '' END || trim(substring(sn_t, sn_s + 1, sn_e - sn_s)) || CASE WHEN sn_e < length(sn_t) THEN '...' ELSE '' END, 1, 160) END AS snippet FROM (
+  SELECT *, greatest(0, sn_pos - 46) AS sn_s, least(length(sn_t), sn_pos - 1 + length(sn_w) + 95) AS sn_e FROM (SELECT *, CASE WHEN sn_w <> '' AND regexp_matches(lower(sn_t), '\b' || sn_w || '\b') THEN length(regexp_extract(lower(sn_t), '^(.*?)\b' || sn_w || '\b', 1)) + 1 ELSE 0 END AS sn_pos FROM (
+  SELECT *, {visible(text, ' ')} AS sn_t, lower(regexp_extract({point}, '([A-Za-z'']+)', 1)) AS sn_w FROM {src} sn_0))))"""
+
+
+def snippet_quality(x: str) -> str:
+    n = f"len(regexp_extract_all({x}, '[A-Za-z'']+'))"
+    return rf"CASE WHEN {n} = 0 THEN 0.0 ELSE round_even(least(1.0, {n} / 20.0) * greatest(0.2, len(regexp_extract_all({x}, '[A-Za-z\s]')) / greatest(1, length({x}))), 3) END"
+
+
+def normalize_follow_up(x: str) -> str:
+    said = "CASE " + " ".join(f"WHEN regexp_matches({key(x)}, {q(p)}) THEN {q(w)}" for p, w in T.POINT_REWRITES) + f" ELSE {collapse(x)} END"
+    bare = rf"regexp_replace(regexp_replace({said}, '(?i)\bto be done\b', '', 'g'), '(?i)^(?:we will|we should|we need to)\s+', '')"
+    return rf"substring(regexp_replace(regexp_replace({bare}, '\s+', ' ', 'g'), '^[ .,:;-]+|[ .,:;-]+$', '', 'g'), 1, 240)"
+
+
+def clean_items(x: str, limit: int) -> str:
+    """Distinct entries that aren't blank, in order; told apart before they are cut."""
+    return f"list_transform(list_slice(list_filter({x}, lambda v, i: v <> '' AND list_position({x}, v) = i), 1, {limit}), lambda v: substring(v, 1, 240))"
+
+
+def html(x: str) -> str:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        x = f"replace({x}, {q(a)}, {q(b)})"
+    return x

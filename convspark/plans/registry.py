@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import audio, extraction, intervals, metrics, ops, sequence
 from ..sources import adapters as A
+from ..sources.shared import saved
 from . import duck as D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -427,8 +428,8 @@ def _(spark, d):
     return metrics.with_char_errors(A.text_pairs(spark, d)).select("pair_meeting", "pair_id", "cer")
 
 
-def _rouge_sql(n: int) -> str:
-    return f"""(WITH p AS (SELECT pair_meeting, pair_id, {D.eval_words('ref')} AS r, {D.eval_words('hyp')} AS h FROM {D.PAIRS} z),
+def _rouge_sql(n: int, pairs: str = D.PAIRS) -> str:
+    return f"""(WITH p AS (SELECT pair_meeting, pair_id, {D.eval_words('ref')} AS r, {D.eval_words('hyp')} AS h FROM {pairs} z),
   x AS (SELECT pair_meeting, pair_id, array_to_string(r[i:i + {n - 1}], ' ') AS gram, 1 AS a, 0 AS b FROM p, unnest(range(1, len(r) - {n} + 2)) AS u(i) UNION ALL SELECT pair_meeting, pair_id, array_to_string(h[i:i + {n - 1}], ' '), 0, 1 FROM p, unnest(range(1, len(h) - {n} + 2)) AS u(i)),
   c AS (SELECT pair_meeting, pair_id, gram, sum(a) AS a, sum(b) AS b FROM x GROUP BY ALL), t AS (SELECT pair_meeting, pair_id, sum(least(a, b)) AS o, sum(a) AS ra, sum(b) AS hb FROM c GROUP BY ALL)
   SELECT p.pair_meeting, p.pair_id, len(r) AS rl, CASE WHEN o > 0 THEN 2 * (o / hb) * (o / ra) / (o / hb + o / ra) ELSE 0.0 END AS f1 FROM p LEFT JOIN t USING (pair_meeting, pair_id))"""
@@ -460,7 +461,11 @@ def _(spark, d):
     return out.select("meeting_id", "total_ref_words", "total_edits", "cpwer", F.to_json("assignment").alias("assignment"), "error")
 
 
-@query("i10_i9_eval_rows")
+_SIX = "coalesce(printf('%.6f', {0}), '')"
+
+
+@query("i10_i9_eval_rows", f"""SELECT pair_meeting, pair_id, {_SIX.format('wer')} AS wer, {_SIX.format('cer')} AS cer, {_SIX.format('rouge1')} AS rouge1, {_SIX.format('rouge2')} AS rouge2, {_SIX.format('"rougeL"')} AS "rougeL", CASE WHEN wer IS NULL THEN 'no_reference' END AS error
+  FROM ({ORACLES['i2_word_errors']}) a JOIN ({ORACLES['i3_char_errors']}) b USING (pair_meeting, pair_id) JOIN ({ORACLES['i8_i9_rouge']}) c USING (pair_meeting, pair_id)""")
 def _(spark, d):
     """A row a pair with all scores as six decimals and error codes where there is nothing to score."""
     k = ["pair_meeting", "pair_id"]
@@ -470,6 +475,40 @@ def _(spark, d):
     return s.select(*k, *[F.when(F.col(c).isNull(), "").otherwise(six(c)).alias(c) for c in ("wer", "cer", "rouge1", "rouge2", "rougeL")], F.when(F.col("wer").isNull(), "no_reference").alias("error"))
 
 
+def heard_tokens(spark, d):
+    """Tokens as a recogniser heard them: one in nine lost, one in thirteen another word, some speakers mixed up."""
+    t = A.tokens(spark, d).where("seq % 9 <> 0").withColumn("text", F.when(F.col("seq") % 13 == 0, "error").otherwise(F.col("text")))
+    return t.withColumn("speaker", F.when(F.col("seq") % 11 == 0, "S9").otherwise(F.concat(F.lit("S"), F.translate("speaker_letter", "ABCD", "3142"))))
+
+
+_HEARD = f"(SELECT * EXCLUDE (text), CASE WHEN seq % 13 = 0 THEN 'error' ELSE text END AS text, CASE WHEN seq % 11 = 0 THEN 'S9' ELSE 'S' || translate(speaker_letter, 'ABCD', '3142') END AS speaker FROM {D.TOKENS} y WHERE seq % 9 <> 0)"
+_NOTES = f"(SELECT meeting_id AS pair_meeting, 0 AS pair_id, CASE WHEN count(*) % 4 > 0 THEN 'the team reviewed ' || count(*) % 3 || ' costs and the team decided on part ' || count(*) % 5 ELSE '' END AS ref, 'the team then reviewed costs of part ' || count(*) % 7 AS hyp FROM {D.TOKENS} z GROUP BY meeting_id)"
+_LETTERS = "string_agg(CASE text WHEN 'click' THEN 'c' WHEN 'view' THEN 'v' WHEN 'purchase' THEN 'p' WHEN 'signup' THEN 's' ELSE 'e' END, '' ORDER BY start_ms, seq)"
+
+
+def _blank(c: str) -> str:
+    return f"coalesce(printf('%.6f', CAST({c} AS DOUBLE)), '')"
+
+
+@query("i10_evaluation_rows", f"""WITH RECURSIVE rt AS (SELECT meeting_id, {_LETTERS} AS w, string_agg(text, '' ORDER BY start_ms, seq) AS c FROM {D.TOKENS} z GROUP BY 1), ht AS (SELECT meeting_id, {_LETTERS} AS w, string_agg(text, '' ORDER BY start_ms, seq) AS c FROM {_HEARD} z GROUP BY 1),
+rs AS (SELECT meeting_id, speaker_letter AS sp, {_LETTERS} AS w, row_number() OVER (PARTITION BY meeting_id ORDER BY speaker_letter) AS i FROM {D.TOKENS} z GROUP BY meeting_id, speaker_letter), hs AS (SELECT meeting_id, speaker AS sp, {_LETTERS} AS w, row_number() OVER (PARTITION BY meeting_id ORDER BY speaker) AS i FROM {_HEARD} z GROUP BY meeting_id, speaker),
+nn AS (SELECT meeting_id, greatest(max(a), max(b)) AS n FROM (SELECT meeting_id, count(*) AS a, 0 AS b FROM rs GROUP BY 1 UNION ALL SELECT meeting_id, 0, count(*) FROM hs GROUP BY 1) GROUP BY 1),
+cost AS (SELECT nn.meeting_id, u.i, v.j, CASE WHEN length(coalesce(rs.w, '')) = 0 OR length(coalesce(hs.w, '')) = 0 THEN length(coalesce(rs.w, '')) + length(coalesce(hs.w, '')) ELSE levenshtein(rs.w, hs.w) END AS e FROM nn, unnest(range(1, n + 1)) AS u(i), unnest(range(1, n + 1)) AS v(j) LEFT JOIN rs ON rs.meeting_id = nn.meeting_id AND rs.i = u.i LEFT JOIN hs ON hs.meeting_id = nn.meeting_id AND hs.i = v.j),
+pm AS (SELECT meeting_id, n, CAST([] AS BIGINT[]) AS perm, CAST(0 AS BIGINT) AS total FROM nn UNION ALL SELECT pm.meeting_id, n, list_append(perm, j), total + e FROM pm JOIN cost ON cost.meeting_id = pm.meeting_id AND cost.i = len(perm) + 1 AND NOT list_contains(perm, cost.j) WHERE len(perm) < n),
+cp AS (SELECT meeting_id, min(total) AS total_edits FROM pm WHERE len(perm) = n GROUP BY 1), wl AS (SELECT meeting_id, length(rt.w) AS rl, levenshtein(rt.w, ht.w) / length(rt.w) AS wer, levenshtein(rt.c, ht.c) / length(rt.c) AS cer FROM rt JOIN ht USING (meeting_id)),
+de AS ({ORACLES['i6_der']}), ro AS (SELECT x.pair_meeting AS meeting_id, x.* FROM ({ORACLES['i8_i9_rouge'].replace(D.PAIRS, _NOTES)}) x)
+SELECT meeting_id, {_blank('wer')} AS wer, {_blank('cer')} AS cer, {_blank('total_edits / rl')} AS cpwer, {_blank('der')} AS der, {_blank('false_alarm_ms / 1000')} AS der_false_alarm_sec, {_blank('miss_ms / 1000')} AS der_miss_sec, {_blank('confusion_ms / 1000')} AS der_confusion_sec, {_blank('scored_ms / 1000')} AS der_scored_ref_time_sec, {_blank('ignored_ms / 1000')} AS der_ignored_ref_overlap_time_sec,
+  '0.25' AS der_collar_sec, CAST(rl AS VARCHAR) AS cpwer_total_ref_words, CAST(total_edits AS VARCHAR) AS cpwer_total_edits, '' AS speech_metric_errors, {_blank('rouge1')} AS rouge1, {_blank('rouge2')} AS rouge2, {_blank('"rougeL"')} AS "rougeL" FROM wl JOIN cp USING (meeting_id) JOIN de USING (meeting_id) LEFT JOIN ro USING (meeting_id)""")
+def _(spark, d):
+    ref, heard = A.tokens(spark, d).withColumnRenamed("speaker_letter", "speaker"), heard_tokens(spark, d)
+    joined = lambda rows, *k: rows.groupBy(*k).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start_ms", "seq", "text"))), lambda x: x["text"]), " ").alias("text"))
+    texts = joined(ref, "meeting_id").withColumnRenamed("text", "ref").join(joined(heard, "meeting_id").withColumnRenamed("text", "hyp"), "meeting_id")
+    n = lambda k: (F.col("n") % k).cast("string")
+    notes = ref.groupBy("meeting_id").agg(F.count("*").alias("n"))
+    notes = notes.select("meeting_id", F.when(F.col("n") % 4 > 0, F.concat(F.lit("the team reviewed "), n(3), F.lit(" costs and the team decided on part "), n(5))).otherwise("").alias("ref"), F.concat(F.lit("the team then reviewed costs of part "), n(7)).alias("hyp"))
+    return metrics.evaluation_rows(texts, texts, joined(ref, "meeting_id", "speaker"), joined(heard, "meeting_id", "speaker"), *der_sides(spark, d), notes)
+
+
 # --- extraction and evidence
 
 _DEC = f"(SELECT meeting_id, idx, chunk_id, {D.first_line('text')} AS decision FROM {D.LINES} z WHERE {D.matches('lower(text)', T.DECISION_PATTERNS)})"
@@ -587,7 +626,7 @@ ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id,
 
 def evidence_inputs(spark, d):
     c = transcript_chunks(spark, d)
-    c = intervals.chunk_confidence(c, A.hypothesis(spark, d)).select("meeting_id", "idx", "chunk_id", "text", "asr_confidence").persist()  # points and chunks both come from it
+    c = saved(intervals.chunk_confidence(c, A.hypothesis(spark, d)).select("meeting_id", "idx", "chunk_id", "text", "asr_confidence"))  # points and chunks both come from it
     p = c.select("meeting_id", (F.col("idx") + 1).alias("point_id"), T.visible_text(T.first_line(F.col("text"))).alias("point"))
     return p, c
 
@@ -602,29 +641,58 @@ def _(spark, d):
     return extraction.attach_evidence(*evidence_inputs(spark, d), "discussion").select("meeting_id", "point_id", "text", F.array_join("evidence_chunk_ids", ",").alias("evidence_chunk_ids"), "confidence")
 
 
-@query("g8_filter_points")
+def _attached(kind: str, ranked: str = "ranked") -> str:
+    """Points with evidence: meeting_id, point_id, text, evidence_chunk_ids, snippets (a list), confidence; ten a meeting."""
+    least = 2 if kind == "discussion" else 4
+    return f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY point_id) AS k FROM (SELECT meeting_id, point_id, substring(point, 1, 240) AS text, array_to_string(list(chunk_id ORDER BY rank), ',') AS evidence_chunk_ids, list(trim(snippet) ORDER BY rank) AS sl,
+  round_even(least(0.95, greatest(0.2, max(score) / 10)), 3) AS confidence FROM {D.snippets(ranked, 'text', 'point')} z GROUP BY meeting_id, point_id, point HAVING max(score) >= {least})) WHERE k <= 10)"""
+
+
+_SHOWN = "list_transform(list_slice(list_filter(sl, lambda x, i: x <> '' AND list_position(sl, x) = i), 1, 3), lambda x: substring(x, 1, 220))"
+_GOOD = f"(SELECT * FROM (SELECT meeting_id, point_id, {D.collapse('text')} AS text, evidence_chunk_ids, {_SHOWN} AS sn, confidence, row_number() OVER (PARTITION BY meeting_id ORDER BY point_id) AS gk FROM {_attached('discussion')} y WHERE NOT {D.low_point('trim(text)', 'discussion')} AND confidence >= 0.25) WHERE gk <= 8)"
+
+
+@query("g8_filter_points", f"WITH RECURSIVE {_EVIDENCE} SELECT meeting_id, point_id, text, evidence_chunk_ids, array_to_string(sn, '|') AS evidence_snippets, confidence FROM {_GOOD} z")
 def _(spark, d):
     p, c = evidence_inputs(spark, d)
     return _flat(extraction.filter_points(extraction.attach_evidence(p, c, "discussion"), "discussion"))
 
 
-@query("g7_recover_follow_ups")
+_ASKED = f"""(SELECT meeting_id, row_number() OVER (PARTITION BY meeting_id ORDER BY CASE WHEN {D.holds(D.key('point'), T.CANDIDATE_CUES)} OR ends_with(trim(point), '?') THEN 0 ELSE 1 END, length(point) DESC, point_id) AS point_id, point FROM (SELECT meeting_id, point, min(point_id) AS point_id FROM (
+  SELECT meeting_id, chunk_no AS point_id, CASE WHEN chunk_no % 2 = 0 THEN 'Prepare the cost estimate before ' ELSE '' END || {D.visible(D.first_line('text'))} AS point FROM chunks) GROUP BY meeting_id, point))"""
+
+
+@query("g7_recover_follow_ups", f"""WITH RECURSIVE {_EVIDENCE}, tried AS (SELECT * FROM {_ASKED} z WHERE point_id <= 6), found AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id, point_id ORDER BY score DESC, idx) AS rank FROM (SELECT *, {D.downranked('lex', 'conf')} AS score FROM (
+  SELECT p.meeting_id, p.point_id, p.point, c.chunk_no - 1 AS idx, c.chunk_id, c.text, {D.point_score('p.point', 'c.text')} AS lex, conf FROM tried p JOIN chunks c ON c.meeting_id = p.meeting_id LEFT JOIN conf f ON f.meeting_id = c.meeting_id AND f.chunk_no = c.chunk_no)) WHERE score > 0) WHERE rank <= 2),
+good AS (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY point_id) AS gk FROM (SELECT meeting_id, point_id, {D.normalize_follow_up('text')} AS text, evidence_chunk_ids, {_SHOWN} AS sn, confidence FROM {_attached('follow_up', 'found')} y WHERE NOT {D.low_point('trim(text)', 'follow_up')} AND confidence >= 0.45) WHERE text <> '')
+SELECT meeting_id, point_id, text, evidence_chunk_ids, array_to_string(sn, '|') AS evidence_snippets, confidence FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY point_id) AS k2 FROM good WHERE gk <= 8 AND confidence >= 0.5 AND {D.snippet_quality('sn[1]')} >= 0.35) WHERE k2 <= 2""")
 def _(spark, d):
-    return _flat(extraction.recover_follow_ups(*evidence_inputs(spark, d)))
+    """Every second point opens as a follow-up does."""
+    p, c = evidence_inputs(spark, d)
+    p = p.withColumn("point", F.concat(F.when(F.col("point_id") % 2 == 0, "Prepare the cost estimate before ").otherwise(""), "point"))
+    return _flat(extraction.recover_follow_ups(p, c))
 
 
-@query("e13_i11_merge_follow_ups", f"""WITH f AS (SELECT meeting_id, idx AS seq, text_raw AS text, 0.6::DOUBLE AS confidence FROM {D.LINES} z WHERE idx < 5),
+@query("e13_i11_merge_follow_ups", f"""WITH f AS (SELECT meeting_id, idx AS seq, text_raw AS text, 0.6::DOUBLE AS confidence FROM {D.LINES} z WHERE starts_with(text, 'SPEAKER_1:') AND ({D.holds(D.key('text_raw'), T.CANDIDATE_CUES)} OR ends_with(trim(text_raw), '?'))),
 a AS (SELECT meeting_id, idx, regexp_replace(action, '^SPEAKER_[0-9]+: ', '') AS action, (idx % 10) / 10 AS confidence FROM {_ACT} z),
 n AS (SELECT meeting_id, lower(trim(action)) AS k, min(idx) AS seq, arg_min(trim(action), idx) AS text, greatest(0.45, arg_min(confidence, idx)) AS confidence FROM a WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.meeting_id = a.meeting_id AND lower(trim(f.text)) = lower(trim(a.action))) GROUP BY ALL)
-SELECT * FROM (SELECT meeting_id, row_number() OVER (PARTITION BY meeting_id ORDER BY src, seq) AS rank, text, confidence FROM (SELECT meeting_id, 0 AS src, seq, text, confidence FROM f UNION ALL SELECT meeting_id, 1, seq, substring(text, 1, 240), confidence FROM n)) WHERE rank <= 8""")
+SELECT * FROM (SELECT meeting_id, row_number() OVER (PARTITION BY meeting_id ORDER BY src, seq) AS rank, text, confidence FROM (SELECT meeting_id, 0 AS src, seq, text, confidence FROM f UNION ALL SELECT meeting_id, 1, seq, substring(text, 1, 240), confidence FROM n)) WHERE rank <= 100000""")
 def _(spark, d):
+    """Follow-ups that one speaker named, over all turns, and the actions that aren't among them; the cap is wide."""
     src = lines(spark, d)
-    f = src.where("idx < 5").select("meeting_id", F.col("idx").alias("seq"), F.col("text_raw").alias("text"), F.lit(0.6).alias("confidence"))
+    f = src.where(F.startswith("text", F.lit("SPEAKER_1:")) & T.looks_like_follow_up(F.col("text_raw"))).select("meeting_id", F.col("idx").alias("seq"), F.col("text_raw").alias("text"), F.lit(0.6).alias("confidence"))
     a = _items(spark, d, "action").select("meeting_id", "seq", "action", "confidence")
-    return extraction.merge_follow_ups(f, a).withColumn("rank", F.col("rank").cast("long"))
+    return extraction.merge_follow_ups(f, a, 100_000).withColumn("rank", F.col("rank").cast("long"))
+
+
+_FIRST = r"(SELECT meeting_id, regexp_replace(trim(arg_min(regexp_replace({0}, '^SPEAKER_[0-9]+: ', ''), idx)), '\.+$', '') AS {0} FROM {1} z GROUP BY 1)"
+_COVERS = "(len(list_distinct({h})) > 0 AND len(list_intersect(list_distinct({r}), list_distinct({h}))) >= greatest(2, least(len(list_distinct({h})), 4)))"
 
 
-@query("c34_finalize_narrative")
+@query("c34_finalize_narrative", rf"""SELECT meeting_id, substring(CASE WHEN len(extra) = 0 THEN s ELSE trim(array_to_string(list_slice(list_concat(list_filter(string_split(regexp_replace(s, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> ''), extra), 1, 4), ' ')) END, 1, 600) AS summary FROM (
+  SELECT *, list_filter([CASE WHEN coalesce(de, '') <> '' AND NOT {_COVERS.format(r=D.eval_words('s'), h=D.eval_words('de'))} THEN 'The group made decisions on ' || lower(de[1:1]) || de[2:] || '.' END,
+    CASE WHEN coalesce(ac, '') <> '' AND NOT {_COVERS.format(r=D.eval_words('s'), h=D.eval_words('ac'))} THEN CASE WHEN {D.starts('lower(ac)', T.PLAN_VERBS)} THEN 'Follow-up work included plans to ' || lower(ac) || '.' ELSE 'Follow-up work included ' || lower(ac[1:1]) || ac[2:] || '.' END END], lambda x: x IS NOT NULL) AS extra FROM (
+  SELECT meeting_id, 'Meeting ' || meeting_id || ' processed offline. ' || sum(n) || ' speaker-attributed turns across 1 chunks. Detected speakers: ' || string_agg(speaker || ' (' || n || ' turns)', ', ' ORDER BY speaker) || '.' AS s FROM (SELECT meeting_id, speaker, count(*) AS n FROM {D.TRANSCRIPT} z GROUP BY ALL) GROUP BY 1) LEFT JOIN (SELECT meeting_id, decision AS de FROM {_FIRST.format('decision', _DEC)}) USING (meeting_id) LEFT JOIN (SELECT meeting_id, action AS ac FROM {_FIRST.format('action', _ACT)}) USING (meeting_id))""")
 def _(spark, d):
     s = extraction.baseline_summaries(A.transcript(spark, d).withColumn("text", F.col("text_raw")), durations(spark, d).select("meeting_id", F.lit(1).cast("long").alias("chunks")))
     first = lambda kind: _items(spark, d, kind).groupBy("meeting_id").agg(F.min_by(kind, "seq").alias(kind))
@@ -640,14 +708,24 @@ def summary_responses(spark, d):
     return t.select(F.col("meeting_id").cast("string").alias("meeting_id"), F.concat(F.lit('noise {"summary": 3} '), body, F.lit(" JSON: "), body, F.lit(" tail {")).alias("text"))
 
 
-@query("c35_c36_i13_summaries")
+_XS = f"(SELECT CAST(meeting_id AS VARCHAR) AS meeting_id, list_transform(list(norm ORDER BY turn_idx), lambda x: {D.collapse('x')}) AS xs FROM {D.TURNS} z GROUP BY 1)"
+_EVERY = "list_filter(xs, lambda x, i: i % 2 = {})"
+
+
+@query("c35_c36_i13_summaries", rf"""SELECT meeting_id, CASE WHEN len(said) = 0 THEN xs[1] ELSE substring(array_to_string(list_slice(list_filter(said, lambda x, i: list_position(said, x) = i), 1, 5), ' '), 1, 600) END AS summary, array_to_string(list_slice(list_filter(xs, lambda x: x <> ''), 1, 5), '|') AS key_points, array_to_string(list_filter(xs, lambda x: x <> ''), '|') AS discussion_points
+  FROM (SELECT *, list_transform(list_concat(list_slice({D.clean_items('xs[2:]', 6)}, 1, 4), list_slice({D.clean_items(_EVERY.format(1), 6)}, 1, 1), list_slice({D.clean_items(_EVERY.format(0), 6)}, 1, 1)), lambda x: regexp_replace(trim(x), '\.+$', '') || '.') AS said FROM {_XS} z WHERE xs[1] IS NOT NULL)""")
 def _(spark, d):
     """Stored responses made of all of each meeting's turns, twice, parsed; the better one makes the summary."""
     p = extraction.parse_summaries(summary_responses(spark, d))
     return p.select("meeting_id", T.reference_style_summary(F.col("abstract"), F.col("decisions"), F.col("actions"), F.col("problems"), F.col("summary")).alias("summary"), F.array_join("key_points", "|").alias("key_points"), F.array_join("discussion_points", "|").alias("discussion_points"))
 
 
-@query("c37_i12_extractions")
+_ITEMS = D.snippets(f"(SELECT meeting_id, idx * 100 AS seq, chunk_id, text, text_raw FROM {D.LINES} z WHERE {D.matches('lower(text)', T.CUE_PATTERNS)} AND {D.matches('lower(text)', T.ACTION_PATTERNS)})", "text", "text_raw")
+
+
+@query("c37_i12_extractions", f"""WITH r AS (SELECT *, {D.key('text_raw')} AS k FROM {_ITEMS} y), sn AS (SELECT meeting_id, k, array_to_string(list_transform(list_slice(list(s ORDER BY f), 1, 3), lambda x: substring(x, 1, 220)), '|') AS evidence_snippets FROM (SELECT meeting_id, k, trim(snippet) AS s, min(seq) AS f FROM r GROUP BY ALL) GROUP BY ALL),
+g AS (SELECT meeting_id, k, min(seq) AS seq, arg_min(text_raw, seq) AS action, array_to_string(list_sort(list_distinct(list(chunk_id))), ',') AS evidence_chunk_ids, 0.6::DOUBLE AS confidence, false AS uncertain, count(*) AS n_merged FROM r WHERE k <> '' GROUP BY ALL)
+SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY seq) AS rank FROM g JOIN sn USING (meeting_id, k)) WHERE rank <= 50 AND NOT {D.low_quality('action', 'action')} AND NOT {D.speculative('action')}""")
 def _(spark, d):
     """Stored responses for each line with a decision or an action, parsed and merged."""
     src = lines(spark, d)
@@ -669,7 +747,15 @@ def _(spark, d):
     return extraction.quality_checks(s, extraction.rule_decisions(src), extraction.rule_actions(src))
 
 
-@query("b6_minutes_html")
+def _listed(points: str) -> str:
+    item = f"'<li><strong>' || {D.html('p.text')} || '</strong>' || CASE WHEN len(p.sn) > 0 THEN chr(10) || '<ul>' || chr(10) || array_to_string(list_transform(p.sn, lambda s: '<li><em>' || {D.html('s')} || '</em></li>'), chr(10)) || chr(10) || '</ul>' || chr(10) ELSE chr(10) END || '</li>'"
+    return f"array_to_string(list_transform({points}, lambda p: {item}), chr(10))"
+
+
+@query("b6_minutes_html", f"""WITH RECURSIVE {_EVIDENCE}, pages AS (SELECT meeting_id, list(struct_pack(text := text, sn := sn) ORDER BY point_id) AS ps FROM {_GOOD} z GROUP BY meeting_id),
+w AS (SELECT meeting_id, '<html><head><meta charset=''utf-8''><title>MoM Summary</title></head><body>' || chr(10) || '<h1>Meeting ' || meeting_id || '</h1>' || chr(10) || '<h2>Summary</h2>' || chr(10) || '<p>' || {D.html("('<points> & \"more\" for ' || meeting_id)")} || '</p>' || chr(10) || '<h2>Discussion Points</h2><ul>' || chr(10) || {_listed('ps')} || chr(10) || '</ul>' || chr(10)
+  || '<h2>Follow Up</h2><ul>' || chr(10) || {_listed('ps[1:1]')} || chr(10) || '</ul>' || chr(10) || '<h2>Key Points</h2><ul>' || chr(10) || array_to_string(list_transform(ps, lambda p: '<li>' || {D.html('p.text')} || '</li>'), chr(10)) || chr(10) || '</ul></body></html>' AS html FROM pages)
+SELECT meeting_id, sha256(html) AS html_sha256, length(html) AS html_chars FROM w""")
 def _(spark, d):
     p, c = evidence_inputs(spark, d)
     pts = extraction.filter_points(extraction.attach_evidence(p, c, "discussion"), "discussion")

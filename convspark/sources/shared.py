@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession) -> str:
@@ -21,3 +21,10 @@ def new_folder(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="convspark-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/convspark-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The rows, written to a new folder and read back: computed once, however often they are used."""
+    path = new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
