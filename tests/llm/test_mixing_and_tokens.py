@@ -171,3 +171,15 @@ def test_pipeline(spark, tmp_path):
     assert mixed.columns == docs.columns
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(x.doc_id for x in out.collect()) == sorted(x.doc_id for x in mixed.collect())
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    tables = {"documents": DOCS, "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}
+    for k, full in enumerate((set(), {"documents"})):
+        d = f"{tmp_path}/{k}"
+        for name, schema in tables.items():
+            rows = [(1, "some words of a text", "en", "s", 20), (None, None, None, None, None), (2, "", "en", "s", 0)] if name in full else []
+            spark.createDataFrame(rows, schema).write.parquet(f"{d}/{name}.parquet")
+        assert corpus_pipeline.run(spark, d).count() == (2 if full else 0)  # a source without any words has nothing to mix
