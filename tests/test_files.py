@@ -22,10 +22,10 @@ def test_xml(spark, tmp_path):
 
 
 def test_segments_and_rttm(spark, tmp_path):
-    d = tmp_path / "ami" / "T1"
+    d = tmp_path / "seg" / "T1"
     d.mkdir(parents=True)
     (d / "diarization_segments.json").write_text(json.dumps([{"start": 0.5, "end": 2.0, "speaker": "S1"}, {"start": "x", "end": 2}, {"start": 3, "end": 3}, {"start": 1, "end": 2}]))
-    got = sorted((r.meeting_id, r.start, r.end, r.speaker) for r in files.segments(spark, str(tmp_path / "ami" / "*" / "*.json")).collect())
+    got = sorted((r.meeting_id, r.start, r.end, r.speaker) for r in files.segments(spark, str(tmp_path / "seg" / "*" / "*.json")).collect())
     assert got == [("T1", 0.5, 2.0, "S1"), ("T1", 1.0, 2.0, "UNKNOWN")]
     segs = spark.createDataFrame([("T1", 500, 2000, "S1"), ("T1", 0, 250, "S2")], "meeting_id string, start_ms long, end_ms long, speaker string")
     sinks.write_rttm(segs, str(tmp_path / "rttm"))
@@ -57,19 +57,19 @@ def test_traces_reports_and_upserts(spark, tmp_path):
 
 
 def test_inventory(spark, tmp_path):
-    for name in ("T1/mom_summary.json", "T1/full_transcript.txt", "T2/a.bin"):
+    for name in ("T1/minutes.json", "T1/full_transcript.txt", "T2/a.bin"):
         p = tmp_path / "art" / name
         p.parent.mkdir(parents=True, exist_ok=True)
         p.write_text("x" * 5)
     inv = files.inventory(spark, str(tmp_path / "art"))
-    assert sorted((r.meeting_id, r.name, r.kind, r.length) for r in inv.collect()) == [("T1", "full_transcript.txt", "text", 5), ("T1", "mom_summary.json", "json", 5), ("T2", "a.bin", "text", 5)]
+    assert sorted((r.meeting_id, r.name, r.kind, r.length) for r in inv.collect()) == [("T1", "full_transcript.txt", "text", 5), ("T1", "minutes.json", "json", 5), ("T2", "a.bin", "text", 5)]
     audio = tmp_path / "raw"
     audio.mkdir()
     (audio / "T3.Mix-Headset.wav").write_bytes(b"x")
     assert sorted(r[0] for r in files.discover_meetings(spark, str(audio), str(tmp_path / "art")).collect()) == ["T1", "T2", "T3"]
-    required = spark.createDataFrame([("mom_summary.json",)], "name string")
+    required = spark.createDataFrame([("minutes.json",)], "name string")
     gone = ops.missing_artifacts(inv.select("meeting_id"), required, inv)
-    assert [tuple(r) for r in gone.collect()] == [("T2", "mom_summary.json")]
+    assert [tuple(r) for r in gone.collect()] == [("T2", "minutes.json")]
     assert files.text_preview(spark, str(tmp_path / "art" / "T1" / "*.txt"), 3).first().text == "xxx"
 
 
