@@ -91,10 +91,10 @@ def merge_capped(segments: DataFrame, max_gap_ms: int = 200, max_ms: int = 18_00
     s = segments.withColumn("_b", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).withColumn("_island", F.sum("_b").over(w.rowsBetween(*_SO_FAR)))
     island = s.groupBy("meeting_id", "_island").agg(F.first("speaker").alias("speaker"), F.array_sort(F.collect_list(F.struct("start_ms", "end_ms"))).alias("ts"))
     fold = F.expr(
-        f"""IF(size(ts) = 1, ts, aggregate(slice(ts, 2, size(ts)), array(ts[0]),
-          (a, t) -> IF(greatest(a[size(a) - 1].end_ms, t.end_ms) - a[size(a) - 1].start_ms <= {max_ms},
-             array_append(slice(a, 1, size(a) - 1), named_struct('start_ms', a[size(a) - 1].start_ms, 'end_ms', greatest(a[size(a) - 1].end_ms, t.end_ms))),
-             array_append(a, t))))"""
+        f"""aggregate(slice(ts, 2, size(ts)), named_struct('out', cast(array() AS array<struct<start_ms:bigint,end_ms:bigint>>), 's', ts[0].start_ms, 'e', ts[0].end_ms),
+          (a, t) -> IF(greatest(a.e, t.end_ms) - a.s <= {max_ms}, named_struct('out', a.out, 's', a.s, 'e', greatest(a.e, t.end_ms)),
+             named_struct('out', array_append(a.out, named_struct('start_ms', a.s, 'end_ms', a.e)), 's', t.start_ms, 'e', t.end_ms)),
+          a -> array_append(a.out, named_struct('start_ms', a.s, 'end_ms', a.e)))"""
     )
     return island.select("meeting_id", "speaker", F.explode(fold).alias("x")).select("meeting_id", "speaker", "x.start_ms", "x.end_ms")
 

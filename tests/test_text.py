@@ -60,7 +60,12 @@ def test_responses(spark):
 
 
 def test_confidence(spark):
-    schema = "confidence double, score double, avg_logprob double, y_sequence_score double, word_confidence array<double>, token_confidence array<double>, frame_confidence array<array<double>>"
-    rows = [(None,) * 4 + ([0.75, 0.85], None, None), (None,) * 4 + (None, None, [[0.4], [0.6, 2.0]]), (0.3, None, None, None, None, None, None), (None, -1.0, None, None, None, None, None), (None,) * 7]
+    lists = ", ".join(f"{n} array<{'array<double>' if n == 'frame_confidence' else 'double'}>" for n in files.LIST_FIELDS)
+    schema = ", ".join(f"{n} double" for n in files.SINGLE_FIELDS) + f", {lists}"
+    row = lambda **x: tuple(x.get(n) for n in (*files.SINGLE_FIELDS, *files.LIST_FIELDS))
+    rows = [
+        row(word_confidence=[0.75, 0.85]), row(frame_confidence=[[0.4], [0.6, 2.0]]), row(confidence=0.3), row(score=-1.0), row(), row(token_confidences=[0.1, 7.0]), row(char_confidence=[0.2], char_confidences=[0.9]), row(char_confidences=[0.9]),
+        row(confidence=float("nan"), score=-50.0), row(score=float("-inf"), token_confidence=[0.5]), row(confidence=0.12345678),
+    ]
     got = [r[0] for r in spark.createDataFrame(rows, schema).select(files.confidence(F.struct("*"))).collect()]
-    assert [round(x, 6) for x in got] == [0.8, 0.5, 0.3, 0.367879, 0.0]
+    assert got == [0.8, 0.5, 0.3, 0.367879, 0.0, 0.1, 0.2, 0.9, 0.0, 0.5, 0.123457]
