@@ -490,7 +490,7 @@ def _blank(c: str) -> str:
     return f"coalesce(printf('%.6f', CAST({c} AS DOUBLE)), '')"
 
 
-@query("i10_evaluation_rows", f"""WITH RECURSIVE rt AS (SELECT meeting_id, {_LETTERS} AS w, string_agg(text, '' ORDER BY start_ms, seq) AS c FROM {D.TOKENS} z GROUP BY 1), ht AS (SELECT meeting_id, {_LETTERS} AS w, string_agg(text, '' ORDER BY start_ms, seq) AS c FROM {_HEARD} z GROUP BY 1),
+@query("i4_e7_i10_evaluation_rows", f"""WITH RECURSIVE rt AS (SELECT meeting_id, {_LETTERS} AS w, string_agg(text, '' ORDER BY start_ms, seq) AS c FROM {D.TOKENS} z GROUP BY 1), ht AS (SELECT meeting_id, {_LETTERS} AS w, string_agg(text, '' ORDER BY start_ms, seq) AS c FROM {_HEARD} z GROUP BY 1),
 rs AS (SELECT meeting_id, speaker_letter AS sp, {_LETTERS} AS w, row_number() OVER (PARTITION BY meeting_id ORDER BY speaker_letter) AS i FROM {D.TOKENS} z GROUP BY meeting_id, speaker_letter), hs AS (SELECT meeting_id, speaker AS sp, {_LETTERS} AS w, row_number() OVER (PARTITION BY meeting_id ORDER BY speaker) AS i FROM {_HEARD} z GROUP BY meeting_id, speaker),
 nn AS (SELECT meeting_id, greatest(max(a), max(b)) AS n FROM (SELECT meeting_id, count(*) AS a, 0 AS b FROM rs GROUP BY 1 UNION ALL SELECT meeting_id, 0, count(*) FROM hs GROUP BY 1) GROUP BY 1),
 cost AS (SELECT nn.meeting_id, u.i, v.j, CASE WHEN length(coalesce(rs.w, '')) = 0 OR length(coalesce(hs.w, '')) = 0 THEN length(coalesce(rs.w, '')) + length(coalesce(hs.w, '')) ELSE levenshtein(rs.w, hs.w) END AS e FROM nn, unnest(range(1, n + 1)) AS u(i), unnest(range(1, n + 1)) AS v(j) LEFT JOIN rs ON rs.meeting_id = nn.meeting_id AND rs.i = u.i LEFT JOIN hs ON hs.meeting_id = nn.meeting_id AND hs.i = v.j),
@@ -712,7 +712,7 @@ _XS = f"(SELECT CAST(meeting_id AS VARCHAR) AS meeting_id, list_transform(list(n
 _EVERY = "list_filter(xs, lambda x, i: i % 2 = {})"
 
 
-@query("c35_c36_i13_summaries", rf"""SELECT meeting_id, CASE WHEN len(said) = 0 THEN xs[1] ELSE substring(array_to_string(list_slice(list_filter(said, lambda x, i: list_position(said, x) = i), 1, 5), ' '), 1, 600) END AS summary, array_to_string(list_slice(list_filter(xs, lambda x: x <> ''), 1, 5), '|') AS key_points, array_to_string(list_filter(xs, lambda x: x <> ''), '|') AS discussion_points
+@query("c35_c36_g11_i13_summaries", rf"""SELECT meeting_id, CASE WHEN len(said) = 0 THEN xs[1] ELSE substring(array_to_string(list_slice(list_filter(said, lambda x, i: list_position(said, x) = i), 1, 5), ' '), 1, 600) END AS summary, array_to_string(list_slice(list_filter(xs, lambda x: x <> ''), 1, 5), '|') AS key_points, array_to_string(list_filter(xs, lambda x: x <> ''), '|') AS discussion_points
   FROM (SELECT *, list_transform(list_concat(list_slice({D.clean_items('xs[2:]', 6)}, 1, 4), list_slice({D.clean_items(_EVERY.format(1), 6)}, 1, 1), list_slice({D.clean_items(_EVERY.format(0), 6)}, 1, 1)), lambda x: regexp_replace(trim(x), '\.+$', '') || '.') AS said FROM {_XS} z WHERE xs[1] IS NOT NULL)""")
 def _(spark, d):
     """Stored responses made of all of each meeting's turns, twice, parsed; the better one makes the summary."""
