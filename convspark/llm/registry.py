@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, exact_dedup, licences, line_dedup, mixing, ngram_join, quality, suffix_tree, token_files
+from . import chat_format, decontamination, exact_dedup, fill_in_middle, licences, line_dedup, mixing, ngram_join, quality, suffix_tree, token_files
 
 
 def pipeline(spark, sf_dir):
@@ -23,6 +23,7 @@ QUERIES = {
     "op8_line_dedup_shortest_runs": line_dedup.op8_line_dedup_shortest_runs,
     "op9_water_filling": mixing.op9_water_filling,
     "op10_token_files": token_files.op10_token_files,
+    "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
     "pipeline": pipeline,
 }
 
@@ -33,4 +34,5 @@ ORACLE_SQL = {
     "op7_content_sort_dedup": exact_dedup.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
     "op8_line_dedup_shortest_runs": line_dedup.ORACLE_SHORTEST,
+    "op13_fill_in_middle": fill_in_middle.ORACLE,
 }
