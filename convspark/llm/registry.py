@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, exact_dedup, fill_in_middle, licences, line_dedup, mixing, ngram_join, prefix_trie, quality, suffix_tree, token_files
+from . import chat_format, decontamination, exact_dedup, fill_in_middle, html_extraction, licences, line_dedup, mixing, ngram_join, prefix_trie, quality, suffix_tree, token_files
 
 
 def pipeline(spark, sf_dir):
@@ -23,6 +23,7 @@ QUERIES = {
     "op8_line_dedup_shortest_runs": line_dedup.op8_line_dedup_shortest_runs,
     "op9_water_filling": mixing.op9_water_filling,
     "op10_token_files": token_files.op10_token_files,
+    "op11_html_extraction": html_extraction.op11_html_extraction,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
     "pipeline": pipeline,
