@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from typing import NamedTuple
 
 # Names of HTML elements by what they do, and words in attributes that tell parts of a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -26,12 +27,27 @@ ARTICLE_NAMES = frozenset("article content main post entry story".split())
 #: Where a block stands: in the article, in a part that is none of it, or where the markup doesn't say.
 ARTICLE, BESIDE, OPEN = 1, 2, 0
 
+#: Elements that end an open one of the given names, unless one of the fences was opened since.
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}
+FENCES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr")}
+
 _TAG = re.compile(r"<!--(?:>|->)?|<!\[CDATA\[|<[!?]|</?([A-Za-z][^\s/>]*)")
 _REST = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*+>""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+class _Open(NamedTuple):
+    """An open element: its part, whether it stands in an article's header, and where in the stack the block around it
+    and the outermost element beside the article are (0: none)."""
+
+    name: str
+    part: int
+    header: bool
+    block: int
+    beside: int
+
+
 def _tokens(html: str):
     """(kind, name, text) from left to right: text, start and end tags. Linear: no place is looked at again and again."""
     at, end = 0, len(html)
@@ -101,8 +117,8 @@ def blocks(html: str) -> list[tuple[int, str]]:
     """
     out: list[tuple[int, str]] = []
     pieces: dict[int, list[str]] = {}
-    stack: list[tuple[str, int, bool]] = [("", OPEN, False)]  # name, part, whether in an article's header
-    opened: dict[str, int] = {}
+    stack = [_Open("", OPEN, False, 0, 0)]
+    places: dict[str, list[int]] = {}  # where in the stack elements of a name are open
 
     def flush() -> None:
         for part, said in pieces.items():
@@ -113,61 +129,48 @@ def blocks(html: str) -> list[tuple[int, str]]:
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
-            opened[stack.pop()[0]] -= 1
+            places[stack.pop().name].pop()
+
+    def last(*names: str) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
 
     for kind, name, text in _tokens(html):
         if kind == "text":
-            if stack[-1][0] not in UNSEEN:
-                pieces.setdefault(stack[-1][1], []).append(unescape(text))
+            if stack[-1].name not in UNSEEN:
+                pieces.setdefault(stack[-1].part, []).append(unescape(text))
             continue
         block = name in BLOCKS
         if block:
             flush()
         elif name == "br":
-            pieces.setdefault(stack[-1][1], []).append(" ")
-        if kind == "start":
-            if name in VOID:
-                continue
-            if block and opened.get("head"):
-                pop_to(next(k for k, x in enumerate(stack) if x[0] == "head"))
-            if block and stack[-1][0] == "p":
-                pop_to(len(stack) - 1)
-            elif block and opened.get("p"):  # an open paragraph under unclosed inline elements
-                k = len(stack) - 1
-                while stack[k][0] not in BLOCKS and k > 0:
-                    k -= 1
-                if stack[k][0] == "p":
-                    pop_to(k)
-            if name in ("li", "dt", "dd", "tr", "td", "th", "option"):
-                same, fence = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",)}.get(name, (name,)), ("ul", "ol", "menu", "dl", "table", "select", "")
-                if any(opened.get(x) for x in same):
-                    k = len(stack) - 1
-                    while stack[k][0] not in same and stack[k][0] not in fence and not (name in ("td", "th") and stack[k][0] == "tr"):
-                        k -= 1
-                    if stack[k][0] in same:
-                        pop_to(k)
-            _, inside, header = stack[-1]
-            if name in ("article", "main") and inside == BESIDE:
-                k = next((k for k, x in enumerate(stack) if x[0] in ("nav", "header", "footer", "form") and stack[k - 1][1] != BESIDE), 0)
-                if k and all(x[0] not in ("aside", "dialog") for x in stack[k:]):
-                    pop_to(k)
-                    _, inside, header = stack[-1]
-            if inside == BESIDE:
-                part = ARTICLE if header and name in HEADINGS else BESIDE
-            else:
-                part = _part(name, text, inside)
-                if name == "header" and part == ARTICLE and inside == ARTICLE:
-                    part, header = BESIDE, True
-            stack.append((name, part, header))
-            opened[name] = opened.get(name, 0) + 1
-        elif opened.get(name):
-            k = len(stack) - 1
-            while stack[k][0] != name:
-                if not block and stack[k][0] in BLOCKS:
-                    k = 0  # an inline end tag doesn't reach out of its block
-                    break
-                k -= 1
-            if k:
+            pieces.setdefault(stack[-1].part, []).append(" ")
+        if kind == "end":
+            k = last(name)
+            if k and (block or k > stack[-1].block):  # an inline end tag doesn't reach out of its block
                 pop_to(k)
+            continue
+        if name in VOID:
+            continue
+        if block and last("head"):
+            pop_to(last("head"))
+        if block and last("p") and last("p") == stack[-1].block:
+            pop_to(last("p"))
+        if name in ENDS:
+            k = last(*ENDS[name])
+            if k > last(*FENCES[name]):
+                pop_to(k)
+        if name in ("article", "main") and stack[stack[-1].beside].name in ("nav", "header", "footer", "form") and not last("aside", "dialog"):
+            pop_to(stack[-1].beside)
+        top = stack[-1]
+        header = top.header
+        if top.part == BESIDE:
+            part = ARTICLE if header and name in HEADINGS else BESIDE
+        else:
+            part = _part(name, text, top.part)
+            if name == "header" and part == top.part == ARTICLE:
+                part, header = BESIDE, True
+        at = len(stack)
+        stack.append(_Open(name, part, header, at if block else top.block, (top.beside or at) if part == BESIDE else 0))
+        places.setdefault(name, []).append(at)
     flush()
     return out

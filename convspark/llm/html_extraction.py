@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -75,7 +76,7 @@ def main_text(pages: DataFrame, min_tokens: int = 8, salts: int = 16, id_col: st
     pages repeat it, as copies and quotations are text. The rest of each page is its token stream. Streams that are the
     same on a host count once, so that copies of a page don't make it boilerplate. Of a page without a marked article, the
     blocks that no element marks as anything else are its text, but for what is covered by token runs which other streams
-    of its host repeat; what is left of a block is kept, in one piece. Pages of a host thus tell which wording is theirs.
+    of its host repeat (see ``uncovered``); what is left of a block is kept, in one piece. Pages of a host thus tell which wording is theirs.
 
     Null and empty html gives an empty text; a null address is a page of the host without a name; null ids, equal ids and
     repeated rows stay as they are; other columns are not looked at; an empty table gives an empty one. A page is parsed in
@@ -92,27 +93,39 @@ def main_text(pages: DataFrame, min_tokens: int = 8, salts: int = 16, id_col: st
     # Copies of a page share a stream: they are dealt to several keys, and so is what is known of the stream.
     salted = covered.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     out = parsed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int")).join(salted, [*_STREAM, "salt"], "left")
-    return out.select("page_id", "url", F.coalesce("article", _kept(F.col("rest"), F.col("open"), F.col("covered")), F.lit("")).alias("text"))
+    return out.select("page_id", "url", F.coalesce("article", _kept(F.col("rest"), F.col("open"), F.col("covered"), min_tokens), F.lit("")).alias("text"))
+
+
+def uncovered(words: list[str], covered: list[bool], min_tokens: int) -> list[str]:
+    """A block's words without its covered runs of at least ``min_tokens``; a block that is covered whole goes. Shorter
+    runs stay: a repeated run may reach a word or two into the text beside it by chance."""
+    if all(covered):
+        return []
+    left: list[str] = []
+    for gone, run in groupby(zip(words, covered), key=lambda x: x[1]):
+        run = [w for w, _ in run]
+        left += [] if gone and len(run) >= min_tokens else run
+    return left
+
+
+def _kept(rest: Column, is_open: Column, covered: Column, min_tokens: int) -> Column:
+    """Open blocks without their covered tokens; where none is covered, the JVM joins them."""
+
+    def left(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for batch in batches:
+            texts = []
+            for found, flags, gone in zip(*batch):
+                at, kept, gone = 0, [], set(() if gone is None else gone)
+                for text, flag in zip(found, flags):
+                    words = text.split(" ")
+                    if flag:
+                        kept.append(" ".join(uncovered(words, [k in gone for k in range(at, at + len(words))], min_tokens)))
+                    at += len(words)
+                texts.append("\n\n".join(t for t in kept if t))
+            yield pd.Series(texts, dtype=object)
 
-
-def _left(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for rest, is_open, covered in batches:
-        texts = []
-        for blocks_, flags, gone in zip(rest, is_open, covered):
-            at, kept, gone = 0, [], set(() if gone is None else gone)
-            for text, flag in zip(blocks_, flags):
-                words = text.split(" ")
-                if flag:
-                    kept.append(" ".join(w for k, w in enumerate(words, at) if k not in gone))
-                at += len(words)
-            texts.append("\n\n".join(t for t in kept if t))
-        yield pd.Series(texts, dtype=object)
-
-
-def _kept(rest: Column, is_open: Column, covered: Column) -> Column:
-    """Open blocks without their covered tokens; without any, the JVM joins them."""
     whole = F.array_join(F.transform(F.filter(F.arrays_zip(rest.alias("t"), is_open.alias("o")), lambda x: x["o"]), lambda x: x["t"]), "\n\n")
-    return F.when(covered.isNull(), whole).otherwise(F.pandas_udf(_left, "string")(rest, is_open, covered))
+    return F.when(covered.isNull(), whole).otherwise(F.pandas_udf(left, "string")(rest, is_open, covered))
 
 
 def op11_html_extraction(spark, sf_dir):

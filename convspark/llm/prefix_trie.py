@@ -5,8 +5,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,17 +66,15 @@ def trie(turns: DataFrame, heads: int = 6, group: int = 100) -> tuple[DataFrame,
     return nodes, ends.select(*_KEY, "conv_id").unionByName(convs.where("depth = 0").select("depth", *zero, "conv_id"))
 
 
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Prefix sums of what is left of the list, which has a bounded number of arcs."""
-    arcs = pd.concat(list(batches))
-    if len(arcs):
-        row = {a: k for k, a in enumerate(arcs["arc"])}
-        after, at, order = arcs["next"].tolist(), row[arcs.loc[arcs["prev"].isna(), "arc"].iloc[0]], []
-        while at is not None:
-            order.append(at)
-            at = None if pd.isna(after[at]) else row[int(after[at])]
-        arcs = arcs.iloc[order]
-        yield pd.DataFrame({"arc": arcs["arc"], "leaves": np.cumsum(arcs["leaves"].to_numpy()), "saved": np.cumsum(arcs["saved"].to_numpy())})
+    arcs = {r["arc"]: r for b in batches for r in b.to_pylist()}
+    at, leaves, saved, out = next((a for a, r in arcs.items() if r["prev"] is None), None), 0, 0, []
+    while at is not None:
+        leaves, saved = leaves + arcs[at]["leaves"], saved + arcs[at]["saved"]
+        out.append({"arc": at, "leaves": leaves, "saved": saved})
+        at = arcs[at]["next"]
+    yield pa.RecordBatch.from_pylist(out, pa.schema([(c, pa.int64()) for c in ("arc", "leaves", "saved")]))
 
 
 def list_ranks(arcs: DataFrame, remainder: int = 1000) -> DataFrame:
@@ -104,7 +100,7 @@ def list_ranks(arcs: DataFrame, remainder: int = 1000) -> DataFrame:
         told = F.when(out, F.array(said(prev, none, none, none, next_, told=False), said(next_, none, none, prev, none))).otherwise(F.array(said(arc, prev, next_, none, none)))
         g = alive.select(F.inline(told)).groupBy("arc").agg(*[F.max(c).alias(c) for c in ("prev", "next", "new_prev", "new_next")], *[F.sum(c).alias(c) for c in sums])
         alive = stash(g.select("arc", F.coalesce("new_prev", "prev").alias("prev"), F.coalesce("new_next", "next").alias("next"), *sums))
-    known = stash(alive.repartition(1).mapInPandas(_walk, "arc long, leaves long, saved long"))
+    known = stash(alive.repartition(1).mapInArrow(_walk, "arc long, leaves long, saved long"))
     for taken in reversed(rounds):
         before = known.select(F.col("arc").alias("prev"), *[F.col(c).alias(f"_{c}") for c in sums])
         known = known.unionByName(stash(taken.join(before, "prev").select("arc", *[(F.col(c) + F.col(f"_{c}")).alias(c) for c in sums])))
