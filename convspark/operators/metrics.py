@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from ..functions.numbers import fixed
 from ..functions.text import bound, eval_words, normalize_eval
 from ..sources.shared import saved
 from .intervals import atoms, collar
@@ -205,7 +206,7 @@ def evaluation_rows(meetings: DataFrame, texts: DataFrame, ref_views: DataFrame,
     cpWER, ``reference`` and ``hypothesis`` segments for DER. A metric that fails or has nothing to score leaves the others
     as they are; a failed one has a code ``metric:reason``.
     """
-    blank = lambda c: F.when(c.isNull(), "").otherwise(F.format_string("%.6f", c.cast("double")))
+    blank = lambda c: F.coalesce(fixed(c, 6), F.lit(""))
     sec = lambda c: blank(F.col(c) / 1000.0)
     words = with_char_errors(with_word_errors(texts, empty_ref="01")).where(F.coalesce("ref", F.lit("")) != "").select("meeting_id", "wer", "cer")
     cp = cpwer(ref_views, hyp_views).select("meeting_id", "total_ref_words", "total_edits", "cpwer", F.col("error").alias("_error"))
@@ -219,7 +220,7 @@ def evaluation_rows(meetings: DataFrame, texts: DataFrame, ref_views: DataFrame,
         "meeting_id",
         *[blank(F.col(c)).alias(c) for c in ("wer", "cer", "cpwer", "der")],
         *[sec(f"{c}_ms").alias(f"der_{n}_sec") for c, n in (("false_alarm", "false_alarm"), ("miss", "miss"), ("confusion", "confusion"), ("scored", "scored_ref_time"), ("ignored", "ignored_ref_overlap_time"))],
-        F.when(F.col("scored_ms").isNotNull(), F.format_string("%.2f", F.lit(collar_ms / 1000.0))).otherwise("").alias("der_collar_sec"),
+        F.when(F.col("scored_ms").isNotNull(), fixed(F.lit(collar_ms / 1000.0), 2)).otherwise("").alias("der_collar_sec"),
         count("total_ref_words").alias("cpwer_total_ref_words"),
         count("total_edits").alias("cpwer_total_edits"),
         F.array_join(F.array_compact(F.array(F.when(F.col("_error").isNotNull(), F.concat(F.lit("cpwer:"), "_error")))), ";").alias("speech_metric_errors"),

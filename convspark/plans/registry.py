@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.numbers import fixed
 from ..operators import audio, extraction, intervals, metrics, ops, sequence
 from ..sources import adapters as A
 from ..sources.shared import saved
@@ -464,15 +466,19 @@ def _(spark, d):
 _SIX = "coalesce(printf('%.6f', {0}), '')"
 
 
+def _exact(name: str) -> str:
+    """A query's SQL without its rounding to nine decimals, which would move scores that lie next to a tie."""
+    return re.sub(r"round\(((?:[^()]|\([^()]*\))*), 9\)", r"(\1)", ORACLES[name])
+
+
 @query("i10_i9_eval_rows", f"""SELECT pair_meeting, pair_id, {_SIX.format('wer')} AS wer, {_SIX.format('cer')} AS cer, {_SIX.format('rouge1')} AS rouge1, {_SIX.format('rouge2')} AS rouge2, {_SIX.format('"rougeL"')} AS "rougeL", CASE WHEN wer IS NULL THEN 'no_reference' END AS error
-  FROM ({ORACLES['i2_word_errors']}) a JOIN ({ORACLES['i3_char_errors']}) b USING (pair_meeting, pair_id) JOIN ({ORACLES['i8_i9_rouge']}) c USING (pair_meeting, pair_id)""")
+  FROM ({_exact('i2_word_errors')}) a JOIN ({_exact('i3_char_errors')}) b USING (pair_meeting, pair_id) JOIN ({_exact('i8_i9_rouge')}) c USING (pair_meeting, pair_id)""")
 def _(spark, d):
     """A row a pair with all scores as six decimals and error codes where there is nothing to score."""
     k = ["pair_meeting", "pair_id"]
     p = A.text_pairs(spark, d)
     s = metrics.with_char_errors(metrics.with_word_errors(p)).select(*k, "wer", "cer").join(metrics.rouge(p, k), k)
-    six = lambda c: F.coalesce(F.format_string("%.6f", F.col(c)), F.lit(""))
-    return s.select(*k, *[F.when(F.col(c).isNull(), "").otherwise(six(c)).alias(c) for c in ("wer", "cer", "rouge1", "rouge2", "rougeL")], F.when(F.col("wer").isNull(), "no_reference").alias("error"))
+    return s.select(*k, *[F.coalesce(fixed(F.col(c), 6), F.lit("")).alias(c) for c in ("wer", "cer", "rouge1", "rouge2", "rougeL")], F.when(F.col("wer").isNull(), "no_reference").alias("error"))
 
 
 def heard_tokens(spark, d):
@@ -496,7 +502,7 @@ nn AS (SELECT meeting_id, greatest(max(a), max(b)) AS n FROM (SELECT meeting_id,
 cost AS (SELECT nn.meeting_id, u.i, v.j, CASE WHEN length(coalesce(rs.w, '')) = 0 OR length(coalesce(hs.w, '')) = 0 THEN length(coalesce(rs.w, '')) + length(coalesce(hs.w, '')) ELSE levenshtein(rs.w, hs.w) END AS e FROM nn, unnest(range(1, n + 1)) AS u(i), unnest(range(1, n + 1)) AS v(j) LEFT JOIN rs ON rs.meeting_id = nn.meeting_id AND rs.i = u.i LEFT JOIN hs ON hs.meeting_id = nn.meeting_id AND hs.i = v.j),
 pm AS (SELECT meeting_id, n, CAST([] AS BIGINT[]) AS perm, CAST(0 AS BIGINT) AS total FROM nn UNION ALL SELECT pm.meeting_id, n, list_append(perm, j), total + e FROM pm JOIN cost ON cost.meeting_id = pm.meeting_id AND cost.i = len(perm) + 1 AND NOT list_contains(perm, cost.j) WHERE len(perm) < n),
 cp AS (SELECT meeting_id, min(total) AS total_edits FROM pm WHERE len(perm) = n GROUP BY 1), wl AS (SELECT meeting_id, length(rt.w) AS rl, levenshtein(rt.w, ht.w) / length(rt.w) AS wer, levenshtein(rt.c, ht.c) / length(rt.c) AS cer FROM rt JOIN ht USING (meeting_id)),
-de AS ({ORACLES['i6_der']}), ro AS (SELECT x.pair_meeting AS meeting_id, x.* FROM ({ORACLES['i8_i9_rouge'].replace(D.PAIRS, _NOTES)}) x)
+de AS ({_exact('i6_der')}), ro AS (SELECT x.pair_meeting AS meeting_id, x.* FROM ({_exact('i8_i9_rouge').replace(D.PAIRS, _NOTES)}) x)
 SELECT meeting_id, {_blank('wer')} AS wer, {_blank('cer')} AS cer, {_blank('total_edits / rl')} AS cpwer, {_blank('der')} AS der, {_blank('false_alarm_ms / 1000')} AS der_false_alarm_sec, {_blank('miss_ms / 1000')} AS der_miss_sec, {_blank('confusion_ms / 1000')} AS der_confusion_sec, {_blank('scored_ms / 1000')} AS der_scored_ref_time_sec, {_blank('ignored_ms / 1000')} AS der_ignored_ref_overlap_time_sec,
   '0.25' AS der_collar_sec, CAST(rl AS VARCHAR) AS cpwer_total_ref_words, CAST(total_edits AS VARCHAR) AS cpwer_total_edits, '' AS speech_metric_errors, {_blank('rouge1')} AS rouge1, {_blank('rouge2')} AS rouge2, {_blank('"rougeL"')} AS "rougeL" FROM wl JOIN cp USING (meeting_id) JOIN de USING (meeting_id) LEFT JOIN ro USING (meeting_id)""")
 def _(spark, d):

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from ..functions.numbers import fixed
 from ..operators.ops import upsert
 
 
@@ -60,7 +61,7 @@ def upsert_rows(rows: DataFrame, path: str, keys: list[str], schema: str) -> Non
 def rttm_lines(segments: DataFrame, label: str | None = None) -> DataFrame:
     """(meeting_id, value): RTTM lines with three decimals; ``label`` stands in for the speaker."""
     who = F.lit(label) if label else F.col("speaker")
-    line = F.format_string("SPEAKER %s 1 %.3f %.3f <NA> <NA> %s <NA> <NA>", "meeting_id", F.col("start_ms") / 1000.0, (F.col("end_ms") - F.col("start_ms")) / 1000.0, who)
+    line = F.format_string("SPEAKER %s 1 %s %s <NA> <NA> %s <NA> <NA>", "meeting_id", fixed(F.col("start_ms") / 1000.0, 3), fixed((F.col("end_ms") - F.col("start_ms")) / 1000.0, 3), who)
     return segments.select("meeting_id", line.alias("value"), "start_ms", "end_ms")
 
 
@@ -72,7 +73,7 @@ def write_rttm(segments: DataFrame, path: str, label: str | None = None) -> None
 
 def transcript_lines(segments: DataFrame) -> DataFrame:
     """(meeting_id, text): lines ``[start-end] speaker: text`` in time order."""
-    line = F.format_string("[%.2f-%.2f] %s: %s", F.col("start_ms") / 1000.0, F.col("end_ms") / 1000.0, "speaker", "text")
+    line = F.format_string("[%s-%s] %s: %s", fixed(F.col("start_ms") / 1000.0, 2), fixed(F.col("end_ms") / 1000.0, 2), "speaker", "text")
     g = segments.where("text <> ''").groupBy("meeting_id").agg(F.array_sort(F.collect_list(F.struct("start_ms", "end_ms", line.alias("line")))).alias("x"))
     return g.select("meeting_id", F.array_join(F.transform("x", lambda r: r["line"]), "\n").alias("text"))
 

@@ -119,3 +119,16 @@ def test_audio(spark, tmp_path):
     assert [(r.meeting_id, r.rms, r.silence_ratio, r.samples) for r in q] == [("M1", 707.0, 0.5, 960)]
     s = spark.createDataFrame([([1, 2, 3, 4],)], "x array<int>").select(audio.sample_slice(F.col("x"), F.lit(1.0), F.lit(1.0), 2.0)).first()[0]
     assert s == [3]
+
+
+def test_fixed_decimals(spark):
+    import random
+
+    from convspark.functions.numbers import fixed
+
+    r = random.Random(4)
+    xs = [0.7265625, 0.0390625, 0.17968749999999997, 0.5, 1.5, 0.0, 1e-9, 5e-7, 4.9999999999999998e-7, 2.5e-6, 1e-300, 0.9999995, 0.9999994999999999, 123456.1234565, 0.125, 0.375, 2.675, 1e15 + 0.3, -1.0000005, -0.25]
+    xs += [r.random() for _ in range(500)] + [r.randrange(10**6) / 1000 for _ in range(500)] + [k / 2**m for k in range(1, 200, 7) for m in range(1, 40)]
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double").select("x", *[fixed(F.col("x"), d).alias(f"d{d}") for d in (0, 2, 3, 6, 9)])
+    for row in df.collect():
+        assert [row[f"d{d}"] for d in (0, 2, 3, 6, 9)] == [None if row.x is None else f"{row.x:.{d}f}" for d in (0, 2, 3, 6, 9)], row.x
