@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import saved
+
 _BEFORE, _SO_FAR = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0)
 
 
@@ -134,30 +136,88 @@ def label_speakers(segments: DataFrame) -> DataFrame:
     return segments.withColumn("speaker", F.concat(F.lit("SPEAKER_"), rank.cast("string")))
 
 
-def chunks(turns: DataFrame, target_words: int = 220, overlap_words: int = 40) -> DataFrame:
+def _numbered(turns: DataFrame, block: int) -> DataFrame:
+    """Turns' places s from 0, the words before them (p) and their meeting's n. Sums are made block by block (``block``
+    consecutive turn_idx) and carried over a table with a row for each block."""
+    t = saved(turns.select("meeting_id", "turn_idx", F.col("words").cast("long").alias("words"), F.floor(F.col("turn_idx") / block).alias("_block")))
+    totals = t.groupBy("meeting_id", "_block").agg(F.count("*").alias("_n"), F.sum("words").alias("_w"))
+    whole = Window.partitionBy("meeting_id")
+    earlier = whole.orderBy("_block").rowsBetween(*_BEFORE)
+    zero = F.lit(0).cast("long")
+    before = totals.select("meeting_id", "_block", F.coalesce(F.sum("_n").over(earlier), zero).alias("_n0"), F.coalesce(F.sum("_w").over(earlier), zero).alias("_w0"), F.sum("_n").over(whole).alias("n"))
+    here = Window.partitionBy("meeting_id", "_block").orderBy("turn_idx")
+    p = F.col("_w0") + F.sum("words").over(here.rowsBetween(*_SO_FAR)) - F.col("words")
+    return t.join(before, ["meeting_id", "_block"]).select("meeting_id", "turn_idx", (F.col("_n0") + F.row_number().over(here) - 1).alias("s"), p.alias("p"), "words", "n")
+
+
+def _next_starts(turns: DataFrame, target_words: int, overlap_words: int) -> DataFrame:
+    """(meeting_id, s, e, next, n): where a chunk that starts at s ends, and where the one after it starts (n: nowhere).
+
+    Both are looked up by numbers of words, over distinct values of p in buckets of so many words; each value also goes to
+    the bucket beside it that can ask for it, so that no bucket has more values than words.
+    """
+    points = turns.select("meeting_id", F.col("p").alias("v"), F.col("s").alias("j")).unionByName(turns.where("s = n - 1").select("meeting_id", (F.col("p") + F.col("words")).alias("v"), F.col("n").alias("j")))
+    values = points.groupBy("meeting_id", "v").agg(F.min("j").alias("lo"), F.max("j").alias("hi"))
+    width = 16 * max(target_words, overlap_words, 1)
+    bucket = lambda less: F.floor((F.col("v") - less) / width)
+    copies = values.withColumn("_b", F.explode(F.array_distinct(F.array(bucket(0), bucket(target_words), bucket(-overlap_words)))))
+    w = Window.partitionBy("meeting_id", "_b").orderBy("v")
+    ahead, behind = w.rangeBetween(0, target_words), w.rangeBetween(-overlap_words, 0)
+    found = copies.select("meeting_id", "_b", "v", F.max("hi").over(ahead).alias("_e"), F.max("v").over(ahead).alias("_q"), F.min("lo").over(behind).alias("_k")).where(F.col("_b") == bucket(0))
+    t = turns.join(found.select("meeting_id", F.col("v").alias("p"), "_e", "_q"), ["meeting_id", "p"])
+    t = t.select("meeting_id", "s", "n", F.greatest(F.col("s") + 1, "_e").alias("e"), F.when(F.col("_e") > F.col("s"), F.col("_q")).otherwise(F.col("p") + F.col("words")).alias("_q"))
+    t = t.join(found.select("meeting_id", F.col("v").alias("_q"), "_k"), ["meeting_id", "_q"])
+    same = (F.col("_k") <= F.col("s")) | (F.col("_k") == F.col("e"))
+    return t.select("meeting_id", "s", "e", F.when(F.col("e") == F.col("n"), F.col("n")).when(same, F.col("e")).otherwise(F.col("_k")).alias("next"), "n")
+
+
+def _chunk_ranges(starts: DataFrame, block: int) -> DataFrame:
+    """(meeting_id, k, s, e): the chunks that the next starts lead to from 0, numbered from 0.
+
+    Pointers are doubled, first inside blocks of ``block`` turns, which gives for every start where its path leaves the
+    block; then between blocks, over the few starts at which paths enter one, in as many joins as the logarithm of a
+    meeting's blocks. The starts that a path from 0 meets are found by the same jumps, longest first.
+    """
+    of = (F.floor(F.col("s") / block)).alias("block")
+    lists = lambda c: F.transform("x", lambda r: r[c]).alias(c)
+    blocks = starts.groupBy("meeting_id", of).agg(F.array_sort(F.collect_list(F.struct("s", "next", "e"))).alias("x"), F.max("n").alias("n"))
+    blocks = blocks.select("meeting_id", "block", (F.col("block") * block).alias("first"), lists("next"), lists("e"), "n")
+    hop = "transform({0}, v -> coalesce(get({0}, cast(v - first AS int)), v))"  # a place outside the block stays
+    steps = "sequence(1, length(bin(size(next))))"
+    blocks = saved(blocks.withColumn("leaves", F.expr(f"aggregate({steps}, next, (a, i) -> {hop.format('a')})")))
+    entries = blocks.select("meeting_id", "n", F.explode(F.array_distinct("leaves")).alias("t")).where("t < n").select("meeting_id", "t").distinct()
+    at = lambda df: df.withColumn("block", F.floor(F.col("t") / block))
+    jumps = [saved(at(entries).join(blocks.select("meeting_id", "block", "first", "leaves", "n"), ["meeting_id", "block"]).select("meeting_id", "t", F.expr("get(leaves, cast(t - first AS int))").alias("to"), "n").where("`to` < n").drop("n"))]
+    first = blocks.where("block = 0").select("meeting_id", F.expr("get(leaves, 0)").alias("t"), "n").where("t < n").drop("n")
+    while not jumps[-1].isEmpty():
+        a = jumps[-1]
+        jumps.append(saved(a.join(a.select("meeting_id", F.col("t").alias("to"), F.col("to").alias("_to")), ["meeting_id", "to"]).select("meeting_id", "t", F.col("_to").alias("to"))))
+    for a in reversed(jumps[:-1]):
+        first = saved(first.unionByName(first.join(a, ["meeting_id", "t"]).select("meeting_id", F.col("to").alias("t"))))
+    reached = at(first).unionByName(blocks.where("block = 0").select("meeting_id", F.lit(0).cast("long").alias("t"), "block"))
+    ladder = f"aggregate({steps}, array(next), (ls, i) -> concat(ls, array({hop.format('element_at(ls, -1)')})))"
+    path = "aggregate(reverse(sequence(0, size(ladder) - 1)), array(t), (r, k) -> concat(r, filter(transform(r, v -> get(get(ladder, k), cast(v - first AS int))), v -> v < first + size(next))))"
+    paths = reached.join(blocks, ["meeting_id", "block"]).withColumn("ladder", F.expr(ladder)).withColumn("path", F.array_sort(F.expr(path))).select("meeting_id", "block", "first", "e", "path")
+    earlier = Window.partitionBy("meeting_id").orderBy("block").rowsBetween(*_BEFORE)
+    numbered = paths.withColumn("_k0", F.coalesce(F.sum(F.size("path")).over(earlier), F.lit(0)))
+    out = numbered.select("meeting_id", "first", F.col("e").alias("es"), "_k0", F.posexplode("path").alias("i", "s"))
+    return out.select("meeting_id", (F.col("_k0") + F.col("i")).cast("int").alias("k"), "s", F.expr("get(es, cast(s - first AS int))").alias("e"))
+
+
+def chunks(turns: DataFrame, target_words: int = 220, overlap_words: int = 40, block: int = 1024) -> DataFrame:
     """Overlapping chunks of whole turns (meeting_id, turn_idx, speaker, text, words, start_ms, end_ms).
 
     A chunk takes turns while they fit in ``target_words`` (the first in any case); the next one starts so far back that
     at most ``overlap_words`` are repeated, or right after if that would be the same start. Returns meeting_id,
-    chunk_id, chunk_no, turn_indices, start_ms, end_ms, text.
+    chunk_id, chunk_no, turn_indices, start_ms, end_ms, text. A meeting may have any number of turns: where a chunk ends
+    and the next one starts is looked up for every turn, and the chain of starts is followed by doubled pointers. turn_idx
+    is a turn's own in its meeting; the words of a turn are at least 0.
     """
-    order = Window.partitionBy("meeting_id").orderBy("turn_idx")
-    t = turns.withColumn("_pos", F.row_number().over(order) - 1).withColumn("_p", F.sum("words").over(order.rowsBetween(*_SO_FAR)))
-    m = t.groupBy("meeting_id").agg(F.array_sort(F.collect_list(F.struct("_pos", "_p"))).alias("p"))  # two numbers a turn, no texts
-    m = m.select("meeting_id", F.concat(F.array(F.lit(0).cast("long")), F.transform("p", lambda x: x["_p"].cast("long"))).alias("p"))
-    back = f"filter(sequence(a.s, i), k -> p[i] - p[k] <= {overlap_words})[0]"
-    ranges = F.expr(
-        f"""aggregate(sequence(0, size(p) - 2), named_struct('s', 0, 'out', cast(array() AS array<struct<s:int,e:int>>)),
-          (a, i) -> IF(i = a.s OR p[i + 1] - p[a.s] <= {target_words}, a,
-            element_at(transform(array({back}), k -> CASE
-              WHEN k = a.s OR k = i THEN named_struct('s', i, 'out', array_append(a.out, named_struct('s', a.s, 'e', i)))
-              WHEN p[i + 1] - p[k] > {target_words} THEN named_struct('s', i, 'out', array_append(array_append(a.out, named_struct('s', a.s, 'e', i)), named_struct('s', k, 'e', i)))
-              ELSE named_struct('s', k, 'out', array_append(a.out, named_struct('s', a.s, 'e', i))) END), 1)),
-          a -> array_append(a.out, named_struct('s', a.s, 'e', size(p) - 1)))"""
-    )
-    c = m.select("meeting_id", F.posexplode(ranges).alias("k", "r")).select("meeting_id", "k", F.explode(F.sequence(F.col("r.s"), F.col("r.e") - 1)).alias("_pos"))
-    said = t.select("meeting_id", "_pos", "turn_idx", "start_ms", "end_ms", F.concat("speaker", F.lit(": "), "text").alias("line"))
-    g = c.join(said, ["meeting_id", "_pos"]).groupBy("meeting_id", "k").agg(F.array_sort(F.collect_list(F.struct("_pos", "turn_idx", "start_ms", "end_ms", "line"))).alias("u"))
+    numbered = saved(_numbered(turns, block))
+    ranges = _chunk_ranges(_next_starts(numbered, target_words, overlap_words), block)
+    c = ranges.select("meeting_id", "k", F.explode(F.sequence(F.col("s"), F.col("e") - 1)).alias("s")).join(numbered.select("meeting_id", "turn_idx", "s"), ["meeting_id", "s"])
+    said = turns.select("meeting_id", "turn_idx", "start_ms", "end_ms", F.concat("speaker", F.lit(": "), "text").alias("line"))
+    g = c.join(said, ["meeting_id", "turn_idx"]).groupBy("meeting_id", "k").agg(F.array_sort(F.collect_list(F.struct("turn_idx", "start_ms", "end_ms", "line"))).alias("u"))
     return g.select(
         "meeting_id",
         F.format_string("%s_chunk_%04d", F.col("meeting_id").cast("string"), F.col("k") + 1).alias("chunk_id"),

@@ -85,7 +85,34 @@ def test_chunks(spark):
                 back += w[b - 1]
                 b -= 1
             s = e if b == s else b
-    assert sorted((r.meeting_id, r.turn_indices) for r in sequence.chunks(df, 12, 4).collect()) == sorted(want)
+    for block in (1024, 4, 2):  # small blocks: paths cross many of them
+        got = sequence.chunks(df, 12, 4, block).collect()
+        assert sorted((r.meeting_id, r.turn_indices) for r in got) == sorted(want)
+        assert sorted((r.meeting_id, r.chunk_no) for r in got) == sorted((m, k + 1) for m, ts in _by_meeting([(w[0],) for w in want]).items() for k in range(len(ts)))
+
+
+def test_chunks_of_one_long_meeting(spark):
+    """A meeting of a million turns, and no row or task that holds it."""
+    n = 1_000_000
+    words = F.when(F.col("id") % 1000 < 990, F.col("id") * 7919 % 23).otherwise(0)
+    df = spark.range(n).select(F.lit("m").alias("meeting_id"), F.col("id").cast("int").alias("turn_idx"), F.lit("S").alias("speaker"), F.lit("t").alias("text"), words.alias("words"), F.col("id").alias("start_ms"), F.col("id").alias("end_ms"))
+    w = [k * 7919 % 23 if k % 1000 < 990 else 0 for k in range(n)]
+    want, s = [], 0
+    while True:
+        e, size = s, 0
+        while e < n and (e == s or size + w[e] <= 220):
+            size += w[e]
+            e += 1
+        want.append((s, e))
+        if e == n:
+            break
+        b, back = e, 0
+        while b > s and back + w[b - 1] <= 40:
+            back += w[b - 1]
+            b -= 1
+        s = e if b == s else b
+    got = sequence.chunks(df).select("chunk_no", F.col("turn_indices")[0].alias("s"), (F.element_at("turn_indices", -1) + 1).alias("e")).orderBy("chunk_no").collect()
+    assert [(r.s, r.e) for r in got] == want and [r.chunk_no for r in got] == list(range(1, len(want) + 1))
 
 
 def test_interval_join_and_atoms(spark):
