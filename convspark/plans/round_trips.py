@@ -8,7 +8,7 @@ from ..operators import audio
 from ..sources import adapters as A
 from ..sources import files, sinks
 from ..sources.shared import new_folder
-from ..streaming import progress
+from ..streaming import progress, runs
 from . import duck as D
 from .registry import _RAW_SEGMENTS, query, raw_segments
 
@@ -145,18 +145,21 @@ _STATES = """(SELECT CAST(l_orderkey AS VARCHAR) AS meeting_id, 's' || l_linenum
 
 @query("j1_progress_stream", f"SELECT meeting_id, count_if(state = 'completed')::BIGINT AS completed, count_if(state = 'failed')::BIGINT AS failed, count_if(state = 'running')::BIGINT AS running, 7 - count(*) AS pending FROM {_STATES} z GROUP BY meeting_id")
 def _(spark, d):
-    """Order lines as stages: each starts, and ends but for every third run. Events arrive in two parts and are watched as a stream."""
+    """Order lines as stages: each starts, and ends but for every third run; runs that end are over. Events arrive in three
+    parts, the last of which says the first one's again, and are watched as a stream."""
     stage = A.read(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"))
     own = [F.col("l_orderkey").cast("string").alias("meeting_id"), F.concat(F.lit("s"), F.col("l_linenumber").cast("string")).alias("stage")]
     start = stage.select(*own, F.lit("stage_start").alias("event"), F.col("l_linenumber").cast("double").alias("ts_unix"))
-    end = stage.where("l_orderkey % 3 <> 0").select(*own, F.lit("stage_end").alias("event"), F.when(F.col("flag") == "R", "error").otherwise("ok").alias("status"))
-    events, states, checkpoint = (new_folder(spark) for _ in range(3))
+    ended = stage.where("l_orderkey % 3 <> 0")
+    end = ended.select(*own, F.lit("stage_end").alias("event"), F.when(F.col("flag") == "R", "error").otherwise("ok").alias("status"))
+    over = ended.groupBy("l_orderkey").agg(F.max("flag").alias("flag")).select(own[0], F.lit("run_end").alias("event"), F.when(F.col("flag") == "R", "failed").otherwise("completed").alias("status"))
+    events, updates, checkpoint = (new_folder(spark) for _ in range(3))
 
     def keep(batch, batch_id):
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(states)
+        batch.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(updates)
 
-    for part in (start, end):
+    for part in (start, end.unionByName(over, allowMissingColumns=True), start):
         sinks.append_events(part, events)
-        progress.watch(progress.trace_stream(spark, events), keep, checkpoint, once=True).awaitTermination()
-    last = spark.read.parquet(states).groupBy("meeting_id", "stage").agg(F.max_by("state", "batch").alias("state"))
-    return progress.meeting_progress(last, 7)
+        runs.watch_runs(runs.run_updates(progress.trace_stream(spark, events), 7), keep, checkpoint, once=True).awaitTermination()
+    last = spark.read.schema(f"{runs.UPDATE}, batch long").parquet(updates).groupBy("meeting_id").agg(F.max_by(F.struct("completed", "failed", "running", "pending"), "batch").alias("x"))
+    return last.select("meeting_id", "x.*")
