@@ -129,6 +129,43 @@ def test_interval_join_and_atoms(spark):
         assert h == sorted({x[3] for x in rows if x[0] == m and x[1] + 3 <= s < x[2]})
 
 
+def test_long_intervals_are_few_rows(spark):
+    """A segment of a day beside short ones: two nodes at its own level, and each short one a row or two a level."""
+    day = 86_400_000
+    r = random.Random(8)
+    short = [("m", s, s + r.choice([0, 3, 700, 5000])) for s in (r.randrange(day) for _ in range(300))]
+    long = [("m", 0, day), ("m", 1234, day - 99), ("m", day - 1, day + 10), ("n", 0, day)]
+    schema = "meeting_id string, start_ms long, end_ms long"
+    a, b = spark.createDataFrame(short + long, schema), spark.createDataFrame(long + short[:50], schema)
+    for touching in (False, True):
+        got = intervals.interval_join(a, b, ["meeting_id"], touching=touching)
+        hits = [(x, y) for x in short + long for y in long + short[:50] if x[0] == y[0] and (x[1] <= y[2] and y[1] <= x[2] if touching else x[1] < y[2] and y[1] < x[2])]
+        assert sorted((g.meeting_id, g.start_ms, g.end_ms, g.r_start_ms, g.r_end_ms) for g in got.collect()) == sorted((*x, y[1], y[2]) for x, y in hits)
+    left = intervals.interval_join(a, b.where("meeting_id = 'n'"), ["meeting_id"], how="left")
+    assert left.count() == len(short + long) and left.where("r_start_ms IS NOT NULL").count() == 1
+    nodes = intervals._at_nodes(b.withColumn("_own", intervals._level("start_ms", "end_ms", 1000)), "start_ms", "end_ms", F.col("_own"), 1000)
+    assert nodes.groupBy("meeting_id", "start_ms", "end_ms").count().agg(F.max("count")).first()[0] <= 2 * 2  # an interval may be there twice
+
+
+def test_sweep_over_many_ranges(spark):
+    """One meeting that fills all ranges, with a speaker who is active through ranges without a mark of theirs."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    r = random.Random(9)
+    ref = [("m", "A", 0, 5000), ("k", "A", 3, 9)] + [("m", f"S{k % 3}", k * 5, k * 5 + r.randint(1, 30)) for k in range(900)]
+    hyp = [("m", "B", 100, 4200)] + [("m", f"H{k % 2}", k * 7, k * 7 + r.randint(1, 9)) for k in range(600)]
+    schema = "meeting_id string, speaker string, start_ms long, end_ms long"
+    try:
+        got = intervals.atoms(spark.createDataFrame(ref, schema), spark.createDataFrame(hyp, schema)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = []
+    for m in "km":
+        cuts = sorted({t for x in ref + hyp if x[0] == m for t in x[2:]})
+        on = lambda side, t, m=m: sorted({x[1] for x in side if x[0] == m and x[2] <= t < x[3]})
+        want += [(m, s, e, on(ref, s), on(hyp, s)) for s, e in zip(cuts, cuts[1:])]
+    assert sorted((g.meeting_id, g.start_ms, g.end_ms, g.ref, g.hyp) for g in got) == want
+
+
 def test_small_ones(spark):
     m = spark.createDataFrame([("m", 45_000), ("z", 0)], "meeting_id string, duration_ms long")
     assert [(r.start_ms, r.end_ms) for r in sequence.grid_segments(m).orderBy("start_ms").collect()] == [(0, 20_000), (21_000, 41_000), (42_000, 45_000)]
