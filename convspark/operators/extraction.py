@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.json_objects import summaries
 
 _STRINGS = "array<string>"
 
@@ -172,9 +173,8 @@ def parse_summaries(responses: DataFrame) -> DataFrame:
     Every place with ``{`` is tried; an object counts if its summary is a string. Text after an object is ignored.
     Returns meeting_id, summary, key_points, discussion_points, follow_up, abstract, actions, decisions, problems.
     """
-    pieces = F.split("text", r"\{")  # braces from the lengths between them; a look at each place costs the square of the text
-    starts = F.explode(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda x, i: F.aggregate(F.slice(pieces, F.lit(1), i + 1), F.lit(0), lambda n, y: n + F.length(y)) + i + 1)).alias("at")
-    v = responses.select("meeting_id", "text", starts).select("meeting_id", "at", F.try_parse_json(F.substr("text", F.col("at"))).alias("v"))
+    found = F.pandas_udf(summaries, "array<struct<at:int,body:string>>")(F.col("text"))
+    v = responses.select("meeting_id", F.inline(found)).select("meeting_id", "at", F.try_parse_json("body").alias("v"))
     v = v.where(F.schema_of_variant(F.try_variant_get("v", "$.summary", "variant")) == "STRING")
     texts = lambda name: F.coalesce(F.transform(F.try_variant_get("v", f"$.{name}", "array<variant>"), lambda x: F.coalesce(F.try_variant_get(x, "$.text", "string"), F.try_variant_get(x, "$.point", "string"), F.try_variant_get(x, "$.item", "string"), F.try_variant_get(x, "$", "string"))), F.array().cast(_STRINGS))
     names = {"discussion_points": 8, "follow_up": 8, "abstract": 6, "actions": 6, "decisions": 6, "problems": 6}

@@ -69,3 +69,36 @@ def test_confidence(spark):
     ]
     got = [r[0] for r in spark.createDataFrame(rows, schema).select(files.confidence(F.struct("*"))).collect()]
     assert got == [0.8, 0.5, 0.3, 0.367879, 0.0, 0.1, 0.2, 0.9, 0.0, 0.5, 0.123457]
+
+
+def test_json_objects():
+    import json
+    import random
+    import time
+
+    from convspark.functions.json_objects import objects
+
+    def naive(text):
+        out = []
+        for i, c in enumerate(text):
+            if c == "{":
+                try:
+                    out.append((i, json.JSONDecoder(parse_constant=lambda _: None).raw_decode(text[i:])[0]))
+                except (ValueError, RecursionError):
+                    pass
+        return out
+
+    r = random.Random(6)
+    pieces = ['{', '}', '"', '\\', ':', ',', '[', ']', '"a"', '"summary": ', '{"a": 1}', '{"a": {"b": "}"}}', '"{\\"x\\": 2}"', '{}', ' ', 'é', '\\{}', 'NaN', '{"s": "a\\"{}"}', "it's", "1"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randint(1, 25))) for _ in range(20_000)]
+    texts += ['He said "ok {"summary": "x", "l": [{"y": {}}, {"y": "{"}]} and } more', '{"a": 1, "a": {"b": {}}, "c": {"summary": "z"}}', "{" * 50 + "}" * 50, '{"t": "{\\"summary\\": \\"x\\"}"} {"u": {}}']
+    for t in texts:
+        assert objects(t) == naive(t), t
+    assert sum(len(naive(t)) > 1 for t in texts) > 100
+    took = []
+    for n in (25_000, 100_000):
+        began = time.process_time()
+        assert len(objects('noise { "summary" ' + '{"summary": "text", "key_points": ["a", {"text": "b"}]} JSON: ' * n)) == 2 * n
+        objects("{" * n), objects('{"a":' * n), objects('"{' * n), objects("{}" * n + "\\{" * n)
+        took.append(time.process_time() - began)
+    assert took[1] < 6 * took[0] + 0.5
