@@ -4,50 +4,20 @@ from __future__ import annotations
 
 from collections import Counter
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from ..functions.alignment import common, edit_distances
 from ..functions.numbers import fixed
 from ..functions.text import bound, eval_words, normalize_eval
 from ..sources.shared import saved
 from .intervals import atoms, collar
 
-#: First code point of the words' characters; there is room for over a million distinct words up to the last one.
-_FIRST, _LAST, _SURROGATES = 0x4E00, 0x10FFFF, (0xD800, 0xE000)
-
-
 def word_edit_distance(a: Column, b: Column) -> Column:
-    """Edit distance of two word arrays: words become single characters of a common dictionary, for the built-in.
-
-    A pair of more distinct words than there are characters fails rather than get a wrong or missing distance.
-    """
-    both = F.struct(a.alias("a"), b.alias("b"), F.array_distinct(F.concat(a, b)).alias("v"))
-
-    def code(w: Column, v: Column) -> Column:
-        at = F.array_position(v, w) + (_FIRST - 1)
-        at = F.when(at < _SURROGATES[0], at).otherwise(at + (_SURROGATES[1] - _SURROGATES[0]))
-        at = F.when(at <= _LAST, at).otherwise(F.raise_error(F.lit("a pair has too many distinct words")).cast("long"))
-        return F.decode(F.unhex(F.lpad(F.hex(at), 8, "0")), "UTF-32")
-
-    coded = lambda words, v: F.array_join(F.transform(words, lambda w: code(w, v)), "")
-    return bound(both, lambda x: F.levenshtein(coded(x["a"], x["v"]), coded(x["b"], x["v"])))
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    row = np.zeros(len(b) + 1, int)
-    for x in a:
-        t = row.copy()
-        np.maximum(t[1:], row[:-1] + (b == x), out=t[1:])
-        row = np.maximum.accumulate(t)
-    return int(row[-1])
-
-
-def _coded(a, b) -> tuple[np.ndarray, np.ndarray]:
-    codes: dict = {}
-    return tuple(np.array([codes.setdefault(w, len(codes)) for w in (x if x is not None else [])], int) for x in (a, b))
+    """Edit distance of two word arrays, of any length (see ``functions.alignment``)."""
+    return F.pandas_udf(edit_distances, "long")(a, b).cast("int")
 
 
 @F.pandas_udf(StructType([StructField(n, IntegerType()) for n in ("ones", "twos", "longest")]))
@@ -56,7 +26,7 @@ def overlaps(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     rows = []
     for x, y in zip(a, b, strict=True):
         x, y = (list(z) if z is not None else [] for z in (x, y))
-        rows.append((*(sum((Counter(zip(*(x[k:] for k in range(n)))) & Counter(zip(*(y[k:] for k in range(n))))).values()) for n in (1, 2)), _common(*_coded(x, y))))
+        rows.append((*(sum((Counter(zip(*(x[k:] for k in range(n)))) & Counter(zip(*(y[k:] for k in range(n))))).values()) for n in (1, 2)), common(x, y)))
     return pd.DataFrame(rows, columns=["ones", "twos", "longest"], dtype="int32")
 
 
@@ -130,15 +100,27 @@ def cpwer(ref: DataFrame, hyp: DataFrame, max_speakers: int = 8) -> DataFrame:
     total_ref_words, total_edits, cpwer and assignment (array of ref_speaker, hyp_speaker); without reference words
     the scores are null; meetings of more than ``max_speakers`` have error ``too_many_speakers``.
     """
-    side = lambda df, n: df.groupBy("meeting_id").agg(F.array_sort(F.collect_list(F.struct("speaker", "text"))).alias(n))
-    m = side(ref, "r").join(side(hyp, "h"), "meeting_id", "full")
-    none = F.array().cast("array<struct<speaker:string,text:string>>")
-    m = m.select("meeting_id", F.coalesce("r", none).alias("r"), F.coalesce("h", none).alias("h")).withColumn("n", F.greatest(F.size("r"), F.size("h")))
-    m = m.withColumn("total_ref_words", F.aggregate(F.transform("r", lambda x: F.size(eval_words(x["text"]))), F.lit(0), lambda a, b: a + b))
-    cell = m.where(F.col("n") <= max_speakers).select("meeting_id", "n", "r", "h", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    words = lambda c, k: F.coalesce(eval_words(F.get(F.col(c), F.col(k))["text"]), F.array().cast("array<string>"))
-    cell = cell.withColumn("_r", words("r", "i")).withColumn("_h", words("h", "j")).select("meeting_id", "n", "i", "j", word_edit_distance(F.col("_r"), F.col("_h")).alias("cost"))
-    costs = cell.groupBy("meeting_id", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "j", "cost"))), lambda x: x["cost"]).alias("costs"))
+    none, whole = F.array().cast("array<string>"), Window.partitionBy("meeting_id")
+
+    def side(df: DataFrame, place: str) -> DataFrame:
+        own = df.withColumn(place, F.row_number().over(whole.orderBy("speaker", "text")) - 1).withColumn(f"n_{place}", F.count("*").over(whole))
+        return own.select("meeting_id", place, f"n_{place}", F.col("speaker").alias(f"{place}_speaker"), F.coalesce(eval_words(F.col("text")), none).alias(f"{place}_words"))
+
+    def listed(df: DataFrame, place: str, name: str) -> DataFrame:
+        return df.groupBy("meeting_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(place, f"{place}_speaker", F.size(f"{place}_words").alias("size")))), lambda x: F.struct(x[f"{place}_speaker"].alias("speaker"), x["size"].alias("size"))).alias(name))
+
+    r, h = saved(side(ref, "i")), saved(side(hyp, "j"))
+    m = listed(r, "i", "r").join(listed(h, "j", "h"), "meeting_id", "full")
+    no_one = F.array().cast("array<struct<speaker:string,size:int>>")
+    m = m.select("meeting_id", F.coalesce("r", no_one).alias("r"), F.coalesce("h", no_one).alias("h")).withColumn("n", F.greatest(F.size("r"), F.size("h")))
+    m = m.withColumn("total_ref_words", F.aggregate("r", F.lit(0), lambda a, x: a + x["size"]))
+    # A pair of speakers is a row, and meets its texts only here; who has no partner costs as many words as they said.
+    pairs = r.where(F.col("n_i") <= max_speakers).join(h.where(F.col("n_j") <= max_speakers), "meeting_id").select("meeting_id", "i", "j", word_edit_distance(F.col("i_words"), F.col("j_words")).alias("cost"))
+    pairs = pairs.groupBy("meeting_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "j", "cost"))), lambda x: x["cost"]).alias("known"))
+    size = lambda c, k: F.coalesce(F.get(F.col(c), k)["size"], F.lit(0))
+    cell = lambda i, j: F.when((i < F.size("r")) & (j < F.size("h")), F.get("known", i * F.size("h") + j)).otherwise(size("r", i) + size("h", j))
+    places = F.sequence(F.lit(0), F.col("n") - 1)
+    costs = m.where(F.col("n") <= max_speakers).join(pairs, "meeting_id", "left").withColumn("costs", F.flatten(F.transform(places, lambda i: F.transform(places, lambda j: cell(i, j)))))
     out = m.join(costs.select("meeting_id", best_assignment(F.col("costs"), F.col("n")).alias("best")), "meeting_id", "left")
     named = F.filter(F.transform("best.perm", lambda j, i: F.struct(F.get(F.col("r"), i)["speaker"].alias("ref_speaker"), F.get(F.col("h"), j)["speaker"].alias("hyp_speaker"))), lambda x: x["ref_speaker"].isNotNull() & x["hyp_speaker"].isNotNull())
     scored = F.col("total_ref_words") > 0

@@ -64,7 +64,7 @@ def test_kernels():
     for _ in range(300):
         a, b = ([r.randint(0, 3) for _ in range(r.randint(0, 8))] for _ in range(2))
         lcs = max((len(s) for k in range(len(a) + 1) for s in itertools.combinations(a, k) if _is_sub(s, b)), default=0)
-        assert metrics._common(np.array(a, int), np.array(b, int)) == lcs
+        assert metrics.common(a, b) == lcs
 
 
 def _is_sub(s, b):
@@ -132,3 +132,35 @@ def test_fixed_decimals(spark):
     df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double").select("x", *[fixed(F.col("x"), d).alias(f"d{d}") for d in (0, 2, 3, 6, 9)])
     for row in df.collect():
         assert [row[f"d{d}"] for d in (0, 2, 3, 6, 9)] == [None if row.x is None else f"{row.x:.{d}f}" for d in (0, 2, 3, 6, 9)], row.x
+
+
+def test_alignment_kernels(spark):
+    import time
+
+    from convspark.functions.alignment import common, edits
+
+    def table(a, b):
+        d, c = list(range(len(b) + 1)), [0] * (len(b) + 1)
+        for i, x in enumerate(a, 1):
+            e, g = [i], [0]
+            for j, y in enumerate(b, 1):
+                e.append(min(d[j] + 1, e[-1] + 1, d[j - 1] + (x != y)))
+                g.append(c[j - 1] + 1 if x == y else max(c[j], g[-1]))
+            d, c = e, g
+        return d[-1], c[-1]
+
+    r = random.Random(2)
+    for _ in range(3000):
+        a, b = ([r.choice("abcd"[: r.randint(1, 4)]) for _ in range(r.randint(0, 12))] for _ in range(2))
+        assert (edits(a, b), common(a, b)) == table(a, b)
+    a, b = ([r.choice("abcdefgh") for _ in range(n)] for n in (300, 260))
+    assert (edits(a, b), common(a, b)) == table(a, b)
+    a, b = ([f"w{r.randrange(20_000)}" for _ in range(100_000)] for _ in range(2))
+    began = time.process_time()
+    assert 80_000 < edits(a, b) <= 100_000
+    assert time.process_time() - began < 60
+    began = time.process_time()
+    common(a[:30_000], b[:30_000])
+    assert time.process_time() - began < 4
+    df = spark.createDataFrame([(["a", "b"], ["a", "c", "b"]), ([], ["x"]), (None, ["x"]), ([], [])], "a array<string>, b array<string>")
+    assert [x[0] for x in df.select(metrics.word_edit_distance(F.col("a"), F.col("b"))).collect()] == [1, 1, None, 0]
