@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import hashlib
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
 def last_by_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -166,12 +170,40 @@ def code_provenance(files: DataFrame, group: str) -> DataFrame:
     return each.groupBy(group).agg(F.count("*").alias("files"), F.sha2(F.array_join(lines, ""), 256).alias("aggregate_sha256"))
 
 
-def content_digests(files: DataFrame, ignored: Iterable[str] = ()) -> DataFrame:
-    """A digest a meeting: SHA-256 over its sorted (path, SHA-256 of the content) pairs, so that files are hashed apart."""
-    kept = files.where(~F.element_at(F.split("path", "/"), -1).isin(*ignored)) if ignored else files
-    each = kept.select("meeting_id", "path", F.sha2(F.col("content").cast("binary"), 256).alias("h"))
-    line = F.transform(F.array_sort(F.collect_list(F.struct("path", "h"))), lambda x: F.concat(x["path"], F.lit(":"), x["h"]))
-    return each.groupBy("meeting_id").agg(F.count("*").alias("files"), F.sha2(F.array_join(line, "\n"), 256).alias("digest"))
+#: Files that tell of a run and are no part of what it made.
+RUN_FILES = ("run_manifest.json", "stage_trace.jsonl", "preflight_offline_audit.json", "reproducibility_report.json")
+
+
+def _folder_digests(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """One running hash a meeting, over files that come in order; no meeting's files are held together."""
+    of, files, digest = None, 0, None
+    done = lambda: pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((of, files, digest.hexdigest()), out)], schema=out)
+    for batch in batches:
+        for meeting, path, content in zip(*(batch[c] for c in ("meeting_id", "path", "content"))):
+            if digest is None or meeting.as_py() != of:
+                if digest is not None:
+                    yield done()
+                of, files, digest = meeting.as_py(), 0, hashlib.sha256()
+            files += 1
+            for piece in (path, content):
+                digest.update(piece.as_buffer() if piece.is_valid else b"")
+                digest.update(b"\0")
+    if digest is not None:
+        yield done()
+
+
+def content_digests(files: DataFrame, ignored: Iterable[str] = RUN_FILES) -> DataFrame:
+    """The digest of each meeting's folder: SHA-256 over path, zero, content, zero of its files (meeting_id, path, content).
+
+    Files are taken in the order of their paths' parts; those named in ``ignored`` are left out. A hash takes its bytes in
+    a row, so a meeting is one task's work, which passes its files through one by one.
+    """
+    name = F.element_at(F.split("path", "/"), -1)
+    kept = files.where(~name.isin(*ignored)) if ignored else files
+    kept = kept.select("meeting_id", F.col("path").cast("binary").alias("path"), F.col("content").cast("binary").alias("content"), F.split("path", "/").alias("_parts"))
+    out = StructType([kept.schema["meeting_id"], StructField("files", LongType()), StructField("digest", StringType())])
+    arrow = to_arrow_schema(out)
+    return kept.repartition("meeting_id").sortWithinPartitions("meeting_id", "_parts").drop("_parts").mapInArrow(lambda batches: _folder_digests(batches, arrow), out)
 
 
 def stage_status(required: DataFrame, inventory: DataFrame, trace: DataFrame) -> DataFrame:

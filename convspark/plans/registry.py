@@ -876,7 +876,7 @@ def _(spark, d):
     return ops.code_provenance(A.contents(spark, d), "meeting_id")
 
 
-@query("f13_content_digests", f"SELECT meeting_id, count(*) AS files, sha256(string_agg(path || ':' || sha256(content), chr(10) ORDER BY path)) AS digest FROM {D.FILES} z GROUP BY meeting_id")
+@query("f13_content_digests", f"SELECT meeting_id, count(*) AS files, sha256(string_agg(path || chr(0) || content || chr(0), '' ORDER BY path)) AS digest FROM {D.FILES} z GROUP BY meeting_id")
 def _(spark, d):
     return ops.content_digests(A.contents(spark, d))
 

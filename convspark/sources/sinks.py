@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..functions.numbers import fixed
-from ..operators.ops import upsert
 
 
 def _sorted_fields(value: Column, kind: DataType) -> Column:
@@ -48,16 +47,6 @@ def write_report(rows: DataFrame, path: str, columns: list[str]) -> None:
     rows.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in columns]).write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
 
 
-def upsert_rows(rows: DataFrame, path: str, keys: list[str], schema: str) -> None:
-    """Puts rows by key into a JSON table: written beside the old one, then over it."""
-    spark = rows.sparkSession
-    old = spark.read.schema(schema).json(path)
-    merged = upsert(old, rows, keys)
-    staged = f"{path.rstrip('/')}.staged"
-    merged.sortWithinPartitions(*keys).write.mode("overwrite").json(staged)
-    spark.read.schema(merged.schema).json(staged).write.mode("overwrite").json(path)
-
-
 def rttm_lines(segments: DataFrame, label: str | None = None) -> DataFrame:
     """(meeting_id, value): RTTM lines with three decimals; ``label`` stands in for the speaker."""
     who = F.lit(label) if label else F.col("speaker")

@@ -2,8 +2,11 @@
 
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from convspark.operators import ops
-from convspark.sources import files, sinks
+from convspark.sources import files, keyed_tables, sinks
 from convspark.streaming import progress
 
 
@@ -48,9 +51,9 @@ def test_traces_reports_and_upserts(spark, tmp_path):
     assert got == [("a", ["a", "b"], "validate-only"), ("Unknown", [], "validate-only")]
     table = str(tmp_path / "table")
     rows = lambda *x: spark.createDataFrame(list(x), "k string, v long")
-    sinks.write_json_rows(rows(("a", 1), ("b", 2)), table, ["k"])
-    sinks.upsert_rows(rows(("b", 3), ("c", 4)), table, ["k"], "k string, v long")
-    assert sorted(tuple(r) for r in spark.read.schema("k string, v long").json(table).collect()) == [("a", 1), ("b", 3), ("c", 4)]
+    for part in (rows(("a", 1), ("b", 2)), rows(("b", 3), ("c", 4))):
+        keyed_tables.upsert_rows(part, table, ["k"], "k string, v long")
+    assert sorted(tuple(r) for r in keyed_tables.read_rows(spark, table, "k string, v long").collect()) == [("a", 1), ("b", 3), ("c", 4)]
     sinks.write_report(rows(("a", None)), str(tmp_path / "report"), ["k", "gone", "v"])
     r = files.csv_rows(spark, str(tmp_path / "report"))
     assert r.columns == ["k", "gone", "v"] and tuple(r.first()) == ("a", None, None)
@@ -90,3 +93,38 @@ def test_progress_stream(spark, tmp_path):
     assert seen == [[("asr", "running"), ("vad", "completed")], [("asr", "failed")]]
     states = spark.createDataFrame([("m", "asr", "failed"), ("m", "vad", "completed")], "meeting_id string, stage string, state string")
     assert tuple(progress.meeting_progress(states, 5).first()) == ("m", 1, 1, 0, 3)
+
+
+def test_failed_upsert_leaves_the_table(spark, tmp_path, monkeypatch):
+    """A write that fails, in a task or before the manifest's swap, leaves the old rows; only touched buckets are written."""
+    table, schema = str(tmp_path / "t"), "k string, v long"
+    now = lambda: sorted((tuple(r) for r in keyed_tables.read_rows(spark, table, schema).collect()), key=str)
+    rows = lambda *x: spark.createDataFrame(list(x), schema)
+    assert now() == []
+    keyed_tables.upsert_rows(rows(*[(f"k{i}", i) for i in range(50)], (None, 7)), table, ["k"], schema, buckets=8)
+    old, folders = now(), keyed_tables.manifest(spark, table)["folders"]
+    assert len(old) == 51
+    with pytest.raises(Exception, match="lost"):
+        keyed_tables.upsert_rows(rows(("k1", -1)).withColumn("v", F.raise_error(F.lit("lost")).cast("long")), table, ["k"], schema)
+    assert now() == old
+    with monkeypatch.context() as m:
+        m.setattr(keyed_tables, "_swap", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            keyed_tables.upsert_rows(rows(("k1", -1), ("new", 1)), table, ["k"], schema)
+    assert now() == old
+    keyed_tables.upsert_rows(rows(("k1", -1)), table, ["k"], schema)
+    assert len(now()) == 51 and dict(now()) == {**dict(old), "k1": -1}
+    changed = keyed_tables.manifest(spark, table)["folders"]
+    assert sum(changed[b] != folders[b] for b in folders) == 1
+    with pytest.raises(ValueError):
+        keyed_tables.upsert_rows(rows(("a", 1)), table, ["v"], schema)
+
+
+def test_folder_digest(spark):
+    """The digest over sorted paths and bytes, computed by hand."""
+    import hashlib
+
+    rows = [("m", "b.txt", b"two"), ("m", "a/z.bin", bytes(range(256))), ("m", "a.txt", b""), ("m", "stage_trace.jsonl", b"x"), ("m", "a/run_manifest.json", b"x"), ("n", "\u00e9", None)]
+    got = {r.meeting_id: (r.files, r.digest) for r in ops.content_digests(spark.createDataFrame(rows, "meeting_id string, path string, content binary").repartition(3)).collect()}
+    m = b"a/z.bin\0" + bytes(range(256)) + b"\0" + b"a.txt\0\0" + b"b.txt\0two\0"
+    assert got == {"m": (3, hashlib.sha256(m).hexdigest()), "n": (1, hashlib.sha256("\u00e9".encode() + b"\0\0").hexdigest())}
