@@ -72,11 +72,12 @@ def without_columns(rows: DataFrame, part: str) -> DataFrame:
 
 
 def missing_artifacts(meetings: DataFrame, required: DataFrame, inventory: DataFrame) -> DataFrame:
-    """(meeting_id, name) of required artifacts that a meeting lacks; the names of ``required`` go along with each
-    meeting as one array, so there may be some thousands of them."""
-    names = required.agg(F.collect_set("name").alias("_names"))
-    each = meetings.select("meeting_id").distinct().withColumn("_k", F.lit(1)).join(names.withColumn("_k", F.lit(1)), "_k")
-    return each.select("meeting_id", F.explode("_names").alias("name")).join(inventory.select("meeting_id", "name"), ["meeting_id", "name"], "left_anti")
+    """(meeting_id, name) of required artifacts that a meeting has not. ``required`` (name) is what every meeting needs, a
+    list of some dozen names, which is put into the plan; meetings and inventory only meet by meeting_id."""
+    names = F.array(*[F.lit(r[0]) for r in required.select("name").distinct().orderBy("name").collect()]).cast("array<string>")
+    there = inventory.where(F.array_contains(names, F.col("name"))).groupBy("meeting_id").agg(F.collect_set("name").alias("_there"))
+    m = meetings.select("meeting_id").distinct().join(there, "meeting_id", "left")
+    return m.select("meeting_id", F.explode(F.array_except(names, F.coalesce("_there", F.array().cast("array<string>")))).alias("name"))
 
 
 def resume_plan(meetings: DataFrame, manifests: DataFrame) -> DataFrame:
