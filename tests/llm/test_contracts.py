@@ -4,6 +4,7 @@ import os
 import zlib
 
 import duckdb
+import pandas as pd
 import pytest
 
 from convspark.llm.registry import ORACLE_SQL, QUERIES
@@ -19,6 +20,9 @@ WANT = {
     "op6_rule_ensemble": "doc_id bigint, held_out boolean, score double, predicted int",
     "op7_content_sort_dedup": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op9_water_filling": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op11_html_extraction": "page_id bigint, url string, text string, n_chars bigint",
+    "op12_prefix_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",
+    "op13_fill_in_middle": "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, restored_sha256 string",
     "op10_token_files": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
 }
 
@@ -31,13 +35,15 @@ def test_columns(spark, name):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     if "doc_id" in rows:
         assert len(rows) == documents.count()
+    if "page_id" in rows:
+        assert len(rows) == spark.read.parquet(f"{SF}/pages.parquet").count() and (rows.text.str.len() == rows.n_chars).all()
     if "held_out" in rows:
         mod = 7 if name.startswith("op1") else 4
         assert (rows.held_out == rows.doc_id.map(lambda d: zlib.crc32(str(d).encode()) % mod == 2)).all()
 
 
 def _plain(df):
-    cell = lambda v: "" if v is None or v != v else f"{v:.9g}" if isinstance(v, float) else str(v)
+    cell = lambda v: "" if v is None or v is pd.NA or v != v else f"{v:.9g}" if isinstance(v, float) else str(v)
     return sorted(tuple(cell(v) for v in r) for r in df[sorted(df.columns)].astype(object).itertuples(index=False))
 
 
