@@ -186,15 +186,17 @@ def _chunk_ranges(starts: DataFrame, block: int) -> DataFrame:
     steps = "sequence(1, length(bin(size(next))))"
     blocks = saved(blocks.withColumn("leaves", F.expr(f"aggregate({steps}, next, (a, i) -> {hop.format('a')})")))
     entries = blocks.select("meeting_id", "n", F.explode(F.array_distinct("leaves")).alias("t")).where("t < n").select("meeting_id", "t").distinct()
-    at = lambda df: df.withColumn("block", F.floor(F.col("t") / block))
-    jumps = [saved(at(entries).join(blocks.select("meeting_id", "block", "first", "leaves", "n"), ["meeting_id", "block"]).select("meeting_id", "t", F.expr("get(leaves, cast(t - first AS int))").alias("to"), "n").where("`to` < n").drop("n"))]
-    first = blocks.where("block = 0").select("meeting_id", F.expr("get(leaves, 0)").alias("t"), "n").where("t < n").drop("n")
-    while not jumps[-1].isEmpty():
-        a = jumps[-1]
-        jumps.append(saved(a.join(a.select("meeting_id", F.col("t").alias("to"), F.col("to").alias("_to")), ["meeting_id", "to"]).select("meeting_id", "t", F.col("_to").alias("to"))))
-    for a in reversed(jumps[:-1]):
-        first = saved(first.unionByName(first.join(a, ["meeting_id", "t"]).select("meeting_id", F.col("to").alias("t"))))
-    reached = at(first).unionByName(blocks.where("block = 0").select("meeting_id", F.lit(0).cast("long").alias("t"), "block"))
+    reached = blocks.where("block = 0").select("meeting_id", F.lit(0).cast("long").alias("t"), "block")
+    if not entries.isEmpty():  # a path leaves its block
+        at = lambda df: df.withColumn("block", F.floor(F.col("t") / block))
+        jumps = [saved(at(entries).join(blocks.select("meeting_id", "block", "first", "leaves", "n"), ["meeting_id", "block"]).select("meeting_id", "t", F.expr("get(leaves, cast(t - first AS int))").alias("to"), "n").where("`to` < n").drop("n"))]
+        while not jumps[-1].isEmpty():
+            a = jumps[-1]
+            jumps.append(saved(a.join(a.select("meeting_id", F.col("t").alias("to"), F.col("to").alias("_to")), ["meeting_id", "to"]).select("meeting_id", "t", F.col("_to").alias("to"))))
+        first = blocks.where("block = 0").select("meeting_id", F.expr("get(leaves, 0)").alias("t"), "n").where("t < n").drop("n")
+        for a in reversed(jumps[:-1]):
+            first = saved(first.unionByName(first.join(a, ["meeting_id", "t"]).select("meeting_id", F.col("to").alias("t"))))
+        reached = reached.unionByName(at(first))
     ladder = f"aggregate({steps}, array(next), (ls, i) -> concat(ls, array({hop.format('element_at(ls, -1)')})))"
     path = "aggregate(reverse(sequence(0, size(ladder) - 1)), array(t), (r, k) -> concat(r, filter(transform(r, v -> get(get(ladder, k), cast(v - first AS int))), v -> v < first + size(next))))"
     paths = reached.join(blocks, ["meeting_id", "block"]).withColumn("ladder", F.expr(ladder)).withColumn("path", F.array_sort(F.expr(path))).select("meeting_id", "block", "first", "e", "path")
