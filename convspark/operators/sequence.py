@@ -206,7 +206,7 @@ def _chunk_ranges(starts: DataFrame, block: int) -> DataFrame:
     return out.select("meeting_id", (F.col("_k0") + F.col("i")).cast("int").alias("k"), "s", F.expr("get(es, cast(s - first AS int))").alias("e"))
 
 
-def chunks(turns: DataFrame, target_words: int = 220, overlap_words: int = 40, block: int = 1024) -> DataFrame:
+def chunks(turns: DataFrame, target_words: int = 220, overlap_words: int = 40, block: int = 8192) -> DataFrame:
     """Overlapping chunks of whole turns (meeting_id, turn_idx, speaker, text, words, start_ms, end_ms).
 
     A chunk takes turns while they fit in ``target_words`` (the first in any case); the next one starts so far back that

@@ -85,7 +85,7 @@ def test_chunks(spark):
                 back += w[b - 1]
                 b -= 1
             s = e if b == s else b
-    for block in (1024, 4, 2):  # small blocks: paths cross many of them
+    for block in (8192, 4, 2):  # small blocks: paths cross many of them
         got = sequence.chunks(df, 12, 4, block).collect()
         assert sorted((r.meeting_id, r.turn_indices) for r in got) == sorted(want)
         assert sorted((r.meeting_id, r.chunk_no) for r in got) == sorted((m, k + 1) for m, ts in _by_meeting([(w[0],) for w in want]).items() for k in range(len(ts)))
