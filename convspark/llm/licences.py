@@ -82,7 +82,8 @@ def scan_licences(docs: DataFrame, rare_words: int = 6, least: float = 0.8, shar
     ``rare_index``). A document's occurrences of such words meet the postings by word; those that agree on where the
     template would start (relative place) add their weight, and a template with at least ``least`` of its rare words'
     weight at one start is a candidate. It is confirmed when all its mandatory phrases stand where that start puts
-    them, give or take ``slack`` words.
+    them, give or take ``slack`` words: phrases are located once a document, and each place names the starts that it
+    can serve, so that candidates and places meet by equality and the work grows with the text's length.
 
     Returns one row per input row: id, n_words, base (places of the base phrases), base_labels, labels (base and
     found ones), score (the best share of weight, 1 where a base phrase stands, 0 without any find). Null texts are
@@ -104,7 +105,8 @@ def scan_licences(docs: DataFrame, rare_words: int = 6, least: float = 0.8, shar
     found = read.select("uid", F.explode(F.filter("hits", lambda x: x["word"].isin(rare))).alias("x")).select("uid", "x.*")
     starts = found.join(F.broadcast(index), "word").groupBy("uid", "template", "label", (F.col("at") - F.col("place")).alias("start")).agg(F.sum("weight").alias("weight"))
     candidates = starts.where(F.col("weight") >= least - 1e-9)
-    confirmed = candidates.join(read.select("uid", "hits"), "uid").where(_confirmed(slack))
+    located = _phrase_starts(read.join(candidates.select("uid").distinct(), "uid", "left_semi"), slack)
+    confirmed = candidates.join(located, ["uid", "template", "start"])
     kept = confirmed.groupBy("uid").agg(F.collect_set("label").alias("_labels"), F.max("weight").alias("_weight"))  # a label a template at most
 
     base = read.select("_id", "uid", "n_words", *[places(F.col("hits"), p.split()).alias(f"_b{k}") for k, p in enumerate(BASE_PHRASES)])
@@ -125,20 +127,16 @@ def scan_licences(docs: DataFrame, rare_words: int = 6, least: float = 0.8, shar
     )
 
 
-def _within(place: int, slack: int):
-    return lambda x: F.abs(x - place) <= slack
-
-
-def _confirmed(slack: int) -> Column:
-    """Whether the mandatory phrases of the candidate's template stand at their places behind ``start``."""
-    out = F.lit(False)
-    for t, (_, text, phrases) in enumerate(TEMPLATES):
-        ok = F.col("template") == t
-        for p in phrases:
-            place = len(f" {text} ".partition(f" {p} ")[0].split())
-            ok = ok & F.exists(F.transform(places(F.col("hits"), p.split()), lambda at: at - F.col("start")), _within(place, slack))
-        out = out | ok
-    return out
+def _phrase_starts(read: DataFrame, slack: int) -> DataFrame:
+    """(uid, template, start) at which all mandatory phrases of the template stand, from texts (uid, hits)."""
+    phrases = sorted({p for _, _, own in TEMPLATES for p in own})
+    rules = [(t, phrases.index(p), len(f" {text} ".partition(f" {p} ")[0].split()), len(set(own))) for t, (_, text, own) in enumerate(TEMPLATES) for p in own]
+    rules = read.sparkSession.createDataFrame(rules, "template int, phrase int, place int, phrases int")
+    at = F.arrays_zip(F.array(*map(F.lit, range(len(phrases)))).alias("phrase"), F.array(*[places(F.col("hits"), p.split()) for p in phrases]).alias("at"))
+    located = read.select("uid", F.explode(at).alias("x")).select("uid", "x.phrase", F.explode("x.at").alias("at")).join(F.broadcast(rules), "phrase")  # a row for each phrase of a template
+    first = F.col("at") - F.col("place")
+    starts = located.select("uid", "template", "phrase", "phrases", F.explode(F.sequence(first - slack, first + slack)).alias("start"))
+    return starts.groupBy("uid", "template", "start").agg(F.size(F.collect_set("phrase")).alias("n"), F.first("phrases").alias("phrases")).where("n = phrases").drop("n", "phrases")
 
 
 def op2_licence_scan(spark, sf_dir):

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -60,6 +61,65 @@ def test_licences(spark, clashing, empty):
     assert licences.scan_licences(empty).count() == 0
 
 
+def _licences_by_hand(texts, rare_words=6, least=0.8, share=0.02, slack=3):
+    """Labels and score of each text, from the definition: every start of every template is tried."""
+    docs = [_words(t) for t in texts]
+    vocabulary = {w for _, text, _ in licences.TEMPLATES for w in text.split()}
+    df = Counter(w for d in docs for w in set(d) & vocabulary)
+    idf = lambda w: math.log((len(docs) + 1) / (df[w] + 0.5))
+    out = []
+    for d in docs:
+        stands = lambda p, at: d[max(at, 0) : at + len(p.split())] == p.split() and at >= 0  # noqa: B023, E731
+        labels = {label for p, label in licences.BASE_PHRASES.items() if any(stands(p, i) for i in range(len(d)))}
+        best = 1.0 if labels else 0.0
+        for label, text, phrases in licences.TEMPLATES:
+            own = text.split()
+            ranked = sorted(set(own), key=lambda w: (-idf(w), w))
+            rare = [w for w in ranked if df[w] <= share * len(docs)][:rare_words]
+            rare = rare if len(rare) >= 2 else ranked[:2]
+            total = sum(idf(w) for w in own if w in rare)
+            for start in range(-len(own), len(d)):
+                weight = sum(idf(w) for k, w in enumerate(own) if w in rare and 0 <= start + k < len(d) and d[start + k] == w) / total
+                at = {p: f" {text} ".index(f" {p} ") for p in phrases}
+                if weight >= least - 1e-9 and all(any(stands(p, start + len(text[: at[p]].split()) + x) for x in range(-slack, slack + 1)) for p in phrases):
+                    labels.add(label)
+                    best = max(best, min(1.0, weight))
+        out.append((sorted(labels), best))
+    return out
+
+
+def test_licences_by_hand(spark):
+    r = random.Random(8)
+    texts = [" ".join(r.choices(["the", "of", "software", "public", "to", "x", "y", "z"], k=r.randint(0, 30))) for _ in range(420)]
+    for k in range(90):  # whole wording, wording with words left out, put in or changed, and wording twice
+        own = r.choice(licences.TEMPLATES)[1].split()
+        for _ in range(k % 4):
+            at = r.randrange(len(own))
+            own[at : at + r.randint(0, 1)] = r.choice([[], ["x"], ["license"], [own[at]]])
+        texts.append(" ".join(r.choices(["a", "b"], k=r.randint(0, 9)) + own * r.randint(1, 2) + ["c"]))
+    got = {x.doc_id: (x.labels, x.score) for x in licences.scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = _licences_by_hand(texts)
+    assert sum(bool(w[0]) for w in want) > 40 and any(0 < w[1] < 1 for w in want)
+    for k, (labels, score) in enumerate(want):
+        assert got[k][0] == labels and got[k][1] == pytest.approx(score, abs=1e-9), texts[k]
+
+
+def test_repeated_wording_takes_linear_time(spark):
+    """A text that says its licence over and over: eight times the text within four times the time."""
+
+    def seconds(n):
+        df = spark.createDataFrame([(1, "released under the mit license " * n)], "doc_id long, text string")
+        best = []
+        for _ in range(2):
+            t = time.time()
+            row = licences.scan_licences(df).first()
+            best.append(time.time() - t)
+            assert len(row.base) == n and row.labels == ["mit"] and row.score == 1.0
+        return min(best)
+
+    assert seconds(8000) < 4 * seconds(1000)
+
+
 def test_chats(spark, tmp_path):
     r = random.Random(3)
     parts = ["hi", "</s>", "[INST]", "[/INST]", "<s user>", "\\", "\\s", "[esc]", "<", ">", "&gt;", "\n", "", "é漢"]
