@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
 from .common import SPACES, stash, table, whole_text
 
 _KEY = ["h1", "h2"]
@@ -101,13 +102,13 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc
     """
     docs = stash(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), whole_text(text_col).alias("text")))
     gone = stash(repeated_lines(docs, min_words, whole_runs).groupBy("uid").agg(F.array_sort(F.collect_set("ln")).alias("removed")))
-    lines = F.split("text", "\n")
     full = F.transform(F.filter(_lines(F.col("text")), lambda x: x["line"] != ""), lambda x: x["raw"])
     # Always by a shuffle: the deletions grow with the corpus, and so does what a broadcast of them would take.
     out = docs.join(gone.hint("merge"), "uid", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>"))).withColumn("_full", full)
-    raw = F.transform("removed", lambda i: F.get(F.col("_full"), i))
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_raw"), i)), "\n")
-    out = out.withColumn("_raw", raw).select(F.col("id").alias(id_col), F.size("_full").cast("long").alias("n_lines"), "removed", F.when(F.size("removed") == 0, F.col("text")).otherwise(left).alias("text"))
+    raw = bound(F.col("_full"), lambda full: F.transform("removed", lambda i: F.get(full, i)))
+    # What is left is a difference of sets of indices, which hashes them: a text may have any number of deleted lines.
+    left = bound(F.split("text", "\n"), lambda lines: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), raw), lambda i: F.get(lines, i)), "\n"))
+    out = out.select(F.col("id").alias(id_col), F.size("_full").cast("long").alias("n_lines"), "removed", F.when(F.size("removed") == 0, F.col("text")).otherwise(left).alias("text"))
     return out
 
 
