@@ -28,6 +28,8 @@ def test_exact(spark, odd, clashing, empty):
     want = sorted(tuple("" if v is None else str(v) for v in w) for w in want)
     assert rows_of(content_sort_dedup(odd)) == want
     assert rows_of(content_sort_dedup(clashing, hot_share=0.01, salts=2)) == want  # groups of copies are split
+    assert rows_of(content_sort_dedup(odd, hot_share=1.0, salts=2, part_rows=2)) == want  # split by number of rows, whatever their share
+    assert rows_of(content_sort_dedup(odd, hot_share=0.01, salts=2, small=0)) == want  # nothing is broadcast
     assert content_sort_dedup(empty).count() == 0
 
 
@@ -214,3 +216,12 @@ def test_lines_repeated_rows(spark):
     docs = spark.createDataFrame([(None, text), (None, text), (1, text), (1, text)], "doc_id long, text string")
     got = sorted((x.doc_id or -1, len(x.removed)) for x in drop_repeated_lines(docs).collect())
     assert got == [(-1, 2), (-1, 2), (1, 0), (1, 2)]
+
+
+def test_many_deleted_lines(spark):
+    """A document whose 20,000 lines all occur in another goes whole, but for its blank lines."""
+    lines = [f"line {k} has some words of its own, ten or more of them" for k in range(20_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "new\n\n" + "\n".join(lines) + "\n\nend")], "doc_id long, text string")
+    got = {x.doc_id: x for x in drop_repeated_lines(docs, whole_runs=True).collect()}
+    assert got[1].removed == [] and got[1].text == "\n".join(lines)
+    assert got[2].removed == list(range(1, 20_001)) and got[2].text == "new\n\n\nend"
