@@ -18,8 +18,28 @@ def frame_sums(signals: DataFrame, frame: int) -> DataFrame:
     return part.select("meeting_id", "frame_no", F.aggregate("s", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")).alias("sum_sq"), F.size("s").alias("n"))
 
 
+#: Columns of ``wav_frames``.
+FRAMES = "meeting_id string, frame_no int, sum_sq double, n int, rate int, channels int, width int"
+
+
+def frame_size(rate: int, frame_ms: int) -> int:
+    """Samples of a channel in a frame."""
+    return max(1, rate * frame_ms // 1000)
+
+
+def decode(raw: bytes, channels: int, width: int) -> np.ndarray:
+    """Samples of all channels in turn; what a cut file has of a last sample is left out."""
+    raw = raw[: len(raw) - len(raw) % (channels * width)]
+    if width == 3:
+        b = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
+        return ((b[:, 0] | b[:, 1] << 8 | b[:, 2] << 16) - ((b[:, 2] >> 7) << 24)).astype(float)
+    return np.frombuffer(raw, {1: np.uint8, 2: np.int16, 4: np.int32}[width]).astype(float) - (128 if width == 1 else 0)
+
+
 def wav_frames(files: DataFrame, frame_ms: int = 30) -> DataFrame:
-    """(meeting_id, frame_no, sum_sq, n, rate, channels, width) of PCM files (meeting_id, content); unreadable files give none."""
+    """(meeting_id, frame_no, sum_sq, n, rate, channels, width) of PCM files (meeting_id, content); unreadable files give none.
+
+    For files that are held as values, of 2 GB at most; ``sources.wav.wav_frames`` reads files of any length by ranges."""
 
     def read(batches):
         for pdf in batches:
@@ -31,18 +51,13 @@ def wav_frames(files: DataFrame, frame_ms: int = 30) -> DataFrame:
                         raw = w.readframes(w.getnframes())
                 except (wave.Error, EOFError):
                     continue
-                if width == 3:
-                    b = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
-                    s = (b[:, 0] | b[:, 1] << 8 | b[:, 2] << 16) - ((b[:, 2] >> 7) << 24)
-                else:
-                    s = np.frombuffer(raw, {1: np.uint8, 2: np.int16, 4: np.int32}[width]).astype(np.int64) - (128 if width == 1 else 0)
-                size = max(1, rate * frame_ms // 1000) * channels
-                sq = s.astype(float) ** 2
+                size = frame_size(rate, frame_ms) * channels
+                sq = decode(raw, channels, width) ** 2
                 for k in range(0, len(sq), size):
                     out.append((meeting, k // size, float(sq[k : k + size].sum()), len(sq[k : k + size]), rate, channels, width))
-            yield pd.DataFrame(out, columns=["meeting_id", "frame_no", "sum_sq", "n", "rate", "channels", "width"])
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in FRAMES.split(", ")])
 
-    return files.select("meeting_id", "content").mapInPandas(read, "meeting_id string, frame_no int, sum_sq double, n int, rate int, channels int, width int")
+    return files.select("meeting_id", "content").mapInPandas(read, FRAMES)
 
 
 def quality(frames: DataFrame, share: float = 0.08, floor: int = 5, whole: bool = True) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import audio
 from ..sources import adapters as A
-from ..sources import files, sinks
-from ..sources.shared import new_folder
+from ..sources import files, sinks, wav
+from ..sources.shared import new_folder, saved
 from ..streaming import progress, runs
 from . import duck as D
 from .registry import _RAW_SEGMENTS, query, raw_segments
@@ -84,6 +84,34 @@ def _(spark, d):
     return audio.quality(audio.wav_frames(files_, 1), 0.8).withColumn("meeting_id", F.col("meeting_id").cast("long"))
 
 
+def _sound_files(spark, d) -> str:
+    """A WAV file for 16 vectors in order, 8,000 values a second."""
+    e = A.read(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("int")).alias("s"))
+    parts = F.array_sort(F.collect_list(F.struct("vec_id", "s")))
+    path = new_folder(spark)
+    wav.write_wav(e.groupBy(F.floor(F.col("vec_id") / 16).cast("string").alias("meeting_id")).agg(F.flatten(F.transform(parts, lambda x: x["s"])).alias("samples")), path, 8000)
+    return path
+
+
+@query("a10_f9_audio_ranges", """WITH w AS (SELECT vec_id // 16 AS id, flatten(list(list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1000)) ORDER BY vec_id)) AS s FROM embeddings GROUP BY vec_id // 16),
+f AS (SELECT id, k, list_sum(list_transform(s[k * 40 + 1:k * 40 + 40], lambda x: x * x)) AS sq, len(s[k * 40 + 1:k * 40 + 40]) AS n FROM (SELECT id, s, unnest(range(0, (len(s) - 1) // 40 + 1)) AS k FROM w)),
+t AS (SELECT id, floor(sqrt(sum(sq) / sum(n))) AS rms, CAST(sum(n) AS BIGINT) AS samples FROM f GROUP BY id)
+SELECT id AS meeting_id, rms, samples, round_even(avg(CASE WHEN floor(sqrt(sq / n)) <= greatest(5, floor(0.9 * rms)) THEN 1.0 ELSE 0.0 END), 4) AS silence_ratio, round_even(samples / 8000, 3) AS duration_sec, 1 AS channels, 8000 AS sample_rate, 2 AS sample_width_bytes FROM f JOIN t USING (id) GROUP BY id, rms, samples""")
+def _(spark, d):
+    frames = saved(wav.wav_frames(spark, _sound_files(spark, d), frame_ms=5, part_bytes=1024))
+    return audio.quality(frames, 0.9).withColumn("meeting_id", F.col("meeting_id").cast("long"))
+
+
+@query("a9_discover_recorded_meetings", f"SELECT DISTINCT CAST(vec_id // 16 AS VARCHAR) AS meeting_id FROM embeddings UNION SELECT CAST(meeting_id AS VARCHAR) FROM {D.TRANSCRIPT} z")
+def _(spark, d):
+    return files.discover_meetings(spark, audio=_sound_files(spark, d), artifacts=_transcript_files(spark, d))
+
+
+@query("a11_sound_inventory", "SELECT 'audio' AS kind, CAST(vec_id // 16 AS VARCHAR) || '.Mix-Headset.wav' AS name, 44 + 2 * sum(len(embedding))::BIGINT AS bytes FROM embeddings GROUP BY vec_id // 16")
+def _(spark, d):
+    return files.inventory(spark, _sound_files(spark, d)).select("kind", "name", F.col("length").alias("bytes"))
+
+
 @query("a11_inventory", f"SELECT meeting_id, 'text' AS kind, 1 AS files, sum(strlen(text_raw) + 1)::BIGINT AS bytes FROM {D.TRANSCRIPT} z GROUP BY meeting_id")
 def _(spark, d):
     return files.inventory(spark, _transcript_files(spark, d)).groupBy("meeting_id", "kind").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))

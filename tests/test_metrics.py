@@ -121,6 +121,54 @@ def test_audio(spark, tmp_path):
     assert s == [3]
 
 
+def test_audio_by_ranges(spark, tmp_path):
+    """Ranges of frames give what whole files give, for any form of samples and any cut."""
+    import wave
+
+    from convspark.sources import files, wav
+
+    r = np.random.default_rng(5)
+    for k, (rate, channels, width, n) in enumerate([(16_000, 1, 2, 48_123), (8000, 2, 2, 20_001), (11_025, 1, 3, 9999), (8000, 3, 1, 5000), (8000, 1, 4, 241), (8000, 1, 2, 0), (10, 1, 2, 7)]):
+        with wave.open(str(tmp_path / f"M{k}.Mix-Headset.wav"), "wb") as w:
+            w.setnchannels(channels)
+            w.setsampwidth(width)
+            w.setframerate(rate)
+            w.writeframes(r.integers(0, 256, n * channels * width, dtype=np.uint8).tobytes())
+    (tmp_path / "bad.wav").write_bytes(b"nothing")
+    (tmp_path / "empty.wav").write_bytes(b"")
+    cut = (tmp_path / "M0.Mix-Headset.wav").read_bytes()
+    (tmp_path / "cut.wav").write_bytes(cut[:50_001])  # ends inside a sample, and long before its header says
+    want = sorted(map(tuple, audio.wav_frames(files.audio_files(spark, str(tmp_path / "*.wav"))).collect()))
+    assert len({x[0] for x in want}) == 7
+    for part_bytes in (1 << 26, 50_000, 1000):
+        got = wav.wav_frames(spark, str(tmp_path), part_bytes=part_bytes)
+        assert sorted(map(tuple, got.collect())) == want, part_bytes
+    one = wav.wav_frames(spark, f"file:{tmp_path}/M1.Mix-Headset.wav", frame_ms=7, part_bytes=4096)
+    assert sorted((x.frame_no, x.n) for x in one.collect()) == [(k, min(112, 40_002 - k * 112)) for k in range(358)]
+    (tmp_path / "none").mkdir()
+    assert wav.wav_frames(spark, str(tmp_path / "none")).count() == 0
+    parts = wav.ranges([("a", 10), ("b", 250 << 20), ("c", 20)], 64 << 20)
+    assert [p.parts[0][1:] for p in parts[1:4]] == [(0, 4), (1, 4), (2, 4)] and sum(len(p.parts) for p in parts) == 6
+
+
+def test_long_audio_in_bounded_memory(spark, tmp_path):
+    """A file of 3 GB, most of which the file system doesn't store: more than a row can hold."""
+    import struct
+
+    from convspark.sources import wav
+
+    size, path = 3_000_000_000, tmp_path / "long.wav"
+    with open(path, "wb") as f:
+        f.write(b"RIFF" + struct.pack("<I", size + 36) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, 16_000, 32_000, 2, 16) + b"data" + struct.pack("<I", size))
+        f.truncate(44 + size)
+        f.seek(44 + size - 960)
+        f.write(np.full(480, 100, np.int16).tobytes())
+    x = wav.wav_frames(spark, str(path), part_bytes=256 << 20)
+    assert x.rdd.getNumPartitions() == 12
+    (row,) = x.selectExpr("count(*) AS n", "sum(n) AS samples", "max_by(frame_no, sum_sq) AS last", "max(sum_sq) AS most").collect()
+    assert tuple(row) == (3_125_000, size // 2, 3_124_999, 480 * 100.0**2)
+
+
 def test_fixed_decimals(spark):
     import random
 
