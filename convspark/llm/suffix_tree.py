@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,167 +40,131 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-@dataclass
-class Level:
-    """Runs of d + 1 words: keys (context << 32 | word) with log10 probabilities, and back-off weights of d-word contexts."""
-
-    keys: np.ndarray
-    counts: np.ndarray
-    log_p: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    kept: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
-    log_back: np.ndarray = field(default_factory=lambda: np.zeros(0))
-
-
-class SuffixTree:
-    """The tree in memory, which ``score_texts`` keeps in tables: sorted hashes of words with counts, then a level for each context length."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, n_tokens: int, n_known: int):
-        self.words, self.counts, self.n_tokens = words, counts, n_tokens
-        self.log_all = math.log10(n_tokens + n_known + 1)
-        self.levels: list[Level] = []
-
-    def states(self, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """For each token, its place among the words, and for each level that of the run that ends with it (or -1)."""
-        word = _find(self.words, tokens)
-        ends, runs = word, []
-        for level in self.levels:
-            context = np.r_[np.int64(-1), ends[:-1]]
-            context[bounds[:-1]] = -1
-            fits = (context >= 0) & (word >= 0)
-            run = np.full(len(tokens), -1, np.int64)
-            run[fits] = _find(level.keys, context[fits] << 32 | word[fits])
-            runs.append(run)
-            ends = run
-        return word, runs
-
-    def add_level(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Counts of the next longer runs: keeps the contexts whose next-word distribution diverges from their suffix's.
-
-        Runs that were counted get (count - 1/2) / count of the context; what is left goes to all other words in
-        proportion to the suffix's distribution. A context stays if its divergence from that distribution, times its
-        count, is above half the log of all tokens for each of its runs: what naming those runs would cost.
-        """
-        depth = len(self.levels)
-        level = Level(keys, counts)
-        n_contexts = len(self.counts) if not depth else len(self.levels[-1].keys)
-        own = (self.counts if not depth else self.levels[-1].counts).astype(float)
-        context, word = keys >> 32, keys & 0xFFFFFFFF
-        p = (counts - DISCOUNT) / own[context]
-        below = 10 ** self._log_p(self._suffix(depth, context), word, depth - 1, np.log10(self.counts[word] + 1.0) - self.log_all)
-        sums = lambda x: np.bincount(context, x, n_contexts)
-        rest, rest_below = np.clip(1 - sums(p), 1e-12, 1), np.clip(1 - sums(below), 1e-12, 1)
-        gain = own * (sums(p * np.log(p / below)) + rest * np.log(rest / rest_below))
-        level.log_p, level.log_back = np.log10(p), np.log10(rest / rest_below)
-        level.kept = gain > sums(np.ones(len(keys))) * math.log(max(2, self.n_tokens)) / 2
-        self.levels.append(level)
-
-    def _suffix(self, depth: int, context: np.ndarray) -> list[np.ndarray]:
-        """For contexts of depth + 1 words: the places of their suffixes of depth, depth - 1, ... 1 words."""
-        out = []
-        for length in range(depth, 0, -1):
-            # The context is a run of depth + 1 words; its last ``length`` words, from the run's keys.
-            place = context
-            words = []
-            for k in range(depth - 1, -1, -1):
-                key = self.levels[k].keys[place]
-                words.append(key & 0xFFFFFFFF)
-                place = key >> 32
-            words = [place, *words[::-1]][-length:]
-            at = words[0]
-            for k, w in enumerate(words[1:]):
-                at = np.where(at >= 0, _find(self.levels[k].keys, np.maximum(at, 0) << 32 | w), -1)
-            out.append(at)
-        return out
-
-    def _log_p(self, contexts: list[np.ndarray], word: np.ndarray, depth: int, log_p: np.ndarray) -> np.ndarray:
-        """log10 probability of words after contexts (longest first), from the shortest kept context upwards."""
-        for level, context in zip(self.levels[: depth + 1], contexts[::-1], strict=False):
-            held = (context >= 0) & (word >= 0)
-            at = np.full(len(word), -1, np.int64)
-            at[held] = _find(level.keys, context[held] << 32 | word[held])
-            safe = np.maximum(context, 0)
-            kept = (context >= 0) & (level.kept[safe] if len(level.kept) else False)
-            log_p = np.where(kept, np.where(at >= 0, level.log_p[np.maximum(at, 0)] if len(level.log_p) else 0, log_p + (level.log_back[safe] if len(level.log_back) else 0)), log_p)
-        return log_p
-
-    def score(self, tokens: np.ndarray, bounds: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Base and model log10 probability of each token, given all tokens' training counts."""
-        base = np.log10(counts + 1.0) - self.log_all
-        word, runs = self.states(tokens, bounds)
-        contexts = []
-        for ends in [word, *runs[:-1]] if runs else []:
-            before = np.r_[np.int64(-1), ends[:-1]]
-            before[bounds[:-1]] = -1
-            contexts.append(before)
-        return base, self._log_p(contexts[::-1], word, len(self.levels) - 1, base)
-
-
 def _longer(runs: np.ndarray) -> np.ndarray:
     """Hashes of the runs one word longer than those that end at each token; the first has none before it."""
     return mix(np.r_[U64(0), runs[:-1]] * PAIR + runs)
 
 
-def _count_runs(blocks: DataFrame, depth: int) -> DataFrame:
-    """(h, a, b, n, blocks, length) of the runs of 2 .. depth + 1 words that training rows have twice or more.
+#: Rows of counts: runs without their last (a) and first (b) word, or, of kind 1, contexts (a).
+COUNTS = "kind int, a long, b long, n long, block long"
 
-    h is the run's hash, a and b those of the runs without its last and without its first word; blocks are all that have
-    the run, in training rows or not.
-    """
+
+def _table(kind: int, a: np.ndarray, b: np.ndarray, learnt: np.ndarray, block: int) -> dict[str, pa.Array]:
+    """A block's distinct runs or contexts, from one row for each occurrence."""
+    _, first, back = np.unique(mix(a * PAIR + b), return_index=True, return_inverse=True)
+    n = np.bincount(back, learnt, len(first)).astype(np.int64)
+    return {"kind": pa.array(np.full(len(first), kind, np.int32)), "a": pa.array(a[first].view(np.int64)), "b": pa.array(b[first].view(np.int64)), "n": pa.array(n), "block": pa.array(np.full(len(first), block), pa.int64())}
+
+
+def _pairs(blocks: DataFrame) -> DataFrame:
+    """Counts of the runs of two words in each block, in training rows or not."""
 
     def count(batches):
         for batch in batches:
             block = batch.column(2).to_numpy()
             cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else [0]
             for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                ends, bounds = _tokens(batch.column(0).slice(x, y - x))
+                words, bounds = _tokens(batch.column(0).slice(x, y - x))
                 learnt = np.repeat(batch.column(1).slice(x, y - x).to_numpy(zero_copy_only=False), np.diff(bounds))
-                place = np.arange(len(ends)) - np.repeat(bounds[:-1], np.diff(bounds))
-                for length in range(2, depth + 2):
-                    longer, at = _longer(ends), np.flatnonzero(place >= length - 1)
-                    h, first, back = np.unique(longer[at], return_index=True, return_inverse=True)
-                    n = np.bincount(back, learnt[at], len(h)).astype(np.int64)
-                    cols = [h, ends[at - 1][first], ends[at][first]]
-                    yield pa.RecordBatch.from_pydict({k: pa.array(v.view(np.int64)) for k, v in zip("hab", cols, strict=True)} | {"n": pa.array(n), "block": pa.array(np.full(len(h), block[x]), pa.int64()), "length": pa.array(np.full(len(h), length, np.int32))}).select(["a", "b", "n", "block", "length"])
-                    ends = longer
-
-    def repeated(batches):
-        held = pa.Table.from_batches(list(batches), schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("block", pa.int64()), ("length", pa.int32())]))
-        a, b = (held.column(k).to_numpy().view(U64) for k in "ab")
-        h, n, length, block = mix(a * PAIR + b), held.column("n").to_numpy(), held.column("length").to_numpy(), held.column("block").to_numpy()
-        order = np.argsort(h, kind="stable")
-        starts = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]]) if len(h) else np.zeros(0, np.int64)
-        total = np.add.reduceat(n[order], starts) if len(h) else n
-        often = total >= 2
-        sizes = np.diff(np.r_[starts, len(h)])
-        at = order[starts[often]]
-        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes[often])].astype(np.int32)), pa.array(block[order[np.repeat(often, sizes)]]))
-        for x in range(0, len(at), 100_000):
-            y = at[x : x + 100_000]
-            yield pa.RecordBatch.from_pydict({"h": pa.array(h[y].view(np.int64)), "a": pa.array(a[y].view(np.int64)), "b": pa.array(b[y].view(np.int64)), "n": pa.array(total[often][x : x + 100_000]), "blocks": lists.slice(x, 100_000), "length": pa.array(length[y])})
-
-    found = blocks.select("text", "train", "block").mapInArrow(count, "a long, b long, n long, block long, length int")
-    return stash(found.repartition("a", "b").mapInArrow(repeated, "h long, a long, b long, n long, blocks array<long>, length int"), "length")
-
-
-def _level(runs: DataFrame, shorter: DataFrame, n_tokens: int) -> DataFrame:
+                inside = np.ones(len(words), bool)
+                inside[bounds[:-1]] = False  # the first word of a text ends no pair
+                at = np.flatnonzero(inside)
+                yield pa.RecordBatch.from_pydict(_table(0, words[at - 1], words[at], learnt[at], block[x]))
+
+    return blocks.select("text", "train", "block").mapInArrow(count, COUNTS)
+
+
+def _grown(blocks: DataFrame, level: DataFrame, contexts: DataFrame, length: int) -> DataFrame:
+    """Counts in each block of the contexts of ``length`` words whose last words but one are one of ``contexts`` (h, blocks),
+    which the divergence test kept, and of the runs of such a context and a word.
+
+    The last ``length`` words of a run belong to ``level`` (h, back, blocks) then, if it is repeated; runs of which they
+    don't are left out.
+    """
+    mark = lambda df, kind: df.select(F.explode("blocks").alias("block"), "h", F.lit(kind).alias("kind"))
+    marks = mark(contexts, 1).unionByName(mark(level.where("back IS NOT NULL"), 0))
+
+    def count(texts: pa.Table, known: pa.Table) -> pa.Table:
+        keys, kinds = known.column("h").to_numpy().view(U64), known.column("kind").to_numpy()
+        kept, runs = np.sort(keys[kinds == 1]), np.sort(keys[kinds == 0])
+        none = np.zeros(0, U64)
+        column, train, found = texts.column("text").combine_chunks(), texts.column("train").to_numpy(), [(none, none, none, none.astype(bool), none.astype(bool))]
+        column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
+        for x in range(0, len(column) if len(kept) else 0, 500):
+            ends, bounds = _tokens(column.slice(x, 500))
+            sizes = np.diff(bounds)
+            learnt, place = np.repeat(train[x : x + 500], sizes), np.arange(len(ends)) - np.repeat(bounds[:-1], sizes)
+            for _ in range(length - 2):
+                ends = _longer(ends)
+            suffix, ends = ends, _longer(ends)
+            at = np.flatnonzero((_find(kept, suffix) >= 0) & (place >= length - 1))
+            then = at[_find(runs, ends[np.minimum(at + 1, len(ends) - 1)]) >= 0]
+            found.append((ends[at], ends[then], ends[then + 1], learnt[at], learnt[then]))
+        whole, a, b, n_whole, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        block = texts.column("block")[0].as_py() if texts.num_rows else 0
+        return pa.concat_tables([pa.table(_table(1, whole, np.zeros(len(whole), U64), n_whole, block)), pa.table(_table(0, a, b, n, block))])
+
+    return blocks.select("block", "train", "text").groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(count, COUNTS)
+
+
+def _repeated(found: DataFrame) -> DataFrame:
+    """(kind, h, a, b, n, blocks) of the runs and contexts that training rows have twice or more, from their counts.
+
+    h is the hash of the run or context; blocks are all that have it, in training rows or not. Rows come in order, and
+    only those of one run are held beside the batch.
+    """
+
+    def merge(batches):
+        held = None
+        for batch in chain(batches, [None]):
+            rows = held
+            if batch is not None:
+                own = [batch.column(k).to_numpy() for k in range(5)]
+                rows = own if held is None else [np.r_[x, y] for x, y in zip(held, own, strict=True)]
+            if rows is None or not len(rows[0]):
+                continue
+            kind, a, b, n, block = rows
+            starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (kind[1:] != kind[:-1])])
+            end = len(a) if batch is None else starts[-1]
+            held, starts = [x[end:] for x in rows], starts[starts < end]
+            if not len(starts):
+                continue
+            total, sizes = np.add.reduceat(n[:end], starts), np.diff(np.r_[starts, end])
+            often = total >= 2
+            at = starts[often]
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes[often])].astype(np.int32)), pa.array(block[:end][np.repeat(often, sizes)]))
+            h = np.where(kind[at] == 1, a[at].view(U64), mix(a[at].view(U64) * PAIR + b[at].view(U64)))
+            yield pa.RecordBatch.from_pydict({"kind": pa.array(kind[at]), "h": pa.array(h.view(np.int64)), "a": pa.array(a[at]), "b": pa.array(b[at]), "n": pa.array(total[often]), "blocks": lists})
+
+    return stash(found.repartition("a", "b").sortWithinPartitions("a", "b", "kind").mapInArrow(merge, "kind int, h long, a long, b long, n long, blocks array<long>"))
+
+
+def _level(runs: DataFrame, shorter: DataFrame, contexts: DataFrame, n_tokens: int) -> DataFrame:
     """Runs with their contexts' back-off weights (``back``, where the context is kept) and the probability v by which
-    they go on to longer runs, from runs (h, a, b, n, blocks) and the level below (h, n, v). See ``SuffixTree.add_level``.
+    they go on to longer runs, from runs (h, a, b, n, blocks), the level below (h, v) and the
+    contexts' counts (h, n).
+
+    Runs that were counted get (count - 1/2) / count of the context; what is left goes to all other words in
+    proportion to the suffix's distribution. A context stays if its divergence from that distribution, times its
+    count, is above half the log of all tokens for each of its runs: what naming those runs would cost.
     """
     context = Window.partitionBy("a")
     p, rest = (F.col("n") - DISCOUNT) / F.col("own"), lambda x: F.least(F.lit(1.0), F.greatest(F.lit(1e-12), 1 - F.sum(x).over(context)))
-    x = runs.join(shorter.select(F.col("h").alias("b"), F.col("v").alias("below")), "b").join(shorter.select(F.col("h").alias("a"), F.col("n").alias("own")), "a").withColumn("p", p)
+    x = runs.join(shorter.select(F.col("h").alias("b"), F.col("v").alias("below")), "b").join(contexts.select(F.col("h").alias("a"), F.col("n").alias("own")), "a").withColumn("p", p)
     x = x.withColumn("rest", rest("p")).withColumn("rest_below", rest("below")).withColumn("cost", F.count("*").over(context) * math.log(max(2, n_tokens)) / 2).withColumn("sum", F.sum(F.col("p") * F.log(F.col("p") / F.col("below"))).over(context))
     kept = F.col("own") * (F.col("sum") + F.col("rest") * F.log(F.col("rest") / F.col("rest_below"))) > F.col("cost")
-    return stash(x.select("h", "a", "n", F.when(kept, F.col("p")).otherwise(F.col("below")).alias("v"), F.when(kept, F.log10(F.col("rest") / F.col("rest_below"))).alias("back"), "blocks"))
+    return stash(x.select("h", "a", "b", "n", F.when(kept, F.col("p")).otherwise(F.col("below")).alias("v"), F.when(kept, F.log10(F.col("rest") / F.col("rest_below"))).alias("back"), "blocks"))
 
 
-def score_texts(docs: DataFrame, train: Column, depth: int = 2, block_rows: int = 4096, id_col: str = "doc_id", text_col: str = "text", pinned: bool = False) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col: str = "doc_id", text_col: str = "text", pinned: bool = False) -> DataFrame:
     """Scores every whole text by a tree learnt from the rows where ``train`` holds.
 
     Tokens are words (A-Z in lower case, ended by ASCII white space) and an end a text. All words are counted, and all
-    runs of 2 .. depth + 1 words that occur twice or more in training rows; of their contexts, the divergence test alone
-    says which are kept. A token's probability comes from the longest context before it that was kept, or by back-off
-    from that context's suffixes down to single words with add-one smoothing.
+    runs of two words that occur twice or more in training rows; a divergence test says which words are kept as contexts.
+    The tree then grows by a word at a time: a context one word longer is looked at if its suffix was kept, by counting
+    the repeated runs behind it, until a test keeps nothing. A context may have any number of words. A token's probability
+    comes from the longest context before it that was kept, or by back-off from that context's suffixes down to single
+    words with add-one smoothing.
 
     Words, runs and contexts grow with the corpus and never meet in one place: documents are taken in blocks of
     ``block_rows``, a block's distinct words and runs are joined with the counts and contexts, and come back to the
@@ -231,20 +195,25 @@ def score_texts(docs: DataFrame, train: Column, depth: int = 2, block_rows: int
     n_tokens, n_known = (int(x or 0) for x in counted.agg(F.sum("n"), F.count("*")).first())
     log_all = math.log10(n_tokens + n_known + 1)
 
-    runs = _count_runs(blocks, depth)
     level = counted.select(F.col("token").alias("h"), "n", ((F.col("n") + 1) / F.lit(n_tokens + n_known + 1)).alias("v"), F.lit(0.0).alias("back"), "blocks")
-    handed = []
-    for length in range(2, depth + 2):
-        longer = _level(runs.where(F.col("length") == length), level, n_tokens)
-        contexts = longer.where("back IS NOT NULL").groupBy(F.col("a").alias("h")).agg(F.first("back").alias("after"))
-        handed.append(level.join(contexts, "h", "left").where("back IS NOT NULL OR after IS NOT NULL").select("h", "n", "after", F.lit(length - 1).alias("length"), "blocks"))
+    found, contexts, length, handed = _repeated(_pairs(blocks)), level, 2, []
+    while True:
+        longer = _level(found.where("kind = 0"), level, contexts, n_tokens)
+        after = longer.where("back IS NOT NULL").groupBy(F.col("a").alias("h")).agg(F.first("back").alias("after"))
+        kept = stash(contexts.select("h", "n", "blocks").join(after, "h"))
+        # What blocks need of runs of this length: counts of those behind kept contexts, and the contexts among them.
+        both = level.where("back IS NOT NULL").select("h", "n", "blocks").join(kept.select("h", F.col("n").alias("_n"), F.col("blocks").alias("_blocks"), "after"), "h", "full")
+        handed.append(both.select("h", F.coalesce("n", "_n").alias("n"), "after", F.lit(length - 1).alias("length"), F.coalesce("blocks", "_blocks").alias("blocks")))
         level = longer
-    handed.append(level.where("back IS NOT NULL").select("h", "n", F.lit(None).cast("double").alias("after"), F.lit(depth + 1).alias("length"), "blocks"))
+        if kept.isEmpty():
+            break
+        found = _repeated(_grown(blocks, level, kept, length))
+        contexts, length = found.where("kind = 1"), length + 1
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
         lengths, tables = known.column("length").to_numpy(), []
-        for length in range(1, depth + 2):
-            own = known.filter(pa.array(lengths == length))
+        for k in range(1, length):
+            own = known.filter(pa.array(lengths == k))
             keys = own.column("h").to_numpy().view(U64)
             order = np.argsort(keys)
             # The last entry is for runs that aren't there: count 0, and no context.

@@ -195,21 +195,45 @@ def test_suffix_tree_probabilities(spark):
     assert got.score.loc[300:349].sum() > 0.8 * got.base_score.loc[300:349].sum()  # log10 probabilities: a fifth better at least
     assert len(got.loc[901]) == 2 and len(got) == len(rows)
 
-    from convspark.llm.suffix_tree import Level, SuffixTree  # noqa: F401
-
-    words = np.array([1, 2, 3], np.uint64)
-    tree = SuffixTree(words, np.array([60, 30, 9]), 99, 3)
-    tree.add_level(np.array([0 << 32 | 1, 1 << 32 | 0, 1 << 32 | 2], np.int64), np.array([28, 20, 8]))
-    tree.add_level(np.array([0 << 32 | 0, 1 << 32 | 1], np.int64), np.array([15, 10]))
-    tree.levels[0].kept[:], tree.levels[1].kept[:] = True, True
-    known = {1: 60, 2: 30, 3: 9, 77: 0}
-    for before in ([], [1], [2], [1, 2], [2, 1], [3], [77, 1]):
-        total = 0.0
-        for w in known:
-            tokens = np.array([*before, w], np.uint64)
-            _, p = tree.score(tokens, np.array([0, len(tokens)]), np.array([known[int(x)] for x in tokens]))
-            total += 10 ** p[-1]
-        assert abs(total - 1) < 1e-9, before
+    p, contexts = _tree_by_hand([[*t.split(), None] for t in [*texts, ""]])
+    for before in [[], ["b"], ["a", "b"], ["x", "c", "d"], ["new"]]:
+        assert abs(sum(p([*before, w]) for w in [*c, "unknown"]) - 1) < 1e-9, before
+    assert contexts
+
+
+def _tree_by_hand(learnt):
+    """P(last token | those before it) and the contexts kept, from the definition, over lists of tokens."""
+    c = Counter(w for s in learnt for w in s)
+    n_tokens, n_known = sum(c.values()), len(c)
+    grams = lambda n: Counter(tuple(s[i : i + n]) for s in learnt for i in range(len(s) - n + 1))
+    v = {(w,): (m + 1) / (n_tokens + n_known + 1) for w, m in c.items()}
+    kept, newest, length, own = {}, {()}, 2, grams(1)
+    while newest:
+        counts, rows = grams(length), {}
+        for x, m in counts.items():
+            if m >= 2 and x[1:-1] in newest:
+                rows.setdefault(x[:-1], {})[x] = (m - 0.5) / own[x[:-1]]
+        newest = set()
+        for context, runs in rows.items():
+            rest, rest_below = (min(1, max(1e-12, 1 - sum(y))) for y in (runs.values(), [v[x[1:]] for x in runs]))
+            gain = own[context] * (sum(p * math.log(p / v[x[1:]]) for x, p in runs.items()) + rest * math.log(rest / rest_below))
+            keep = gain > len(runs) * math.log(max(2, n_tokens)) / 2
+            v |= {x: p if keep else v[x[1:]] for x, p in runs.items()}
+            if keep:
+                newest.add(context)
+                kept[context] = (runs, rest / rest_below)
+        own, length = counts, length + 1
+
+    def probability(tokens):
+        p = (c[tokens[-1]] + 1) / (n_tokens + n_known + 1)
+        for k in range(1, len(tokens)):
+            context = tuple(tokens[-1 - k : -1])
+            if context in kept:
+                runs, back = kept[context]
+                p = runs.get((*context, tokens[-1]), p * back)
+        return p
+
+    return probability, set(kept)
 
 
 def test_suffix_tree_keeps_repeated_runs(spark):
@@ -224,23 +248,28 @@ def test_suffix_tree_keeps_repeated_runs(spark):
     got = suffix_tree.score_texts(docs, F.col("train"), block_rows=16).toPandas().set_index("doc_id")
 
     seqs = [[*t.split(), None] for t in texts]
-    learnt = [s for s, x in zip(seqs, train, strict=True) if x]
-    c = Counter(w for s in learnt for w in s)
-    ids = {w: k for k, w in enumerate(c)}
-    tree = suffix_tree.SuffixTree(np.arange(len(ids), dtype=np.uint64), np.array([c[w] for w in ids]), sum(c.values()), len(c))
-    place = {(w,): k for w, k in ids.items()}
-    for n in (2, 3):
-        runs = Counter(tuple(s[i : i + n]) for s in learnt for i in range(len(s) - n + 1))
-        keys = sorted((place[x[:-1]] << 32 | ids[x[-1]], x, m) for x, m in runs.items() if m >= 2)
-        tree.add_level(np.array([k for k, _, _ in keys], np.int64), np.array([m for _, _, m in keys]))
-        place = {x: k for k, (_, x, _) in enumerate(keys)}
+    p, _ = _tree_by_hand([s for s, x in zip(seqs, train, strict=True) if x])
     for k, s in enumerate(seqs):
-        tokens = np.array([ids.get(w, len(ids)) for w in s], np.uint64)
-        _, p = tree.score(tokens, np.array([0, len(s)]), np.array([c[w] for w in s]))
-        assert abs(got.score[k] - p.sum()) < 1e-6 * max(1, len(s)), k
+        if not texts[k].startswith("fill"):
+            assert abs(got.score[k] - sum(math.log10(p(s[: i + 1])) for i in range(len(s)))) < 1e-6 * max(1, len(s)), k
     assert got.score[len(texts) - 2] > got.base_score[len(texts) - 2] + 6
 
 
+def test_suffix_tree_grows_as_far_as_contexts_diverge(spark):
+    """What follows depends on up to five words before it, and contexts of five words are kept."""
+    r = random.Random(4)
+    phrases = ["a b c d e f"] * 6 + ["x b c d e g"] * 6 + ["y c d e h"] * 6 + ["z d e i"] * 6 + ["u e j"] * 6 + ["w"] * 3
+    texts = [" ".join(r.choice(phrases) for _ in range(r.randint(1, 9))) for _ in range(700)]
+    train = [k % 7 != 2 for k in range(len(texts))]
+    docs = spark.createDataFrame([(k, t, train[k]) for k, t in enumerate(texts)], "doc_id long, text string, train boolean")
+    got = suffix_tree.score_texts(docs, F.col("train"), block_rows=50).toPandas().set_index("doc_id")
+    seqs = [[*t.split(), None] for t in texts]
+    p, contexts = _tree_by_hand([s for s, x in zip(seqs, train, strict=True) if x])
+    assert {("a", "b", "c", "d", "e"), ("x", "b", "c", "d", "e"), ("z", "d", "e")} <= contexts
+    for k, s in enumerate(seqs):
+        assert abs(got.score[k] - sum(math.log10(p(s[: i + 1])) for i in range(len(s)))) < 1e-6 * len(s), k
+
+
 def test_suffix_tree_edges(spark, odd, clashing, empty):
     none = suffix_tree.score_texts(odd, F.lit(False)).toPandas()
     assert (none.score == 0).all() and (none.train_tokens == 0).all() and len(none) == len(odd_rows())
