@@ -74,15 +74,15 @@ def _pairs(blocks: DataFrame) -> DataFrame:
     return blocks.select("text", "train", "block").mapInArrow(count, COUNTS)
 
 
-def _grown(blocks: DataFrame, level: DataFrame, contexts: DataFrame, length: int) -> DataFrame:
-    """Counts in each block of the contexts of ``length`` words whose last words but one are one of ``contexts`` (h, blocks),
-    which the divergence test kept, and of the runs of such a context and a word.
+def _grown(blocks: DataFrame, held: DataFrame, contexts: DataFrame, length: int, counted: bool) -> DataFrame:
+    """Counts in each block of the runs of a context of ``length`` words and a word, and of such contexts.
 
-    The last ``length`` words of a run belong to ``level`` (h, back, blocks) then, if it is repeated; runs of which they
-    don't are left out.
+    ``contexts`` (h, blocks) are those whose words but the first the divergence test kept, if they are ``counted``, and
+    nothing but runs is counted then; otherwise the kept ones, a word shorter. A repeated run's last ``length`` words are
+    in ``held`` (h, blocks): runs of which they aren't are left out.
     """
     mark = lambda df, kind: df.select(F.explode("blocks").alias("block"), "h", F.lit(kind).alias("kind"))
-    marks = mark(contexts, 1).unionByName(mark(level.where("back IS NOT NULL"), 0))
+    marks = mark(contexts, 1).unionByName(mark(held, 0))
 
     def count(texts: pa.Table, known: pa.Table) -> pa.Table:
         keys, kinds = known.column("h").to_numpy().view(U64), known.column("kind").to_numpy()
@@ -97,8 +97,9 @@ def _grown(blocks: DataFrame, level: DataFrame, contexts: DataFrame, length: int
             for _ in range(length - 2):
                 ends = _longer(ends)
             suffix, ends = ends, _longer(ends)
-            at = np.flatnonzero((_find(kept, suffix) >= 0) & (place >= length - 1))
+            at = np.flatnonzero((_find(kept, ends if counted else suffix) >= 0) & (place >= length - 1))
             then = at[_find(runs, ends[np.minimum(at + 1, len(ends) - 1)]) >= 0]
+            at = at[:0] if counted else at
             found.append((ends[at], ends[then], ends[then + 1], learnt[at], learnt[then]))
         whole, a, b, n_whole, n = (np.concatenate(x) for x in zip(*found, strict=True))
         block = texts.column("block")[0].as_py() if texts.num_rows else 0
@@ -141,7 +142,7 @@ def _repeated(found: DataFrame) -> DataFrame:
 
 def _level(runs: DataFrame, shorter: DataFrame, contexts: DataFrame, n_tokens: int) -> DataFrame:
     """Runs with their contexts' back-off weights (``back``, where the context is kept) and the probability v by which
-    they go on to longer runs, from runs (h, a, b, n, blocks), the level below (h, v) and the
+    they go on to longer runs, from runs (h, a, b, n), the level below (h, v) and the
     contexts' counts (h, n).
 
     Runs that were counted get (count - 1/2) / count of the context; what is left goes to all other words in
@@ -150,10 +151,10 @@ def _level(runs: DataFrame, shorter: DataFrame, contexts: DataFrame, n_tokens: i
     """
     context = Window.partitionBy("a")
     p, rest = (F.col("n") - DISCOUNT) / F.col("own"), lambda x: F.least(F.lit(1.0), F.greatest(F.lit(1e-12), 1 - F.sum(x).over(context)))
-    x = runs.join(shorter.select(F.col("h").alias("b"), F.col("v").alias("below")), "b").join(contexts.select(F.col("h").alias("a"), F.col("n").alias("own")), "a").withColumn("p", p)
+    x = runs.select("h", "a", "b", "n").join(shorter.select(F.col("h").alias("b"), F.col("v").alias("below")), "b").join(contexts.select(F.col("h").alias("a"), F.col("n").alias("own")), "a").withColumn("p", p)
     x = x.withColumn("rest", rest("p")).withColumn("rest_below", rest("below")).withColumn("cost", F.count("*").over(context) * math.log(max(2, n_tokens)) / 2).withColumn("sum", F.sum(F.col("p") * F.log(F.col("p") / F.col("below"))).over(context))
     kept = F.col("own") * (F.col("sum") + F.col("rest") * F.log(F.col("rest") / F.col("rest_below"))) > F.col("cost")
-    return stash(x.select("h", "a", "b", "n", F.when(kept, F.col("p")).otherwise(F.col("below")).alias("v"), F.when(kept, F.log10(F.col("rest") / F.col("rest_below"))).alias("back"), "blocks"))
+    return stash(x.select("h", "a", "n", F.when(kept, F.col("p")).otherwise(F.col("below")).alias("v"), F.when(kept, F.log10(F.col("rest") / F.col("rest_below"))).alias("back")))
 
 
 def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col: str = "doc_id", text_col: str = "text", pinned: bool = False) -> DataFrame:
@@ -195,20 +196,23 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
     n_tokens, n_known = (int(x or 0) for x in counted.agg(F.sum("n"), F.count("*")).first())
     log_all = math.log10(n_tokens + n_known + 1)
 
-    level = counted.select(F.col("token").alias("h"), "n", ((F.col("n") + 1) / F.lit(n_tokens + n_known + 1)).alias("v"), F.lit(0.0).alias("back"), "blocks")
-    found, contexts, length, handed = _repeated(_pairs(blocks)), level, 2, []
+    level = counted.select(F.col("token").alias("h"), "n", ((F.col("n") + 1) / F.lit(n_tokens + n_known + 1)).alias("v"), "blocks")
+    found, contexts, held, length, handed = _repeated(_pairs(blocks)), level, level, 2, []
     while True:
-        longer = _level(found.where("kind = 0"), level, contexts, n_tokens)
+        runs = found.where("kind = 0")
+        longer = _level(runs, level, contexts, n_tokens)
         after = longer.where("back IS NOT NULL").groupBy(F.col("a").alias("h")).agg(F.first("back").alias("after"))
         kept = stash(contexts.select("h", "n", "blocks").join(after, "h"))
         # What blocks need of runs of this length: counts of those behind kept contexts, and the contexts among them.
-        both = level.where("back IS NOT NULL").select("h", "n", "blocks").join(kept.select("h", F.col("n").alias("_n"), F.col("blocks").alias("_blocks"), "after"), "h", "full")
+        both = held.select("h", "n", "blocks").join(kept.select("h", F.col("n").alias("_n"), F.col("blocks").alias("_blocks"), "after"), "h", "full")
         handed.append(both.select("h", F.coalesce("n", "_n").alias("n"), "after", F.lit(length - 1).alias("length"), F.coalesce("blocks", "_blocks").alias("blocks")))
-        level = longer
         if kept.isEmpty():
             break
-        found = _repeated(_grown(blocks, level, kept, length))
-        contexts, length = found.where("kind = 1"), length + 1
+        level, held = longer, stash(longer.where("back IS NOT NULL").select("h").join(runs.select("h", "n", "blocks"), "h"))
+        # All repeated runs of two words are known, and so are the contexts among them; longer contexts are counted.
+        whole = runs.join(kept.select(F.col("h").alias("b")), "b", "left_semi") if length == 2 else None
+        found = _repeated(_grown(blocks, held, kept if whole is None else whole, length, whole is not None))
+        contexts, length = found.where("kind = 1") if whole is None else whole, length + 1
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
         lengths, tables = known.column("length").to_numpy(), []
