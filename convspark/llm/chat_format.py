@@ -68,8 +68,8 @@ def format_chats(conversations: DataFrame, id_col: str = "conv_id", turn_col: st
     A conversation's turns, ordered by turn (ties: by role and text; a null turn first), are rendered, parsed by the
     template's grammar and compared with the source; while a turn differs, everything is escaped once more. The result
     of the last parse is returned beside the text, with ``exact`` (always true; kept as the proof). Null roles and texts
-    count as empty. Conversations without rows don't exist; a null id is a conversation. A conversation is one row, as
-    it is one text.
+    count as empty. Conversations without rows don't exist; a null id is a conversation; repeated
+    rows are turns of their own. A conversation is one row, as it is one text.
 
     Returns: id, formatted, escaped, turns (array of role and text as read back), exact, loss_text (the texts under
     the loss mask as read back).

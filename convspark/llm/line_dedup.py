@@ -98,7 +98,8 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 10, id_col: str = "doc
     Lines are told apart after white space is made single and trimmed (by 128 bits of hash); blank lines count as no
     lines and stay. Runs don't cross documents. Returns a row for each input row: id, n_lines (lines that aren't blank),
     removed (indices among these, ascending) and text (what is left). Null texts are empty; rows with equal ids are
-    documents of their own, in an arbitrary order among themselves, and a null id comes last.
+    documents of their own, in an arbitrary order among themselves, and a null id comes last. A document may have any number
+    of lines, and any of them deleted: it is one row, and its lines are rows of their own meanwhile.
     """
     docs = stash(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), whole_text(text_col).alias("text")))
     gone = stash(repeated_lines(docs, min_words, whole_runs).groupBy("uid").agg(F.array_sort(F.collect_set("ln")).alias("removed")))

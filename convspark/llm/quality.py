@@ -142,7 +142,8 @@ def fit_rules(
 def score_quality(docs: DataFrame, model: RuleEnsemble, least: float = 0.7, text_col: str = "text") -> DataFrame:
     """Adds ``score`` and ``predicted`` (1 if the score is ``least`` or more); columns of these names are replaced.
 
-    Null texts are empty, and the empty text has a score like any other.
+    Null texts are empty, and the empty text has a score like any other. Repeated rows are scored each, and an empty
+    table gives an empty result.
     """
     kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
     scored = docs.select(*kept, F.explode(F.array(model.score_text(whole_text(text_col)))).alias("score"))  # a generator's row is computed once

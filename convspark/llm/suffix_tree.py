@@ -173,7 +173,8 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
     rows come in the same order each time (a scan of files) and leaves that out.
 
     Returns a row for each input row: id, n_tokens, n_known, train_tokens, base_score, score. Null texts are empty;
-    without training rows every probability is 1. Rows with equal ids are scored each.
+    without training rows every probability is 1, and an empty table gives an empty result. Rows with equal ids are scored
+    each. A very long text is scored whole; its block is held in one task.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
     if not pinned:
