@@ -90,25 +90,32 @@ def best_evidence(points: DataFrame, chunks: DataFrame, k: int = 2) -> DataFrame
 
     Scores count shared terms, reduced by a low recognition confidence; chunks without any score are no evidence.
     Points of the same terms have the same scores and are scored once. Terms meet as postings, whose number in a pair is
-    the score; the first term is looked for in chunks that hold its first part. Texts are joined to the k best only.
+    the score; the first term is looked for in chunks that hold its first part, once in a chunk's text for all points. Texts are
+    joined to the k best only, and no join hands one side to every task.
     """
     first = T.first_term(F.col("point"))
     asked = F.concat(F.coalesce(F.col("_first"), F.lit("")), F.lit(" "), F.array_join(F.array_sort("_keys"), " "))
     p = points.withColumn("_keys", T.keywords(F.col("point"))).withColumn("_first", first).withColumn("_asked", asked)
     a = p.groupBy("meeting_id", "_asked").agg(F.first("_keys").alias("_keys"), F.first("_first").alias("_first"))
     low = F.lower(F.coalesce("text", F.lit("")))
-    held = chunks.select("meeting_id", "idx", F.explode(T.chunk_terms(F.col("text"))).alias("_w"))
-    shared = a.select("meeting_id", "_asked", F.explode("_keys").alias("_w")).join(held, ["meeting_id", "_w"]).groupBy("meeting_id", "_asked", "idx").agg(F.count("*").alias("_n"))
+    at = ["meeting_id", "idx"]
+    # Stored texts are far smaller than their rows: by their files' size they would be broadcast, terms and all.
+    met = lambda l, r, on, how="inner": l.join(r.hint("merge"), on, how)
+    held = chunks.select(*at, F.explode(T.chunk_terms(F.col("text"))).alias("_w"))
+    shared = met(a.select("meeting_id", "_asked", F.explode("_keys").alias("_w")), held, ["meeting_id", "_w"]).groupBy("meeting_id", "_asked", "idx").agg(F.count("*").alias("_n"))
     part = F.explode(F.array_distinct(F.regexp_extract_all(low, F.lit("([a-z0-9_]+)"), F.lit(1)))).alias("_part")
-    parts = chunks.select("meeting_id", "idx", low.alias("_low"), part)
-    named = a.where("_first IS NOT NULL").select("meeting_id", "_asked", "_first", F.regexp_extract("_first", "^[a-z0-9_]+", 0).alias("_part"))
-    stands = named.join(parts, ["meeting_id", "_part"]).where(T.stands_in(F.col("_first"), F.col("_low"))).select("meeting_id", "_asked", "idx", F.lit(True).alias("_stands"))
-    both = shared.join(stands, ["meeting_id", "_asked", "idx"], "full").join(chunks.select("meeting_id", "idx", "asr_confidence"), ["meeting_id", "idx"])
+    named = a.where("_first IS NOT NULL")
+    terms = named.select("meeting_id", "_first", F.regexp_extract("_first", "^[a-z0-9_]+", 0).alias("_part")).distinct()
+    looked = met(terms, chunks.select(*at, part), ["meeting_id", "_part"]).groupBy(*at).agg(F.collect_set("_first").alias("_terms"))
+    there = F.filter("_terms", lambda t: T.stands_in(t, F.col("_low")))
+    found = met(chunks.select(*at, low.alias("_low")), looked, at).select(*at, F.explode(there).alias("_first"))
+    stands = met(named.select("meeting_id", "_asked", "_first"), found, ["meeting_id", "_first"]).select("meeting_id", "_asked", "idx", F.lit(True).alias("_stands"))
+    both = met(met(shared, stands, ["meeting_id", "_asked", "idx"], "full"), chunks.select(*at, "asr_confidence"), at)
     score = F.least(F.coalesce("_n", F.lit(0)), F.lit(8)).cast("int") + F.when(F.col("_stands"), 2).otherwise(0)
     scored = both.select("meeting_id", "_asked", "idx", T.downranked(score, F.col("asr_confidence")).alias("score")).where("score > 0")
     rank = F.row_number().over(Window.partitionBy("meeting_id", "_asked").orderBy(F.desc("score"), "idx"))
     best = scored.withColumn("rank", rank).where(F.col("rank") <= k)
-    return p.drop("_keys", "_first").join(best, ["meeting_id", "_asked"]).drop("_asked").join(chunks, ["meeting_id", "idx"])
+    return met(met(p.drop("_keys", "_first"), best, ["meeting_id", "_asked"]).drop("_asked"), chunks, at)
 
 
 def attach_evidence(points: DataFrame, chunks: DataFrame, kind: str) -> DataFrame:

@@ -217,9 +217,10 @@ def chunks(turns: DataFrame, target_words: int = 220, overlap_words: int = 40, b
     """
     numbered = saved(_numbered(turns, block))
     ranges = _chunk_ranges(_next_starts(numbered, target_words, overlap_words), block)
-    c = ranges.select("meeting_id", "k", F.explode(F.sequence(F.col("s"), F.col("e") - 1)).alias("s")).join(numbered.select("meeting_id", "turn_idx", "s"), ["meeting_id", "s"])
+    # By their files' size turns would be broadcast, though they are far larger as rows.
+    c = ranges.select("meeting_id", "k", F.explode(F.sequence(F.col("s"), F.col("e") - 1)).alias("s")).join(numbered.select("meeting_id", "turn_idx", "s").hint("merge"), ["meeting_id", "s"])
     said = turns.select("meeting_id", "turn_idx", "start_ms", "end_ms", F.concat("speaker", F.lit(": "), "text").alias("line"))
-    g = c.join(said, ["meeting_id", "turn_idx"]).groupBy("meeting_id", "k").agg(F.array_sort(F.collect_list(F.struct("turn_idx", "start_ms", "end_ms", "line"))).alias("u"))
+    g = c.join(said.hint("merge"), ["meeting_id", "turn_idx"]).groupBy("meeting_id", "k").agg(F.array_sort(F.collect_list(F.struct("turn_idx", "start_ms", "end_ms", "line"))).alias("u"))
     return g.select(
         "meeting_id",
         F.format_string("%s_chunk_%04d", F.col("meeting_id").cast("string"), F.col("k") + 1).alias("chunk_id"),
