@@ -160,7 +160,7 @@ def confidence(item: Column) -> Column:
     [0, 1], else 0; six decimals."""
     finite = lambda v: F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
     named = [finite(item[n]) for n in SINGLE_FIELDS]
-    inside = [F.when(v.between(0, 1), F.bround(v, 6)) for v in named]
+    inside = [F.when(v == 0, v).when(v.between(0, 1), F.bround(v, 6)) for v in named]  # a zero keeps its sign
     log = F.coalesce(*[F.when(v <= 0, v) for v in named])
     valid = lambda a: F.filter(a, lambda v: v.between(0, 1))
     mean = lambda a: F.bround(F.aggregate(a, F.lit(0.0), lambda s, v: s + v) / F.nullif(F.size(a), F.lit(0)), 6)
