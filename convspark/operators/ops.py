@@ -12,10 +12,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
-def last_by_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row of each key with the largest ``order``; rows with a blank or null key are skipped."""
+def _latest(rows: DataFrame, keys: list[str], order: list[str], place: str) -> DataFrame:
+    """The row of each key that is last in ``order``; of equal ones the first in ``place``, which is left out."""
+    w = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in order], place)
+    return rows.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k", place)
+
+
+def last_by_key(rows: DataFrame, keys: list[str], order: str | list[str], place: str | None = None) -> DataFrame:
+    """The row of each key with the largest ``order``; rows with a blank or null key are skipped.
+
+    Of rows with equal ``order`` the first in ``place`` counts, where there is such a column, else any.
+    """
     for k in keys:
         rows = rows.where(F.trim(F.col(k).cast("string")) != "")
+    if place:
+        return _latest(rows, keys, [order] if isinstance(order, str) else order, place)
+    order = order if isinstance(order, str) else F.struct(*order)
     rest = [c for c in rows.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_x")).select(*keys, *[F.col(f"_x.{c}").alias(c) for c in rest])
 
@@ -229,9 +241,12 @@ def meeting_index(meetings: DataFrame, manifests: DataFrame, stages: DataFrame,
 
 
 def run_progress(events: DataFrame, total: int) -> DataFrame:
-    """Progress of runs from stage events (run_id, stage_no, status, elapsed_sec, ts): completed and failed stages, the last one, its time."""
-    last = events.groupBy("run_id", "stage_no").agg(F.max_by(F.struct("status", "elapsed_sec"), F.struct("ts", "elapsed_sec")).alias("x"), F.max("ts").alias("ts"))
-    g = last.groupBy("run_id").agg(F.count_if(F.col("x.status") == "ok").alias("completed"), F.count_if(F.col("x.status") != "ok").alias("failed"), F.max_by("stage_no", F.struct("ts", "stage_no")).alias("last_stage"), F.sum("x.elapsed_sec").alias("elapsed_sec"))
+    """Progress of runs from stage events (run_id, stage_no, status, elapsed_sec, ts, place): completed and failed stages, the last one, its time.
+
+    A stage's last event counts, by ts and elapsed_sec; of equal ones the first in place.
+    """
+    last = _latest(events, ["run_id", "stage_no"], ["ts", "elapsed_sec"], "place")
+    g = last.groupBy("run_id").agg(F.count_if(F.col("status") == "ok").alias("completed"), F.count_if(F.col("status") != "ok").alias("failed"), F.max_by("stage_no", F.struct("ts", "stage_no")).alias("last_stage"), F.sum("elapsed_sec").alias("elapsed_sec"))
     return g.withColumn("pending", total - F.col("completed") - F.col("failed"))
 
 
