@@ -19,6 +19,8 @@ from ..operators.audio import FRAMES, decode, frame_size
 OPEN_COST = 1 << 20
 #: Bytes of samples that a task holds at a time.
 PIECE = 4 << 20
+#: Bytes, with what opening costs, that short parts fill in a task.
+TASK = 256 << 20
 
 
 def store(path: str) -> tuple[fs.FileSystem, str]:
@@ -37,31 +39,34 @@ class Ranges(InputPartition):
         self.parts = parts
 
 
-def ranges(sizes: list[tuple[str, int]], part_bytes: int) -> list[Ranges]:
-    """Long files are cut into parts of at most ``part_bytes``; small ones share a partition."""
-    out, held, room = [], [], part_bytes
-    for path, size in sizes:
-        parts = max(1, -(-size // part_bytes))
-        for k in range(parts):
-            cost = -(-size // parts) + OPEN_COST
-            if held and cost > room:
-                out.append(Ranges(held))
-                held, room = [], part_bytes
-            held.append((path, k, parts))
-            room -= cost
+def ranges(sizes: list[tuple[str, int]], part_bytes: int, tasks: int | None = None) -> list[Ranges]:
+    """Long files are cut into parts of at most ``part_bytes``; small ones share a partition.
+
+    With ``tasks`` short parts share one as well: each of about so many gets its share, up to ``TASK`` bytes, so that
+    partitions are as few as the work allows, however short the parts are. Each part costs an opened file.
+    """
+    cut = [(path, k, n, -(-size // n) + OPEN_COST) for path, size in sizes for n in (max(1, -(-size // part_bytes)),) for k in range(n)]
+    limit = max(part_bytes, min(TASK, -(-sum(c for *_, c in cut) // tasks))) if tasks else part_bytes
+    out, held, room = [], [], limit
+    for path, k, n, cost in cut:
+        if held and cost > room:
+            out.append(Ranges(held))
+            held, room = [], limit
+        held.append((path, k, n))
+        room -= cost
     return [*out, Ranges(held)] if held else out
 
 
 class WavReader(DataSourceReader):
-    def __init__(self, path: str, frame_ms: int, part_bytes: int):
-        self.path, self.frame_ms, self.part_bytes = path, frame_ms, part_bytes
+    def __init__(self, path: str, frame_ms: int, part_bytes: int, tasks: int | None = None):
+        self.path, self.frame_ms, self.part_bytes, self.tasks = path, frame_ms, part_bytes, tasks
 
     def partitions(self):
         files, at = store(self.path)
         info = files.get_file_info(at)
         found = [info] if info.type == fs.FileType.File else files.get_file_info(fs.FileSelector(at, recursive=True))
         sizes = sorted((f.path, f.size) for f in found if f.type == fs.FileType.File and f.path.endswith(".wav"))
-        return ranges(sizes, self.part_bytes) or [Ranges([])]
+        return ranges(sizes, self.part_bytes, self.tasks) or [Ranges([])]
 
     def read(self, partition):
         files, _ = store(self.path)
@@ -92,7 +97,8 @@ class WavReader(DataSourceReader):
 class WavFrames(DataSource):
     """``spark.read.format("wav_frames").option("frame_ms", 30).load(path)``: the rows of ``audio.wav_frames`` for all ``.wav``
     files below a folder, or one file. A file of any length is read by ranges of frames in many tasks, each of which holds
-    a few MB; ``part_bytes`` (64 MB) is what a task reads. Files that aren't PCM give no rows."""
+    a few MB; ``part_bytes`` (64 MB) is what is read as one part, and ``tasks`` over how many tasks short parts are dealt.
+    Files that aren't PCM give no rows."""
 
     @classmethod
     def name(cls):
@@ -102,12 +108,12 @@ class WavFrames(DataSource):
         return FRAMES
 
     def reader(self, schema):
-        return WavReader(self.options["path"], int(self.options.get("frame_ms", "30")), int(self.options.get("part_bytes", str(64 << 20))))
+        return WavReader(self.options["path"], int(self.options.get("frame_ms", "30")), int(self.options.get("part_bytes", str(64 << 20))), int(self.options.get("tasks", "0")) or None)
 
 
 def wav_frames(spark: SparkSession, path: str, **options) -> DataFrame:
     spark.dataSource.register(WavFrames)
-    return spark.read.format("wav_frames").options(**options).load(path)
+    return spark.read.format("wav_frames").options(**{"tasks": 4 * spark.sparkContext.defaultParallelism, **options}).load(path)
 
 
 def write_wav(signals: DataFrame, path: str, rate: int) -> int:

@@ -128,3 +128,15 @@ def test_folder_digest(spark):
     got = {r.meeting_id: (r.files, r.digest) for r in ops.content_digests(spark.createDataFrame(rows, "meeting_id string, path string, content binary").repartition(3)).collect()}
     m = b"a/z.bin\0" + bytes(range(256)) + b"\0" + b"a.txt\0\0" + b"b.txt\0two\0"
     assert got == {"m": (3, hashlib.sha256(m).hexdigest()), "n": (1, hashlib.sha256("\u00e9".encode() + b"\0\0").hexdigest())}
+
+
+def test_short_parts_of_sound_share_tasks():
+    """Parts of a KB are dealt over the tasks asked for, not a task each, and none is lost."""
+    from convspark.sources import wav
+
+    sizes = [(f"f{i}", 4140) for i in range(500)]
+    packed = wav.ranges(sizes, 1024, 8)
+    assert len(packed) <= 10
+    assert [p for r in packed for p in r.parts] == [(f"f{i}", k, 5) for i in range(500) for k in range(5)]
+    assert len(wav.ranges(sizes * 100, 1024, 8)) <= -(-250_000 // 255)  # a task holds TASK bytes at most
+    assert len(wav.ranges(sizes, 1024)) == 2500
