@@ -12,61 +12,77 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 #: Statuses after which nothing more is said of a run.
 OVER = ("completed", "failed", "cancelled")
 UPDATE = "meeting_id string, status string, completed long, failed long, running long, pending long, stages string"
-_STATE = "stages string, said string, over boolean"
+_STATE = "runs string"
+#: Groups of runs, by hash: a call of the state store costs milliseconds, and one for each run would be most of the time.
+BUCKETS = 1 << 14
+
+
+def _plain(stages: dict) -> str:
+    return json.dumps({s: x[2] for s, x in sorted(stages.items())})
 
 
 class Runs(StatefulProcessor):
-    """One run: its stages so far, what was last said of it, and whether it is over.
+    """The runs of a bucket: each one's stages so far, or only a mark that it is over, and when it was last heard of.
 
     A stage is running from its start, then completed or failed; an end beats any start, and of equal kinds the later one
     counts, so that events may come late, twice or in any order. The run is over with a ``run_end`` event or when ``total``
     stages have ended; then only a mark is left of it, by which late events are known, and the mark goes after ``ttl_ms``,
-    as does a run of which nothing was heard for so long.
+    as does a run of which nothing was heard for so long: from what is known of its bucket at the next change there, and
+    with the bucket's value when nothing changes in it for so long.
     """
 
     def __init__(self, total: int, ttl_ms: int):
         self._total, self._ttl_ms = total, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._run = handle.getValueState("run", _STATE, ttlDurationMs=self._ttl_ms)
+        self._runs = handle.getValueState("runs", _STATE, ttlDurationMs=self._ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        known = self._run.get() if self._run.exists() else None
-        if known is not None and known[2]:
-            return
-        stages = json.loads(known[0]) if known is not None else {}
-        end = None
-        for e in rows:
-            if e.event == "run_end":
-                end = max(end or "", e.status if e.status in OVER else "completed" if e.status in (None, "ok") else "failed")
+        now = timerValues.getCurrentProcessingTimeInMs()
+        stored = self._runs.get()
+        known = {run: x for run, x in (json.loads(stored[0]) if stored else {}).items() if x[0] + self._ttl_ms > now}
+        heard: dict[str, list] = {}
+        for _, run, stage, event, status, ts in rows:
+            x = heard.get(run)
+            if x is None:
+                old = known.get(run)
+                if old is not None and old[1] is None:
+                    continue
+                x = heard[run] = [old[1] if old else {}, _plain(old[1]) if old else None, None]
+            if event == "run_end":
+                x[2] = max(x[2] or "", status if status in OVER else "completed" if status in (None, "ok") else "failed")
                 continue
-            ended = e.event == "stage_end"
-            state = "running" if not ended else "completed" if e.status in (None, "ok") else "failed"
-            new = [int(ended), e.ts_unix or 0.0, state, e.elapsed_sec]
-            if e.stage not in stages or new[:2] > stages[e.stage][:2]:
-                stages[e.stage] = new
-        n = {s: sum(x[2] == s for x in stages.values()) for s in ("completed", "failed", "running")}
-        if end is None and self._total and n["completed"] + n["failed"] >= self._total:
-            end = "failed" if n["failed"] else "completed"
-        plain = json.dumps({s: x[2] for s, x in sorted(stages.items())})
-        said = json.dumps([end or "running", n, plain])
-        if known is None or said != known[1]:
-            yield Row(meeting_id=key[0], status=end or "running", completed=n["completed"], failed=n["failed"], running=n["running"], pending=self._total - sum(n.values()), stages=plain)
-        self._run.update(("", "", True) if end else (json.dumps(stages), said, False))
+            ended = event == "stage_end"
+            new = [int(ended), ts or 0.0, "running" if not ended else "completed" if status in (None, "ok") else "failed"]
+            if stage not in x[0] or new[:2] > x[0][stage][:2]:
+                x[0][stage] = new
+        for run, (stages, before, end) in heard.items():
+            states = [x[2] for x in stages.values()]
+            completed, failed, running = (states.count(s) for s in ("completed", "failed", "running"))
+            if end is None and self._total and completed + failed >= self._total:
+                end = "failed" if failed else "completed"
+            plain = _plain(stages)
+            if end or plain != before:
+                yield Row(meeting_id=run, status=end or "running", completed=completed, failed=failed, running=running, pending=self._total - len(states), stages=plain)
+            known[run] = [now, None if end else stages]
+        if heard:
+            self._runs.update((json.dumps(known),))
 
     def close(self) -> None:
         pass
 
 
-def run_updates(events: DataFrame, total: int, ttl_ms: int = 7 * 24 * 3600 * 1000) -> DataFrame:
-    """Updates of runs (see ``Runs``) from a stream of events (meeting_id, stage, event, status, elapsed_sec, ts_unix).
+def run_updates(events: DataFrame, total: int, ttl_ms: int = 7 * 24 * 3600 * 1000, buckets: int = BUCKETS) -> DataFrame:
+    """Updates of runs (see ``Runs``) from a stream of events (meeting_id, stage, event, status, ts_unix).
 
-    A run's events are one key's rows; its state is one small value, whatever the number of events. Runs without an id
-    are no runs.
+    Runs are dealt to ``buckets`` by hash. What is known of a bucket's runs is one value of the state, whatever the number of
+    events; it is read and written once a batch. ``buckets`` must stay as it is while a checkpoint is used. Runs without
+    an id are no runs.
     """
     e = events.where("event IN ('stage_start', 'stage_end', 'run_end') AND meeting_id IS NOT NULL AND (stage IS NOT NULL OR event = 'run_end')")
-    e = e.select("meeting_id", "stage", "event", "status", F.col("elapsed_sec").cast("double").alias("elapsed_sec"), F.col("ts_unix").cast("double").alias("ts_unix"))
-    return e.groupBy("meeting_id").transformWithState(statefulProcessor=Runs(total, ttl_ms), outputStructType=UPDATE, outputMode="Update", timeMode="ProcessingTime")
+    bucket = F.pmod(F.xxhash64("meeting_id"), F.lit(buckets)).alias("bucket")
+    e = e.select(bucket, "meeting_id", "stage", "event", "status", F.col("ts_unix").cast("double").alias("ts_unix"))
+    return e.groupBy("bucket").transformWithState(statefulProcessor=Runs(total, ttl_ms), outputStructType=UPDATE, outputMode="Update", timeMode="ProcessingTime")
 
 
 def watch_runs(updates: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False, every: str = "1 second") -> StreamingQuery:

@@ -43,3 +43,24 @@ def test_state_goes(spark, tmp_path):
         left.append(q.lastProgress.stateOperators[0].numRowsTotal)
         time.sleep(4)
     assert len(got) == 20 and left == [20, 0]
+
+
+def test_runs_of_a_bucket(spark, tmp_path):
+    """Runs that share a value of the state are told apart, and each goes by its own time."""
+    src, got, left = tmp_path / "events", [], []
+    src.mkdir()
+    old = [{"meeting_id": f"o{i}", "event": "run_end", "status": "ok"} for i in range(50)]
+    open_ = [{"meeting_id": f"r{i}", "stage": "a", "event": "stage_start", "ts_unix": 1.0} for i in range(50)]
+    ends = [{"meeting_id": f"r{i}", "stage": "a", "event": "stage_end", "status": "ok" if i % 2 else "error"} for i in range(50)]
+    for k, rows in enumerate([old + open_, ends + open_ + old, old[:1]]):
+        time.sleep(8 * (k == 2))
+        (src / f"{k}.json").write_text("\n".join(json.dumps(r) for r in rows))
+        got.clear()
+        q = runs.watch_runs(runs.run_updates(progress.trace_stream(spark, str(src)), 2, ttl_ms=600_000 if k < 2 else 4000, buckets=1), lambda b, _: got.extend(map(tuple, b.collect())), str(tmp_path / "cp"), once=True)
+        q.awaitTermination(120)
+        left.append(q.lastProgress.stateOperators[0].numRowsTotal)
+        want = [[(f"o{i}", "completed", 0, 0, 0, 2, "{}") for i in range(50)] + [(f"r{i}", "running", 0, 0, 1, 1, '{"a": "running"}') for i in range(50)]]
+        want += [[(f"r{i}", "running", i % 2, 1 - i % 2, 0, 1, '{"a": "%s"}' % ("completed" if i % 2 else "failed")) for i in range(50)]]
+        want += [[("o0", "completed", 0, 0, 0, 2, "{}")]]  # heard of for the first time again
+        assert sorted(got) == sorted(want[k])
+    assert left == [1, 1, 1]
