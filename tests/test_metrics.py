@@ -212,3 +212,16 @@ def test_alignment_kernels(spark):
     assert time.process_time() - began < 4
     df = spark.createDataFrame([(["a", "b"], ["a", "c", "b"]), ([], ["x"]), (None, ["x"]), ([], [])], "a array<string>, b array<string>")
     assert [x[0] for x in df.select(metrics.word_edit_distance(F.col("a"), F.col("b"))).collect()] == [1, 1, None, 0]
+
+
+def test_char_errors_of_long_texts(spark):
+    """Texts of 300,000 letters, one letter in ten lost: a table of 8e10 cells, which takes the JVM minutes."""
+    import time
+
+    r = random.Random(9)
+    ref = "".join(r.choice("abcde") for _ in range(300_000))
+    hyp = "".join(c for k, c in enumerate(ref) if k % 10)
+    rows = [(1, ref, hyp), (2, ref, None), (3, "ab", "b"), (4, "", hyp), (5, ref, "")]
+    began = time.time()
+    got = {x.id: x.cer for x in metrics.with_char_errors(spark.createDataFrame(rows, "id int, ref string, hyp string")).collect()}
+    assert got == {1: 0.1, 2: None, 3: 0.5, 4: 1.0, 5: 1.0} and time.time() - began < 90
