@@ -225,3 +225,20 @@ def test_char_errors_of_long_texts(spark):
     began = time.time()
     got = {x.id: x.cer for x in metrics.with_char_errors(spark.createDataFrame(rows, "id int, ref string, hyp string")).collect()}
     assert got == {1: 0.1, 2: None, 3: 0.5, 4: 1.0, 5: 1.0} and time.time() - began < 90
+
+
+def test_rouge_n_counts_within_pairs(spark):
+    from collections import Counter
+
+    r = random.Random(4)
+    text = lambda: r.choice([None, "", " ".join(r.choice("abc") for _ in range(r.randint(1, 12)))])
+    rows = [(k // 2 if k < 20 else k, text(), text()) for k in range(120)]  # the first ids are those of two pairs
+    df = spark.createDataFrame(rows, "id int, ref string, hyp string")
+    for n in (1, 2, 3):
+        out, want = metrics.rouge_n(df, ["id"], n), []
+        assert "gram" not in out._jdf.queryExecution().analyzed().toString()  # n-grams are no rows
+        for k, _, _ in rows:
+            a, b = (Counter(g for x in rows if x[0] == k for w in [(x[c] or "").split()] for g in zip(*(w[j:] for j in range(n)))) for c in (1, 2))
+            p, q = ((a & b).total() / max(1, x.total()) for x in (b, a))
+            want.append((k, round(2 * p * q / (p + q), 9) if p else 0.0))
+        assert sorted((x.id, round(x.f1, 9)) for x in out.collect()) == sorted(want)
