@@ -77,8 +77,10 @@ def _folder(path: Column) -> Column:
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
-    """Segments of JSON arrays, one file a meeting folder; rows with bad times, or that end before they start, are dropped."""
-    raw = spark.read.option("multiLine", True).schema("start string, end string, speaker string, text string, confidence string, source string").json(path)
+    """Segments of JSON arrays, in files of meeting folders, each of which is one task's work; rows with bad times, or that end before they start, are dropped."""
+    # Of whole texts, as the JSON source opens a file again for each number that it reads as a string.
+    whole = spark.read.text(path, wholetext=True).select("*", "_metadata")
+    raw = whole.select("_metadata", F.inline(F.from_json("value", "array<struct<start string, end string, speaker string, text string, confidence string, source string>>")))
     num = lambda c: F.col(c).try_cast("double")
     rows = raw.select(_meeting_of_path().alias("meeting_id"), F.coalesce(num("start"), F.when(F.col("start").isNull(), 0.0)).alias("start"), F.coalesce(num("end"), F.when(F.col("end").isNull(), 0.0)).alias("end"), F.coalesce("speaker", F.lit("UNKNOWN")).alias("speaker"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(num("confidence"), F.lit(0.0)).alias("confidence"), F.coalesce("source", F.lit("")).alias("source"))
     return rows.where("start IS NOT NULL AND end > start").selectExpr(*[x.strip().split()[0] for x in ASR_SEGMENT.split(",")])

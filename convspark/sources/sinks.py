@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..functions.numbers import fixed
+from ..operators.scans import in_ranges
 
 
 def _sorted_fields(value: Column, kind: DataType) -> Column:
@@ -92,8 +93,14 @@ def write_meeting_reference(speakers: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").format("xml").option("rowTag", "meeting").option("rootTag", "meetings").save(path)
 
 
-def write_json_arrays(rows: DataFrame, path: str, order: list[str]) -> None:
-    """A JSON array of each meeting's rows in order, a folder a meeting."""
+def write_json_arrays(rows: DataFrame, path: str, order: list[str], most: int = 20_000) -> None:
+    """JSON arrays of each meeting's rows in order, in a folder a meeting: files of up to ``most`` rows, in the order of
+    their names, so that neither writing nor reading takes a meeting at once."""
     rest = [c for c in rows.columns if c != "meeting_id"]
+    parts = in_ranges(rows, ["meeting_id", *order])
+    place = F.row_number().over(Window.partitionBy("_range", "meeting_id").orderBy(*order, F.struct(*rest)))
     items = F.transform(F.array_sort(F.collect_list(F.struct(*order, F.struct(*rest).alias("row")))), lambda x: x["row"])
-    rows.groupBy("meeting_id").agg(F.to_json(items).alias("value")).write.mode("overwrite").partitionBy("meeting_id").text(path)
+    blocks = parts.withColumn("_block", F.floor((place - 1) / most)).groupBy("meeting_id", "_range", "_block").agg(F.to_json(items).alias("value"))
+    # Ranges follow each other, and so do the names of files: those of the tasks, and of the files of a task.
+    dealt = blocks.repartitionByRange("meeting_id", "_range", "_block").sortWithinPartitions("meeting_id", "_range", "_block")
+    dealt.select("meeting_id", "value").write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("meeting_id").text(path)

@@ -140,3 +140,16 @@ def test_short_parts_of_sound_share_tasks():
     assert [p for r in packed for p in r.parts] == [(f"f{i}", k, 5) for i in range(500) for k in range(5)]
     assert len(wav.ranges(sizes * 100, 1024, 8)) <= -(-250_000 // 255)  # a task holds TASK bytes at most
     assert len(wav.ranges(sizes, 1024)) == 2500
+
+
+def test_json_arrays_in_parts(spark, tmp_path):
+    """A long meeting becomes many files, each a JSON array, and their names have the order of the rows."""
+    path = tmp_path / "arrays"
+    rows = [("long", float(k * 7919 % 1000), float(k * 7919 % 1000 + 1), f"S{k % 3}") for k in range(1000)] + [("short", 1.0, 2.0, "S")]
+    df = spark.createDataFrame(rows, "meeting_id string, start double, end double, speaker string")
+    sinks.write_json_arrays(df, str(path), ["start", "end"], most=60)
+    parts = [json.loads(p.read_text()) for p in sorted((path / "meeting_id=long").glob("*.txt"))]
+    assert len(parts) >= 1000 // 60 and max(map(len, parts)) <= 60
+    assert [x["start"] for p in parts for x in p] == [float(k) for k in range(1000)]
+    got = sorted((r.meeting_id, r.start, r.end, r.speaker) for r in files.segments(spark, str(path)).collect())
+    assert got == sorted(rows)
