@@ -25,34 +25,43 @@ _BYTE_CHARS = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_PR
 #: White space on whose kind regular-expression libraries disagree; such texts take the library's own way.
 _ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b\ufeff]")
 _TWO_SPACES, _CUT = re.compile(r"\s\s"), re.compile(r"(?<=\S) ")
-#: Entries of each of a worker's two tables of known pieces; what comes when they are full is encoded each time.
-KNOWN = 500_000
+#: Entries of a worker's tables of known pieces and of known words; what comes when one is full is encoded each time.
+KNOWN_PIECES, KNOWN_WORDS = 400_000, 100_000
 
 
-class _Pieces(dict):
-    """Ids, as bytes, of a space and a piece of text, for a byte-level tokenizer."""
+class Known(dict):
+    """What ``make`` gives for the first ``size`` keys that were asked for."""
 
-    def __init__(self, tokenizer, dtype):
+    def __init__(self, make, size: int):
         super().__init__()
+        self.make, self.size = make, size
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(self) < self.size:
+            self[key] = value
+        return value
+
+
+class _Pieces:
+    """Ids, as bytes, of pieces of text, for a byte-level tokenizer; ``spaced`` has those of a space and a piece."""
+
+    def __init__(self, tokenizer, dtype):
         import regex
 
-        self.split, self.model, self.dtype, self.words = regex.compile(WORDS).findall, tokenizer.model, dtype, {}
+        self.split, self.model, self.dtype = regex.compile(WORDS).findall, tokenizer.model, dtype
+        self.words, self.spaced = Known(self._word, KNOWN_WORDS), Known(self._spaced, KNOWN_PIECES)
+
+    def _word(self, word: str) -> bytes:
+        return np.array([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARS))], self.dtype).tobytes()
+
+    def _spaced(self, piece: str) -> bytes:
+        words = self.split(" " + piece)
+        # A piece that is one word is kept once, as a piece while there is room.
+        return self._word(words[0]) if len(words) == 1 and len(self.spaced) < self.spaced.size else b"".join([self.words[w] for w in words])
 
     def of(self, piece: str) -> bytes:
-        out = []
-        for word in self.split(piece):
-            if (ids := self.words.get(word)) is None:
-                ids = np.array([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARS))], self.dtype).tobytes()
-                if len(self.words) < KNOWN:
-                    self.words[word] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.of(" " + piece)
-        if len(self) < KNOWN:
-            self[piece] = ids
-        return ids
+        return b"".join([self.words[w] for w in self.split(piece)])
 
 
 class Encoder:
@@ -76,8 +85,8 @@ class Encoder:
         if self.pieces is None or _ODD.search(text) or any(x in text for x in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         first, *rest = _CUT.split(text) if _TWO_SPACES.search(text) else text.split(" ")
-        known = self.pieces
-        return known.of(first) + b"".join([known[p] for p in rest])
+        spaced = self.pieces.spaced
+        return self.pieces.of(first) + b"".join([spaced[p] for p in rest])
 
 
 @lru_cache(maxsize=2)

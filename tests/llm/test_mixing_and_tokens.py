@@ -82,6 +82,19 @@ def test_encoder_special(encoder):
         assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_keeps_a_word_once():
+    own = Encoder(BPE)
+    words = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    ids = [own.tokenizer.encode(" ".join(words), add_special_tokens=False).ids] * 2
+    got = lambda: np.frombuffer(own.encode(" ".join(words)), own.dtype).tolist()
+    assert [got(), got()] == ids
+    pieces = own.pieces
+    assert len(pieces.words) + len(pieces.spaced) == len(words)
+    pieces.spaced.clear(), pieces.words.clear()
+    pieces.spaced.size, pieces.words.size = 30, 20
+    assert [got(), got()] == ids and (len(pieces.spaced), len(pieces.words)) == (30, 20)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 2**40), max_size=600))
 def test_elias_fano(values):
