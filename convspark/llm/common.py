@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +67,13 @@ def drop_written(spark: SparkSession, since: int = 0, keep: tuple[DataFrame, ...
             _written.remove(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of jobs that are done: Spark deletes them once the driver has collected what refers
+    to them, which it may not do for long by itself."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Lets the session hand rows to Python in small Arrow batches: a batch is held whole on both sides, and its texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

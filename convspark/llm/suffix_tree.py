@@ -8,10 +8,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_held_out, stash, table
+from .common import crc_held_out, drop_written, free_shuffles, table, written
+from .common import stash as written_rows
 from .shingles import U64, mix, word_hashes
 
 END = U64(0x5851F42D4C957F2D)
@@ -45,48 +47,111 @@ def _longer(runs: np.ndarray) -> np.ndarray:
     return mix(np.r_[U64(0), runs[:-1]] * PAIR + runs)
 
 
-#: Rows of counts: runs without their last (a) and first (b) word, or, of kind 1, contexts (a).
-COUNTS = "kind int, a long, b long, n long, block long"
+def stash(df: DataFrame) -> DataFrame:
+    """Writes the rows and reads them back. What was shuffled for earlier ones goes before, and for these after it; the
+    last job's plan may outlive the first collection."""
+    free_shuffles(df.sparkSession)
+    rows = written_rows(df)
+    free_shuffles(df.sparkSession)
+    return rows
 
 
-def _table(kind: int, a: np.ndarray, b: np.ndarray, learnt: np.ndarray, block: int) -> dict[str, pa.Array]:
-    """A block's distinct runs or contexts, from one row for each occurrence."""
-    _, first, back = np.unique(mix(a * PAIR + b), return_index=True, return_inverse=True)
-    n = np.bincount(back, learnt, len(first)).astype(np.int64)
-    return {"kind": pa.array(np.full(len(first), kind, np.int32)), "a": pa.array(a[first].view(np.int64)), "b": pa.array(b[first].view(np.int64)), "n": pa.array(n), "block": pa.array(np.full(len(first), block), pa.int64())}
+#: Counts of a block, packed by ranges of the hash (buckets): runs without their last (a) and first (b) word, or, of kind
+#: 1, contexts (a), and how often training rows have them (n).
+COUNTS = "kind int, bucket long, block long, a binary, b binary, n binary"
+#: Rows that are handed to blocks at once.
+DEALT = 1 << 20
 
 
-def _pairs(blocks: DataFrame) -> DataFrame:
+def _hashes(kind: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a if kind else mix(a * PAIR + b)
+
+
+def _numbers(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype), *(np.frombuffer(x.as_buffer(), dtype) for x in column)])
+
+
+def _packed(kind: int, a: np.ndarray, b: np.ndarray, learnt: np.ndarray, block: int, bits: int) -> pa.Table:
+    """A block's distinct runs or contexts, from one row for each occurrence: a row for each of 2 ** bits buckets."""
+    h, first, back = np.unique(_hashes(kind, a, b), return_index=True, return_inverse=True)
+    n = np.bincount(back, learnt, len(first)).astype(np.uint32)
+    bucket = (h >> U64(64 - bits)).astype(np.int64)
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(h) else np.zeros(0, np.int64)
+    # Of one context in a row, so that what is shuffled is compressed better.
+    orders = [x + np.argsort(a[first[x:y]]) for x, y in zip(starts, [*starts[1:], len(h)], strict=True)] if len(h) else []
+    own = lambda of: pa.array([of(o).tobytes() for o in orders], pa.binary())
+    columns = {"a": own(lambda o: a[first[o]]), "b": own(lambda o: b[first[o]]), "n": own(lambda o: n[o])}
+    return pa.table({"kind": pa.array([kind] * len(orders), pa.int32()), "bucket": pa.array(bucket[starts]), "block": pa.array([block] * len(orders), pa.int64()), **columns})
+
+
+def _pairs(blocks: DataFrame, bits: int) -> DataFrame:
     """Counts of the runs of two words in each block, in training rows or not."""
 
-    def count(batches):
+    def whole(batches):
+        last, held = None, []
         for batch in batches:
             block = batch.column(2).to_numpy()
             cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else [0]
             for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                words, bounds = _tokens(batch.column(0).slice(x, y - x))
-                learnt = np.repeat(batch.column(1).slice(x, y - x).to_numpy(zero_copy_only=False), np.diff(bounds))
+                if held and block[x] != last:
+                    yield last, pa.Table.from_batches(held)
+                    held = []
+                last = block[x]
+                held.append(batch.slice(x, y - x))
+        if held:
+            yield last, pa.Table.from_batches(held)
+
+    def count(batches):
+        for block, rows in whole(batches):
+            parts = [(np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, bool))]
+            for batch in rows.to_batches():
+                words, bounds = _tokens(batch.column(0))
+                learnt = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(bounds))
                 inside = np.ones(len(words), bool)
                 inside[bounds[:-1]] = False  # the first word of a text ends no pair
                 at = np.flatnonzero(inside)
-                yield pa.RecordBatch.from_pydict(_table(0, words[at - 1], words[at], learnt[at], block[x]))
+                parts.append((words[at - 1], words[at], learnt[at]))
+            yield from _packed(0, *(np.concatenate(x) for x in zip(*parts, strict=True)), block, bits).to_batches()
 
     return blocks.select("text", "train", "block").mapInArrow(count, COUNTS)
 
 
-def _grown(blocks: DataFrame, held: DataFrame, contexts: DataFrame, length: int, counted: bool) -> DataFrame:
+def _dealt(rows: DataFrame, *names: str) -> DataFrame:
+    """Hands rows (blocks, kind and named numbers of 64 bits) to the blocks: (block, kind, numbers), packed."""
+
+    def deal(batches):
+        held, size = [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                sizes = pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False).astype(np.int64)
+                at = np.repeat(np.arange(len(sizes)), sizes)
+                held.append([batch.column(0).flatten().to_numpy(), *(c.to_numpy(zero_copy_only=False)[at] for c in batch.columns[1:])])
+                size += len(at)
+            if size and (batch is None or size >= DEALT):
+                block, kind, *own = (np.concatenate(x) for x in zip(*held, strict=True))
+                order = np.lexsort((kind, block))
+                block, kind, own = block[order], kind[order], [x[order] for x in own]
+                cuts = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (kind[1:] != kind[:-1]), True])
+                pairs = list(zip(cuts[:-1], cuts[1:], strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(block[cuts[:-1]]), pa.array(kind[cuts[:-1]]), *(pa.array([x[i:j].tobytes() for i, j in pairs], pa.binary()) for x in own)], ["block", "kind", *names])
+                held, size = [], 0
+
+    return rows.select("blocks", "kind", *names).mapInArrow(deal, "block long, kind int, " + ", ".join(f"{x} binary" for x in names))
+
+
+def _grown(blocks: DataFrame, held: DataFrame, contexts: DataFrame, length: int, counted: bool, bits: int) -> DataFrame:
     """Counts in each block of the runs of a context of ``length`` words and a word, and of such contexts.
 
     ``contexts`` (h, blocks) are those whose words but the first the divergence test kept, if they are ``counted``, and
     nothing but runs is counted then; otherwise the kept ones, a word shorter. A repeated run's last ``length`` words are
     in ``held`` (h, blocks): runs of which they aren't are left out.
     """
-    mark = lambda df, kind: df.select(F.explode("blocks").alias("block"), "h", F.lit(kind).alias("kind"))
-    marks = mark(contexts, 1).unionByName(mark(held, 0))
+    mark = lambda df, kind: df.select("blocks", F.lit(kind).alias("kind"), "h")
+    marks = _dealt(mark(contexts, 1).unionByName(mark(held, 0)), "h")
 
     def count(texts: pa.Table, known: pa.Table) -> pa.Table:
-        keys, kinds = known.column("h").to_numpy().view(U64), known.column("kind").to_numpy()
-        kept, runs = np.sort(keys[kinds == 1]), np.sort(keys[kinds == 0])
+        kinds = known.column("kind").to_numpy()
+        kept, runs = (np.sort(_numbers(known.column("h").filter(pa.array(kinds == k)), U64)) for k in (1, 0))
         none = np.zeros(0, U64)
         column, train, found = texts.column("text").combine_chunks(), texts.column("train").to_numpy(), [(none, none, none, none.astype(bool), none.astype(bool))]
         column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
@@ -103,7 +168,7 @@ def _grown(blocks: DataFrame, held: DataFrame, contexts: DataFrame, length: int,
             found.append((ends[at], ends[then], ends[then + 1], learnt[at], learnt[then]))
         whole, a, b, n_whole, n = (np.concatenate(x) for x in zip(*found, strict=True))
         block = texts.column("block")[0].as_py() if texts.num_rows else 0
-        return pa.concat_tables([pa.table(_table(1, whole, np.zeros(len(whole), U64), n_whole, block)), pa.table(_table(0, a, b, n, block))])
+        return pa.concat_tables([_packed(1, whole, np.zeros(len(whole), U64), n_whole, block, bits), _packed(0, a, b, n, block, bits)])
 
     return blocks.select("block", "train", "text").groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(count, COUNTS)
 
@@ -111,33 +176,24 @@ def _grown(blocks: DataFrame, held: DataFrame, contexts: DataFrame, length: int,
 def _repeated(found: DataFrame) -> DataFrame:
     """(kind, h, a, b, n, blocks) of the runs and contexts that training rows have twice or more, from their counts.
 
-    h is the hash of the run or context; blocks are all that have it, in training rows or not. Rows come in order, and
-    only those of one run are held beside the batch.
+    h is the hash of the run or context; blocks are all that have it, in training rows or not. A bucket of all blocks'
+    hashes is one group; there are as many buckets as keep it below the size of a block.
     """
 
-    def merge(batches):
-        held = None
-        for batch in chain(batches, [None]):
-            rows = held
-            if batch is not None:
-                own = [batch.column(k).to_numpy() for k in range(5)]
-                rows = own if held is None else [np.r_[x, y] for x, y in zip(held, own, strict=True)]
-            if rows is None or not len(rows[0]):
-                continue
-            kind, a, b, n, block = rows
-            starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (kind[1:] != kind[:-1])])
-            end = len(a) if batch is None else starts[-1]
-            held, starts = [x[end:] for x in rows], starts[starts < end]
-            if not len(starts):
-                continue
-            total, sizes = np.add.reduceat(n[:end], starts), np.diff(np.r_[starts, end])
-            often = total >= 2
-            at = starts[often]
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes[often])].astype(np.int32)), pa.array(block[:end][np.repeat(often, sizes)]))
-            h = np.where(kind[at] == 1, a[at].view(U64), mix(a[at].view(U64) * PAIR + b[at].view(U64)))
-            yield pa.RecordBatch.from_pydict({"kind": pa.array(kind[at]), "h": pa.array(h.view(np.int64)), "a": pa.array(a[at]), "b": pa.array(b[at]), "n": pa.array(total[often]), "blocks": lists})
-
-    return stash(found.repartition("a", "b").sortWithinPartitions("a", "b", "kind").mapInArrow(merge, "kind int, h long, a long, b long, n long, blocks array<long>"))
+    def merge(rows: pa.Table) -> pa.Table:
+        kind, (a, b), n = rows.column("kind")[0].as_py(), (_numbers(rows.column(x), U64) for x in "ab"), _numbers(rows.column("n"), np.uint32)
+        block = np.repeat(rows.column("block").to_numpy(), [len(x.as_buffer()) // 8 for x in rows.column("a")])
+        h = _hashes(kind, a, b)
+        order = np.argsort(h)
+        h, block = h[order], block[order]
+        starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        total, sizes = np.add.reduceat(n[order].astype(np.int64), starts), np.diff(np.r_[starts, len(h)])
+        often = total >= 2
+        at = order[starts[often]]
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes[often])].astype(np.int32)), pa.array(block[np.repeat(often, sizes)]))
+        return pa.table({"kind": pa.array(np.full(len(at), kind, np.int32)), "h": pa.array(h[starts[often]].view(np.int64)), "a": pa.array(a[at].view(np.int64)), "b": pa.array(b[at].view(np.int64)), "n": pa.array(total[often]), "blocks": lists})
+
+    return stash(found.groupBy("kind", "bucket").applyInArrow(merge, "kind int, h long, a long, b long, n long, blocks array<long>"))
 
 
 def _level(runs: DataFrame, shorter: DataFrame, contexts: DataFrame, n_tokens: int) -> DataFrame:
@@ -154,7 +210,7 @@ def _level(runs: DataFrame, shorter: DataFrame, contexts: DataFrame, n_tokens: i
     x = runs.select("h", "a", "b", "n").join(shorter.select(F.col("h").alias("b"), F.col("v").alias("below")), "b").join(contexts.select(F.col("h").alias("a"), F.col("n").alias("own")), "a").withColumn("p", p)
     x = x.withColumn("rest", rest("p")).withColumn("rest_below", rest("below")).withColumn("cost", F.count("*").over(context) * math.log(max(2, n_tokens)) / 2).withColumn("sum", F.sum(F.col("p") * F.log(F.col("p") / F.col("below"))).over(context))
     kept = F.col("own") * (F.col("sum") + F.col("rest") * F.log(F.col("rest") / F.col("rest_below"))) > F.col("cost")
-    return stash(x.select("h", "a", "n", F.when(kept, F.col("p")).otherwise(F.col("below")).alias("v"), F.when(kept, F.log10(F.col("rest") / F.col("rest_below"))).alias("back")))
+    return stash(x.select("h", "a", F.when(kept, F.col("p")).otherwise(F.col("below")).alias("v"), F.when(kept, F.log10(F.col("rest") / F.col("rest_below"))).alias("back")))
 
 
 def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col: str = "doc_id", text_col: str = "text", pinned: bool = False) -> DataFrame:
@@ -177,8 +233,10 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
     each. A very long text is scored whole; its block is held in one task.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
+    spark, mark = docs.sparkSession, written()
     if not pinned:
         rows = stash(rows)
+    bits = max(1, math.ceil(math.log2(4 * rows.count() / block_rows + 1)))
     blocks = rows.withColumn("block", F.floor(F.monotonically_increasing_id() / block_rows))
 
     def words(batches):
@@ -198,7 +256,7 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
     log_all = math.log10(n_tokens + n_known + 1)
 
     level = counted.select(F.col("token").alias("h"), "n", ((F.col("n") + 1) / F.lit(n_tokens + n_known + 1)).alias("v"), "blocks")
-    found, contexts, held, length, handed = _repeated(_pairs(blocks)), level, level, 2, []
+    found, contexts, held, length, handed = _repeated(_pairs(blocks, bits)), level, level, 2, []
     while True:
         runs = found.where("kind = 0")
         longer = _level(runs, level, contexts, n_tokens)
@@ -206,23 +264,24 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
         kept = stash(contexts.select("h", "n", "blocks").join(after, "h"))
         # What blocks need of runs of this length: counts of those behind kept contexts, and the contexts among them.
         both = held.select("h", "n", "blocks").join(kept.select("h", F.col("n").alias("_n"), F.col("blocks").alias("_blocks"), "after"), "h", "full")
-        handed.append(both.select("h", F.coalesce("n", "_n").alias("n"), "after", F.lit(length - 1).alias("length"), F.coalesce("blocks", "_blocks").alias("blocks")))
+        handed.append(both.select("h", F.coalesce("n", "_n").alias("n"), "after", F.lit(length - 1).alias("kind"), F.coalesce("blocks", "_blocks").alias("blocks")))
         if kept.isEmpty():
             break
         level, held = longer, stash(longer.where("back IS NOT NULL").select("h").join(runs.select("h", "n", "blocks"), "h"))
         # All repeated runs of two words are known, and so are the contexts among them; longer contexts are counted.
-        whole = runs.join(kept.select(F.col("h").alias("b")), "b", "left_semi") if length == 2 else None
-        found = _repeated(_grown(blocks, held, kept if whole is None else whole, length, whole is not None))
+        whole = stash(runs.join(kept.select(F.col("h").alias("b")), "b", "left_semi").select("h", "n", "blocks")) if length == 2 else None
+        drop_written(spark, mark, keep=(rows, level, held, *handed, *(() if whole is None else (whole,))))
+        found = _repeated(_grown(blocks, held, kept if whole is None else whole, length, whole is not None, bits))
         contexts, length = found.where("kind = 1") if whole is None else whole, length + 1
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
-        lengths, tables = known.column("length").to_numpy(), []
+        lengths, tables = known.column("kind").to_numpy(), []
         for k in range(1, length):
             own = known.filter(pa.array(lengths == k))
-            keys = own.column("h").to_numpy().view(U64)
+            keys, n, after = (_numbers(own.column(x), dtype) for x, dtype in (("h", U64), ("n", np.int64), ("after", np.float64)))
             order = np.argsort(keys)
             # The last entry is for runs that aren't there: count 0, and no context.
-            tables.append((keys[order], np.r_[own.column("n").to_numpy()[order], 0], np.r_[own.column("after").to_numpy(zero_copy_only=False).astype(float)[order], np.nan]))
+            tables.append((keys[order], np.r_[n[order], 0], np.r_[after[order], np.nan]))
         out = []
         column = texts.column("text").combine_chunks()
         column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
@@ -243,7 +302,7 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
         columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0)] * 4
         return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(columns[0], pa.int64()), "n_known": pa.array(columns[1], pa.int64()), "train_tokens": pa.array([n_tokens] * texts.num_rows, pa.int64()), "base_score": pa.array(columns[2], pa.float64()), "score": pa.array(columns[3], pa.float64())})
 
-    back = reduce(DataFrame.unionByName, handed).select(F.explode("blocks").alias("block"), "h", "n", "after", "length")
+    back = _dealt(reduce(DataFrame.unionByName, handed), "h", "n", "after")
     scored = blocks.select("block", "doc_id", "text").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scored.withColumnRenamed("doc_id", id_col)
 

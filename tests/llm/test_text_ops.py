@@ -270,6 +270,23 @@ def test_suffix_tree_grows_as_far_as_contexts_diverge(spark):
         assert abs(got.score[k] - sum(math.log10(p(s[: i + 1])) for i in range(len(s)))) < 1e-6 * len(s), k
 
 
+def test_suffix_tree_packs_counts(spark):
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choice("abcdefghijklmnop") + rng.choice("rst") for _ in range(30)), k % 3 > 0) for k in range(60)]
+    blocks = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(1).withColumn("block", F.floor(F.monotonically_increasing_id() / 20))
+    pairs = suffix_tree._pairs(blocks, 2)
+    # Three blocks and four buckets, not a row for each pair and block.
+    assert pairs.count() <= 12
+    want, where = Counter(), {}
+    for r in blocks.collect():
+        words = [*r.text.split(), "</s>"]
+        for pair in zip(words[:-1], words[1:], strict=True):
+            want[pair] += r.train
+            where.setdefault(pair, set()).add(r.block)
+    got = suffix_tree._repeated(pairs).collect()
+    assert sorted((r.n, sorted(r.blocks)) for r in got) == sorted((n, sorted(where[p])) for p, n in want.items() if n >= 2)
+
+
 def test_suffix_tree_edges(spark, odd, clashing, empty):
     none = suffix_tree.score_texts(odd, F.lit(False)).toPandas()
     assert (none.score == 0).all() and (none.train_tokens == 0).all() and len(none) == len(odd_rows())
