@@ -7,6 +7,7 @@ from functools import reduce
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -34,12 +35,9 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0, U64)), np.concatenate(bounds)
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places in the sorted keys, -1 where there is none."""
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+def _find(keys: pd.Index, wanted: np.ndarray) -> np.ndarray:
+    """Places in the distinct keys, -1 where there is none. By hash, as a search of sorted keys takes four times as long."""
+    return keys.get_indexer(wanted) if len(keys) else np.full(len(wanted), -1, np.int64)
 
 
 def _longer(runs: np.ndarray) -> np.ndarray:
@@ -73,36 +71,58 @@ def _numbers(column: pa.ChunkedArray, dtype) -> np.ndarray:
 
 def _packed(kind: int, a: np.ndarray, b: np.ndarray, learnt: np.ndarray, block: int, bits: int) -> pa.Table:
     """A block's distinct runs or contexts, from one row for each occurrence: a row for each of 2 ** bits buckets."""
-    h, first, back = np.unique(_hashes(kind, a, b), return_index=True, return_inverse=True)
-    n = np.bincount(back, learnt, len(first)).astype(np.uint32)
-    bucket = (h >> U64(64 - bits)).astype(np.int64)
-    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(h) else np.zeros(0, np.int64)
+    back, h = pd.factorize(_hashes(kind, a, b))
+    first = np.zeros(len(h), np.int64)
+    first[back[::-1]] = np.arange(len(back))[::-1]
+    n = np.bincount(back, learnt, len(h)).astype(np.uint32)
+    a, b, bucket = a[first], b[first], (h >> U64(64 - bits)).astype(np.int64)
     # Of one context in a row, so that what is shuffled is compressed better.
-    orders = [x + np.argsort(a[first[x:y]]) for x, y in zip(starts, [*starts[1:], len(h)], strict=True)] if len(h) else []
-    own = lambda of: pa.array([of(o).tobytes() for o in orders], pa.binary())
-    columns = {"a": own(lambda o: a[first[o]]), "b": own(lambda o: b[first[o]]), "n": own(lambda o: n[o])}
-    return pa.table({"kind": pa.array([kind] * len(orders), pa.int32()), "bucket": pa.array(bucket[starts]), "block": pa.array([block] * len(orders), pa.int64()), **columns})
+    at = U64(len(h).bit_length())
+    # One number has the bucket, the first bits of the context and the place: numbers are sorted faster than places by them.
+    order = np.sort(bucket.astype(U64) << U64(64 - bits) | a >> at >> U64(bits) << at | np.arange(len(h), dtype=U64)) & (U64(1) << at) - U64(1)
+    a, b, n, bucket = a[order], b[order], n[order], bucket[order]
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(h) else np.zeros(0, np.int64)
+    own = lambda of: pa.array([of[x:y].tobytes() for x, y in zip(starts, [*starts[1:], len(h)][: len(starts)], strict=True)], pa.binary())
+    columns = {"a": own(a), "b": own(b), "n": own(n)}
+    return pa.table({"kind": pa.array([kind] * len(starts), pa.int32()), "bucket": pa.array(bucket[starts]), "block": pa.array([block] * len(starts), pa.int64()), **columns})
+
+
+def _whole(batches):
+    """Blocks and their rows, from batches whose last column is the block."""
+    last, held = None, []
+    for batch in batches:
+        block = batch.column(batch.num_columns - 1).to_numpy()
+        cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else [0]
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and block[x] != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            last = block[x]
+            held.append(batch.slice(x, y - x))
+    if held:
+        yield last, pa.Table.from_batches(held)
+
+
+def _words(blocks: DataFrame, bits: int) -> DataFrame:
+    """Counts of the words in each block, in training rows or not, as contexts."""
+
+    def count(batches):
+        for block, rows in _whole(batches):
+            parts = [(np.zeros(0, U64), np.zeros(0, bool))]
+            for batch in rows.to_batches():
+                words, bounds = _tokens(batch.column(0))
+                parts.append((words, np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(bounds))))
+            words, learnt = (np.concatenate(x) for x in zip(*parts, strict=True))
+            yield from _packed(1, words, np.zeros(len(words), U64), learnt, block, bits).to_batches()
+
+    return blocks.select("text", "train", "block").mapInArrow(count, COUNTS)
 
 
 def _pairs(blocks: DataFrame, bits: int) -> DataFrame:
     """Counts of the runs of two words in each block, in training rows or not."""
 
-    def whole(batches):
-        last, held = None, []
-        for batch in batches:
-            block = batch.column(2).to_numpy()
-            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else [0]
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                if held and block[x] != last:
-                    yield last, pa.Table.from_batches(held)
-                    held = []
-                last = block[x]
-                held.append(batch.slice(x, y - x))
-        if held:
-            yield last, pa.Table.from_batches(held)
-
     def count(batches):
-        for block, rows in whole(batches):
+        for block, rows in _whole(batches):
             parts = [(np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, bool))]
             for batch in rows.to_batches():
                 words, bounds = _tokens(batch.column(0))
@@ -139,26 +159,47 @@ def _dealt(rows: DataFrame, *names: str) -> DataFrame:
     return rows.select("blocks", "kind", *names).mapInArrow(deal, "block long, kind int, " + ", ".join(f"{x} binary" for x in names))
 
 
-def _grown(blocks: DataFrame, held: DataFrame, contexts: DataFrame, length: int, counted: bool, bits: int) -> DataFrame:
+def _texts(blocks: DataFrame, *columns: str) -> DataFrame:
+    """The columns, text last, as rows (block, rows) of up to 500 texts in Arrow's format, by zstd: what is shuffled to meet
+    a block's counts is a good deal smaller than the texts by the shuffle's own compression."""
+
+    def pack(batches):
+        for batch in batches:
+            block = batch.column(batch.num_columns - 1).to_numpy()
+            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else [0]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                for at in range(x, y, 500):
+                    piece, out = pa.RecordBatch.from_arrays(batch.columns[:-1], list(columns)).slice(at, min(500, y - at)), pa.BufferOutputStream()
+                    with pa.ipc.new_stream(out, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+                        to.write_batch(piece)
+                    yield pa.RecordBatch.from_pydict({"block": pa.array([block[x]], pa.int64()), "rows": pa.array([out.getvalue().to_pybytes()], pa.binary())})
+
+    return blocks.select(*columns, "block").mapInArrow(pack, "block long, rows binary")
+
+
+def _unpacked(texts: pa.Table):
+    """The batches of a block's packed rows."""
+    for rows in texts.column("rows"):
+        yield from pa.ipc.open_stream(rows.as_buffer())
+
+
+def _grown(blocks: DataFrame, marks: DataFrame, length: int, counted: bool, bits: int) -> DataFrame:
     """Counts in each block of the runs of a context of ``length`` words and a word, and of such contexts.
 
-    ``contexts`` (h, blocks) are those whose words but the first the divergence test kept, if they are ``counted``, and
-    nothing but runs is counted then; otherwise the kept ones, a word shorter. A repeated run's last ``length`` words are
-    in ``held`` (h, blocks): runs of which they aren't are left out.
+    ``marks`` (blocks, kind, h) has contexts as kind 1: those whose words but the first the divergence test kept, if they
+    are ``counted``, and nothing but runs is counted then; otherwise the kept ones, a word shorter. A repeated run's last
+    ``length`` words are of kind 0: runs of which they aren't are left out. What is both is of kind 2, and handed once.
     """
-    mark = lambda df, kind: df.select("blocks", F.lit(kind).alias("kind"), "h")
-    marks = _dealt(mark(contexts, 1).unionByName(mark(held, 0)), "h")
 
     def count(texts: pa.Table, known: pa.Table) -> pa.Table:
         kinds = known.column("kind").to_numpy()
-        kept, runs = (np.sort(_numbers(known.column("h").filter(pa.array(kinds == k)), U64)) for k in (1, 0))
+        kept, runs = (pd.Index(_numbers(known.column("h").filter(pa.array((kinds == k) | (kinds == 2))), U64)) for k in (1, 0))
         none = np.zeros(0, U64)
-        column, train, found = texts.column("text").combine_chunks(), texts.column("train").to_numpy(), [(none, none, none, none.astype(bool), none.astype(bool))]
-        column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
-        for x in range(0, len(column) if len(kept) else 0, 500):
-            ends, bounds = _tokens(column.slice(x, 500))
+        found = [(none, none, none, none.astype(bool), none.astype(bool))]
+        for rows in _unpacked(texts) if len(kept) else ():
+            ends, bounds = _tokens(rows.column("text"))
             sizes = np.diff(bounds)
-            learnt, place = np.repeat(train[x : x + 500], sizes), np.arange(len(ends)) - np.repeat(bounds[:-1], sizes)
+            learnt, place = np.repeat(rows.column("train").to_numpy(zero_copy_only=False), sizes), np.arange(len(ends)) - np.repeat(bounds[:-1], sizes)
             for _ in range(length - 2):
                 ends = _longer(ends)
             suffix, ends = ends, _longer(ends)
@@ -170,11 +211,11 @@ def _grown(blocks: DataFrame, held: DataFrame, contexts: DataFrame, length: int,
         block = texts.column("block")[0].as_py() if texts.num_rows else 0
         return pa.concat_tables([_packed(1, whole, np.zeros(len(whole), U64), n_whole, block, bits), _packed(0, a, b, n, block, bits)])
 
-    return blocks.select("block", "train", "text").groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(count, COUNTS)
+    return _texts(blocks, "train", "text").groupBy("block").cogroup(_dealt(marks, "h").groupBy("block")).applyInArrow(count, COUNTS)
 
 
-def _repeated(found: DataFrame) -> DataFrame:
-    """(kind, h, a, b, n, blocks) of the runs and contexts that training rows have twice or more, from their counts.
+def _merged(found: DataFrame, least: int) -> DataFrame:
+    """(kind, h, a, b, n, blocks) of the runs and contexts that training rows have ``least`` times or more, from their counts.
 
     h is the hash of the run or context; blocks are all that have it, in training rows or not. A bucket of all blocks'
     hashes is one group; there are as many buckets as keep it below the size of a block.
@@ -188,17 +229,21 @@ def _repeated(found: DataFrame) -> DataFrame:
         h, block = h[order], block[order]
         starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
         total, sizes = np.add.reduceat(n[order].astype(np.int64), starts), np.diff(np.r_[starts, len(h)])
-        often = total >= 2
+        often = total >= least
         at = order[starts[often]]
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes[often])].astype(np.int32)), pa.array(block[np.repeat(often, sizes)]))
         return pa.table({"kind": pa.array(np.full(len(at), kind, np.int32)), "h": pa.array(h[starts[often]].view(np.int64)), "a": pa.array(a[at].view(np.int64)), "b": pa.array(b[at].view(np.int64)), "n": pa.array(total[often]), "blocks": lists})
 
-    return stash(found.groupBy("kind", "bucket").applyInArrow(merge, "kind int, h long, a long, b long, n long, blocks array<long>"))
+    return found.groupBy("kind", "bucket").applyInArrow(merge, "kind int, h long, a long, b long, n long, blocks array<long>")
+
+
+def _repeated(found: DataFrame) -> DataFrame:
+    return stash(_merged(found, 2))
 
 
-def _level(runs: DataFrame, shorter: DataFrame, contexts: DataFrame, n_tokens: int) -> DataFrame:
+def _level(runs: DataFrame, shorter: DataFrame, contexts: DataFrame, n_tokens: int, *columns: str) -> DataFrame:
     """Runs with their contexts' back-off weights (``back``, where the context is kept) and the probability v by which
-    they go on to longer runs, from runs (h, a, b, n), the level below (h, v) and the
+    they go on to longer runs, and the named columns, from runs (h, a, b, n), the level below (h, v) and the
     contexts' counts (h, n).
 
     Runs that were counted get (count - 1/2) / count of the context; what is left goes to all other words in
@@ -210,7 +255,7 @@ def _level(runs: DataFrame, shorter: DataFrame, contexts: DataFrame, n_tokens: i
     x = runs.select("h", "a", "b", "n").join(shorter.select(F.col("h").alias("b"), F.col("v").alias("below")), "b").join(contexts.select(F.col("h").alias("a"), F.col("n").alias("own")), "a").withColumn("p", p)
     x = x.withColumn("rest", rest("p")).withColumn("rest_below", rest("below")).withColumn("cost", F.count("*").over(context) * math.log(max(2, n_tokens)) / 2).withColumn("sum", F.sum(F.col("p") * F.log(F.col("p") / F.col("below"))).over(context))
     kept = F.col("own") * (F.col("sum") + F.col("rest") * F.log(F.col("rest") / F.col("rest_below"))) > F.col("cost")
-    return stash(x.select("h", "a", F.when(kept, F.col("p")).otherwise(F.col("below")).alias("v"), F.when(kept, F.log10(F.col("rest") / F.col("rest_below"))).alias("back")))
+    return stash(x.select("h", "a", *columns, F.when(kept, F.col("p")).otherwise(F.col("below")).alias("v"), F.when(kept, F.log10(F.col("rest") / F.col("rest_below"))).alias("back")))
 
 
 def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col: str = "doc_id", text_col: str = "text", pinned: bool = False) -> DataFrame:
@@ -225,7 +270,7 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
 
     Words, runs and contexts grow with the corpus and never meet in one place: documents are taken in blocks of
     ``block_rows``, a block's distinct words and runs are joined with the counts and contexts, and come back to the
-    block. The input is written to the shared folder first, so that blocks stay what they are; ``pinned`` says that its
+    block, which they meet with its texts packed. The input is written to the shared folder first, so that blocks stay what they are; ``pinned`` says that its
     rows come in the same order each time (a scan of files) and leaves that out.
 
     Returns a row for each input row: id, n_tokens, n_known, train_tokens, base_score, score. Null texts are empty;
@@ -239,54 +284,50 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
     bits = max(1, math.ceil(math.log2(4 * rows.count() / block_rows + 1)))
     blocks = rows.withColumn("block", F.floor(F.monotonically_increasing_id() / block_rows))
 
-    def words(batches):
-        for batch in batches:
-            block = batch.column(2).to_numpy()
-            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else [0]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                tokens, bounds = _tokens(batch.column(0).slice(a, b - a))
-                learnt = np.repeat(batch.column(1).slice(a, b - a).to_numpy(zero_copy_only=False), np.diff(bounds))
-                found, at = np.unique(tokens, return_inverse=True)
-                n = np.bincount(at, learnt, len(found)).astype(np.int64)
-                yield pa.RecordBatch.from_pydict({"token": pa.array(found.view(np.int64)), "n": pa.array(n), "block": pa.array(np.full(len(found), block[a]), pa.int64())})
-
-    counted = blocks.select("text", "train", "block").mapInArrow(words, "token long, n long, block long")
-    counted = stash(counted.groupBy("token").agg(F.sum("n").alias("n"), F.collect_set("block").alias("blocks")).where("n > 0"))
+    counted = stash(_merged(_words(blocks, bits), 1).select("h", "n", "blocks"))
     n_tokens, n_known = (int(x or 0) for x in counted.agg(F.sum("n"), F.count("*")).first())
     log_all = math.log10(n_tokens + n_known + 1)
 
-    level = counted.select(F.col("token").alias("h"), "n", ((F.col("n") + 1) / F.lit(n_tokens + n_known + 1)).alias("v"), "blocks")
-    found, contexts, held, length, handed = _repeated(_pairs(blocks, bits)), level, level, 2, []
+    # Repeated runs (of one word first) behind kept contexts, and contexts.
+    held = contexts = counted.withColumn("v", (F.col("n") + 1) / F.lit(n_tokens + n_known + 1))
+    found, length, handed = _repeated(_pairs(blocks, bits)), 2, []
     while True:
         runs = found.where("kind = 0")
-        longer = _level(runs, level, contexts, n_tokens)
+        longer = _level(runs, held, contexts, n_tokens, *(("b",) if counted is not None else ()))
         after = longer.where("back IS NOT NULL").groupBy(F.col("a").alias("h")).agg(F.first("back").alias("after"))
         kept = stash(contexts.select("h", "n", "blocks").join(after, "h"))
         # What blocks need of runs of this length: counts of those behind kept contexts, and the contexts among them.
-        both = held.select("h", "n", "blocks").join(kept.select("h", F.col("n").alias("_n"), F.col("blocks").alias("_blocks"), "after"), "h", "full")
-        handed.append(both.select("h", F.coalesce("n", "_n").alias("n"), "after", F.lit(length - 1).alias("kind"), F.coalesce("blocks", "_blocks").alias("blocks")))
+        handed += [df.select("h", "n", x.alias("after"), F.lit(length - 1).alias("kind"), "blocks") for df, x in ((held, F.lit(None).cast("double")), (kept, F.col("after")))]
         if kept.isEmpty():
             break
-        level, held = longer, stash(longer.where("back IS NOT NULL").select("h").join(runs.select("h", "n", "blocks"), "h"))
-        # All repeated runs of two words are known, and so are the contexts among them; longer contexts are counted.
-        whole = stash(runs.join(kept.select(F.col("h").alias("b")), "b", "left_semi").select("h", "n", "blocks")) if length == 2 else None
-        drop_written(spark, mark, keep=(rows, level, held, *handed, *(() if whole is None else (whole,))))
-        found = _repeated(_grown(blocks, held, kept if whole is None else whole, length, whole is not None, bits))
-        contexts, length = found.where("kind = 1") if whole is None else whole, length + 1
+        # Longer runs end in a run that is held, so that those have all the probabilities below that the next test needs.
+        if counted is not None:
+            # All repeated runs of two words are known, and so are the contexts among them; longer contexts are counted.
+            whole = kept.select(F.col("h").alias("b"), F.lit(True).alias("whole"))
+            both = longer.join(whole, "b", "left").where("back IS NOT NULL OR whole").select("h", F.when(F.col("back").isNotNull(), F.col("v")).alias("v"), "whole")
+            both = stash(both.join(runs.select("h", "n", "blocks"), "h"))
+            held, contexts = both.where("v IS NOT NULL"), both.where("whole")
+            marks = both.select("blocks", F.when(F.col("v").isNull(), 1).when(F.col("whole"), 2).otherwise(0).alias("kind"), "h")
+        else:
+            held = stash(longer.where("back IS NOT NULL").select("h", "v").join(runs.select("h", "n", "blocks"), "h"))
+            marks = kept.select("blocks", F.lit(1).alias("kind"), "h").unionByName(held.select("blocks", F.lit(0).alias("kind"), "h"))
+        drop_written(spark, mark, keep=(rows, held, *handed))
+        found = _repeated(_grown(blocks, marks, length, counted is not None, bits))
+        contexts, counted, length = contexts if counted is not None else found.where("kind = 1"), None, length + 1
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
         lengths, tables = known.column("kind").to_numpy(), []
         for k in range(1, length):
             own = known.filter(pa.array(lengths == k))
             keys, n, after = (_numbers(own.column(x), dtype) for x, dtype in (("h", U64), ("n", np.int64), ("after", np.float64)))
-            order = np.argsort(keys)
+            order = np.lexsort((np.isnan(after), keys))
+            # What is both behind a kept context and one itself came twice; it stays with its weight.
+            order = order[np.r_[True, keys[order][1:] != keys[order][:-1]]] if len(order) else order
             # The last entry is for runs that aren't there: count 0, and no context.
-            tables.append((keys[order], np.r_[n[order], 0], np.r_[after[order], np.nan]))
-        out = []
-        column = texts.column("text").combine_chunks()
-        column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
-        for a in range(0, len(column), 500):
-            ends, bounds = _tokens(column.slice(a, 500))
+            tables.append((pd.Index(keys[order]), np.r_[n[order], 0], np.r_[after[order], np.nan]))
+        out, ids = [], [pa.array([], pa.int64())]
+        for rows in _unpacked(texts):
+            ends, bounds = _tokens(rows.column("text"))
             place = np.arange(len(ends)) - np.repeat(bounds[:-1], np.diff(bounds))
             at = _find(tables[0][0], ends)
             counts, after = tables[0][1][at], tables[0][2][at]
@@ -294,16 +335,19 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
             own, n = base, counts
             for keys, total, weights in tables[1:]:
                 ends, place = _longer(ends), place - 1
-                at = np.where(place >= 0, _find(keys, ends), -1)
                 before, back = np.r_[0, n[:-1]], np.where(place >= 0, np.r_[np.nan, after[:-1]], np.nan)
+                # Only a run behind a kept context has a probability here, and only one behind whose suffix is kept may be one.
+                asked, at = np.flatnonzero((place >= 0) & ~(np.isnan(back) & np.isnan(after))), np.full(len(ends), -1)
+                at[asked] = _find(keys, ends[asked])
                 n, after = total[at], weights[at]
                 own = np.where(np.isnan(back), own, np.where(n > 0, np.log10(np.maximum(n - DISCOUNT, DISCOUNT) / np.maximum(before, 1)), own + back))
+            ids.append(rows.column("doc_id"))
             out.append([np.diff(bounds), *(np.add.reduceat(x, bounds[:-1]) for x in ((counts > 0).astype(np.int64), base, own))])
         columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0)] * 4
-        return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(columns[0], pa.int64()), "n_known": pa.array(columns[1], pa.int64()), "train_tokens": pa.array([n_tokens] * texts.num_rows, pa.int64()), "base_score": pa.array(columns[2], pa.float64()), "score": pa.array(columns[3], pa.float64())})
+        return pa.table({"doc_id": pa.chunked_array(ids), "n_tokens": pa.array(columns[0], pa.int64()), "n_known": pa.array(columns[1], pa.int64()), "train_tokens": pa.array([n_tokens] * len(columns[0]), pa.int64()), "base_score": pa.array(columns[2], pa.float64()), "score": pa.array(columns[3], pa.float64())})
 
     back = _dealt(reduce(DataFrame.unionByName, handed), "h", "n", "after")
-    scored = blocks.select("block", "doc_id", "text").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scored = _texts(blocks, "doc_id", "text").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scored.withColumnRenamed("doc_id", id_col)
 
 

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -287,6 +288,30 @@ def test_suffix_tree_packs_counts(spark):
     assert sorted((r.n, sorted(r.blocks)) for r in got) == sorted((n, sorted(where[p])) for p, n in want.items() if n >= 2)
 
 
+def test_suffix_tree_hands_out_packed_texts_and_marks_once(spark):
+    """What meets at a block: texts as packed rows, smaller than they are, and one mark for a run that is a context too."""
+    rng = random.Random(7)
+    rows = [(k, " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(200)), k % 3 > 0) for k in range(1200)]
+    blocks = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(1).withColumn("block", F.floor(F.monotonically_increasing_id() / 600))
+    packed = suffix_tree._texts(blocks, "doc_id", "text")
+    assert packed.count() == 4 and packed.agg(F.sum(F.length("rows"))).first()[0] < 0.4 * sum(len(r[1]) for r in rows)
+    back = [r for t in packed.toArrow().to_batches() for batch in suffix_tree._unpacked(pa.Table.from_batches([t])) for r in batch.to_pylist()]
+    assert sorted((r["doc_id"], r["text"]) for r in back) == [(k, t) for k, t, _ in rows]
+
+    hashes = {}
+    for r in suffix_tree._repeated(suffix_tree._pairs(blocks, 2)).collect():
+        hashes[r.h] = r.blocks
+    three, one, two = suffix_tree._longer(suffix_tree._tokens(pa.array(["alpha alpha beta alpha"]))[0])[1:4].view("int64").tolist()
+    marks = spark.createDataFrame([(hashes[one], 0, one), (hashes[two], 1, two), (hashes[three], 2, three)], "blocks array<long>, kind int, h long")
+    assert sum(len(r.h) // 8 for r in suffix_tree._dealt(marks, "h").collect()) == 6
+    got = {(r.a, r.b): r.n for r in suffix_tree._repeated(suffix_tree._grown(blocks, marks, 2, True, 2)).collect()}
+    want = Counter()
+    for _, text, train in rows:
+        pairs = suffix_tree._longer(suffix_tree._tokens(pa.array([text]))[0])[1:].view("int64").tolist()
+        want.update(x for x in zip(pairs[:-1], pairs[1:], strict=True) if train and x[0] in (two, three) and x[1] in (one, three))
+    assert got == {x: n for x, n in want.items() if n >= 2} and len(got) > 0
+
+
 def test_suffix_tree_edges(spark, odd, clashing, empty):
     none = suffix_tree.score_texts(odd, F.lit(False)).toPandas()
     assert (none.score == 0).all() and (none.train_tokens == 0).all() and len(none) == len(odd_rows())
