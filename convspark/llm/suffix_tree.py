@@ -183,12 +183,13 @@ def _unpacked(texts: pa.Table):
         yield from pa.ipc.open_stream(rows.as_buffer())
 
 
-def _grown(blocks: DataFrame, marks: DataFrame, length: int, counted: bool, bits: int) -> DataFrame:
+def _grown(blocks: DataFrame, marks: DataFrame, length: int, counted: bool, bits: int, half: int | None = None) -> DataFrame:
     """Counts in each block of the runs of a context of ``length`` words and a word, and of such contexts.
 
     ``marks`` (blocks, kind, h) has contexts as kind 1: those whose words but the first the divergence test kept, if they
     are ``counted``, and nothing but runs is counted then; otherwise the kept ones, a word shorter. A repeated run's last
     ``length`` words are of kind 0: runs of which they aren't are left out. What is both is of kind 2, and handed once.
+    With a ``half``, only the runs whose hash begins with that bit are counted.
     """
 
     def count(texts: pa.Table, known: pa.Table) -> pa.Table:
@@ -207,6 +208,9 @@ def _grown(blocks: DataFrame, marks: DataFrame, length: int, counted: bool, bits
             then = at[_find(runs, ends[np.minimum(at + 1, len(ends) - 1)]) >= 0]
             at = at[:0] if counted else at
             found.append((ends[at], ends[then], ends[then + 1], learnt[at], learnt[then]))
+            if half is not None:
+                own = _hashes(0, *found[-1][1:3]) >> U64(63) == U64(half)
+                found[-1] = (ends[at], *(x[own] for x in found[-1][1:3]), learnt[at], learnt[then][own])
         whole, a, b, n_whole, n = (np.concatenate(x) for x in zip(*found, strict=True))
         block = texts.column("block")[0].as_py() if texts.num_rows else 0
         return pa.concat_tables([_packed(1, whole, np.zeros(len(whole), U64), n_whole, block, bits), _packed(0, a, b, n, block, bits)])
@@ -279,6 +283,7 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
     spark, mark = docs.sparkSession, written()
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")  # a batch of texts is held whole on both sides
     if not pinned:
         rows = stash(rows)
     bits = max(1, math.ceil(math.log2(4 * rows.count() / block_rows + 1)))
@@ -312,7 +317,8 @@ def score_texts(docs: DataFrame, train: Column, block_rows: int = 4096, id_col:
             held = stash(longer.where("back IS NOT NULL").select("h", "v").join(runs.select("h", "n", "blocks"), "h"))
             marks = kept.select("blocks", F.lit(1).alias("kind"), "h").unionByName(held.select("blocks", F.lit(0).alias("kind"), "h"))
         drop_written(spark, mark, keep=(rows, held, *handed))
-        found = _repeated(_grown(blocks, marks, length, counted is not None, bits))
+        # Runs of three words are by far the most; their counts are merged by halves, so that only one half is on disk.
+        found = reduce(DataFrame.unionByName, [_repeated(_grown(blocks, marks, length, counted is not None, bits, half)) for half in ((None,) if counted is None else (0, 1))])
         contexts, counted, length = contexts if counted is not None else found.where("kind = 1"), None, length + 1
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:

@@ -305,6 +305,8 @@ def test_suffix_tree_hands_out_packed_texts_and_marks_once(spark):
     marks = spark.createDataFrame([(hashes[one], 0, one), (hashes[two], 1, two), (hashes[three], 2, three)], "blocks array<long>, kind int, h long")
     assert sum(len(r.h) // 8 for r in suffix_tree._dealt(marks, "h").collect()) == 6
     got = {(r.a, r.b): r.n for r in suffix_tree._repeated(suffix_tree._grown(blocks, marks, 2, True, 2)).collect()}
+    halves = [{(r.a, r.b): r.n for r in suffix_tree._repeated(suffix_tree._grown(blocks, marks, 2, True, 2, half)).collect()} for half in (0, 1)]
+    assert not set(halves[0]) & set(halves[1]) and halves[0] | halves[1] == got
     want = Counter()
     for _, text, train in rows:
         pairs = suffix_tree._longer(suffix_tree._tokens(pa.array([text]))[0])[1:].view("int64").tolist()
