@@ -22,6 +22,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Byte (as a Latin-1 character) to the character that stands for it in the vocabulary: printable ones for themselves.
 _BYTE_CHARS = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+_SPACE, _ENDS = " ".translate(_BYTE_CHARS), frozenset(".,;:!?)")
 #: White space on whose kind regular-expression libraries disagree; such texts take the library's own way.
 _ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b\ufeff]")
 _TWO_SPACES, _CUT = re.compile(r"\s\s"), re.compile(r"(?<=\S) ")
@@ -49,13 +50,23 @@ class _Pieces:
     def __init__(self, tokenizer, dtype):
         import regex
 
-        self.split, self.model, self.dtype = regex.compile(WORDS).findall, tokenizer.model, dtype
+        self.split, self.model, self.code = regex.compile(WORDS).findall, tokenizer.model, "H" if dtype.itemsize == 2 else "I"
         self.words, self.spaced = Known(self._word, KNOWN_WORDS), Known(self._spaced, KNOWN_PIECES)
 
+    def _ids(self, chars: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(chars)]
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
     def _word(self, word: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARS))], self.dtype).tobytes()
+        return self._ids(word.encode().decode("latin-1").translate(_BYTE_CHARS))
 
     def _spaced(self, piece: str) -> bytes:
+        # Letters are one word, and a mark after them is another, so that most pieces needn't be split.
+        if piece.isascii():
+            if piece.isalpha():
+                return self._ids(_SPACE + piece) if len(self.spaced) < self.spaced.size else self.words[" " + piece]
+            if piece[-1:] in _ENDS and piece[:-1].isalpha():
+                return self.spaced[piece[:-1]] + self.words[piece[-1]]
         words = self.split(" " + piece)
         # A piece that is one word is kept once, as a piece while there is room.
         return self._word(words[0]) if len(words) == 1 and len(self.spaced) < self.spaced.size else b"".join([self.words[w] for w in words])

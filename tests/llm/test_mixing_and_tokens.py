@@ -122,6 +122,16 @@ def _want(rows, encoder):
     return sorted(out)
 
 
+def test_plain_pieces_are_not_split():
+    own, split = Encoder(BPE), []
+    find = own.pieces.split
+    own.pieces.split = lambda piece: split.append(piece) or find(piece)
+    text = "First words, plain; words (and) others: don't stop. Twice? twice! x, , ,, 3, a1. é, end."
+    assert own.encode(text) == np.array(own.tokenizer.encode(text, add_special_tokens=False).ids, own.dtype).tobytes()
+    assert split == ["First", " (and)", " don't", " ,", " ,,", " 3,", " a1.", " é,"]
+    assert "words" in own.pieces.spaced and own.pieces.spaced["words,"] == own.pieces.spaced["words"] + own.pieces.words[","]
+
+
 def test_token_files(spark, odd, clashing, empty, encoder, tmp_path):
     rows = odd_rows() + [(-5, "below zero", None, None, None)]
     docs = spark.createDataFrame(rows, DOCS).repartition(5)
