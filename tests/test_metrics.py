@@ -242,3 +242,34 @@ def test_rouge_n_counts_within_pairs(spark):
             p, q = ((a & b).total() / max(1, x.total()) for x in (b, a))
             want.append((k, round(2 * p * q / (p + q), 9) if p else 0.0))
         assert sorted((x.id, round(x.f1, 9)) for x in out.collect()) == sorted(want)
+
+
+def test_long_texts_take_a_band(monkeypatch):
+    """Edits in blocks are those on numbers, whatever the guess; texts of many characters never take the whole table."""
+    from convspark.functions import alignment
+
+    r, whole = random.Random(11), alignment._edits_on_numbers
+    for _ in range(150):
+        n, kinds, changed = r.choice([1, 64, 65, 128, 300, 700]), r.choice([1, 2, 5, 20]), r.choice([0.03, 0.2, 1.0])
+        a = [r.randint(0, kinds) for _ in range(n)]
+        b = [r.randint(0, kinds) if r.random() < changed else x for x in a if r.random() > changed / 2] or a[:1]
+        x, y, k = alignment._coded(a, b)
+        want = whole(a, b)
+        assert alignment._edits_of_long(x, y, k) == want
+        assert {alignment._edits_in_band(x, y, k, most) for most in (want, want + 7, n) if n - len(b) <= most <= n} == {want}
+        if want > n - len(b):
+            assert alignment._edits_in_band(x, y, k, want - 1) >= want
+    words = [r.choice(["click", "view", "purchase", "signup", "error"]) for _ in range(7000)]
+    a, b = "".join(words), "".join("error" if k % 13 == 0 else w for k, w in enumerate(words) if k % 9)
+    assert len(b) >= alignment.LONG
+    want, sizes = whole(a, b), []
+    monkeypatch.setattr(alignment, "_edits_on_numbers", lambda x, y: sizes.append(len(x)) or whole(x, y))
+    assert alignment.edits(a, b) == want == alignment.edits(list(b), list(a))
+    assert max(sizes) < len(a) / 16
+
+
+def test_long_pairs_share_no_task(spark):
+    rows = [(f"2024-01-{k:02}", "a", "b") for k in range(1, 31)]
+    pairs = spark.createDataFrame(rows, "meeting_id string, ref string, hyp string").repartition(4, "meeting_id")
+    tasks = metrics.dealt(pairs).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert [x["count"] for x in tasks] == [1] * 30
